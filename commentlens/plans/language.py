@@ -11,14 +11,16 @@ from commentlens.operators import terms
 from commentlens.operators.ranking import first_rows
 
 
-def with_text(comments: DataFrame, text: DataFrame, how: str = "inner") -> DataFrame:
-    """Author and body of every comment."""
+def with_text(comments: DataFrame, text: DataFrame | None, how: str = "inner") -> DataFrame:
+    """Author and body of every comment; without a text table the comments carry their body."""
+    if text is None:
+        return comments.select("authorId", "bodyHtml")
     return comments.select("id", "authorId").join(text.select("id", "bodyHtml"), "id", how)
 
 
 def signature_terms(
     comments: DataFrame,
-    text: DataFrame,
+    text: DataFrame | None = None,
     n: int = 30,
     stem: bool = True,
     stop=None,
@@ -38,7 +40,7 @@ def signature_terms(
 
 
 def word_frequencies(
-    comments: DataFrame, text: DataFrame, author_ids: list | None = None, wide: bool = False, stop: list[str] | None = None
+    comments: DataFrame, text: DataFrame | None = None, author_ids: list | None = None, wide: bool = False, stop: list[str] | None = None
 ) -> DataFrame:
     """Share of each word in an author's vocabulary; ``wide`` gives one column per listed author."""
     rows = comments if author_ids is None else comments.where(F.col("authorId").isin(author_ids))

@@ -21,13 +21,15 @@ def busy_authors(comments: DataFrame, more_than: int, keys: list[str]) -> DataFr
     return counts.where(F.col("_n") > more_than).select(*keys)
 
 
-def yearly_texts(comments: DataFrame, text: DataFrame, years: list[int], min_comments: int = 100) -> DataFrame:
+def yearly_texts(comments: DataFrame, text: DataFrame | None, years: list[int], min_comments: int = 100) -> DataFrame:
     """Texts of the authors with more than ``min_comments`` comments in a year, all years at once."""
+    kept = ["id", "authorId"] if text is not None else ["id", "authorId", "bodyHtml"]
     rows = comments.where(clock.in_years("createdAt", years)).select(
-        "id", "authorId", F.year(clock.wall_clock("createdAt")).alias("year")
+        *kept, F.year(clock.wall_clock("createdAt")).alias("year")
     )
     busy = busy_authors(rows, min_comments, ["authorId", "year"])
-    return rows.join(busy, ["authorId", "year"], "left_semi").join(text.select("id", "bodyHtml"), "id", "left")
+    chosen = rows.join(busy, ["authorId", "year"], "left_semi")
+    return chosen if text is None else chosen.join(text.select("id", "bodyHtml"), "id", "left")
 
 
 def author_vectors(
@@ -41,7 +43,7 @@ def author_vectors(
 
 
 def author_map(
-    comments: DataFrame, text: DataFrame, years: list[int], min_comments: int = 100, k: int = 2, n: int = 2, **options
+    comments: DataFrame, text: DataFrame | None, years: list[int], min_comments: int = 100, k: int = 2, n: int = 2, **options
 ) -> tuple[DataFrame, DataFrame]:
     """Yearly maps ``(author_id, PCA_1.., year)`` and their explained ratios (runs jobs)."""
     texts = yearly_texts(comments, text, years, min_comments)

@@ -105,6 +105,10 @@ def node_fields(node: Column) -> list[Column]:
     ]
 
 
+def _at_depth(level: Column, depth: int) -> Column:
+    return F.transform(level, lambda n: F.struct(F.lit(depth).alias("depth"), n.alias("node")))
+
+
 def tree_nodes(docs: DataFrame, keys: list[str], top: Column, max_depth: int = 100) -> DataFrame:
     """Every reply node of nested trees: rows ``(keys..., depth, node)``.
 
@@ -122,12 +126,7 @@ def tree_nodes(docs: DataFrame, keys: list[str], top: Column, max_depth: int = 1
         for k in range(1, STRIDE + 1):
             below = F.flatten(F.transform(F.col(f"_level{k - 1}"), lambda n: _children(n, 0)))
             wide = wide.withColumn(f"_level{k}", below)
-        tagged = [
-            F.transform(
-                F.col(f"_level{k}"), lambda n, d=depth + k: F.struct(F.lit(d).alias("depth"), n.alias("node"))
-            )
-            for k in range(STRIDE)
-        ]
+        tagged = [_at_depth(F.col(f"_level{k}"), depth + k) for k in range(STRIDE)]
         rows = wide.select(*keys, F.explode(F.concat(*tagged)).alias("_n")).select(*keys, "_n.depth", "_n.node")
         found = rows if found is None else found.unionByName(rows)
         deeper = wide.where(F.size(f"_level{STRIDE}") > 0).select(*keys, F.col(f"_level{STRIDE}").alias("_level"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("people",)
+MODULES = ("people", "columns", "activity", "language", "nested", "loading", "matrices")
 
 
 def _entries() -> dict:

@@ -103,7 +103,7 @@ entry("j08_thread_interactions", PARTNERS + "SELECT authorId, total_interactions
 entry(
     "q18_author_days",
     v.with_clause(v.COMMENTS)
-    + "SELECT CAST(CAST(at AS DATE) AS VARCHAR) AS date, count(*) AS n FROM comments WHERE authorId = 1 GROUP BY 1",
+    + "SELECT CAST(CAST(moment AS DATE) AS VARCHAR) AS date, count(*) AS n FROM comments WHERE authorId = 1 GROUP BY 1",
 )(lambda s, d: _days(s, d))
 
 

@@ -31,7 +31,7 @@ def comments(spark: SparkSession, folder: str) -> DataFrame:
 
 COMMENTS = """comments AS (
   SELECT event_id AS id, user_id AS authorId, CAST(floor(epoch(ts)) AS BIGINT) AS createdAt,
-         event_id AS ft_id, event_type AS topic, date_trunc('second', ts) AS at
+         event_id AS ft_id, event_type AS topic, date_trunc('second', ts) AS moment
   FROM events)"""
 
 

@@ -1,76 +1,94 @@
 """Leading components of large sparse matrices in long form.
 
-Block power iteration with Rayleigh-Ritz (randomised subspace iteration,
-Halko, Martinsson and Tropp 2011). The matrix stays a table ``(row, col, w)``;
-each pass is two joins with sums. Only blocks of ``k + oversample`` numbers per
-row or column move, and the driver sees matrices of that width squared. Several
-slices (years) run in the same passes.
+Block Krylov iteration with Rayleigh-Ritz (Musco and Musco 2015): every pass
+multiplies a block of directions by the matrix and its transpose and keeps all
+blocks, so flat spectra converge in few passes too. The matrix stays a table
+``(row, col, w)``; a pass is two joins with sums. Only a few numbers per row or
+column move; the driver sees matrices as wide as the kept blocks. Several slices
+(years) run in the same passes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from commentlens.session import cut_lineage
 
-MOST_SLICES = 1000  # the driver holds one small matrix per slice
-
-
-def _linear(values: list[Column], weights: list[Column]) -> Column:
-    out = values[0] * weights[0]
-    for v, w in zip(values[1:], weights[1:]):
-        out = out + v * w
-    return out
-
+MOST_SLICES = 1000  # the driver holds a few small matrices per slice
 
-def _small_table(spark, slices: dict, maps: dict) -> DataFrame:
-    """Per-slice coefficients: a mean vector and a square map (bounded by the slices)."""
-    rows = [(s, [float(x) for x in m], [[float(x) for x in r] for r in a]) for s, (m, a) in maps.items()]
-    schema = T.StructType([T.StructField("_s", slices["type"]), *T._parse_datatype_string("_m array<double>, _a array<array<double>>").fields])
-    return spark.createDataFrame(rows, schema)
 
+def _matrix(cells: pd.Series, width: int) -> np.ndarray:
+    return np.vstack(cells.to_numpy()) if len(cells) else np.zeros((0, width))
 
-def _apply(rows: DataFrame, coeffs: DataFrame, source: str, target: str, width: int, out: int, keep: list[str]) -> DataFrame:
-    """``target_j = sum_i (source_i - m_i) * a_ij`` with the slice's coefficients."""
-    joined = rows.join(F.broadcast(coeffs), "_s")
-    centred = [F.col(f"{source}{i}") - F.col("_m")[i] for i in range(width)]
-    cols = [_linear(centred, [F.col("_a")[i][j] for i in range(width)]).alias(f"{target}{j}") for j in range(out)]
-    return joined.select(*keep, *cols)
 
+def _moments(block: DataFrame, kept: int, width: int) -> dict:
+    """Per slice: row count, column sums and cross products of ``[k, y]``.
 
-def _moments(table: DataFrame, left: str, right: str, width: int):
-    """Per slice: count, sums of both blocks, right'right and left'right (one aggregate)."""
-    aggs = [F.count(F.lit(1)).alias("n")]
-    aggs += [F.sum(f"{right}{i}").alias(f"s{i}") for i in range(width)]
-    aggs += [F.sum(f"{left}{i}").alias(f"t{i}") for i in range(width)]
-    for i in range(width):
-        for j in range(width):
-            if j >= i:
-                aggs.append(F.sum(F.col(f"{right}{i}") * F.col(f"{right}{j}")).alias(f"g{i}_{j}"))
-            aggs.append(F.sum(F.col(f"{left}{i}") * F.col(f"{right}{j}")).alias(f"h{i}_{j}"))
+    Each task adds up its rows in NumPy and emits one array per slice; Spark
+    adds the arrays position by position.
+    """
+    total = kept + width
+
+    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict = {}
+        for pdf in batches:
+            for s, part in pdf.groupby("_s"):
+                x = np.hstack([_matrix(part["k"], kept), _matrix(part["y"], width)])
+                flat = np.concatenate([[len(x)], x.sum(axis=0), (x.T @ x).ravel()])
+                sums[s] = sums[s] + flat if s in sums else flat
+        if sums:
+            yield pd.DataFrame({"_s": list(sums), "m": [v.tolist() for v in sums.values()]})
+
+    kind = T.StructType([block.schema["_s"], T.StructField("m", T.ArrayType(T.DoubleType()))])
+    parts = block.select("_s", "k", "y").mapInPandas(add_up, kind)
+    added = parts.select("_s", F.posexplode("m").alias("i", "v")).groupBy("_s", "i").agg(F.sum("v").alias("v"))
+    gathered = added.groupBy("_s").agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("m"))
     out = {}
-    for r in table.groupBy("_s").agg(*aggs).limit(MOST_SLICES + 1).collect():
-        gram = np.array([[r[f"g{min(i, j)}_{max(i, j)}"] for j in range(width)] for i in range(width)])
-        cross = np.array([[r[f"h{i}_{j}"] for j in range(width)] for i in range(width)])
-        sums = np.array([r[f"s{i}"] for i in range(width)])
-        out[r["_s"]] = (r["n"], sums, np.array([r[f"t{i}"] for i in range(width)]), gram, cross)
+    for r in gathered.limit(MOST_SLICES + 1).collect():
+        flat = np.array([e["v"] for e in r["m"]])
+        out[r["_s"]] = (int(flat[0]), flat[1 : 1 + total], flat[1 + total :].reshape(total, total))
     if len(out) > MOST_SLICES:
         raise ValueError(f"more than {MOST_SLICES} slices")
     return out
 
 
-def _orthonormal(n: int, sums: np.ndarray, gram: np.ndarray, center: bool):
-    """Mean and map that make a block's columns orthonormal."""
-    mean = sums / n if center else np.zeros_like(sums)
-    inner = gram - n * np.outer(mean, mean)
-    values, vectors = np.linalg.eigh((inner + inner.T) / 2)
-    keep = values > max(values.max(), 0.0) * 1e-13
-    keep &= values > 1e-300
-    scale = np.where(keep, 1.0 / np.sqrt(np.where(keep, values, 1.0)), 0.0)
-    return mean, vectors * scale
+def _inverse_root(gram: np.ndarray, floor: float, reference: float | None = None) -> np.ndarray:
+    """Map that makes columns with this Gram matrix orthonormal; weak directions become zero."""
+    if not gram.size:
+        return np.zeros((0, 0))
+    values, vectors = np.linalg.eigh((gram + gram.T) / 2)
+    top = max(values.max(), 0.0) if reference is None else reference
+    good = values > max(top * floor, 1e-300)
+    return vectors * np.where(good, 1.0 / np.sqrt(np.where(good, values, 1.0)), 0.0)
+
+
+def _extend(block: DataFrame, steps: dict, kept: int, width: int) -> DataFrame:
+    """Append the next orthonormal directions to every row: ``q = (y - mean - k c) r``."""
+
+    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for s, part in pdf.groupby("_s"):
+                mean, c, r = steps[s]
+                k, y = _matrix(part["k"], kept), _matrix(part["y"], width)
+                q = (y - mean - k @ c) @ r
+                yield pd.DataFrame(
+                    {"_s": part["_s"], "_r": part["_r"], "k": np.hstack([k, q]).tolist(), "q": q.tolist()}
+                )
+
+    numbers = T.ArrayType(T.DoubleType())
+    kind = T.StructType([block.schema["_s"], block.schema["_r"], T.StructField("k", numbers), T.StructField("q", numbers)])
+    return block.select("_s", "_r", "k", "y").mapInPandas(apply, kind)
+
+
+def _weighted(name: str, width: int):
+    sums = [F.sum(F.col("_w") * F.col(name)[j]).alias(f"_{j}") for j in range(width)]
+    return sums, F.array(*[F.col(f"_{j}") for j in range(width)])
 
 
 def components(
@@ -83,7 +101,7 @@ def components(
     rows: DataFrame | None = None,
     center: bool = True,
     oversample: int = 8,
-    max_passes: int = 40,
+    max_passes: int = 12,
     tolerance: float = 1e-12,
     names: str = "PCA_",
 ) -> tuple[DataFrame, DataFrame]:
@@ -98,90 +116,114 @@ def components(
     width = k + oversample
     sliced = F.col(slice_by) if slice_by else F.lit(0)
     cells = cut_lineage(
-        entries.select(sliced.alias("_s"), F.col(row).alias("_r"), F.col(col).alias("_c"), F.col(weight).cast("double").alias("_w")),
+        entries.select(
+            sliced.alias("_s"), F.col(row).alias("_r"), F.col(col).alias("_c"), F.col(weight).cast("double").alias("_w")
+        ).where(F.col("_w") != 0),
         "cells",
     )
-    kind = {"type": cells.schema["_s"].dataType}
-    all_rows = cells.select("_s", "_r").distinct()
-    if rows is not None:
-        listed = rows.select(sliced.alias("_s"), F.col(row).alias("_r")).distinct()
-        all_rows = cut_lineage(listed, "rows")
-
-    def fill(block: DataFrame, prefix: str) -> DataFrame:
-        if rows is None:
-            return block
-        filled = [F.coalesce(F.col(f"{prefix}{j}"), F.lit(0.0)).alias(f"{prefix}{j}") for j in range(width)]
-        kept = [c for c in block.columns if c not in ("_s", "_r") and not c.startswith(prefix)]
-        return all_rows.join(block, ["_s", "_r"], "left").select("_s", "_r", *kept, *filled)
-
-    # Start block: random signs per column key, taken from bits of one hash.
+    listed = cells.select("_s", "_r") if rows is None else rows.select(sliced.alias("_s"), F.col(row).alias("_r"))
+    all_rows = cut_lineage(listed.distinct(), "rows")
+    zeros = F.array(*[F.lit(0.0)] * width)
+
+    # First block: random signs per column key, taken from the bits of one hash.
     bits = F.xxhash64("_c")
-    signs = [F.sum(F.col("_w") * (F.shiftrightunsigned(bits, j).bitwiseAND(F.lit(1)) * 2 - 1)).alias(f"y{j}") for j in range(width)]
-    block = cut_lineage(fill(cells.groupBy("_s", "_r").agg(*signs), "y"), "block")
-    moments = _moments(block.select("*", *[F.lit(0.0).alias(f"q{j}") for j in range(width)]), "q", "y", width)
-
-    ritz_before: dict = {}
-    for _ in range(max_passes):
-        maps = {s: _orthonormal(n, sums, gram, center) for s, (n, sums, _, gram, _) in moments.items()}
-        basis = _apply(block, _small_table(spark, kind, maps), "y", "q", width, width, ["_s", "_r"])
-        across = (
-            cells.join(basis, ["_s", "_r"])
-            .groupBy("_s", "_c")
-            .agg(*[F.sum(F.col("_w") * F.col(f"q{j}")).alias(f"z{j}") for j in range(width)])
-        )
-        back = (
-            cells.join(across, ["_s", "_c"])
-            .groupBy("_s", "_r")
-            .agg(*[F.sum(F.col("_w") * F.col(f"z{j}")).alias(f"y{j}") for j in range(width)])
-        )
-        if rows is None:
-            both = basis.join(back, ["_s", "_r"])
-        else:
-            both = fill(basis.join(back, ["_s", "_r"], "left"), "y")
-        block = cut_lineage(both, "block")
-        moments = _moments(block, "q", "y", width)
-        ritz = {s: np.linalg.eigvalsh((h + h.T) / 2)[::-1][:k] for s, (_, _, _, _, h) in moments.items()}
-        done = bool(ritz_before) and all(
-            np.all(np.abs(ritz[s] - ritz_before[s]) <= tolerance * max(ritz[s].max(), 1e-300)) for s in ritz
-        )
-        ritz_before = ritz
-        if done:
+    signs = [
+        F.sum(F.col("_w") * (F.shiftrightunsigned(bits, j).bitwiseAND(F.lit(1)) * 2 - 1)).alias(f"_{j}")
+        for j in range(width)
+    ]
+    packed = F.array(*[F.col(f"_{j}") for j in range(width)]).alias("y")
+    start = cells.groupBy("_s", "_r").agg(*signs).select("_s", "_r", packed)
+    none = F.array().cast("array<double>").alias("k")
+    block = cut_lineage(
+        all_rows.join(start, ["_s", "_r"], "left").select("_s", "_r", none, F.coalesce("y", zeros).alias("y")), "block"
+    )
+    kept = 0
+    operator: dict = {}  # per slice: K' A A' K, grown block by block
+    best: dict = {}
+    fitted: dict = {}
+    for step in range(max_passes + 1):
+        moments = _moments(block, kept, width)
+        steps, ritz, spread = {}, {}, False
+        for s, (n, sums, cross) in moments.items():
+            mean = sums[kept:] / n if center else np.zeros(width)
+            inner = cross[:kept, :kept]
+            towards = cross[:kept, kept:] - (np.outer(sums[:kept], mean) if center else 0.0)
+            square = cross[kept:, kept:] - (n * np.outer(mean, mean) if center else 0.0)
+            root = _inverse_root(inner, 1e-8)
+            if kept:
+                known = operator.get(s, np.zeros((0, 0)))
+                grown = np.zeros((kept, kept))
+                grown[: len(known), : len(known)] = known
+                grown[:, kept - width :] = towards
+                grown[kept - width :, :] = towards.T
+                grown[kept - width :, kept - width :] = (towards[kept - width :] + towards[kept - width :].T) / 2
+                operator[s] = grown
+                values, vectors = np.linalg.eigh(root.T @ grown @ root)
+                order = np.argsort(values)[::-1][:k]
+                ritz[s] = np.clip(values[order], 0.0, None)
+                fitted[s] = (root @ vectors[:, order], ritz[s], n, sums[:kept])
+            inside = root @ (root.T @ towards)
+            r = _inverse_root(square - towards.T @ inside, 1e-9, max(np.trace(square), 0.0))
+            spread = spread or bool(np.any(r != 0))
+            steps[s] = (mean, inside, r)
+        done = bool(best) and all(np.all(np.abs(ritz[s] - best[s]) <= tolerance * max(ritz[s].max(), 1e-300)) for s in ritz)
+        best = ritz
+        if kept and (done or not spread or step == max_passes):
             break
+        basis = _extend(block, steps, kept, width)
+        kept += width
+        sums_q, packed_q = _weighted("q", width)
+        across = cells.join(basis.select("_s", "_r", "q"), ["_s", "_r"]).groupBy("_s", "_c").agg(*sums_q)
+        sums_z, packed_y = _weighted("z", width)
+        back = cells.join(across.select("_s", "_c", packed_q.alias("z")), ["_s", "_c"]).groupBy("_s", "_r").agg(*sums_z)
+        joined = basis.select("_s", "_r", "k").join(back.select("_s", "_r", packed_y.alias("y")), ["_s", "_r"], "left")
+        block = cut_lineage(joined.select("_s", "_r", "k", F.coalesce("y", zeros).alias("y")), "block")
+
+    return _scores(block, fitted, k, names, row, slice_by), _ratios(spark, cells, fitted, k, slice_by)
+
+
+def _scores(block: DataFrame, fitted: dict, k: int, names: str, row: str, slice_by: str | None) -> DataFrame:
+    maps = {s: vectors * np.sqrt(values) for s, (vectors, values, _, _) in fitted.items()}
+
+    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for s, part in pdf.groupby("_s"):
+                placed = np.zeros((len(part), k))
+                found = _matrix(part["k"], len(maps[s])) @ maps[s]
+                placed[:, : found.shape[1]] = found
+                yield pd.DataFrame({"_s": part["_s"], "_r": part["_r"], "p": placed.tolist()})
+
+    kind = T.StructType([block.schema["_s"], block.schema["_r"], T.StructField("p", T.ArrayType(T.DoubleType()))])
+    scores = cut_lineage(block.select("_s", "_r", "k").mapInPandas(apply, kind), "scores")
+    # One row per slice, so at most MOST_SLICES rows are broadcast.
+    flips = scores.groupBy("_s").agg(
+        *[F.max_by(F.col("p")[i], F.abs(F.col("p")[i])).alias(f"_f{i}") for i in range(k)]
+    )
+    signed = [F.when(F.col(f"_f{i}") < 0, -F.col("p")[i]).otherwise(F.col("p")[i]).alias(f"{names}{i + 1}") for i in range(k)]
+    head = [F.col("_r").alias(row)] + ([F.col("_s").alias(slice_by)] if slice_by else [])
+    return scores.join(F.broadcast(flips), "_s").select(*head, *signed)
+
 
-    totals = {
-        r["_s"]: (r["squares"], r["column_squares"])
-        for r in cells.groupBy("_s", "_c")
+def _ratios(spark, cells: DataFrame, fitted: dict, k: int, slice_by: str | None) -> DataFrame:
+    """Variance of each score column over the total variance of the matrix columns."""
+    totals = (
+        cells.groupBy("_s", "_c")
         .agg(F.sum("_w").alias("_cs"), F.sum(F.col("_w") * F.col("_w")).alias("_ss"))
         .groupBy("_s")
         .agg(F.sum("_ss").alias("squares"), F.sum(F.col("_cs") * F.col("_cs")).alias("column_squares"))
-        .collect()
-    }
-    maps, ratio_rows = {}, []
-    for s, (n, _, basis_sums, _, cross) in moments.items():
-        values, vectors = np.linalg.eigh((cross + cross.T) / 2)
-        order = np.argsort(values)[::-1][:k]
-        size = np.sqrt(np.clip(values[order], 0.0, None))
-        maps[s] = (np.zeros(width), vectors[:, order] * size)
-        squares, column_squares = totals[s]
-        variance = squares - column_squares / n
-        sums = basis_sums @ maps[s][1]
-        explained = size**2 - sums**2 / n
-        for i in range(k):
-            ratio_rows.append((s, i + 1, float(explained[i] / variance) if variance > 0 else 0.0))
-    scores = _apply(block, _small_table(spark, kind, maps), "q", "p", width, k, ["_s", "_r"])
-    scores = cut_lineage(scores, "scores")
-    flips = scores.groupBy("_s").agg(
-        *[F.signum(F.max_by(f"p{i}", F.abs(F.col(f"p{i}")))).alias(f"f{i}") for i in range(k)]
     )
-    sign = [F.when(F.col(f"f{i}") < 0, -F.col(f"p{i}")).otherwise(F.col(f"p{i}")).alias(f"{names}{i + 1}") for i in range(k)]
-    head = [F.col("_r").alias(row)] + ([F.col("_s").alias(slice_by)] if slice_by else [])
-    out = scores.join(F.broadcast(flips), "_s").select(*head, *sign)
-    ratio_schema = T.StructType(
-        [T.StructField("_s", kind["type"]), T.StructField("component", T.IntegerType()), T.StructField("ratio", T.DoubleType())]
+    rows = []
+    for r in totals.limit(MOST_SLICES).collect():
+        vectors, values, n, sums = fitted[r["_s"]]
+        variance = r["squares"] - r["column_squares"] / n
+        offset = (sums @ vectors) * np.sqrt(values)
+        explained = values - offset**2 / n
+        rows += [(r["_s"], i + 1, float(explained[i] / variance) if variance > 0 else 0.0) for i in range(min(k, len(explained)))]
+    schema = T.StructType(
+        [cells.schema["_s"], T.StructField("component", T.IntegerType()), T.StructField("ratio", T.DoubleType())]
     )
-    ratios = spark.createDataFrame(ratio_rows, ratio_schema)
-    ratios = ratios.withColumnRenamed("_s", slice_by) if slice_by else ratios.drop("_s")
-    return out, ratios
+    ratios = spark.createDataFrame(rows, schema)
+    return ratios.withColumnRenamed("_s", slice_by) if slice_by else ratios.drop("_s")
 
 
 def dense_components(df: DataFrame, features: str, k: int = 2, names: str = "PCA_") -> DataFrame:

@@ -152,21 +152,28 @@ def hash_split(df: DataFrame, key: str, train_percent: int = 20, folds: int = 5,
     return df.withColumn("part", F.when(percent < train_percent, "train").otherwise("test")).withColumn("fold", fold)
 
 
-def cross_validate(df: DataFrame, features: str, label: str, folds: int = 5) -> list[float]:
-    """Accuracy per held-out fold (runs jobs).
+def fold_moments(df: DataFrame, features: str, label: str, folds: int = 5) -> list:
+    """Moments of each fold (runs jobs). Sums of them serve every larger part."""
+    return [moments(df.where(F.col("fold") == f), features, label) for f in range(folds)]
 
-    Moments are taken once per fold and added up for the other folds, so each
-    row is read once for fitting.
-    """
-    parts = [moments(df.where(F.col("fold") == f), features, label) for f in range(folds)]
+
+def added(parts: list) -> Moments:
+    """Moments of the union of some parts; empty parts are None."""
+    present = [p for p in parts if p is not None]
+    total = present[0]
+    for p in present[1:]:
+        total = total + p
+    return total
+
+
+def cross_validate(df: DataFrame, features: str, label: str, parts: list) -> list[float]:
+    """Accuracy on each held-out fold, fitted on the moments of the others (runs jobs)."""
     out = []
-    for f in range(folds):
-        rest = [p for g, p in enumerate(parts) if g != f and p is not None]
-        if not rest or parts[f] is None:
+    for f, own in enumerate(parts):
+        others = [p for g, p in enumerate(parts) if g != f and p is not None]
+        if own is None or not others:
             continue
-        fitted = rest[0]
-        for p in rest[1:]:
-            fitted = fitted + p
+        fitted = added(others)
         if len(fitted.sums) < 2:
             continue
         held = predict(df.where(F.col("fold") == f), features, solve(fitted))

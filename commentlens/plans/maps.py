@@ -13,6 +13,7 @@ from commentlens.operators import discriminant as ld
 from commentlens.operators import terms
 from commentlens.operators.joins import with_names
 from commentlens.operators.lowrank import components
+from commentlens.session import cut_lineage
 
 
 def busy_authors(comments: DataFrame, more_than: int, keys: list[str]) -> DataFrame:
@@ -68,11 +69,16 @@ def word_space(frequencies: DataFrame, k: int = 15) -> tuple[DataFrame, DataFram
 def labelled_vectors(
     df: DataFrame, body: str, n: int = 2, max_features: int = 2000, stem: bool = True, stop: list[str] | None = None
 ) -> DataFrame:
-    """Sparse vectors of labelled texts (runs jobs)."""
+    """Sparse vectors of labelled texts (runs jobs).
+
+    Token lists and vectors are each written once, since every later pass
+    (term statistics, class means, Gram matrices, folds) reads them again.
+    """
     tokens = words.split_blanks(F.lower(words.normalise(body)))
     rows = df.withColumn("_tokens", stem_tokens(tokens, "porter") if stem else tokens)
     grams = words.ngrams(words.without("_tokens", NLTK_ENGLISH if stop is None else stop), n)
-    return ld.vectorise(rows.withColumn("_grams", grams), "_grams", max_features).drop("_tokens", "_grams")
+    listed = cut_lineage(rows.withColumn("_grams", grams).drop("_tokens", body), "grams")
+    return cut_lineage(ld.vectorise(listed, "_grams", max_features).drop("_grams"), "vectors")
 
 
 def author_separation(
@@ -84,13 +90,14 @@ def author_separation(
     measure: each validation fold of the training part, and the test part.
     """
     split = ld.hash_split(vectors, key, train_percent, folds)
-    train = split.where(F.col("part") == "train")
-    scores = ld.cross_validate(train, features, label, folds)
-    fitted = ld.solve(ld.moments(train, features, label))
-    test = ld.accuracy(ld.predict(split.where(F.col("part") == "test"), features, fitted), label)
-    held_out = test.select(F.lit("test").alias("measure"), "accuracy")
-    for i, value in enumerate(scores):
+    train, test = (split.where(F.col("part") == part) for part in ("train", "test"))
+    parts = ld.fold_moments(train, features, label, folds)
+    of_train = ld.added(parts)
+    held_out = ld.accuracy(ld.predict(test, features, ld.solve(of_train)), label)
+    measures = held_out.select(F.lit("test").alias("measure"), "accuracy")
+    for i, value in enumerate(ld.cross_validate(train, features, label, parts)):
         row = vectors.sparkSession.range(1).select(F.lit(f"fold {i}").alias("measure"), F.lit(float(value)).alias("accuracy"))
-        held_out = held_out.unionByName(row)
-    placed = ld.project(vectors, features, ld.solve(ld.moments(vectors, features, label)), k)
-    return placed.select(key, label, *[f"LD_{i + 1}" for i in range(k)]), held_out
+        measures = measures.unionByName(row)
+    of_all = ld.added([of_train, ld.moments(test, features, label)])
+    placed = ld.project(vectors, features, ld.solve(of_all), k)
+    return placed.select(key, label, *[f"LD_{i + 1}" for i in range(k)]), measures

@@ -101,5 +101,5 @@ def test_split_and_folds(spark):
     df = ld.hash_split(_labelled(spark, 300), "id", 80)
     parts = {r["part"]: r["count"] for r in df.groupBy("part").count().collect()}
     assert parts["train"] + parts["test"] == 300 and parts["train"] > parts["test"]
-    scores = ld.cross_validate(df, "features", "label")
+    scores = ld.cross_validate(df, "features", "label", ld.fold_moments(df, "features", "label"))
     assert len(scores) == 5 and min(scores) > 0.8

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from commentlens.functions.clock import wall_clock
 from commentlens.operators.numbering import number_within
+from commentlens.session import once
 
 
 def count_by(df: DataFrame, keys: list[str], name: str = "n", of: str | None = None) -> DataFrame:
@@ -28,8 +29,9 @@ def share_of_group(df: DataFrame, group: str, value: str, name: str = "share") -
     """Value divided by its group's total.
 
     The totals are a small aggregate joined back, so a large group is never
-    gathered in one window partition.
+    gathered in one window partition. The input is stored once.
     """
+    df = once(df, "shares")
     totals = df.groupBy(group).agg(F.sum(value).alias("_total"))
     return df.join(totals, group).withColumn(name, F.col(value) / F.col("_total")).drop("_total")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from commentlens.operators.joins import with_both_names
 from commentlens.operators.numbering import dense_codes
 from commentlens.operators.ranking import first_rows
+from commentlens.session import once
 
 
 def likes_from_text(raw: DataFrame, key: str = "id", liked_by: str = "likedBy", keep_empty: bool = False) -> DataFrame:
@@ -80,15 +81,14 @@ def friends_of(named: DataFrame, likers: list[str], n: int = 20) -> DataFrame:
     return first_rows(given, [F.desc("like_count"), F.asc("liker_name"), F.asc("author_name")], n)
 
 
-def kept_likers(pairs: DataFrame, limit: int) -> list[str]:
+def kept_likers(grid: DataFrame) -> list[str]:
     """Column names of the like matrix (runs a job).
 
     Liker names in order, as many as there are author rows. The number of
     author rows is known first, so no more names than that are fetched.
     """
-    grid = pairs.where(F.col("like_count") > limit)
     rows = grid.agg(F.countDistinct("author_name").alias("k")).first()["k"]
-    most = int(pairs.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    most = int(grid.sparkSession.conf.get("spark.sql.pivotMaxValues"))
     if rows > most:
         raise ValueError(f"{rows} author rows exceed the widest pivot ({most}); use like_matrix_cells or a higher limit")
     names = grid.select("liker_name").distinct().orderBy("liker_name").limit(rows)
@@ -96,14 +96,14 @@ def kept_likers(pairs: DataFrame, limit: int) -> list[str]:
 
 
 def like_matrix(pairs: DataFrame, limit: int) -> DataFrame:
-    """Author rows, liker columns, only pairs above ``limit`` (runs a job for the columns)."""
-    grid = pairs.where(F.col("like_count") > limit)
-    return grid.groupBy("author_name").pivot("liker_name", kept_likers(pairs, limit)).agg(F.sum("like_count"))
+    """Author rows, liker columns, only pairs above ``limit`` (runs jobs for the columns)."""
+    grid = once(pairs.where(F.col("like_count") > limit), "grid")
+    return grid.groupBy("author_name").pivot("liker_name", kept_likers(grid)).agg(F.sum("like_count"))
 
 
 def like_matrix_cells(pairs: DataFrame, limit: int) -> DataFrame:
     """The same matrix in long form, for any size: cells of the kept liker columns."""
-    grid = pairs.where(F.col("like_count") > limit)
+    grid = once(pairs.where(F.col("like_count") > limit), "grid")
     rows = grid.agg(F.countDistinct("author_name").alias("k"))
     kept = dense_codes(grid, "liker_name", "column_no").where(F.col("column_no") <= rows.scalar())
     return grid.join(kept, "liker_name").select("author_name", "liker_name", "column_no", "like_count")

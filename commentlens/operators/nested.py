@@ -1,7 +1,7 @@
 """Nested documents to rows: comment lists, reply trees, author maps, page lists.
 
 All of it is in-row work (explode and higher-order functions) in the scan
-stage; a document never leaves its task.
+stage.
 """
 
 from __future__ import annotations
@@ -67,8 +67,8 @@ def missing_pages(expected: DataFrame, landed: DataFrame) -> DataFrame:
 
 # --- reply trees -------------------------------------------------------------------
 
-# Levels unfolded per pass. Trees deeper than this cost one more pass over the
-# few documents that still have nodes below.
+# Levels unfolded per pass. Deeper trees cost one more pass over their nodes
+# below that level.
 STRIDE = 12
 
 
@@ -109,45 +109,49 @@ def _at_depth(level: Column, depth: int) -> Column:
     return F.transform(level, lambda n: F.struct(F.lit(depth).alias("depth"), n.alias("node")))
 
 
-def tree_nodes(docs: DataFrame, keys: list[str], top: Column, max_depth: int = 100) -> DataFrame:
-    """Every reply node of nested trees: rows ``(keys..., depth, node)``.
+def tree_rows(docs: DataFrame, keys: list[str], top: Column, max_depth: int = 100) -> DataFrame:
+    """Comment fields of every reply node: rows ``(keys..., depth, fields...)`` (runs a job).
 
-    Levels are unfolded inside the document row, several per pass, and exploded
-    once: one narrow stage for ordinary trees. Only documents with deeper
-    replies go into a further pass, cut off from the earlier one by a written
-    stage. A tree beyond ``max_depth`` fails and is not shortened.
+    Levels are unfolded inside the document row, several per pass, exploded
+    once and stored, so no level is unfolded twice. Only nodes below the last
+    unfolded level go into a further pass. A tree beyond ``max_depth`` fails
+    and is not shortened.
     """
     empty = F.array().cast("array<variant>")
-    frontier = docs.select(*keys, F.coalesce(top, empty).alias("_level"))
+    frontier = docs.select(*keys, F.coalesce(top, empty).alias("_level0"))
     found = None
     depth = 0
     while True:
-        wide = frontier.withColumnRenamed("_level", "_level0")
+        wide = frontier
         for k in range(1, STRIDE + 1):
             below = F.flatten(F.transform(F.col(f"_level{k - 1}"), lambda n: _children(n, 0)))
             wide = wide.withColumn(f"_level{k}", below)
-        tagged = [_at_depth(F.col(f"_level{k}"), depth + k) for k in range(STRIDE)]
-        rows = wide.select(*keys, F.explode(F.concat(*tagged)).alias("_n")).select(*keys, "_n.depth", "_n.node")
+        tagged = [_at_depth(F.col(f"_level{k}"), depth + k) for k in range(STRIDE + 1)]
+        nodes = wide.select(*keys, F.explode(F.concat(*tagged)).alias("_n")).select(*keys, "_n.depth", "_n.node")
+        last = depth + STRIDE
+        pending = F.when(F.col("depth") == last, F.col("node")).alias("_pending")
+        stored = cut_lineage(nodes.select(*keys, "depth", *node_fields(F.col("node")), pending), "replies")
+        rows = stored.where(F.col("depth") < last).drop("_pending")
         found = rows if found is None else found.unionByName(rows)
-        deeper = wide.where(F.size(f"_level{STRIDE}") > 0).select(*keys, F.col(f"_level{STRIDE}").alias("_level"))
+        deeper = stored.where(F.col("depth") == last)
         if deeper.isEmpty():
             return found
-        depth += STRIDE
+        depth = last
         if depth >= max_depth:
             raise ValueError(f"a reply tree is deeper than max_depth={max_depth}")
-        frontier = cut_lineage(deeper, "replies")
+        frontier = deeper.select(*keys, F.array("_pending").alias("_level0"))
 
 
 def flatten_tree(docs: DataFrame, max_depth: int = 100) -> DataFrame:
-    """Comment rows of reply trees.
+    """Comment rows of reply trees (runs a job).
 
     ``docs`` has ``ft_id``, ``title`` and the variant ``comments``. Top-level
     nodes are kept whatever their type; below, replies (type 0) are followed
     and likes (type 1) become ``liked_by``.
     """
     top = F.try_variant_get("comments", "$.content", "array<variant>")
-    nodes = tree_nodes(docs, ["ft_id", "title"], top, max_depth)
-    return nodes.select("ft_id", "title", *node_fields(F.col("node")), "depth")
+    rows = tree_rows(docs, ["ft_id", "title"], top, max_depth)
+    return rows.select("ft_id", "title", *[c for c in rows.columns if c not in ("ft_id", "title", "depth")], "depth")
 
 
 def tree_authors(docs: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from commentlens.session import once
+
 
 def days(spark: SparkSession, start: date, end: date, name: str = "date") -> DataFrame:
     """Every date from start to end, both included."""
@@ -26,8 +28,10 @@ def densify(counts: DataFrame, group: str, slot: str, value: str, slots: Column,
 
     ``inside`` is the range of the slots as a plain predicate. Each group row is
     expanded in place, then zero rows and counts are summed together: one
-    shuffle, no join of groups with the calendar.
+    shuffle, no join of groups with the calendar. The counts are stored once,
+    since both parts read them.
     """
+    counts = once(counts, "counts")
     groups = counts.select(group).distinct()
     zero = groups.select(group, F.explode(slots).alias(slot), F.lit(0).cast("long").alias(value))
     kept = counts.where(inside).select(group, slot, F.col(value).cast("long"))

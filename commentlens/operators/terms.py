@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from commentlens.functions import stem as stemming
 from commentlens.functions import text as words
 from commentlens.operators.ranking import first_rows, top_n_per_group
+from commentlens.session import once
 
 
 def one_word_per_row(df: DataFrame, tokens: Column, keep: list[str], name: str = "word") -> DataFrame:
@@ -42,23 +43,26 @@ def drop_words(counts: DataFrame, stop: list[str] | DataFrame) -> DataFrame:
 
 
 def with_totals(counts: DataFrame, doc: str, name: str = "total") -> DataFrame:
-    """Attach each document's word total."""
+    """Attach each document's word total (stores the counts once)."""
+    counts = once(counts, "counts")
     return counts.join(counts.groupBy(doc).agg(F.sum("n").alias(name)), doc)
 
 
-def document_frequency(counts: DataFrame, doc: str, word: str = "word") -> DataFrame:
+def document_frequency(counts: DataFrame, word: str = "word", within: list[str] | None = None) -> DataFrame:
     """Number of documents per word; counts hold one row per (doc, word)."""
-    return counts.groupBy(word).agg(F.count(F.lit(1)).alias("df"))
+    return counts.groupBy(*(within or []), word).agg(F.count(F.lit(1)).alias("df"))
 
 
 def number_of_documents(counts: DataFrame, doc: str) -> DataFrame:
+    """One row ``docs``: documents that hold any word."""
     return counts.agg(F.countDistinct(doc).alias("docs"))
 
 
 def tidy_tfidf(counts: DataFrame, doc: str) -> DataFrame:
-    """``tf = n / total``, ``idf = ln(N / df)``, ``tf_idf = tf * idf``."""
+    """``tf = n / total``, ``idf = ln(N / df)``, ``tf_idf = tf * idf`` (stores the counts once)."""
+    counts = once(counts, "counts")
     docs = number_of_documents(counts, doc)
-    weighted = with_totals(counts, doc).join(document_frequency(counts, doc), "word")
+    weighted = with_totals(counts, doc).join(document_frequency(counts), "word")
     tf = F.col("n") / F.col("total")
     idf = F.log(docs.scalar() / F.col("df"))
     return weighted.withColumn("tf", tf).withColumn("idf", idf).withColumn("tf_idf", F.col("tf") * F.col("idf")).drop("df")
@@ -106,14 +110,16 @@ def drop_sparse(matrix: DataFrame, doc: str, docs: DataFrame, sparse: float) ->
 
     ``docs`` is a one-row frame with the number of documents, empty ones included.
     """
-    df = document_frequency(matrix, doc, "term")
+    matrix = once(matrix, "matrix")
+    df = document_frequency(matrix, "term")
     kept = df.where(F.col("df") > docs.scalar() * F.lit(1.0 - sparse)).select("term")
     return matrix.join(kept, "term", "left_semi")
 
 
 def log2_tfidf(matrix: DataFrame, doc: str, docs: DataFrame) -> DataFrame:
-    """``w = n / doc length * log2(N / df)`` on the full matrix."""
-    df = document_frequency(matrix, doc, "term")
+    """``w = n / doc length * log2(N / df)`` on the full matrix (stores the counts once)."""
+    matrix = once(matrix, "matrix")
+    df = document_frequency(matrix, "term")
     lengths = matrix.groupBy(doc).agg(F.sum("n").alias("_len"))
     weight = F.col("n") / F.col("_len") * F.log2(docs.scalar() / F.col("df"))
     return matrix.join(lengths, doc).join(df, "term").select(doc, "term", weight.alias("w"))
@@ -164,6 +170,7 @@ def gram_counts(
 
 def cap_terms(counts: DataFrame, most: int) -> DataFrame:
     """Keep the ``most`` terms of highest total count (the feature cap)."""
+    counts = once(counts, "counts")
     kept = top_terms(counts, "n", most).select("term")
     return counts.join(kept, "term", "left_semi")
 
@@ -173,18 +180,21 @@ def smoothed_tfidf(counts: DataFrame, doc: str, slices: list[str] | None = None,
 
     Two passes equal the vectoriser followed by a second transformer: the norm
     in between cancels. ``slices`` are columns (such as the year) within which
-    the corpus statistics are taken.
+    the corpus statistics are taken. The counts and the raw weights are stored
+    once each.
     """
+    counts = once(counts, "counts")
     within = slices or []
-    df = counts.groupBy(*within, "term").agg(F.count(F.lit(1)).alias("_df"))
+    df = document_frequency(counts, "term", within).withColumnRenamed("df", "_df")
     if within:
         docs = counts.groupBy(*within).agg(F.countDistinct(doc).alias("_docs"))
         joined = counts.join(df, [*within, "term"]).join(docs, within)
         total = F.col("_docs")
     else:
         joined = counts.join(df, "term")
-        total = counts.agg(F.countDistinct(doc).alias("docs")).scalar()
+        total = number_of_documents(counts, doc).scalar()
     idf = F.log((total + 1) / (F.col("_df") + 1)) + 1
-    raw = joined.select(*within, doc, "term", (F.col("n") * F.pow(idf, F.lit(float(passes)))).alias("w"))
+    weight = (F.col("n") * F.pow(idf, F.lit(float(passes)))).alias("w")
+    raw = once(joined.select(*within, doc, "term", weight), "weights")
     norms = raw.groupBy(*within, doc).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
     return raw.join(norms, [*within, doc]).select(*within, doc, "term", (F.col("w") / F.col("_norm")).alias("w"))

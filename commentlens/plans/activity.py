@@ -41,19 +41,15 @@ def _between(start: date, end: date, zone: str) -> Column:
 def weekly_series(comments: DataFrame, authors: DataFrame, names: list[str], start: date, end: date, zone: str = "UTC") -> DataFrame:
     """Rows ``(author_name, week, n)`` for every week of the range.
 
-    Days without comments count as zero; authors without any comment are absent.
+    Days without comments count as zero; authors without any comment are absent,
+    which the whole history decides, so the range applies after the daily counts.
     """
     known = authors.where(F.col("displayName").isin(names))
     chosen = with_names(comments, known, name="author_name")
-    present = chosen.select("author_name").distinct()
-    daily = (
-        chosen.where(_between(start, end, zone))
-        .groupBy("author_name", clock.wall_clock("createdAt", zone).cast("date").alias("date"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    zero = present.select("author_name", F.lit(None).cast("date").alias("date"), F.lit(0).cast("long").alias("n"))
+    day = clock.wall_clock("createdAt", zone).cast("date").alias("date")
+    daily = chosen.groupBy("author_name", day).agg(F.count(F.lit(1)).alias("n"))
     slots = F.sequence(F.lit(start), F.lit(end), F.expr("INTERVAL 1 DAY"))
-    dense = densify(daily.unionByName(zero), "author_name", "date", "n", slots, F.col("date").isNotNull())
+    dense = densify(daily, "author_name", "date", "n", slots, F.col("date").between(start, end))
     return dense.groupBy("author_name", clock.week_start("date").alias("week")).agg(F.sum("n").alias("n"))
 
 

@@ -112,24 +112,24 @@ entry(
     "f14_strip_tags",
     r"""SELECT page_id, md5(regexp_replace(html, '<[^\n]*?>', '', 'g')) AS cleaned,
       md5(regexp_replace(html, '<[^>]*>', '', 'g')) AS stripped FROM pages""",
-)(lambda s, d: v.table(s, d, "pages").select(
+)(lambda s, d: v.wide_table(s, d, "pages").select(
     "page_id", F.md5(words.strip_tags("html")).alias("cleaned"), F.md5(words.strip_markup("html")).alias("stripped")
 ))
 entry("f15_normalise", f"SELECT page_id, {v.SQL_NORMAL.format('html')} AS text FROM pages")(
-    lambda s, d: v.table(s, d, "pages").select("page_id", words.normalise("html").alias("text"))
+    lambda s, d: v.wide_table(s, d, "pages").select("page_id", words.normalise("html").alias("text"))
 )
 entry(
     "f16_blank_tokens",
     r"""SELECT doc_id, array_to_string(list_filter(string_split_regex(text, '[ \t\n\f\r\v]+'), lambda x: x <> ''), '|') AS tokens
     FROM documents""",
-)(lambda s, d: v.table(s, d, "documents").select("doc_id", F.array_join(words.split_blanks("text"), "|").alias("tokens")))
+)(lambda s, d: v.wide_table(s, d, "documents").select("doc_id", F.array_join(words.split_blanks("text"), "|").alias("tokens")))
 entry(
     "f17_alphabetic_words",
     f"""SELECT doc_id, array_to_string(list_filter({v.SQL_SPLIT.format('text')},
       lambda x: regexp_full_match(x, '\\p{{L}}+') AND length(x) > 3), '|') AS words FROM documents""",
-)(lambda s, d: v.table(s, d, "documents").select("doc_id", F.array_join(words.alphabetic_words("text"), "|").alias("words")))
+)(lambda s, d: v.wide_table(s, d, "documents").select("doc_id", F.array_join(words.alphabetic_words("text"), "|").alias("words")))
 entry("f18_digits_and_handles", f"SELECT doc_id, {v.SQL_HANDLES.format('text')} AS text FROM documents")(
-    lambda s, d: v.table(s, d, "documents").select("doc_id", words.drop_digits_and_handles("text").alias("text"))
+    lambda s, d: v.wide_table(s, d, "documents").select("doc_id", words.drop_digits_and_handles("text").alias("text"))
 )
 TM_STOP = ["the", "and", *SNOWBALL_ENGLISH]
 SQL_CORPUS = (
@@ -139,7 +139,7 @@ SQL_CORPUS = (
 entry(
     "f19_corpus_clean",
     f"SELECT doc_id, array_to_string({SQL_CORPUS.format('text', v.sql_list(TM_STOP))}, ' ') AS text FROM documents",
-)(lambda s, d: v.table(s, d, "documents").select("doc_id", words.corpus_clean("text", TM_STOP).alias("text")))
+)(lambda s, d: v.wide_table(s, d, "documents").select("doc_id", words.corpus_clean("text", TM_STOP).alias("text")))
 entry("f20_length", "SELECT doc_id, CAST(length(text) AS BIGINT) AS chars FROM documents")(
     lambda s, d: v.table(s, d, "documents").select("doc_id", long(F.length("text")).alias("chars"))
 )
@@ -197,7 +197,7 @@ entry(
 
 entry("x01_porter_stems")(lambda s, d: _stems(s, d, "porter"))
 entry("x01_english_stems")(lambda s, d: _stems(s, d, "english"))
-entry("x01_stem_in_place")(lambda s, d: v.table(s, d, "documents").select(
+entry("x01_stem_in_place")(lambda s, d: v.wide_table(s, d, "documents").select(
     "doc_id", F.array_join(stem_tokens(words.split_words("text")), " ").alias("stems")
 ))
 
@@ -212,7 +212,7 @@ entry(
     "x02_stopword_share",
     f"""SELECT doc_id, CAST(len(list_filter({v.SQL_SPLIT.format('text')}, lambda x: x IN ({NLTK_SQL}))) AS BIGINT) AS stop_tokens
     FROM documents""",
-)(lambda s, d: v.table(s, d, "documents").select(
+)(lambda s, d: v.wide_table(s, d, "documents").select(
     "doc_id", long(F.size(F.filter(words.split_words("text"), lambda w: w.isin(NLTK_ENGLISH)))).alias("stop_tokens")
 ))
 entry(

@@ -39,13 +39,13 @@ entry("p13_word_space")(lambda s, d: maps.word_space(lang.word_frequencies(v.tex
 entry("p13_explained_ratios")(lambda s, d: maps.word_space(lang.word_frequencies(v.texts(s, d)), 15)[1])
 entry("p16_named_map")(lambda s, d: maps.map_of_year(
     _map(s, d)[0],
-    v.table(s, d, "documents").select(F.col("source").alias("author_id"), F.upper("source").alias("displayName")).distinct(),
+    v.wide_table(s, d, "documents").select(F.col("source").alias("author_id"), F.upper("source").alias("displayName")).distinct(),
     2016,
 ))
 
 
 def _vectors(s, d):
-    return maps.labelled_vectors(v.table(s, d, "documents").select("doc_id", "lang", "text"), "text", 2, 2000)
+    return maps.labelled_vectors(v.wide_table(s, d, "documents").select("doc_id", "lang", "text"), "text", 2, 2000)
 
 
 entry("p14_discriminant")(lambda s, d: _coordinates(s, d))
@@ -60,5 +60,5 @@ def _coordinates(s, d):
 entry("q15_author_separation")(lambda s, d: maps.author_separation(_vectors(s, d), "doc_id", "lang")[0])
 entry("p15_accuracy")(lambda s, d: maps.author_separation(_vectors(s, d), "doc_id", "lang")[1])
 entry("p15_split_sizes")(lambda s, d: ld.hash_split(
-    v.table(s, d, "documents").select("doc_id"), "doc_id"
+    v.wide_table(s, d, "documents").select("doc_id"), "doc_id"
 ).groupBy("part", "fold").agg(F.count(F.lit(1)).alias("n")))

@@ -55,7 +55,7 @@ def _head_documents(s, d):
         names.alias("authors"),
         F.struct(F.when(F.col("lang") != "en", F.col("lang")).alias("title")).alias("collectionSettings"),
     )
-    rows = v.table(s, d, "documents").select("doc_id", F.to_json(F.struct(head.alias("headDocument"))).alias("j"))
+    rows = v.wide_table(s, d, "documents").select("doc_id", F.to_json(F.struct(head.alias("headDocument"))).alias("j"))
     return rows.select("doc_id", F.from_json("j", HEAD_DOCUMENT).alias("x")).select("doc_id", "x.*")
 
 
@@ -87,7 +87,7 @@ def _archive_pages(s, d):
     )
     body = F.transform(_lines(), comment)
     names = F.create_map(F.col("source"), F.struct(F.upper("source").alias("displayName")))
-    rows = v.table(s, d, "documents").select(
+    rows = v.wide_table(s, d, "documents").select(
         F.to_json(F.struct(F.concat(body, body).alias("content"), names.alias("authors"))).alias("j")
     )
     return rows.select(F.from_json("j", ARCHIVE_PAGE).alias("x")).select("x.*")
@@ -160,7 +160,7 @@ def _trees(s, d):
     )
     names = F.create_map(F.col("source"), F.struct(F.upper("source").alias("displayName")))
     body = F.struct(F.array(root).alias("content"), names.alias("authors"))
-    rows = v.table(s, d, "documents").select(
+    rows = v.wide_table(s, d, "documents").select(
         F.col("doc_id").cast("string").alias("ft_id"), F.col("lang").alias("title"), F.to_json(body).alias("j")
     )
     return parse_trees(rows, "j")

@@ -69,4 +69,27 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._commentlens_stored = True
+    return stored
+
+
+def once(df: DataFrame, label: str = "once") -> DataFrame:
+    """A result that several branches of a plan read, computed one time (runs a job).
+
+    Branches prune and filter differently, so Spark can seldom share their
+    shuffles by itself, and an expensive part (tokenising, stemming) would run
+    in each of them. A frame that is already stored is returned as it is.
+    """
+    return df if getattr(df, "_commentlens_stored", False) else cut_lineage(df, label)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a small input one partition per core before CPU-heavy column work.
+
+    Files of a single row group, compressed or multi-line files cannot be split,
+    so one task would do all the work. An input that already has more splits
+    than cores is left as it is, so large data is not shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() <= cores else df

@@ -22,13 +22,19 @@ MOST_FEATURES = 4096  # a Gram matrix of this width is 128 MB
 MOST_CLASSES = 256
 
 
+def _marks(tokens: Column, hit: int, doc: int) -> Column:
+    return F.transform(tokens, lambda t: F.struct(t.alias("term"), F.lit(hit).alias("hit"), F.lit(doc).alias("doc")))
+
+
 def vectorise(df: DataFrame, tokens: str, max_features: int = 2000, passes: int = 2, out: str = "features") -> DataFrame:
     """Add a sparse, smoothed TF-IDF vector of the most frequent tokens (runs jobs)."""
     if max_features > MOST_FEATURES:
         raise ValueError(f"max_features is bounded by {MOST_FEATURES}")
-    flat = df.select(F.monotonically_increasing_id().alias("_d"), F.explode(tokens).alias("term"))
-    per_doc = flat.groupBy("_d", "term").agg(F.count(F.lit(1)).alias("n"))
-    stats = per_doc.groupBy("term").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("df"))
+    # Each token counts for the total, each distinct token of a row for the
+    # document frequency: one shuffle keyed by term, reduced map-side.
+    marked = F.concat(_marks(F.col(tokens), 1, 0), _marks(F.array_distinct(tokens), 0, 1))
+    flat = df.select(F.explode(marked).alias("m")).select("m.*")
+    stats = flat.groupBy("term").agg(F.sum("hit").alias("total"), F.sum("doc").alias("df"))
     chosen = stats.orderBy(F.desc("total"), F.asc("term")).limit(max_features).collect()
     chosen.sort(key=lambda r: r["term"])
     docs = df.count()

@@ -11,6 +11,7 @@ from commentlens.operators.dedupe import first_per_key
 from commentlens.operators.joins import replace_titles
 from commentlens.operators.likes import likes_from_text
 from commentlens.schemas import KEYS, TABLES
+from commentlens.session import once
 from commentlens.sources.tables import MissingTable, read_table
 
 
@@ -85,13 +86,14 @@ def append_new(batch: DataFrame, root: str, kind: str) -> None:
     """Append the rows of a shaped, deduped batch that the table does not hold (runs a job).
 
     Running it again with the same batch changes nothing, so a replayed batch
-    is harmless.
+    is harmless. The batch is stored once: its keys and its rows are both read,
+    and its true size decides whether the key check can broadcast it.
     """
     spark = batch.sparkSession
     columns = stored_columns(spark, kind)
     try:
         stored = read_table(spark, kind, root)
-        batch = new_rows(batch, stored, KEYS[kind])
+        batch = new_rows(once(batch, "batch"), stored, KEYS[kind])
     except MissingTable:
         pass
     batch.select(*columns).write.mode("append").parquet(f"{root}/{kind}")

@@ -184,12 +184,13 @@ def _month_starts(s, d):
 WINDOWS = """WITH w AS (SELECT CAST(unnest(generate_series(TIMESTAMP '1994-12-01', TIMESTAMP '2001-12-01', INTERVAL 1 MONTH)) AS DATE) AS month)
   SELECT o.o_orderkey, strftime(w.month, '%Y-%m-%d') AS month, 'a OR b' AS terms FROM orders o JOIN w
   ON {0}"""
-TERMS = F.array_join(F.array(F.lit("a"), F.lit("b")), " OR ")
+def _terms():
+    return F.array_join(F.array(F.lit("a"), F.lit("b")), " OR ")
 
 
 def _windows(s, d, overlap):
     months = series.windows_of(F.col("o_orderdate"), overlap)
-    rows = v.table(s, d, "orders").select("o_orderkey", F.explode(months).alias("month"), TERMS.alias("terms"))
+    rows = v.table(s, d, "orders").select("o_orderkey", F.explode(months).alias("month"), _terms().alias("terms"))
     return rows.withColumn("month", v.day_text("month"))
 
 

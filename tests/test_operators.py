@@ -194,6 +194,10 @@ def test_intraday_activity(comments, authors):
     assert [tuple(r) for r in first] == [(datetime(2016, 4, 1, 3, 0), 1, 1), (datetime(2016, 4, 1, 3, 5), 1, 0)]
 
 
+def test_intraday_start_off_the_step(comments, authors):
+    assert act.intraday_series(comments, authors, ["Ann"], datetime(2016, 4, 1, 3, 2)).isEmpty()
+
+
 def test_cohort_vs_rest(spark, comments, authors):
     pairs = spark.createDataFrame([("Ann", "Bob", 5), ("Cid", "Eve", 9)], "author_name STRING, liker_name STRING, like_count LONG")
     got = act.cohort_vs_rest(comments, authors, pairs, ["Bob"], date(2016, 4, 1), date(2016, 4, 5)).collect()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from commentlens.llm import mixing, sql
+from commentlens.llm import decontam, linedup, mixing, sql
 from commentlens.llm.shared import table
 
 
@@ -14,6 +14,20 @@ def op1_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_site_spread(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the lines that three or more sources share."""
+    cleaned = linedup.remove_spread_lines(table(spark, folder, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", "text")
+
+
+def op8_suffix_arrays(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that lie in a window of a benchmark item."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return decontam.judged(decontam.matches(documents, table(spark, folder, "benchmark"), keep_text=False))
+
+
 ENTRIES = {
     "op1_source_mix": (op1_source_mix, sql.SOURCE_MIX),
+    "op7_site_spread": (op7_site_spread, sql.SITE_SPREAD),
+    "op8_suffix_arrays": (op8_suffix_arrays, sql.BENCHMARK_WINDOWS),
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from commentlens.llm import mixing
+from commentlens.llm import decontam, linedup, mixing
 
 SOURCE_MIX = f"""
 WITH sized AS (
@@ -89,3 +89,50 @@ FROM befores GROUP BY doc_id, draw, stop, size, source_size, target, code, shard
 UNION ALL
 SELECT doc_id, size, source_size, target, CAST(0 AS BIGINT) AS taken FROM dealt WHERE size = 0
 """
+
+SITE_SPREAD = f"""
+WITH rows AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS doc, source, text,
+         string_split(text, chr(10)) AS parts FROM documents),
+lines AS (SELECT r, doc, source, unnest(parts) AS line, generate_subscripts(parts, 1) AS place FROM rows WHERE text IS NOT NULL),
+judged AS (SELECT * FROM lines WHERE len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) >= {linedup.LEAST_WORDS}),
+spread AS (
+  SELECT line, min((doc, place)) AS first FROM judged GROUP BY line
+  HAVING count(DISTINCT coalesce('=' || source, '')) >= {linedup.LEAST_SITES}),
+gone AS (SELECT j.r, j.place FROM judged j JOIN spread s ON j.line = s.line WHERE (j.doc, j.place) <> s.first),
+kept AS (
+  SELECT l.r, string_agg(l.line, chr(10) ORDER BY l.place) AS text, count(*) AS n
+  FROM lines l LEFT JOIN gone g ON g.r = l.r AND g.place = l.place WHERE g.r IS NULL GROUP BY l.r)
+SELECT rows.doc_id, coalesce(len(parts), 0) AS n_lines, coalesce(len(parts), 0) - coalesce(kept.n, 0) AS n_removed,
+       CASE WHEN rows.text IS NOT NULL THEN coalesce(kept.text, '') END AS text
+FROM rows LEFT JOIN kept ON kept.r = rows.r
+"""
+
+_ITEM_WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+BENCHMARK_WINDOWS = f"""
+WITH rows AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_ITEM_WORD}') AS w
+  FROM documents),
+items AS (
+  SELECT DISTINCT coalesce(CAST(item_id AS VARCHAR), 'null') AS item,
+         regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_ITEM_WORD}') AS w FROM benchmark),
+sized AS (SELECT item, w, least(len(w), {decontam.WINDOW}) AS k FROM items WHERE len(w) > 0),
+windows AS (
+  SELECT DISTINCT item, k, array_to_string(w[i : i + k - 1], ' ') AS window
+  FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM sized)),
+ks AS (SELECT DISTINCT k FROM windows),
+places AS (
+  SELECT r, k, i, array_to_string(w[i : i + k - 1], ' ') AS window
+  FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM rows, ks WHERE len(w) >= k)),
+found AS (SELECT p.r, p.i, p.k, x.item FROM places p JOIN windows x ON p.k = x.k AND p.window = x.window),
+hit AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest(range(i, i + k)) AS j FROM found) GROUP BY r),
+named AS (
+  SELECT r, count(*) AS n, sha256(string_agg(item, ',' ORDER BY item)) AS names
+  FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
+       coalesce(names, sha256('')) AS items_sha256,
+       coalesce(hit.n, 0) > 0 AND {decontam.SHARE} * coalesce(hit.n, 0) >= len(w) AS contaminated
+FROM rows LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+"""

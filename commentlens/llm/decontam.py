@@ -170,8 +170,8 @@ def _search(shard: list[np.ndarray], items: Items) -> list[tuple]:
     longest = {int(in_doc[i]): i for i in reach if best[i]}
     order = np.lexsort((start, doc))
     doc, start, length, name = doc[order], start[order], length[order], name[order]
-    cuts = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else []
-    for a, b in zip(cuts, [*cuts[1:], len(doc)], strict=True):
+    cuts = np.flatnonzero(np.append(doc[1:] != doc[:-1], True)[: len(doc)]) + 1
+    for a, b in zip([0, *cuts[:-1]], cuts, strict=len(cuts) > 0):
         d = int(doc[a])
         found[d] = (merged(start[a:b], start[a:b] + length[a:b]), sorted({items.names[i] for i in np.unique(name[a:b])}), 0, None, None)
     for d, i in longest.items():

@@ -38,3 +38,13 @@ def by_value(module_name: str) -> None:
 
 def digest(values: Iterator[str]) -> str:
     return hashlib.sha256(",".join(values).encode()).hexdigest()
+
+
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in batches of a thousand rows at most, as they may be long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from commentlens.llm import decontam, linedup, mixing, sql
-from commentlens.llm.shared import table
+from commentlens.llm import decontam, linedup, mixing, sql, toxicity
+from commentlens.llm.shared import by_value, table
+
+by_value(__name__)
 
 
 def op1_source_mix(spark: SparkSession, folder: str) -> DataFrame:
@@ -26,8 +29,21 @@ def op8_suffix_arrays(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.judged(decontam.matches(documents, table(spark, folder, "benchmark"), keep_text=False))
 
 
+def op10_subword_bags(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document; rows of fold 0 of 5 are never learned from."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    found = toxicity.scored(documents, table(spark, folder, "labels"), keep_text=False)
+    return found.select(
+        "doc_id",
+        (toxicity.fold("doc_id") == 0).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 ENTRIES = {
     "op1_source_mix": (op1_source_mix, sql.SOURCE_MIX),
     "op7_site_spread": (op7_site_spread, sql.SITE_SPREAD),
     "op8_suffix_arrays": (op8_suffix_arrays, sql.BENCHMARK_WINDOWS),
+    "op10_subword_bags": (op10_subword_bags, None),
 }

@@ -2,14 +2,17 @@
 
 A word's vector is the mean of the vectors of its character n-grams and of the
 word itself, all hashed to a fixed number of buckets, so a misspelling shares
-most of its vector with the word it hides. A text's vector is the mean over its
-words, and a linear softmax over two classes scores it. Vectors and softmax are
-trained together, in numpy, on a bounded sample of labelled texts; the trained
-model is a fixed-size table, and every text is scored where it lies.
+most of its vector with the word it hides. A window of 25 words has the mean
+vector of its distinct words, and a linear softmax over two classes scores it;
+a text scores as its worst window, since a few words in a long text are enough.
+Vectors and softmax are trained together, in numpy, on a bounded sample of
+labelled texts; the trained model is a table of fixed size, and every text is
+scored where it lies.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -25,21 +28,25 @@ from commentlens.llm.shared import small_batches
 BUCKETS = 1 << 16
 GRAMS = (3, 4, 5)
 DIMENSIONS = 4
-TRAIN_ROWS = 3000
-WORD_ROWS = 5
-EPOCHS = 20
-BATCH = 100
-RATE = 0.1
-DECAY = 1e-5
+WINDOW = 25
+SCALE = 10.0
+TRAIN_ROWS = 6000
+WORD_WINDOWS = 3
+WARM_EPOCHS = 3
+EPOCHS = 12
+BATCH = 200
+RATE = 0.02
 SEED = 7
 FOLDS = 5
 KNOWN_WORDS = 200_000
+# Fixed value: punctuation that is cut from both ends of a word.
 _EDGES = ".,;:!?\"'()[]{}<>|#*$%&~^=+_-/"
 
 
-def tokens(text: str | None) -> Counter:
-    """Counts of the lower-cased words of a whole text, without punctuation at their edges."""
-    return Counter() if text is None else Counter(text.lower().split())
+def windows(text: str | None) -> list[set[str]]:
+    """Distinct lower-cased words of every window of a whole text; one empty window for none."""
+    found = [] if text is None else text.lower().split()
+    return [set(found[i : i + WINDOW]) for i in range(0, len(found), WINDOW)] or [set()]
 
 
 def buckets(word: str) -> list[int]:
@@ -85,60 +92,74 @@ def _sums(values: np.ndarray, keys: np.ndarray, n: int) -> np.ndarray:
     return np.stack([np.bincount(keys, values[:, d], n) for d in range(values.shape[1])], axis=1)
 
 
-def fit(texts: list[str | None], labels: list[int], shares: tuple[float, float] = (1.0, 1.0)) -> Model:
-    """Train vectors and softmax together, by Adam over shuffled batches.
+def _spans(starts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Entries of the given rows of a ragged list, and the place of each entry's row among them."""
+    n = starts[rows + 1] - starts[rows]
+    return np.repeat(starts[rows] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum()), np.repeat(np.arange(len(rows)), n)
 
-    ``shares`` are the parts of the classes 0 and 1 that the sample holds; each
-    row weighs the inverse, so scores keep the classes' true proportion. Words
-    of fewer than ``WORD_ROWS`` rows teach nothing general and are left out of
-    the training, as are the buckets that no other word has. With no rows, or
-    with one class only, the model scores that class everywhere.
+
+def fit(texts: list[str | None], labels: list[int]) -> Model:
+    """Train vectors and softmax together, by Adam over shuffled batches of windows.
+
+    The first ``WARM_EPOCHS`` give every window its text's label; the others
+    train each text's worst window of the moment only, which is what scores
+    it. Both classes weigh the same. Words of fewer than ``WORD_WINDOWS`` windows are left out of the
+    training, and buckets that no other word has score 0. With no rows, or with
+    one class only, the model scores that class everywhere.
     """
     ones = sum(labels)
     if not labels or ones in (0, len(labels)):
         return Model(np.zeros(BUCKETS), 0.0 if not labels else (6.0 if ones else -6.0))
-    counts = [tokens(t) for t in texts]
-    rows_of = Counter(w for c in counts for w in c)
-    index = {w: i for i, w in enumerate(sorted(w for w, n in rows_of.items() if n >= WORD_ROWS))}
-    flat, owner = _ragged([buckets(w) for w in index])
-    used, slot = np.unique(flat, return_inverse=True)
-    width = np.bincount(owner, minlength=len(index))[:, None]
-    words, doc = _ragged([[index[w] for w in c if w in index] for c in counts])
-    seen = np.fromiter((n for c in counts for w, n in c.items() if w in index), float, len(words))
-    share = seen / np.array([max(sum(c.values()), 1) for c in counts])[doc]
-    first_word = np.searchsorted(doc, np.arange(len(counts) + 1))
+    parts = [windows(t) for t in texts]
+    text_of = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+    bags = [w for p in parts for w in p]
+    often = Counter(w for bag in bags for w in bag)
+    index = {w: i for i, w in enumerate(sorted(w for w, n in often.items() if n >= WORD_WINDOWS))}
+    grams, _ = lists = _ragged([buckets(w) for w in index])
+    used, slot = np.unique(grams, return_inverse=True)
+    word_starts = np.searchsorted(lists[1], np.arange(len(index) + 1))
+    words, bag_of = _ragged([sorted(index[w] for w in bag if w in index) for bag in bags])
+    bag_starts = np.searchsorted(bag_of, np.arange(len(bags) + 1))
+    width = np.maximum(np.diff(word_starts), 1)[:, None]
+    share = SCALE / WINDOW
     random = np.random.default_rng(SEED)
     params = [random.normal(0, 0.1, (len(used), DIMENSIONS)), random.normal(0, 0.1, (DIMENSIONS, 2)), np.zeros(2)]
     vectors, softmax, bias = params
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
-    y = np.array(labels)
-    importance = np.where(y == 1, 1 / shares[1], 1 / shares[0])
-    importance = importance / importance.mean()
+    y = np.array(labels)[text_of]
+    weight = np.where(y == 1, len(labels) / (2 * ones), len(labels) / (2 * (len(labels) - ones)))
     step = 0
-    for epoch in range(EPOCHS):
-        order = random.permutation(len(counts))
+    for epoch in range(WARM_EPOCHS + EPOCHS):
+        order = random.permutation(len(bags))
+        if epoch >= WARM_EPOCHS:
+            of_word = np.bincount(lists[1], (vectors @ (softmax[:, 1] - softmax[:, 0]))[slot], len(index)) / width[:, 0]
+            scores = np.bincount(bag_of, of_word[words], len(bags))
+            by_score = order[np.lexsort((scores[order], text_of[order]))]
+            worst = by_score[np.append(np.diff(text_of[by_score]) != 0, True)]
+            order = random.permutation(worst)
         for start in range(0, len(order), BATCH):
             rows = order[start : start + BATCH]
-            at = np.concatenate([np.arange(first_word[r], first_word[r + 1]) for r in rows])
-            own = np.repeat(np.arange(len(rows)), first_word[rows + 1] - first_word[rows])
-            word_vectors = _sums(vectors[slot], owner, len(index)) / width
-            hidden = _sums(word_vectors[words[at]] * share[at, None], own, len(rows))
+            at, own = _spans(bag_starts, rows)
+            kinds, kind = np.unique(words[at], return_inverse=True)
+            entries, owner = _spans(word_starts, kinds)
+            bucket = slot[entries]
+            word_vectors = _sums(vectors[bucket], owner, len(kinds)) / width[kinds]
+            hidden = _sums(word_vectors[kind] * share, own, len(rows))
             logits = hidden @ softmax + bias
             odds = np.exp(logits - logits.max(axis=1, keepdims=True))
             error = odds / odds.sum(axis=1, keepdims=True)
             error[np.arange(len(rows)), y[rows]] -= 1
-            error *= importance[rows][:, None] / len(rows)
-            word_back = _sums((error @ softmax.T)[own] * share[at, None], words[at], len(index)) / width
-            grads = [_sums(word_back[owner], slot, len(used)), hidden.T @ error, error.sum(axis=0)]
+            error *= weight[rows][:, None] / len(rows)
+            word_back = _sums((error @ softmax.T)[own] * share, kind, len(kinds)) / width[kinds]
+            grads = [_sums(word_back[owner], bucket, len(used)), hidden.T @ error, error.sum(axis=0)]
             step += 1
-            rate = RATE * (1 - epoch / EPOCHS) * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
+            rate = RATE * (1 - epoch / (WARM_EPOCHS + EPOCHS)) * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
             for param, grad, (first, second) in zip(params, grads, moments, strict=True):
-                grad = grad + DECAY * param
-                first[:] = 0.9 * first + 0.1 * grad
-                second[:] = 0.999 * second + 0.001 * grad * grad
+                first += 0.1 * (grad - first)
+                second += 0.001 * (grad * grad - second)
                 param -= rate * first / (np.sqrt(second) + 1e-8)
     weights = np.zeros(BUCKETS)
-    weights[used] = vectors @ (softmax[:, 1] - softmax[:, 0])
+    weights[used] = vectors @ (softmax[:, 1] - softmax[:, 0]) * share
     return Model(weights, float(bias[1] - bias[0]))
 
 
@@ -150,7 +171,7 @@ def training_rows(
     doc_id: str = "doc_id",
     text: str = "text",
     label: str = "toxic",
-) -> tuple[list[str | None], list[int], tuple[float, float]]:
+) -> tuple[list[str | None], list[int]]:
     """Texts and labels of about ``most`` rows at most, half of each class if it has so many.
 
     Rows of fold 0 are never read. A document labelled more than once is toxic
@@ -176,7 +197,7 @@ def training_rows(
         .collect()
     )
     rows = sorted(rows, key=lambda r: r["labelled"])
-    return [r["body"] for r in rows], [r["label"] for r in rows], (share[0], share[1])
+    return [r["body"] for r in rows], [r["label"] for r in rows]
 
 
 def fold(doc_id: str, folds: int = FOLDS) -> F.Column:
@@ -191,12 +212,8 @@ def _scorer(shared, text: str, out: list[str]):
         for batch in batches:
             scores = []
             for value in batch.column(text).to_pylist():
-                found = tokens(value)
-                total = sum(found.values())
-                logit = model.bias
-                if total:
-                    logit += sum(n * known[w] for w, n in found.items()) / total
-                scores.append(1 / (1 + np.exp(-min(max(logit, -30.0), 30.0))))
+                worst = max(sum(map(known.__getitem__, bag)) for bag in windows(value)) + model.bias
+                scores.append(1 / (1 + math.exp(-min(max(worst, -30.0), 30.0))))
             columns = {name: batch.column(name) for name in batch.schema.names} | {"toxicity": pa.array(scores, pa.float64())}
             yield pa.RecordBatch.from_arrays([columns[c] for c in out], names=out)
 
@@ -214,8 +231,8 @@ def scored(
     """
     spark = documents.sparkSession
     small_batches(spark)
-    texts, marks, shares = training_rows(documents, labels, doc_id=doc_id, text=text, label=label, **training)
-    shared = spark.sparkContext.broadcast(fit(texts, marks, shares))
+    rows = training_rows(documents, labels, doc_id=doc_id, text=text, label=label, **training)
+    shared = spark.sparkContext.broadcast(fit(*rows))
     frame = documents.withColumn("toxicity", F.lit(0.0))
     out = frame if keep_text else frame.drop(text)
     return frame.mapInArrow(_scorer(shared, text, out.columns), out.schema)

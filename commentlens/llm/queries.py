@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commentlens.llm import decontam, linedup, mixing, sql, toxicity
+from commentlens.llm import decontam, linedup, mixing, ngramjoin, sql, toxicity
 from commentlens.llm.shared import by_value, table
 
 by_value(__name__)
@@ -41,9 +41,16 @@ def op10_subword_bags(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_count_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Shingle set size and component of every document, linked at a Jaccard of 0.75."""
+    found = ngramjoin.near_copies(table(spark, folder, "documents"))
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
 ENTRIES = {
     "op1_source_mix": (op1_source_mix, sql.SOURCE_MIX),
     "op7_site_spread": (op7_site_spread, sql.SITE_SPREAD),
     "op8_suffix_arrays": (op8_suffix_arrays, sql.BENCHMARK_WINDOWS),
+    "op9_count_vectors": (op9_count_vectors, None),
     "op10_subword_bags": (op10_subword_bags, None),
 }

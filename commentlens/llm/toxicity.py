@@ -207,7 +207,7 @@ def fold(doc_id: str, folds: int = FOLDS) -> F.Column:
 
 def _scorer(shared, text: str, out: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = Model(*shared.value)
         known = _Words(model)
         for batch in batches:
             scores = []
@@ -232,7 +232,8 @@ def scored(
     spark = documents.sparkSession
     small_batches(spark)
     rows = training_rows(documents, labels, doc_id=doc_id, text=text, label=label, **training)
-    shared = spark.sparkContext.broadcast(fit(*rows))
+    model = fit(*rows)
+    shared = spark.sparkContext.broadcast((model.weights, model.bias))
     frame = documents.withColumn("toxicity", F.lit(0.0))
     out = frame if keep_text else frame.drop(text)
     return frame.mapInArrow(_scorer(shared, text, out.columns), out.schema)

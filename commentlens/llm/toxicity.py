@@ -38,7 +38,7 @@ BATCH = 200
 RATE = 0.02
 SEED = 7
 FOLDS = 5
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 400_000
 # Fixed value: punctuation that is cut from both ends of a word.
 _EDGES = ".,;:!?\"'()[]{}<>|#*$%&~^=+_-/"
 
@@ -49,11 +49,14 @@ def windows(text: str | None) -> list[set[str]]:
     return [set(found[i : i + WINDOW]) for i in range(0, len(found), WINDOW)] or [set()]
 
 
-def buckets(word: str) -> list[int]:
-    """Buckets of a word and of its character n-grams."""
+def grams(word: str) -> list[str]:
+    """A word and its character n-grams, with marks at its ends."""
     marked = f"<{word.strip(_EDGES)}>"
-    found = [marked, *(marked[i : i + n] for n in GRAMS for i in range(len(marked) - n + 1))]
-    return [zlib.crc32(g.encode("utf-8", "surrogatepass")) & (BUCKETS - 1) for g in found]
+    return [marked, *(marked[i : i + n] for n in GRAMS for i in range(len(marked) - n + 1))]
+
+
+def bucket(gram: str) -> int:
+    return zlib.crc32(gram.encode("utf-8", "surrogatepass")) & (BUCKETS - 1)
 
 
 @dataclass
@@ -63,21 +66,33 @@ class Model:
     weights: np.ndarray
     bias: float
 
-    def word(self, word: str) -> float:
-        return float(self.weights[buckets(word)].mean())
+
+class _Grams(dict):
+    """Scores of n-grams, kept for a bounded number."""
+
+    def __init__(self, model: Model) -> None:
+        super().__init__()
+        self.weights = model.weights.tolist()
+
+    def __missing__(self, gram: str) -> float:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        value = self[gram] = self.weights[bucket(gram)]
+        return value
 
 
-class _Words(dict):
-    """Word scores, kept for a bounded number of words."""
+class Words(dict):
+    """Scores of words, the mean of their n-grams', kept for a bounded number."""
 
     def __init__(self, model: Model) -> None:
         super().__init__()
-        self.model = model
+        self.grams = _Grams(model)
 
     def __missing__(self, word: str) -> float:
         if len(self) >= KNOWN_WORDS:
             self.clear()
-        value = self[word] = self.model.word(word)
+        found = grams(word)
+        value = self[word] = sum(map(self.grams.__getitem__, found)) / len(found)
         return value
 
 
@@ -110,16 +125,19 @@ def fit(texts: list[str | None], labels: list[int]) -> Model:
     ones = sum(labels)
     if not labels or ones in (0, len(labels)):
         return Model(np.zeros(BUCKETS), 0.0 if not labels else (6.0 if ones else -6.0))
-    parts = [windows(t) for t in texts]
-    text_of = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-    bags = [w for p in parts for w in p]
-    often = Counter(w for bag in bags for w in bag)
+    often: Counter = Counter()
+    for text in texts:
+        for bag in windows(text):
+            often.update(bag)
     index = {w: i for i, w in enumerate(sorted(w for w, n in often.items() if n >= WORD_WINDOWS))}
-    grams, _ = lists = _ragged([buckets(w) for w in index])
-    used, slot = np.unique(grams, return_inverse=True)
+    del often
+    lists = _ragged([[bucket(g) for g in grams(w)] for w in index])
+    used, slot = np.unique(lists[0], return_inverse=True)
     word_starts = np.searchsorted(lists[1], np.arange(len(index) + 1))
-    words, bag_of = _ragged([sorted(index[w] for w in bag if w in index) for bag in bags])
-    bag_starts = np.searchsorted(bag_of, np.arange(len(bags) + 1))
+    bags = [np.array(sorted(index[w] for w in bag if w in index), np.int32) for text in texts for bag in windows(text)]
+    text_of = np.repeat(np.arange(len(texts)), [max(1, -(-len((t or "").split()) // WINDOW)) for t in texts])
+    bag_starts = np.cumsum([0, *map(len, bags)])
+    words, bag_of = np.concatenate(bags), np.repeat(np.arange(len(bags)), np.diff(bag_starts))
     width = np.maximum(np.diff(word_starts), 1)[:, None]
     share = SCALE / WINDOW
     random = np.random.default_rng(SEED)
@@ -142,8 +160,8 @@ def fit(texts: list[str | None], labels: list[int]) -> Model:
             at, own = _spans(bag_starts, rows)
             kinds, kind = np.unique(words[at], return_inverse=True)
             entries, owner = _spans(word_starts, kinds)
-            bucket = slot[entries]
-            word_vectors = _sums(vectors[bucket], owner, len(kinds)) / width[kinds]
+            held = slot[entries]
+            word_vectors = _sums(vectors[held], owner, len(kinds)) / width[kinds]
             hidden = _sums(word_vectors[kind] * share, own, len(rows))
             logits = hidden @ softmax + bias
             odds = np.exp(logits - logits.max(axis=1, keepdims=True))
@@ -151,7 +169,7 @@ def fit(texts: list[str | None], labels: list[int]) -> Model:
             error[np.arange(len(rows)), y[rows]] -= 1
             error *= weight[rows][:, None] / len(rows)
             word_back = _sums((error @ softmax.T)[own] * share, kind, len(kinds)) / width[kinds]
-            grads = [_sums(word_back[owner], bucket, len(used)), hidden.T @ error, error.sum(axis=0)]
+            grads = [_sums(word_back[owner], held, len(used)), hidden.T @ error, error.sum(axis=0)]
             step += 1
             rate = RATE * (1 - epoch / (WARM_EPOCHS + EPOCHS)) * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
             for param, grad, (first, second) in zip(params, grads, moments, strict=True):
@@ -208,7 +226,7 @@ def fold(doc_id: str, folds: int = FOLDS) -> F.Column:
 def _scorer(shared, text: str, out: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*shared.value)
-        known = _Words(model)
+        known = Words(model)
         for batch in batches:
             scores = []
             for value in batch.column(text).to_pylist():

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from commentlens.llm.shared import small_batches
 
 WORD_BITS = 18
-PAIR_BITS = 21
+PAIR_BITS = 20
 PRIOR = 100.0
 KNOWN_WORDS = 500_000
 
@@ -72,10 +72,10 @@ def counts(documents: DataFrame, labels: DataFrame, doc_id: str, text: str, labe
         good.withColumn("good", F.lit(True)), F.col("_doc") == F.col("_id"), "left"
     )
     rows = marked.select("text", "good").mapInArrow(_counter("text", "good"), "bucket long, all long, good long")
-    summed = rows.groupBy("bucket").agg(F.sum("all").alias("all"), F.sum("good").alias("good")).toPandas()
+    summed = rows.groupBy("bucket").agg(F.sum("all").alias("all"), F.sum("good").alias("good")).toArrow()
     table = np.zeros((2, (1 << PAIR_BITS) + (1 << WORD_BITS)), np.int64)
-    place = summed["bucket"].to_numpy(np.int64)
-    table[0, place], table[1, place] = summed["all"], summed["good"]
+    place = summed["bucket"].to_numpy()
+    table[0, place], table[1, place] = summed["all"].to_numpy(), summed["good"].to_numpy()
     return table
 
 

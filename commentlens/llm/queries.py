@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commentlens.llm import decontam, linedup, mixing, ngramjoin, sql, toxicity
+from commentlens.llm import chat, decontam, htmltext, linedup, lmscore, mixing, ngramjoin, qualitybayes, qualityrules, sql, toxicity
 from commentlens.llm.shared import by_value, table
 
 by_value(__name__)
@@ -47,8 +47,42 @@ def op9_count_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
+def op2_page_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return htmltext.extract(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op3_chat_collapse(spark: SparkSession, folder: str) -> DataFrame:
+    """Rendered conversations that prefix no longer one."""
+    return chat.chats(table(spark, folder, "conversations"))
+
+
+def op4_site_posteriors(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document from its own evidence and that of its source and language section."""
+    return qualitybayes.posteriors(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op5_divergence_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality counts of every document and the verdict of its divergence from its language."""
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    found = qualityrules.judged(documents, keep_text=False)
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return found.select(*columns, "class_distance", "word_distance")
+
+
+def op6_entropy_difference(spark: SparkSession, folder: str) -> DataFrame:
+    """Loss per word of every document under good documents' bigrams less that under all documents'."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return lmscore.scored(documents, table(spark, folder, "labels"), keep_text=False)
+
+
 ENTRIES = {
     "op1_source_mix": (op1_source_mix, sql.SOURCE_MIX),
+    "op2_page_text": (op2_page_text, None),
+    "op3_chat_collapse": (op3_chat_collapse, sql.CHATS),
+    "op4_site_posteriors": (op4_site_posteriors, None),
+    "op5_divergence_rules": (op5_divergence_rules, None),
+    "op6_entropy_difference": (op6_entropy_difference, None),
     "op7_site_spread": (op7_site_spread, sql.SITE_SPREAD),
     "op8_suffix_arrays": (op8_suffix_arrays, sql.BENCHMARK_WINDOWS),
     "op9_count_vectors": (op9_count_vectors, None),

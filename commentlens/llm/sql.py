@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from commentlens.llm import decontam, linedup, mixing
+from commentlens.llm import chat, decontam, linedup, mixing
 
 SOURCE_MIX = f"""
 WITH sized AS (
@@ -136,3 +136,24 @@ SELECT doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(named.n,
        coalesce(hit.n, 0) > 0 AND {decontam.SHARE} * coalesce(hit.n, 0) >= len(w) AS contaminated
 FROM rows LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
 """
+
+CHATS = f"""
+WITH turns AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS place
+  FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations)),
+hashed AS (
+  SELECT conv_id, turn, role, text, place,
+         string_agg(md5(coalesce('=' || role, '') || chr(0) || coalesce('=' || text, '')), '/') OVER (
+           PARTITION BY conv_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS prefix
+  FROM turns),
+whole AS (SELECT conv_id, max(place) AS n, max_by(prefix, place) AS prefix FROM hashed GROUP BY conv_id),
+snapshots AS (
+  SELECT DISTINCT w.conv_id FROM whole w JOIN hashed h ON h.place = w.n AND h.prefix = w.prefix AND h.conv_id IS DISTINCT FROM w.conv_id
+  JOIN whole o ON o.conv_id IS NOT DISTINCT FROM h.conv_id
+  WHERE o.n > w.n OR coalesce('=' || CAST(o.conv_id AS VARCHAR), '') < coalesce('=' || CAST(w.conv_id AS VARCHAR), ''))
+SELECT conv_id, (place - 1) // {chat.STRETCH} AS part, count(*) AS n_turns,
+       string_agg('<|im_start|>' || coalesce(role, 'unknown') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), ''
+         ORDER BY place) AS text
+FROM turns WHERE NOT EXISTS (SELECT 1 FROM snapshots s WHERE s.conv_id IS NOT DISTINCT FROM turns.conv_id)
+GROUP BY conv_id, (place - 1) // {chat.STRETCH}
+"""

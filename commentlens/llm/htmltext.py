@@ -184,14 +184,15 @@ def spread_labels(labels: list[bool | None], otherwise: bool) -> list[bool]:
 def main_text(page: str | None) -> str:
     """Main text of a whole page; empty if none.
 
-    Where the page marks an article, only its blocks can be text.
+    Where the page marks an article, only its blocks can be text. If no block
+    passes, as in a language without known stop words, all but lists of links do.
     """
     blocks = cut(page)
     inside = [b for b in blocks if b.main]
     blocks = inside or blocks
     labels = spread_labels([first_label(b) for b in blocks], otherwise=True)
-    if inside and not any(labels):
-        labels = [first_label(b) is None for b in blocks]
+    if not any(labels):
+        labels = [b.linked <= MOST_LINKS * len(b.text.replace(" ", "")) for b in blocks]
     return "\n".join(b.text for b, label in zip(blocks, labels, strict=True) if label)
 
 

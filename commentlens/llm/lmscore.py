@@ -123,7 +123,8 @@ def scored(
     small_batches(spark)
     table = counts(documents, labels, doc_id, text, label)
     shared = spark.sparkContext.broadcast(table.astype(np.float32))
-    full = documents.withColumn("n_words", F.lit(0).cast("long")).withColumn("target_loss", F.lit(0.0)).withColumn("background_loss", F.lit(0.0))
+    full = documents.withColumn("n_words", F.lit(0).cast("long"))
+    full = full.withColumns({c: F.lit(None).cast("double") for c in ("target_loss", "background_loss")})
     out = full if keep_text else full.drop(text)
     found = full.mapInArrow(_scorer(shared, text, out.columns), out.schema)
     return found.withColumn("difference", F.col("target_loss") - F.col("background_loss"))

@@ -211,7 +211,7 @@ def judged(
         full = base if blocks == 1 else base.where(block("_lang") == k)
         for name in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"):
             full = full.withColumn(name, F.lit(0).cast("long"))
-        full = full.withColumn("class_distance", F.lit(0.0)).withColumn("word_distance", F.lit(0.0))
+        full = full.withColumns({c: F.lit(None).cast("double") for c in ("class_distance", "word_distance")})
         out = full.drop("_lang") if keep_text else full.drop("_lang", text)
         frames.append(full.mapInArrow(_measurer(shared, text, "_lang", out.columns), out.schema))
     found = frames[0]

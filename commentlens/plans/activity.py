@@ -74,6 +74,8 @@ def intraday_series(
     one comment in the range appear, so the counts themselves say who is there.
     """
     base = clock.epoch_of(start) - 3600 * offset_hours
+    if base % step_seconds:
+        raise ValueError(f"start must lie on a step of {step_seconds} seconds, as times are floored to such steps")
     inside = clock.in_range("createdAt", base, base + 3600 * hours + step_seconds)
     known = authors.where(F.col("displayName").isin(names))
     slot = clock.wall_clock(clock.floor_seconds("createdAt", step_seconds), offset_hours=offset_hours)
@@ -82,8 +84,6 @@ def intraday_series(
         .groupBy("author_name", slot.alias("slot"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    if base % step_seconds:  # floored times never meet the slots of such a start
-        counted = counted.where(F.lit(False))
     return densify(counted, "author_name", "slot", "n", steps(start, hours, step_seconds), F.lit(True))
 
 

@@ -16,19 +16,30 @@ from commentlens.sources.tables import MissingTable, read_table
 
 
 def shape_comments(raw: DataFrame, *carry: str) -> DataFrame:
-    """Comment facts: missing ids become -1, rows without an author are dropped."""
+    """Comment facts: missing parents become -1, rows without an author are dropped.
+
+    A comment without an id gets a negative one from its other columns, so
+    different comments stay apart and a repeated load finds them again.
+    """
 
     def number(name: str) -> Column:
         return F.coalesce(F.col(name).cast("long"), F.lit(-1)).alias(name)
 
+    own = own_key("ancestorId", "parentId", "authorId", "createdAt", "ft_id")
     return raw.where(F.col("authorId").isNotNull()).select(
-        number("ancestorId"), "authorId", "createdAt", "ft_id", number("id"), number("parentId"), *carry
+        number("ancestorId"), "authorId", "createdAt", "ft_id", F.coalesce(F.col("id").cast("long"), own).alias("id"), number("parentId"), *carry
     )
 
 
+def own_key(*columns: str) -> Column:
+    """A negative key below -1 made of a row's columns."""
+    return -2 - F.pmod(F.xxhash64(*columns), F.lit(1 << 62))
+
+
 def shape_text(raw: DataFrame, *carry: str) -> DataFrame:
-    """Bodies without tags; rows without a body are dropped."""
-    return raw.where(F.col("bodyHtml").isNotNull()).select("id", strip_tags("bodyHtml").alias("bodyHtml"), *carry)
+    """Bodies without tags; rows without a body are dropped, those without an id get a key of their body."""
+    key = F.coalesce(F.col("id").cast("long"), own_key("bodyHtml")).alias("id")
+    return raw.where(F.col("bodyHtml").isNotNull()).select(key, strip_tags("bodyHtml").alias("bodyHtml"), *carry)
 
 
 def shape_titles(raw: DataFrame, *carry: str) -> DataFrame:
@@ -72,14 +83,20 @@ def shaped(raw: DataFrame, kind: str, order: list[str] | None = None) -> DataFra
 
 
 def new_rows(batch: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of a batch whose key is not stored yet.
+    """Rows of a batch whose key is not stored yet; a missing part of a key equals a missing one.
 
     The stored keys are first reduced to those the batch holds. When the batch
     is small that is a broadcast semi join, so a large table is scanned for its
     key columns only and never shuffled.
     """
-    known = stored.select(*keys).join(batch.select(*keys), keys, "left_semi")
-    return batch.join(known, keys, "left_anti")
+    known = _matching(stored.select(*keys), batch.select(*keys), keys, "left_semi")
+    return _matching(batch, known, keys, "left_anti")
+
+
+def _matching(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    other = right.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return left.join(other, same, how)
 
 
 def append_new(batch: DataFrame, root: str, kind: str) -> None:

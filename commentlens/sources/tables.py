@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 
+# Errors of a folder that isn't there or holds no files yet; any other is a fault.
+_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 class MissingTable(LookupError):
     """The table asked for does not exist."""
 
@@ -20,6 +24,8 @@ def read_table(spark: SparkSession, name: str, root: str | None = None) -> DataF
     try:
         return spark.read.parquet(f"{root}/{name}")
     except AnalysisException as error:
+        if error.getCondition() not in _ABSENT:
+            raise
         raise MissingTable(f"no table named {name} below {root}") from error
 
 

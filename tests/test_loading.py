@@ -182,3 +182,16 @@ def test_pages_expected_and_missing(spark):
     assert {tuple(r) for r in expected.collect()} == {("a", 0, "/p0"), ("a", 1, "/p1")}
     landed = spark.createDataFrame([("/p1",)], "url STRING")
     assert [tuple(r) for r in ns.missing_pages(expected, landed).collect()] == [("a", 0, "/p0")]
+
+
+def test_missing_keys_neither_lost_nor_repeated(spark, tmp_path):
+    rows = [
+        (None, None, None, "a", "one", 1, "x", "t", "['b']"),
+        (None, None, None, "b", "two", 2, "x", "t", "['b']"),
+        (None, None, None, "b", "two", 2, "x", "t", "['b']"),
+        (7, None, None, "c", "three", 3, None, "u", "['b', 'c']"),
+    ]
+    raw = spark.createDataFrame(rows, TABLES["raw_comments"])
+    for kind, n in (("comments", 3), ("text", 3), ("titles", 2), ("likes", 3)):
+        assert [ld.load(raw, str(tmp_path), kind) for _ in range(3)] == [n, 0, 0]
+        assert tb.read_table(spark, kind, str(tmp_path)).count() == n

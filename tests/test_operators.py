@@ -195,7 +195,8 @@ def test_intraday_activity(comments, authors):
 
 
 def test_intraday_start_off_the_step(comments, authors):
-    assert act.intraday_series(comments, authors, ["Ann"], datetime(2016, 4, 1, 3, 2)).isEmpty()
+    with pytest.raises(ValueError):
+        act.intraday_series(comments, authors, ["Ann"], datetime(2016, 4, 1, 3, 2))
 
 
 def test_cohort_vs_rest(spark, comments, authors):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 import zlib
@@ -339,6 +340,36 @@ def test_difference_prefers_the_target(spark, docs, none):
     assert lmscore.scored(none, labels).count() == 0
 
 
+def test_losses_equal_plain_counts(spark, docs, monkeypatch):
+    labels = spark.createDataFrame([(1, 1), (3, 1), (9, 0)], "doc_id long, quality int")
+    texts = [(r["doc_id"], (r["text"] or "").lower().split()) for r in docs.collect()]
+    models = []
+    for ids in ({1, 3}, {i for i, _ in texts}):
+        single, pair = Counter(), Counter()
+        for i, words in texts:
+            if i in ids:
+                single.update(words)
+                pair.update(zip(words, words[1:]))
+        models.append((single, pair, sum(single.values())))
+
+    def mean(words, model):
+        single, pair, total = model
+        loss = 0.0
+        for before, word in zip([None, *words], words):
+            base = (single[word] + 1) / (total + lmscore.UNSEEN)
+            seen = single[before] if before else 0
+            loss -= math.log2((pair[before, word] + lmscore.PRIOR * base) / (seen + lmscore.PRIOR))
+        return loss / len(words)
+
+    want = sorted((len(w), *(round(mean(w, m), 6) for m in models)) if w else (0,) for _, w in texts)
+    for chunk, part in ((250_000, 1_000_000), (50, 100)):
+        monkeypatch.setattr(lmscore, "CHUNK_WORDS", chunk)
+        monkeypatch.setattr(lmscore, "PART_WORDS", part)
+        found = lmscore.scored(docs, labels).collect()
+        got = sorted((r["n_words"], round(r["target_loss"], 6), round(r["background_loss"], 6)) if r["n_words"] else (0,) for r in found)
+        assert got == want
+
+
 # Pages
 
 

@@ -32,6 +32,9 @@ PRIOR = 100.0
 UNSEEN = 1e6
 KNOWN_WORDS = 500_000
 CHUNK_WORDS = 250_000
+GRAM_BITS = 48
+# Labelled documents that may be sent to every task.
+MOST_SENT = 1_000_000
 # Words of the corpus for each part of the model.
 PART_WORDS = 1_000_000
 
@@ -60,10 +63,11 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def grams(words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of every word and of every pair of a chunk; a text starts from a mark of its own."""
+    """48-bit hashes of every word and of every pair of a chunk; a text starts from a mark of its own."""
     before = np.concatenate([np.zeros(1, np.uint64), words])[: len(words)]
     before[starts] = 0
-    return _mixed(words), _mixed(before * np.uint64(0x9E3779B97F4A7C15) + _mixed(words))
+    pairs = _mixed(before * np.uint64(0x9E3779B97F4A7C15) + _mixed(words))
+    return _mixed(words) >> np.uint64(64 - GRAM_BITS), pairs >> np.uint64(64 - GRAM_BITS)
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -87,6 +91,7 @@ def _chunker(text: str, names: list[str]):
             columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in docs.columns]
             structs = pa.StructArray.from_arrays(columns, fields=list(docs.schema))
             flat = np.concatenate(held)
+            known_words, place = np.unique(flat, return_inverse=True)
             sizes = np.array([len(x) for x in held], np.int64)
             fine = np.array(good, bool)
             return pa.RecordBatch.from_arrays(
@@ -94,11 +99,12 @@ def _chunker(text: str, names: list[str]):
                     pa.ListArray.from_arrays(pa.array([0, len(structs)], pa.int32()), structs),
                     pa.array([sizes.tobytes()], pa.binary()),
                     pa.array([fine.tobytes()], pa.binary()),
-                    pa.array([flat.tobytes()], pa.binary()),
+                    pa.array([known_words.tobytes()], pa.binary()),
+                    pa.array([_planes(place.astype(np.uint32))], pa.binary()),
                     pa.array([len(flat)], pa.int64()),
                     pa.array([int(sizes[fine].sum())], pa.int64()),
                 ],
-                names=["docs", "sizes", "good", "words", "n_all", "n_good"],
+                names=["docs", "sizes", "good", "words", "places", "n_all", "n_good"],
             )
 
         for batch in batches:
@@ -120,9 +126,9 @@ def _chunker(text: str, names: list[str]):
     return run
 
 
-def _unpacked(sizes: bytes, words: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _unpacked(sizes: bytes, words: bytes, places: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Sizes of a chunk's documents, where those with words start, and its words' and pairs' hashes."""
-    size, word = np.frombuffer(sizes, np.int64), np.frombuffer(words, np.uint64)
+    size, word = np.frombuffer(sizes, np.int64), np.frombuffer(words, np.uint64)[_numbers(places, np.uint32)]
     starts = (np.cumsum(size) - size)[size > 0]
     return (size, starts, *grams(word, starts))
 
@@ -132,13 +138,14 @@ def _asker(bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, sizes, good, words in zip(*(batch.column(c).to_pylist() for c in ("chunk", "sizes", "good", "words")), strict=True):
-                size, _, singles, pairs = _unpacked(sizes, words)
+            columns = (batch.column(c).to_pylist() for c in ("chunk", "sizes", "good", "words", "places"))
+            for chunk, sizes, good, words, places in zip(*columns, strict=True):
+                size, _, singles, pairs = _unpacked(sizes, words, places)
                 fine = np.repeat(np.frombuffer(good, bool), size)
                 distinct, place = np.unique(np.concatenate([singles, pairs]), return_inverse=True)
                 seen = np.bincount(place, minlength=len(distinct)).astype(np.uint64)
                 liked = np.bincount(place[np.concatenate([fine, fine])], minlength=len(distinct)).astype(np.uint64)
-                part = (distinct >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(distinct), np.int64)
+                part = (distinct >> np.uint64(GRAM_BITS - bits)).astype(np.int64)
                 cuts = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.empty(0, np.int64)
                 spans = list(zip(cuts, [*cuts[1:], len(part)], strict=True)) if len(part) else []
                 yield pa.RecordBatch.from_arrays(
@@ -199,9 +206,9 @@ def _scorer(totals: tuple[int, int], names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("docs")
-            columns = (batch.column(c).to_pylist() for c in ("sizes", "words", "answers"))
-            for k, (sizes, words, answers) in enumerate(zip(*columns, strict=True)):
-                size, starts, singles, pairs = _unpacked(sizes, words)
+            columns = (batch.column(c).to_pylist() for c in ("sizes", "words", "places", "answers"))
+            for k, (sizes, words, places, answers) in enumerate(zip(*columns, strict=True)):
+                size, starts, singles, pairs = _unpacked(sizes, words, places)
                 _, place = np.unique(np.concatenate([singles, pairs]), return_inverse=True)
                 word, pair = place[: len(singles)], place[len(singles) :]
                 of = np.repeat(np.arange(len(size)), size)
@@ -233,7 +240,7 @@ def scored(
     the target knows nothing but its uniform base. Repeated rows count and
     score each for themselves; null ids are never labelled, ids labelled more
     than once are good if any label is. Columns that have the new names are
-    replaced; an empty table gives no rows. Grams are told apart by 64-bit
+    replaced; an empty table gives no rows. Grams are told apart by 48-bit
     hashes.
     """
     spark = documents.sparkSession
@@ -243,21 +250,24 @@ def scored(
     names = [c for c in kept.columns if keep_text or c != text]
     fields = kept.select(*names).schema
     good = labels.where(F.col(label) == 1).select(F.col(doc_id).alias("_lm_id")).where(F.col("_lm_id").isNotNull()).distinct()
+    # Few enough to send everywhere, or else both sides are shuffled.
+    good = once(good, "good")
+    good = F.broadcast(good) if good.count() <= MOST_SENT else good
     marked = kept.join(good.withColumn("_lm_good", F.lit(True)), F.col(doc_id) == F.col("_lm_id"), "left").drop("_lm_id")
     stretch = StructType().add("docs", ArrayType(fields))
-    for name in ("sizes", "good", "words"):
+    for name in ("sizes", "good", "words", "places"):
         stretch = stretch.add(name, BinaryType())
     stretches = marked.mapInArrow(_chunker(text, names), stretch.add("n_all", LongType()).add("n_good", LongType()))
     chunks = once(stretches.withColumn("chunk", F.monotonically_increasing_id()), "chunks")
     size = chunks.agg(F.coalesce(F.sum("n_all"), F.lit(0)).alias("n_all"), F.coalesce(F.sum("n_good"), F.lit(0)).alias("n_good")).first()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bits = int(np.ceil(np.log2(max(size["n_all"] / PART_WORDS, parts, 1))))
-    asked = chunks.select("chunk", "sizes", "good", "words").mapInArrow(
+    asked = chunks.select("chunk", "sizes", "good", "words", "places").mapInArrow(
         _asker(bits), "part long, chunk long, grams binary, seen binary, liked binary"
     )
     told = asked.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_teller, "part long, chunk long, seen binary, liked binary")
     answers = told.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("part", "seen", "liked"))).alias("answers"))
-    joined = chunks.select("chunk", "docs", "sizes", "words").join(answers, "chunk", "left").drop("chunk")
+    joined = chunks.select("chunk", "docs", "sizes", "words", "places").join(answers, "chunk", "left").drop("chunk")
     schema = StructType(list(fields)).add("n_words", "long").add("target_loss", "double").add("background_loss", "double")
     found = joined.mapInArrow(_scorer((size["n_good"], size["n_all"]), [*names, *added]), schema)
     return found.withColumn("difference", F.col("target_loss") - F.col("background_loss"))

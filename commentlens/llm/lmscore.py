@@ -50,9 +50,9 @@ class _Words(dict):
 
 
 def codes(text: str | None, known: _Words) -> np.ndarray:
-    """64-bit hashes of the words of a whole lower-cased text."""
+    """48-bit hashes of the words of a whole lower-cased text."""
     words = [] if text is None else text.lower().encode("utf-8", "surrogatepass").split()
-    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    return _mixed(np.fromiter(map(known.__getitem__, words), np.uint64, len(words))) >> np.uint64(64 - GRAM_BITS)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -71,13 +71,13 @@ def grams(words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _planes(x: np.ndarray) -> bytes:
-    """Numbers byte by byte, high bytes together, as most of these are zero and compress."""
-    return x.view(np.uint8).reshape(-1, x.dtype.itemsize).T.tobytes()
+    """Numbers byte by byte, high bytes together, as most of these are zero, and compressed."""
+    return zlib.compress(x.view(np.uint8).reshape(-1, x.dtype.itemsize).T.tobytes(), 1)
 
 
 def _numbers(planes: bytes, kind: type) -> np.ndarray:
     size = np.dtype(kind).itemsize
-    return np.frombuffer(planes, np.uint8).reshape(size, -1).T.copy().view(kind).ravel()
+    return np.frombuffer(zlib.decompress(planes), np.uint8).reshape(size, -1).T.copy().view(kind).ravel()
 
 
 def _chunker(text: str, names: list[str]):
@@ -99,7 +99,7 @@ def _chunker(text: str, names: list[str]):
                     pa.ListArray.from_arrays(pa.array([0, len(structs)], pa.int32()), structs),
                     pa.array([sizes.tobytes()], pa.binary()),
                     pa.array([fine.tobytes()], pa.binary()),
-                    pa.array([known_words.tobytes()], pa.binary()),
+                    pa.array([_planes(np.diff(known_words, prepend=np.uint64(0)))], pa.binary()),
                     pa.array([_planes(place.astype(np.uint32))], pa.binary()),
                     pa.array([len(flat)], pa.int64()),
                     pa.array([int(sizes[fine].sum())], pa.int64()),
@@ -128,7 +128,8 @@ def _chunker(text: str, names: list[str]):
 
 def _unpacked(sizes: bytes, words: bytes, places: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Sizes of a chunk's documents, where those with words start, and its words' and pairs' hashes."""
-    size, word = np.frombuffer(sizes, np.int64), np.frombuffer(words, np.uint64)[_numbers(places, np.uint32)]
+    size = np.frombuffer(sizes, np.int64)
+    word = np.cumsum(_numbers(words, np.uint64), dtype=np.uint64)[_numbers(places, np.uint32)]
     starts = (np.cumsum(size) - size)[size > 0]
     return (size, starts, *grams(word, starts))
 

@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commentlens.llm import chat, decontam, htmltext, linedup, lmscore, mixing, ngramjoin, qualitybayes, qualityrules, sql, toxicity
+from commentlens.llm import (
+    chat,
+    decontam,
+    htmltext,
+    linedup,
+    lmscore,
+    mixing,
+    ngramjoin,
+    packing,
+    periodic,
+    qualitybayes,
+    qualityrules,
+    sql,
+    toxicity,
+)
 from commentlens.llm.shared import by_value, table
 
 by_value(__name__)
@@ -76,6 +90,38 @@ def op6_entropy_difference(spark: SparkSession, folder: str) -> DataFrame:
     return lmscore.scored(documents, table(spark, folder, "labels"), keep_text=False)
 
 
+def op11_bin_completion(spark: SparkSession, folder: str) -> DataFrame:
+    """Places of all pieces of all documents in sequences of 2048 tokens."""
+    import public_tokenizers
+
+    found = packing.pieces(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    digests = found.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    return packing.pack(digests).select(*columns)
+
+
+def op13_block_convolution(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of every document, with repetitions planted in one of ten, and the text that is left without them."""
+    documents = table(spark, folder, "documents").select("doc_id", periodic.planted("doc_id", "text").alias("text"))
+    found = periodic.collapse(documents)
+    longest = F.reduce(
+        "runs",
+        F.lit(None).cast("struct<start: long, length: long, period: long>"),
+        lambda best, r: F.when(best.isNull() | (r["length"] > best["length"]), r).otherwise(best),
+    )
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("longest.start").alias("start"),
+        F.col("longest.length").alias("length"),
+        F.col("longest.period").alias("period"),
+        F.floor(F.col("longest.length") * 1000 / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 ENTRIES = {
     "op1_source_mix": (op1_source_mix, sql.SOURCE_MIX),
     "op2_page_text": (op2_page_text, None),
@@ -87,4 +133,6 @@ ENTRIES = {
     "op8_suffix_arrays": (op8_suffix_arrays, sql.BENCHMARK_WINDOWS),
     "op9_count_vectors": (op9_count_vectors, None),
     "op10_subword_bags": (op10_subword_bags, None),
+    "op11_bin_completion": (op11_bin_completion, None),
+    "op13_block_convolution": (op13_block_convolution, None),
 }

@@ -9,6 +9,7 @@ from commentlens.llm import (
     chat,
     decontam,
     htmltext,
+    interaction,
     linedup,
     lmscore,
     mixing,
@@ -100,6 +101,13 @@ def op11_bin_completion(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(digests).select(*columns)
 
 
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """What five filters remove in every order, for each language."""
+    return interaction.audit(
+        spark, f"{folder}/documents.parquet", table(spark, folder, "labels"), interaction.document_rules()
+    )
+
+
 def op13_block_convolution(spark: SparkSession, folder: str) -> DataFrame:
     """Runs of every document, with repetitions planted in one of ten, and the text that is left without them."""
     documents = table(spark, folder, "documents").select("doc_id", periodic.planted("doc_id", "text").alias("text"))
@@ -134,5 +142,6 @@ ENTRIES = {
     "op9_count_vectors": (op9_count_vectors, None),
     "op10_subword_bags": (op10_subword_bags, None),
     "op11_bin_completion": (op11_bin_completion, None),
+    "op12_filter_audit": (op12_filter_audit, sql.FILTER_AUDIT),
     "op13_block_convolution": (op13_block_convolution, None),
 }

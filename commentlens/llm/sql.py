@@ -157,3 +157,44 @@ SELECT conv_id, (place - 1) // {chat.STRETCH} AS part, count(*) AS n_turns,
 FROM turns WHERE NOT EXISTS (SELECT 1 FROM snapshots s WHERE s.conv_id IS NOT DISTINCT FROM turns.conv_id)
 GROUP BY conv_id, (place - 1) // {chat.STRETCH}
 """
+
+FILTER_AUDIT = """
+WITH doc AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words,
+         min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id
+  FROM documents),
+flag AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id),
+masked AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         (CASE WHEN len(words) < 200 THEN 1 ELSE 0 END)
+         + (CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END)
+         + (CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 3 * length(t) THEN 4 ELSE 0 END)
+         + (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END)
+         + (CASE WHEN doc_id > first_id THEN 16 ELSE 0 END) AS mask
+  FROM doc LEFT JOIN flag USING (doc_id)),
+counted AS (SELECT part, mask, good, toxic, count(*) AS n FROM masked GROUP BY ALL),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c, unnest([1, 2, 4, 8, 16]) AS bit),
+ordered AS (
+  SELECT a.c || b.c || c.c || d.c || e.c AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letter a, letter b, letter c, letter d, letter e
+  WHERE b.c <> a.c AND c.c NOT IN (a.c, b.c) AND d.c NOT IN (a.c, b.c, c.c) AND e.c NOT IN (a.c, b.c, c.c, d.c)),
+step AS (
+  SELECT filter_order, k AS step, bits[k] AS own, coalesce(list_sum(bits[1:k - 1]), 0) AS before
+  FROM ordered, (SELECT unnest([1, 2, 3, 4, 5]) AS k)),
+found AS (
+  SELECT part, filter_order, step, own,
+         sum(CASE WHEN mask & (before::INT | own) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN mask & before::INT = 0 AND mask & own <> 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN mask & before::INT <> 0 AND mask & own <> 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN mask = own THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN mask & before::INT = 0 AND mask & own <> 0 AND good = 1 THEN n ELSE 0 END) AS good_lost,
+         sum(CASE WHEN mask & before::INT = 0 AND mask & own <> 0 AND toxic = 1 THEN n ELSE 0 END) AS toxic_lost
+  FROM counted, step GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM found
+"""

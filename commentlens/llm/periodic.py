@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from commentlens.llm.shared import SPACE
+from commentlens.llm.shared import SPACE, slices
 
 #: Primes with a primitive root, such that 2**16 divides p - 1.
 PRIMES = [(65537, 3), (786433, 10), (7340033, 3), (23068673, 3)]
@@ -283,8 +283,9 @@ def collapse(docs: DataFrame, text: str = "text", exponent: int = 4, least: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = _collapsed(batch.column(at), exponent, least)
-            yield pa.RecordBatch.from_arrays([*batch.columns, *found], [*kept, *names])
+            for some in slices(batch, at):
+                found = _collapsed(some.column(at), exponent, least)
+                yield pa.RecordBatch.from_arrays([*some.columns, *found], [*kept, *names])
 
     return docs.mapInArrow(run, schema)
 

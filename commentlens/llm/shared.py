@@ -7,6 +7,8 @@ import importlib
 import pkgutil
 from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +42,17 @@ def digest(values: Iterator[str]) -> str:
     return hashlib.sha256(",".join(values).encode()).hexdigest()
 
 
+def slices(batch: pa.RecordBatch, column: int, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Stretches of a batch whose texts have about ``most`` bytes, or one row."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).cumsum(dtype="int64")
+    start = 0
+    while start < batch.num_rows:
+        done = int(sizes[start - 1]) if start else 0
+        end = max(int(sizes.searchsorted(done + most, side="right")), start + 1)
+        yield batch.slice(start, end - start)
+        start = end
+
+
 BATCH_ROWS = 1000
 
 

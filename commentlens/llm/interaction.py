@@ -3,8 +3,8 @@
 All files of the documents are read as micro-batches (``availableNow``). A
 document's failures are a mask of one bit a filter. All but one bit follow from
 its text alone. The last one, being a copy of a document with a smaller id,
-depends on documents that may come in later batches: so a state per text keeps
-the smallest id so far with what was counted for it. Every copy is counted as
+depends on documents that may come in later batches: so a keyed state of texts keeps
+the smallest id of each so far, with what was counted for it. Every copy is counted as
 failing, the holder of the smallest id as passing; when a smaller id arrives,
 the earlier holder's count is taken back and entered anew as a copy's. Each batch
 adds its changes, as sums by part and mask, to a table of counters, under
@@ -35,15 +35,19 @@ from commentlens.session import scratch_path
 COUNTERS = "part string, mask int, good int, toxic int, n long"
 REDUCED = "key string, part string, mask int, good int, toxic int, low long, n_low long, n long, n_null long"
 REDUCED_COLUMNS = [column.split()[0] for column in REDUCED.split(", ")]
-STATE = "low long, held string"
-# Settings of the session that runs the stream: state lives on disk, its memory is bounded an executor.
-STREAM = {
+STATE = "texts string"
+# A state holds the texts of one hash bucket, about so many, since a call of Python a text would cost far more than its work.
+TEXTS = 200
+TEXT_BYTES = 1000  # of a file, taken for one text when buckets are counted
+STATE_BYTES = 8 << 30  # input that one state partition serves
+# Above so much input the stream's state lives on the executors' disks, with bounded memory.
+LARGE = 64 << 30
+ON_DISK = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "400",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
-STATE_BYTES = 8 << 30  # input that one state partition serves
 
 
 def audit(
@@ -95,19 +99,21 @@ def counters(
     # A stream takes folders and patterns, so a path that is a file is given as a pattern that matches it alone.
     alone = len(files) == 1 and files[0].endswith("/" + path.rstrip("/").rpartition("/")[2])
     source = f"{path[:-1]}[{path[-1]}]" if alone else path
+    size = int(still._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     if state_partitions is None:
-        size = int(still._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
         state_partitions = max(2 * spark.sparkContext.defaultParallelism, size // STATE_BYTES)
+    buckets = max(size // (TEXTS * TEXT_BYTES), 4 * state_partitions)
     marked, out, checkpoint = (scratch_path(spark, name) for name in ("labels", "counters", "stream"))
     flags(labels).write.parquet(marked)
     spark.createDataFrame([], COUNTERS).write.parquet(f"{out}/batch=-1")  # so that the table exists without rows
 
     # The stream's settings stay out of the caller's session.
     session = spark.newSession()
-    for name, value in (STREAM | {"spark.sql.shuffle.partitions": str(state_partitions)}).items():
+    settings = {"spark.sql.shuffle.partitions": str(state_partitions)} | (ON_DISK if size > LARGE else {})
+    for name, value in settings.items():
         session.conf.set(name, value)
     rows = session.readStream.schema(still.schema).option("maxFilesPerTrigger", max(-(-len(files) // batches), 1)).parquet(source)
-    changes = changed(rows, session.read.parquet(marked), list(conditions.values()), doc_id, text, part)
+    changes = changed(rows, session.read.parquet(marked), list(conditions.values()), doc_id, text, part, buckets)
 
     def add(batch: DataFrame, number: int) -> None:
         sums = batch.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n")).where("n != 0")
@@ -126,7 +132,9 @@ def flags(labels: DataFrame) -> DataFrame:
     )
 
 
-def changed(rows: DataFrame, marked: DataFrame, failing: list[Column], doc_id: str, text: str, part: str) -> DataFrame:
+def changed(
+    rows: DataFrame, marked: DataFrame, failing: list[Column], doc_id: str, text: str, part: str, buckets: int
+) -> DataFrame:
     """Changes of the counters by the documents of a stream: ``part, mask, good, toxic, n``."""
     mask = sum((F.when(c, 1 << k).otherwise(0) for k, c in enumerate(failing)), F.lit(0))
     key = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
@@ -144,34 +152,35 @@ def changed(rows: DataFrame, marked: DataFrame, failing: list[Column], doc_id: s
     )
     copied = 1 << len(failing)
 
-    def update(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        low, held = state.get if state.exists else (None, "[]")
-        holders = Counter({tuple(who): n for *who, n in json.loads(held)})
-        before, changes = (low, sum(holders.values())), Counter()
+    def update(_: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        # text -> smallest id and its holders [part, mask, good, toxic, rows]
+        texts: dict[str, list] = json.loads(state.get[0]) if state.exists else {}
+        changes: Counter = Counter()
         for frame in frames:
-            columns = [frame[name].tolist() for name in REDUCED_COLUMNS[1:]]
-            for part, mask, good, toxic, first, n_low, n, n_null in zip(*columns):
-                who = (part, mask, good, toxic)
+            columns = [frame[name].tolist() for name in REDUCED_COLUMNS]
+            for key, part, mask, good, toxic, first, n_low, n, n_null in zip(*columns):
                 changes[part, mask, good, toxic] += n_null
                 if not n:
                     continue
                 changes[part, mask | copied, good, toxic] += n
-                if low is None or first < low:
+                own = texts.get(key)
+                if own is None or first < own[0]:
                     # the holders so far turn out to be copies
-                    for (p, m, g, t), count in holders.items():
+                    for p, m, g, t, count in own[1] if own else []:
                         changes[p, m, g, t] -= count
                         changes[p, m | copied, g, t] += count
-                    low, holders = int(first), Counter()
-                if first == low:
+                    own = texts[key] = [first, []]
+                if first == own[0]:
                     changes[part, mask | copied, good, toxic] -= n_low
-                    changes[who] += n_low
-                    holders[who] += n_low
-        if low is not None and before != (low, sum(holders.values())):
-            state.update((low, json.dumps([[*who, n] for who, n in holders.items()])))
+                    changes[part, mask, good, toxic] += n_low
+                    own[1].append([part, mask, good, toxic, n_low])
+        state.update((json.dumps(texts, separators=(",", ":")),))
         yield pd.DataFrame([(*who, n) for who, n in changes.items() if n], columns=["part", "mask", "good", "toxic", "n"])
 
     reduced = labelled.mapInArrow(reduce_copies, REDUCED)
-    return reduced.groupBy("key").applyInPandasWithState(update, COUNTERS, STATE, "update", "NoTimeout")
+    bucket = F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket")
+    grouped = reduced.select(bucket, *REDUCED_COLUMNS).groupBy("bucket")
+    return grouped.applyInPandasWithState(update, COUNTERS, STATE, "update", "NoTimeout")
 
 
 def reduce_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,22 +3,28 @@
 Block Krylov iteration with Rayleigh-Ritz (Musco and Musco 2015): every pass
 multiplies a block of directions by the matrix and its transpose and keeps all
 blocks, so flat spectra converge in few passes too. The matrix stays a table
-``(row, col, w)``; a pass is two joins with sums. Only a few numbers per row or
-column move; the driver sees matrices as wide as the kept blocks. Several slices
-(years) run in the same passes.
+``(row, col, w)``, stored once in buckets by row and once by column; a pass is
+two joins with sums that read those buckets in place. Only a few numbers per row
+or column move; the driver sees matrices as wide as the kept blocks. Several
+slices (years) run in the same passes. A run ends when the residuals of the
+wanted components are small, and fails if they never are.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from commentlens.session import cut_lineage
+from commentlens.session import Buckets, cut_lineage
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need no copy of the package
 
 MOST_SLICES = 1000  # the driver holds a few small matrices per slice
 
@@ -91,6 +97,30 @@ def _weighted(name: str, width: int):
     return sums, F.array(*[F.col(f"_{j}") for j in range(width)])
 
 
+class NotConverged(RuntimeError):
+    """Residuals stayed above the tolerance in all passes."""
+
+
+def long_cells(entries: DataFrame, row: str, col: str, weight: str, slice_by: str | None = None) -> DataFrame:
+    """Non-zero cells as ``_s, _r, _c, _w``."""
+    sliced = F.col(slice_by) if slice_by else F.lit(0)
+    return entries.select(
+        sliced.alias("_s"), F.col(row).alias("_r"), F.col(col).alias("_c"), F.col(weight).cast("double").alias("_w")
+    ).where(F.col("_w") != 0)
+
+
+def one_pass(by_row: DataFrame, by_column: DataFrame, basis: DataFrame, width: int) -> DataFrame:
+    """The matrix times its transpose times ``basis`` (``_s, _r, q``): ``_s, _r, y``.
+
+    Both joins meet the cells in the buckets they are stored in.
+    """
+    sums_q, packed_q = _weighted("q", width)
+    across = by_row.join(basis.select("_s", "_r", "q"), ["_s", "_r"]).groupBy("_s", "_c").agg(*sums_q)
+    sums_z, packed_y = _weighted("z", width)
+    back = by_column.join(across.select("_s", "_c", packed_q.alias("z")), ["_s", "_c"]).groupBy("_s", "_r").agg(*sums_z)
+    return back.select("_s", "_r", packed_y.alias("y"))
+
+
 def components(
     entries: DataFrame,
     row: str,
@@ -102,7 +132,7 @@ def components(
     center: bool = True,
     oversample: int = 8,
     max_passes: int = 12,
-    tolerance: float = 1e-12,
+    tolerance: float = 1e-6,
     names: str = "PCA_",
 ) -> tuple[DataFrame, DataFrame]:
     """Scores per row and explained ratios of the leading ``k`` components (runs jobs).
@@ -111,16 +141,16 @@ def components(
     when some have no cell. ``center`` gives principal components, otherwise the
     plain singular directions. In each component the score of largest size is
     positive.
+
+    The ratios carry each component's ``residual``: the length of ``A A' u - s² u``
+    over the largest ``s²``. Passes go on until all are below ``tolerance`` (the
+    error of a ratio is of the order of its square); after ``max_passes``
+    :class:`NotConverged` is raised.
     """
     spark = entries.sparkSession
     width = k + oversample
     sliced = F.col(slice_by) if slice_by else F.lit(0)
-    cells = cut_lineage(
-        entries.select(
-            sliced.alias("_s"), F.col(row).alias("_r"), F.col(col).alias("_c"), F.col(weight).cast("double").alias("_w")
-        ).where(F.col("_w") != 0),
-        "cells",
-    )
+    cells = cut_lineage(long_cells(entries, row, col, weight, slice_by), "cells")
     listed = cells.select("_s", "_r") if rows is None else rows.select(sliced.alias("_s"), F.col(row).alias("_r"))
     all_rows = cut_lineage(listed.distinct(), "rows")
     zeros = F.array(*[F.lit(0.0)] * width)
@@ -132,58 +162,64 @@ def components(
         for j in range(width)
     ]
     packed = F.array(*[F.col(f"_{j}") for j in range(width)]).alias("y")
-    start = cells.groupBy("_s", "_r").agg(*signs).select("_s", "_r", packed)
-    none = F.array().cast("array<double>").alias("k")
-    block = cut_lineage(
-        all_rows.join(start, ["_s", "_r"], "left").select("_s", "_r", none, F.coalesce("y", zeros).alias("y")), "block"
-    )
-    kept = 0
-    operator: dict = {}  # per slice: K' A A' K, grown block by block
-    best: dict = {}
-    fitted: dict = {}
-    for step in range(max_passes + 1):
-        moments = _moments(block, kept, width)
-        steps, ritz, spread = {}, {}, False
-        for s, (n, sums, cross) in moments.items():
-            mean = sums[kept:] / n if center else np.zeros(width)
-            inner = cross[:kept, :kept]
-            towards = cross[:kept, kept:] - (np.outer(sums[:kept], mean) if center else 0.0)
-            square = cross[kept:, kept:] - (n * np.outer(mean, mean) if center else 0.0)
-            root = _inverse_root(inner, 1e-8)
-            if kept:
-                known = operator.get(s, np.zeros((0, 0)))
-                grown = np.zeros((kept, kept))
-                grown[: len(known), : len(known)] = known
-                grown[:, kept - width :] = towards
-                grown[kept - width :, :] = towards.T
-                grown[kept - width :, kept - width :] = (towards[kept - width :] + towards[kept - width :].T) / 2
-                operator[s] = grown
-                values, vectors = np.linalg.eigh(root.T @ grown @ root)
-                order = np.argsort(values)[::-1][:k]
-                ritz[s] = np.clip(values[order], 0.0, None)
-                fitted[s] = (root @ vectors[:, order], ritz[s], n, sums[:kept])
-            inside = root @ (root.T @ towards)
-            r = _inverse_root(square - towards.T @ inside, 1e-9, max(np.trace(square), 0.0))
-            spread = spread or bool(np.any(r != 0))
-            steps[s] = (mean, inside, r)
-        done = bool(best) and all(np.all(np.abs(ritz[s] - best[s]) <= tolerance * max(ritz[s].max(), 1e-300)) for s in ritz)
-        best = ritz
-        if kept and (done or not spread or step == max_passes):
-            break
-        basis = _extend(block, steps, kept, width)
-        kept += width
-        sums_q, packed_q = _weighted("q", width)
-        across = cells.join(basis.select("_s", "_r", "q"), ["_s", "_r"]).groupBy("_s", "_c").agg(*sums_q)
-        sums_z, packed_y = _weighted("z", width)
-        back = cells.join(across.select("_s", "_c", packed_q.alias("z")), ["_s", "_c"]).groupBy("_s", "_r").agg(*sums_z)
-        joined = basis.select("_s", "_r", "k").join(back.select("_s", "_r", packed_y.alias("y")), ["_s", "_r"], "left")
-        block = cut_lineage(joined.select("_s", "_r", "k", F.coalesce("y", zeros).alias("y")), "block")
-
-    return _scores(block, fitted, k, names, row, slice_by), _ratios(spark, cells, fitted, k, slice_by)
+    with Buckets(cells, ["_s", "_r"]) as by_row, Buckets(cells, ["_s", "_c"]) as by_column:
+        start = by_row.groupBy("_s", "_r").agg(*signs).select("_s", "_r", packed)
+        none = F.array().cast("array<double>").alias("k")
+        block = cut_lineage(
+            all_rows.join(start, ["_s", "_r"], "left").select("_s", "_r", none, F.coalesce("y", zeros).alias("y")), "block"
+        )
+        kept = 0
+        operator: dict = {}  # per slice: K' A A' K, grown block by block
+        fitted: dict = {}
+        for step in range(max_passes + 1):
+            moments = _moments(block, kept, width)
+            steps, worst, spread = {}, 0.0, False
+            for s, (n, sums, cross) in moments.items():
+                mean = sums[kept:] / n if center else np.zeros(width)
+                inner = cross[:kept, :kept]
+                towards = cross[:kept, kept:] - (np.outer(sums[:kept], mean) if center else 0.0)
+                square = cross[kept:, kept:] - (n * np.outer(mean, mean) if center else 0.0)
+                root = _inverse_root(inner, 1e-8)
+                inside = root @ (root.T @ towards)
+                outside = square - towards.T @ inside  # of what A A' makes of the last block
+                if kept:
+                    known = operator.get(s, np.zeros((0, 0)))
+                    grown = np.zeros((kept, kept))
+                    grown[: len(known), : len(known)] = known
+                    grown[:, kept - width :] = towards
+                    grown[kept - width :, :] = towards.T
+                    grown[kept - width :, kept - width :] = (towards[kept - width :] + towards[kept - width :].T) / 2
+                    operator[s] = grown
+                    values, vectors = np.linalg.eigh(root.T @ grown @ root)
+                    order = np.argsort(values)[::-1][:k]
+                    ritz = np.clip(values[order], 0.0, None)
+                    mixed = root @ vectors[:, order]
+                    # A A' maps all blocks but the last into the kept ones, so that block alone leaves a residual.
+                    last = mixed[kept - width :]
+                    left = np.sqrt(np.clip(np.einsum("ij,ik,kj->j", last, outside, last), 0.0, None))
+                    residual = left / max(ritz.max(initial=0.0), 1e-300)
+                    worst = max(worst, residual.max(initial=0.0))
+                    fitted[s] = (mixed, ritz, n, sums[:kept], residual)
+                r = _inverse_root(outside, 1e-9, max(np.trace(square), 0.0))
+                spread = spread or bool(np.any(r != 0))
+                steps[s] = (mean, inside, r)
+            if kept and (worst <= tolerance or not spread):
+                break
+            if kept and step == max_passes:
+                raise NotConverged(f"residual {worst:.1e} after {max_passes} passes; {tolerance:.1e} was asked for")
+            if not moments:
+                break
+            basis = _extend(block, steps, kept, width)
+            kept += width
+            joined = basis.select("_s", "_r", "k").join(one_pass(by_row, by_column, basis, width), ["_s", "_r"], "left")
+            block = cut_lineage(joined.select("_s", "_r", "k", F.coalesce("y", zeros).alias("y")), "block")
+        found = _ratios(spark, cells, fitted, k, slice_by)
+
+    return _scores(block, fitted, k, names, row, slice_by), found
 
 
 def _scores(block: DataFrame, fitted: dict, k: int, names: str, row: str, slice_by: str | None) -> DataFrame:
-    maps = {s: vectors * np.sqrt(values) for s, (vectors, values, _, _) in fitted.items()}
+    maps = {s: vectors * np.sqrt(values) for s, (vectors, values, *_) in fitted.items()}
 
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -214,15 +250,21 @@ def _ratios(spark, cells: DataFrame, fitted: dict, k: int, slice_by: str | None)
     )
     rows = []
     for r in totals.limit(MOST_SLICES).collect():
-        vectors, values, n, sums = fitted[r["_s"]]
+        vectors, values, n, sums, residual = fitted[r["_s"]]
         variance = r["squares"] - r["column_squares"] / n
         offset = (sums @ vectors) * np.sqrt(values)
         explained = values - offset**2 / n
-        rows += [(r["_s"], i + 1, float(explained[i] / variance) if variance > 0 else 0.0) for i in range(min(k, len(explained)))]
-    schema = T.StructType(
-        [cells.schema["_s"], T.StructField("component", T.IntegerType()), T.StructField("ratio", T.DoubleType())]
-    )
-    ratios = spark.createDataFrame(rows, schema)
+        rows += [
+            (r["_s"], i + 1, float(explained[i] / variance) if variance > 0 else 0.0, float(residual[i]))
+            for i in range(min(k, len(explained)))
+        ]
+    return ratio_frame(spark, rows, cells.schema["_s"].dataType, slice_by)
+
+
+def ratio_frame(spark, rows: list[tuple], kind: T.DataType, slice_by: str | None) -> DataFrame:
+    fields = [T.StructField("_s", kind), T.StructField("component", T.IntegerType())]
+    numbers = [T.StructField(name, T.DoubleType()) for name in ("ratio", "residual")]
+    ratios = spark.createDataFrame(rows, T.StructType([*fields, *numbers]))
     return ratios.withColumnRenamed("_s", slice_by) if slice_by else ratios.drop("_s")
 
 

@@ -11,8 +11,8 @@ from commentlens.functions.stem import stem_tokens
 from commentlens.functions.stopwords import NLTK_ENGLISH
 from commentlens.operators import discriminant as ld
 from commentlens.operators import terms
+from commentlens.operators.gram import leading_components
 from commentlens.operators.joins import with_names
-from commentlens.operators.lowrank import components
 from commentlens.session import cut_lineage
 
 
@@ -50,7 +50,7 @@ def author_map(
     texts = yearly_texts(comments, text, years, min_comments)
     vectors = author_vectors(texts, n, **options)
     listed = texts.select("year", "authorId").distinct()
-    scores, ratios = components(vectors, "authorId", "term", "w", k, slice_by="year", rows=listed)
+    scores, ratios = leading_components(vectors, "authorId", "term", "w", k, slice_by="year", rows=listed)
     columns = [f"PCA_{i + 1}" for i in range(k)]
     return scores.select(F.col("authorId").alias("author_id"), *columns, "year"), ratios
 
@@ -62,7 +62,7 @@ def map_of_year(pca: DataFrame, authors: DataFrame, year: int) -> DataFrame:
 
 def word_space(frequencies: DataFrame, k: int = 15) -> tuple[DataFrame, DataFrame]:
     """Truncated, uncentred components of relative word frequencies: ``(name, pc1..)`` (runs jobs)."""
-    scores, ratios = components(frequencies, "author", "word", "freq", k, center=False, names="pc")
+    scores, ratios = leading_components(frequencies, "author", "word", "freq", k, center=False, names="pc")
     return scores.withColumnRenamed("author", "name"), ratios
 
 

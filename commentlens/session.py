@@ -74,6 +74,30 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     return stored
 
 
+class Buckets:
+    """``df`` stored in buckets by ``keys`` in the shared folder, for the time of a ``with`` block (runs a job).
+
+    Joins and sums on these keys read the buckets where they are, without a
+    shuffle, as long as ``spark.sql.shuffle.partitions`` keeps its value. The
+    catalog entry goes at the end of the block; the files stay.
+    """
+
+    def __init__(self, df: DataFrame, keys: list[str]):
+        self.df, self.keys = df, keys
+        self.name = f"commentlens_buckets_{uuid.uuid4().hex}"
+
+    def __enter__(self) -> DataFrame:
+        spark = self.df.sparkSession
+        number = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        dealt = self.df.repartition(number, *self.keys)  # one file a bucket
+        path = scratch_path(spark, "buckets")
+        dealt.write.bucketBy(number, *self.keys).sortBy(*self.keys).format("parquet").option("path", path).saveAsTable(self.name)
+        return spark.table(self.name)
+
+    def __exit__(self, *error) -> None:
+        self.df.sparkSession.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+
 def once(df: DataFrame, label: str = "once") -> DataFrame:
     """A result that several branches of a plan read, computed one time (runs a job).
 

@@ -4,8 +4,12 @@ import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
 
+from pyspark.sql import functions as F
+
 from commentlens.operators import discriminant as ld
+from commentlens.operators import gram, lowrank
 from commentlens.operators.lowrank import components, dense_components
+from commentlens.session import Buckets, cut_lineage
 
 
 def _cells(spark, matrix):
@@ -64,6 +68,91 @@ def test_slices_are_independent(spark):
         assert np.allclose(_sorted(scores.where(F.col("y") == year), 2, "PCA_"), _positive(u[:, :2] * s[:2]), atol=1e-6)
 
 
+@pytest.mark.parametrize("center", [True, False])
+@pytest.mark.parametrize("block", [3, 256])
+def test_gram_components_equal_svd(spark, block, center):
+    rng = np.random.default_rng(13)
+    matrix = rng.random((11, 70)) * (rng.random((11, 70)) < 0.3)
+    matrix[:, 0] = 1.0  # a column that every row has
+    matrix[4] = 0.0  # a row without cells
+    rows = spark.createDataFrame([(i,) for i in range(11)], "r INT")
+    scores, ratios = gram.components(_cells(spark, matrix), "r", "c", "w", 3, rows=rows, center=center, block=block)
+    u, s, _ = np.linalg.svd(matrix - matrix.mean(axis=0) if center else matrix, full_matrices=False)
+    wanted = _positive(u[:, :3] * s[:3])
+    assert np.allclose(_sorted(scores, 3, "PCA_"), wanted, atol=1e-10)
+    got = [r["ratio"] for r in ratios.orderBy("component").collect()]
+    assert np.allclose(got, wanted.var(axis=0) / matrix.var(axis=0).sum(), atol=1e-12)
+
+
+def test_gram_cells_of_slices(spark):
+    rng = np.random.default_rng(17)
+    parts = {y: rng.integers(0, 4, (n, 25)).astype(float) for y, n in ((1, 5), (2, 9))}
+    both = None
+    for y, matrix in parts.items():
+        cells = _cells(spark, matrix).withColumn("y", F.lit(y))
+        both = cells if both is None else both.unionByName(cells)
+    both = both.unionByName(both.limit(1).withColumn("w", F.lit(None).cast("double")))
+    found = gram.gram_cells(both, "r", "c", "w", slice_by="y", block=2).collect()
+    got = {(r["y"], r["row_a"], r["row_b"]): r["product"] for r in found}
+    want = {
+        (y, a, b): (m @ m.T)[a, b] for y, m in parts.items() for a in range(len(m)) for b in range(a, len(m)) if (m @ m.T)[a, b]
+    }
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_gram_of_many_rows_is_refused_and_passes_take_over(spark):
+    rng = np.random.default_rng(19)
+    matrix = rng.random((30, 12)) + np.outer(np.arange(30), np.arange(12)) / 40
+    cells = _cells(spark, matrix)
+    with pytest.raises(ValueError, match="at most"):
+        gram.gram_cells(cells, "r", "c", "w", most_rows=29)
+    by_rows = gram.leading_components(cells, "r", "c", "w", 2)
+    by_passes = gram.leading_components(cells, "r", "c", "w", 2, most_rows=29)
+    assert np.allclose(_sorted(by_rows[0], 2, "PCA_"), _sorted(by_passes[0], 2, "PCA_"), atol=1e-6)
+    first, second = ([r["ratio"] for r in x[1].orderBy("component").collect()] for x in (by_rows, by_passes))
+    assert np.allclose(first, second, atol=1e-8)
+    assert all(r["residual"] <= 1e-6 for r in by_passes[1].collect())
+
+
+def test_gram_without_cells(spark):
+    none = spark.createDataFrame([], "r INT, c STRING, w DOUBLE")
+    for method in (gram.components, components):
+        scores, ratios = method(none, "r", "c", "w", 2)
+        assert scores.collect() == [] and ratios.collect() == []
+    rows = spark.createDataFrame([(1,), (2,)], "r INT")
+    scores, _ = gram.components(none, "r", "c", "w", 2, rows=rows)
+    assert sorted(tuple(r) for r in scores.collect()) == [(1, 0.0, 0.0), (2, 0.0, 0.0)]
+
+
+def test_unconverged_passes_fail(spark):
+    rng = np.random.default_rng(23)
+    cells = _cells(spark, rng.standard_normal((90, 80)))  # a flat spectrum
+    with pytest.raises(lowrank.NotConverged, match="residual"):
+        components(cells, "r", "c", "w", 2, oversample=1, max_passes=2)
+    _, ratios = components(cells, "r", "c", "w", 2, oversample=1, max_passes=60)
+    assert all(r["residual"] <= 1e-6 for r in ratios.collect())
+
+
+def test_a_pass_reads_the_cells_in_place(spark):
+    cells = lowrank.long_cells(_cells(spark, np.random.default_rng(29).random((20, 15))), "r", "c", "w")
+    basis = cut_lineage(cells.select("_s", "_r").distinct().withColumn("q", F.array(F.lit(1.0), F.lit(2.0))))
+    with Buckets(cells, ["_s", "_r"]) as by_row, Buckets(cells, ["_s", "_c"]) as by_column:
+        before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        plan = lowrank.one_pass(by_row, by_column, basis, 2)._jdf.queryExecution().executedPlan().toString()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        lines = plan.split("\n")
+        scans = [i for i, line in enumerate(lines) if "FileScan parquet" in line and "_w" in line]
+        assert len(scans) == 2 and all("Bucketed: true" in lines[i] for i in scans)
+        # from either scan up to its join there is no exchange
+        for i in scans:
+            above = [line for line in lines[:i]][::-1]
+            until = next(n for n, line in enumerate(above) if "Join" in line)
+            assert not any("Exchange" in line for line in above[:until])
+        assert lowrank.one_pass(by_row, by_column, basis, 2).count() == 20
+    assert not [t for t in spark.catalog.listTables() if "buckets" in t.name]
+
+
 def test_dense_components_are_centred(spark):
     rng = np.random.default_rng(1)
     x = rng.random((30, 4)) + 5

@@ -68,7 +68,8 @@ SHAPES = {
 def shaped(raw: DataFrame, kind: str, order: list[str] | None = None) -> DataFrame:
     """Raw rows in the form of one warehouse table, one row per key.
 
-    The first row in ``order`` (raw columns) wins; without it the smallest row.
+    The first row in ``order`` (raw columns) wins; pass ``["ingest"]`` for rows
+    read in landing order. Without an order the smallest row wins.
     """
     keys = KEYS[kind]
     rows = SHAPES[kind](raw)
@@ -79,7 +80,8 @@ def shaped(raw: DataFrame, kind: str, order: list[str] | None = None) -> DataFra
     if order is None:
         return first_per_key(rows, keys, rest)
     tagged = SHAPES[kind](raw.withColumn("_order", F.struct(*order)), "_order")
-    return first_per_key(tagged, keys, ["_order"]).select(columns)
+    # rows that come at the same place are told apart by what they hold
+    return first_per_key(tagged, keys, ["_order", *rest]).select(columns)
 
 
 def new_rows(batch: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:

@@ -8,12 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from commentlens.operators.dedupe import first_per_key
+from commentlens.plans import keyed
 from commentlens.plans import loading as ld
 from commentlens.registry import views as v
-from commentlens.schemas import HEAD_DOCUMENT
+from commentlens.schemas import HEAD_DOCUMENT, KEYS, TABLES
 from commentlens.session import scratch_path
 from commentlens.sources import delimited as dl
 from commentlens.sources import tables as tb
+from commentlens.sources.landing import INGEST
 from commentlens.sources.documents import read_documents, read_trees
 from commentlens.streaming.incremental import load_stream
 
@@ -211,6 +214,103 @@ def _stream(s, d):
     return tb.read_table(s, "authors", root)
 
 
+# --- landing order and keyed tables --------------------------------------------------------
+
+# Files land with the largest order first, so that the first row of a customer is not the smallest.
+LANDED = """SELECT CAST(o_custkey AS VARCHAR) AS author_id, CAST(max(o_orderkey) AS VARCHAR) AS displayName FROM orders
+  WHERE {0} GROUP BY 1"""
+
+
+def _land(rows, folder):
+    """Write author rows of orders to files whose names and lines go down by order."""
+    falling = rows.repartitionByRange(4, F.desc("o_orderkey")).sortWithinPartitions(F.desc("o_orderkey"))
+    text = falling.select(F.col("o_custkey").cast("string").alias("author_id"), F.col("o_orderkey").cast("string").alias("displayName"))
+    dl.write_semicolon(text, folder, "append")
+
+
+@entry("r09_first_landed", LANDED.format("true"))
+def _first_landed(s, d):
+    folder = scratch_path(s, "r09")
+    _land(v.table(s, d, "orders"), folder)
+    rows = dl.read_semicolon(s, folder, TABLES["authors"], multi_line=False, batch=0)
+    return first_per_key(rows, ["author_id"], [INGEST]).drop(INGEST)
+
+
+# The second landing holds larger orders of the same customers; the rows of the first stay.
+@entry(
+    "s14_stream_first_landed",
+    """SELECT CAST(o_custkey AS VARCHAR) AS author_id,
+      CAST(coalesce(max(o_orderkey) FILTER (o_orderkey <= 1000), max(o_orderkey)) AS VARCHAR) AS displayName FROM orders GROUP BY 1""",
+)
+def _stream_first_landed(s, d):
+    folder, root, marks = (scratch_path(s, f"s14-{part}") for part in ("falling", "first", "seen"))
+    orders = v.table(s, d, "orders")
+    for part in (orders.where("o_orderkey <= 1000"), orders):
+        _land(part, folder)
+        load_stream(s, folder, root, "authors", marks, multi_line=False, index={"buckets": 16, "expected_keys": 100_000}).awaitTermination()
+    return keyed.read(s, keyed.opened(s, root, "authors"))
+
+
+def _keyed(s, d, kind, batches):
+    """Batches of raw rows loaded into a keyed table: the table, and the rows that each batch added."""
+    table = keyed.create(s, scratch_path(s, f"keyed-{kind}"), kind, KEYS[kind], buckets=16, expected_keys=100_000)
+    return table, [keyed.append(table, ld.shaped(batch, kind, ORDER)) for batch in batches]
+
+
+@entry("s10_keyed_append", v.with_clause(RAW) + LOADS["comments"])
+def _keyed_append(s, d):
+    raw = _raw(s, d)
+    table, _ = _keyed(s, d, "comments", [raw.where("id % 10 = 1"), raw, raw.where("id % 10 < 4")])
+    return keyed.read(s, table)
+
+
+COUNTS = """ SELECT * FROM (VALUES ('odd', (SELECT count(*) FROM t WHERE id % 2 = 1)), ('all', (SELECT count(*) FROM t WHERE id % 2 = 0)),
+  ('again', 0)) AS x(batch, added)"""
+
+
+@entry("s10_keyed_counts", v.with_clause(RAW) + f", t AS ({LOADS['text']})" + COUNTS)
+def _keyed_counts(s, d):
+    raw = _raw(s, d)
+    _, added = _keyed(s, d, "text", [raw.where("id % 2 = 1"), raw, raw])
+    return s.createDataFrame(list(zip(["odd", "all", "again"], added)), "batch STRING, added LONG")
+
+
+@entry("q16_load_authors", "SELECT CAST(c_custkey AS VARCHAR) AS author_id, c_name AS displayName FROM customer")
+def _load_authors(s, d):
+    root = scratch_path(s, "load-authors")
+    rows = v.authors(s, d).withColumn("author_id", F.col("author_id").cast("string"))
+    for part in (rows.where("author_id > 500"), rows):
+        ld.load(part, root, "authors")
+    return tb.read_table(s, "authors", root)
+
+
+@entry(
+    "q16_load_counts",
+    v.with_clause(RAW)
+    + " UNION ALL ".join(
+        f"SELECT '{kind}' AS kind, (SELECT count(*) FROM ({LOADS[kind]})) AS first, 0 AS again" for kind in ("comments", "text", "titles", "likes")
+    ),
+)
+def _load_counts(s, d):
+    root, raw = scratch_path(s, "load-counts"), _raw(s, d)
+    rows = [(kind, ld.load(raw, root, kind, ORDER), ld.load(raw, root, kind, ORDER)) for kind in ("comments", "text", "titles", "likes")]
+    return s.createDataFrame(rows, "kind STRING, first LONG, again LONG")
+
+
+@entry("s11_drop_table", "SELECT s_suppkey AS author_id FROM supplier")
+def _drop(s, d):
+    """A catalog table made, dropped and made anew from other rows."""
+    name = f"commentlens_s11_{scratch_path(s, 'x')[-8:]}"
+    path = scratch_path(s, "s11")
+    for rows in (v.authors(s, d), v.table(s, d, "supplier").select(F.col("s_suppkey").alias("author_id"))):
+        rows.select("author_id").write.mode("overwrite").option("path", f"{path}/{len(rows.columns)}").saveAsTable(name)
+        found = s.read.parquet(f"{path}/{len(rows.columns)}")
+        tb.drop_table(s, name)
+        if s.catalog.tableExists(name):
+            raise RuntimeError(f"{name} is still there")
+    return found
+
+
 @entry("s12_yearly_append", "SELECT o_custkey AS author_id, CAST(year(o_orderdate) AS BIGINT) AS year, count(*) AS n FROM orders GROUP BY 1, 2")
 def _years(s, d):
     path = scratch_path(s, "s12")

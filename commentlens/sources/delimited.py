@@ -9,6 +9,7 @@ from commentlens.functions.links import collection_id
 from commentlens.operators.dedupe import first_per_key
 from commentlens.operators.joins import null_safe
 from commentlens.operators.reshape import union_all
+from commentlens.sources.landing import INGEST, landed
 
 
 def read_indexed_csv(spark: SparkSession, path: str, schema: str, columns: list[str] | None = None, index: str = "_index") -> DataFrame:
@@ -17,13 +18,14 @@ def read_indexed_csv(spark: SparkSession, path: str, schema: str, columns: list[
     return df if columns is None else df.select(*columns)
 
 
-def read_semicolon(spark: SparkSession, path: str, schema: str, multi_line: bool = True) -> DataFrame:
+def read_semicolon(spark: SparkSession, path: str, schema: str, multi_line: bool = True, batch: int | None = None) -> DataFrame:
     """``;`` files in UTF-8 whose quoted fields may hold quotes and line ends.
 
     A multi-line file is read by one task, so land many moderate files; without
-    embedded line ends pass ``multi_line=False`` and files split freely.
+    embedded line ends pass ``multi_line=False`` and files split freely. With a
+    ``batch`` number the rows carry the place at which they landed (``ingest``).
     """
-    return (
+    rows = (
         spark.read.schema(schema)
         .option("header", True)
         .option("sep", ";")
@@ -33,6 +35,7 @@ def read_semicolon(spark: SparkSession, path: str, schema: str, multi_line: bool
         .option("encoding", "UTF-8")
         .csv(path)
     )
+    return rows if batch is None else landed(rows, batch)
 
 
 def write_semicolon(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -58,14 +61,20 @@ def clean_links(links: DataFrame) -> DataFrame:
     return kept.withColumn("collection_id", collection_id("ft_hash"))
 
 
-def read_named(spark: SparkSession, folder: str, schema: str, name_part: str, index: str = "_index") -> DataFrame:
-    """All files of a folder whose name contains ``name_part``."""
+def read_named(
+    spark: SparkSession, folder: str, schema: str, name_part: str, index: str = "_index", batch: int | None = None
+) -> DataFrame:
+    """All files of a folder whose name contains ``name_part``, with their landing order if ``batch`` is given."""
     reader = spark.read.schema(f"{index} STRING, {schema}").option("header", True).option("pathGlobFilter", f"*{name_part}*")
-    return reader.option("multiLine", True).option("escape", '"').csv(folder).drop(index)
+    rows = reader.option("multiLine", True).option("escape", '"').csv(folder)
+    return (rows if batch is None else landed(rows, batch)).drop(index)
 
 
 def merge_authors(frames: list[DataFrame], key: str = "id", name: str = "displayName") -> DataFrame:
-    """Union author tables, one row per id."""
+    """Union author tables, one row per id: the first landed where all carry their places, else the smallest name."""
+    if all(INGEST in f.columns for f in frames):
+        rows = union_all([f.select(key, name, INGEST) for f in frames])
+        return first_per_key(rows, [key], [INGEST, name]).drop(INGEST)
     return first_per_key(union_all(frames).select(key, name), [key], [name])
 
 

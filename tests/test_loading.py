@@ -195,3 +195,93 @@ def test_missing_keys_neither_lost_nor_repeated(spark, tmp_path):
     for kind, n in (("comments", 3), ("text", 3), ("titles", 2), ("likes", 3)):
         assert [ld.load(raw, str(tmp_path), kind) for _ in range(3)] == [n, 0, 0]
         assert tb.read_table(spark, kind, str(tmp_path)).count() == n
+
+
+# --- landing order and keyed tables -------------------------------------------------------
+
+
+def test_first_landed_row_wins(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("author_id;displayName\nk;z\nk;a\nm;c\n")
+    (tmp_path / "b.csv").write_text("author_id;displayName\nm;a\nn;x\n")
+    for multi_line in (True, False):
+        rows = dl.read_semicolon(spark, str(tmp_path), TABLES["authors"], multi_line, batch=3)
+        got = {tuple(r) for r in ld.shaped(rows, "authors", ["ingest"]).collect()}
+        assert got == {("k", "z"), ("m", "c"), ("n", "x")}
+        assert {r["ingest"]["batch"] for r in rows.collect()} == {3}
+
+
+def test_order_within_the_blocks_of_a_split_file(spark, tmp_path):
+    n = 30_000
+    (tmp_path / "a.csv").write_text("author_id;displayName\n" + "".join(f"k{i % 100};{n - i:06d}\n" for i in range(n)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 40_000)
+    rows = dl.read_semicolon(spark, str(tmp_path), TABLES["authors"], False, batch=0)
+    assert rows.rdd.getNumPartitions() > 3
+    got = {r["author_id"]: int(r["displayName"]) for r in ld.shaped(rows, "authors", ["ingest"]).collect()}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == {f"k{i}": n - i for i in range(100)}
+
+
+def test_merged_authors_keep_the_first_landed(spark, tmp_path):
+    (tmp_path / "Art_authors.csv").write_text(",id,displayName\n0,1,Zed\n1,2,Bob\n")
+    (tmp_path / "Zoo_authors.csv").write_text(",id,displayName\n0,1,Ann\n")
+    df = dl.read_named(spark, str(tmp_path), "id STRING, displayName STRING", "authors", batch=0)
+    assert {tuple(r) for r in dl.merge_authors([df]).collect()} == {("1", "Zed"), ("2", "Bob")}
+
+
+def test_stream_keeps_the_first_landed(spark, tmp_path):
+    folder, root, marks = (tmp_path / n for n in ("landed", "store", "marks"))
+    folder.mkdir()
+    for name, rows in (("b", "k;y\nk;x\n"), ("a", "k;a\nm;b\nm;a\n")):  # a lands after b and holds smaller rows
+        (folder / f"{name}.csv").write_text("author_id;displayName\n" + rows)
+        load_stream(spark, str(folder), str(root), "authors", str(marks), index={"buckets": 4, "expected_keys": 100}).awaitTermination()
+    from commentlens.plans import keyed
+
+    got = {tuple(r) for r in keyed.read(spark, keyed.opened(spark, str(root), "authors")).select("author_id", "displayName").collect()}
+    assert got == {("k", "y"), ("m", "b")}
+
+
+def _people(spark, ids):
+    return spark.createDataFrame([(i, f"n{i}") for i in ids], "author_id STRING, displayName STRING")
+
+
+def test_keyed_appends_read_a_few_folders(spark, tmp_path):
+    from commentlens.plans import keyed
+
+    table = keyed.create(spark, str(tmp_path), "authors", ["author_id"], buckets=64, expected_keys=4000)
+    assert keyed.append(table, _people(spark, map(str, range(4000)))) == 4000
+    assert keyed.append(table, _people(spark, map(str, range(4000)))) == 0
+    files = keyed.stored_keys(spark, table, list(range(64))).select(F.input_file_name()).distinct().count()
+    # new keys only: the index knows none of them but for a few by chance
+    batch = _people(spark, [f"new{i}" for i in range(64)]).withColumns(keyed._places(table))
+    asked = keyed.flagged(table, batch, list(range(64)))
+    looked_up = keyed._buckets(asked.where("_maybe"))
+    assert len(looked_up) <= 8
+    held = keyed.stored_keys(spark, table, looked_up or [0])
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "key_bucket" in plan.split("PartitionFilters")[1][:200]
+    assert held.select(F.input_file_name()).distinct().count() <= files / 8
+    assert keyed.append(table, _people(spark, ["7", "new1", None])) == 2
+    assert keyed.append(table, _people(spark, ["7", "new1", None])) == 0
+    assert keyed.read(spark, table).count() == 4002
+
+
+def test_keyed_load_that_failed_between_index_and_rows(spark, tmp_path):
+    from commentlens.plans import keyed
+
+    table = keyed.create(spark, str(tmp_path), "authors", ["author_id"], buckets=4, expected_keys=100)
+    batch = _people(spark, ["a", "b"])
+    keyed.index_of(table, batch.withColumns(keyed._places(table))).write.partitionBy(keyed.BUCKET).parquet(table.index_path)
+    assert keyed.append(table, batch) == 2
+    assert keyed.append(table, batch) == 0
+
+
+def test_reindex(spark, tmp_path):
+    from commentlens.plans import keyed
+
+    table = keyed.create(spark, str(tmp_path), "authors", ["author_id"], buckets=2, expected_keys=10)
+    keyed.append(table, _people(spark, map(str, range(500))))
+    larger = keyed.reindex(spark, table, 60_000)
+    assert larger.segments > table.segments and keyed.opened(spark, str(tmp_path), "authors") == larger
+    assert keyed.append(larger, _people(spark, map(str, range(400, 600)))) == 100
+    assert keyed.create(spark, str(tmp_path), "authors", ["author_id"]) == larger

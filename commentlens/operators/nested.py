@@ -71,6 +71,12 @@ def missing_pages(expected: DataFrame, landed: DataFrame) -> DataFrame:
 # below that level.
 STRIDE = 12
 
+# The fields of a node's content that are read, all in one cast.
+_CONTENT = (
+    "struct<id: string, ancestorId: string, parentId: string, authorId: string, annotations: struct<messagetag: string>, "
+    "bodyHtml: string, createdAt: bigint, updatedAt: bigint>"
+)
+
 
 def _children(node: Column, kind: int) -> Column:
     found = F.try_variant_get(node, "$.childContent", "array<variant>")
@@ -81,63 +87,71 @@ def _kind(node: Column) -> Column:
     return F.coalesce(F.try_variant_get(node, "$.type", "int"), F.lit(-1))
 
 
-def _field(node: Column, path: str) -> Column:
-    return F.coalesce(F.try_variant_get(node, f"$.content.{path}", "string"), F.lit(""))
-
-
 def likers_of_node(node: Column) -> Column:
     """Authors of a node's direct like children."""
     return F.transform(_children(node, 1), lambda c: F.try_variant_get(c, "$.content.authorId", "string"))
 
 
-def node_fields(node: Column) -> list[Column]:
-    """The comment fields of a node; absent text fields are empty."""
-    return [
-        _field(node, "id").alias("comment_id"),
-        _field(node, "ancestorId").alias("ancestor_id"),
-        _field(node, "parentId").alias("parent_id"),
-        _field(node, "authorId").alias("author_id"),
-        _field(node, "annotations.messagetag").alias("messagetag"),
-        strip_tags(_field(node, "bodyHtml")).alias("comment"),
-        F.try_variant_get(node, "$.content.createdAt", "long").alias("created_at"),
-        F.try_variant_get(node, "$.content.updatedAt", "long").alias("updated_at"),
-        likers_of_node(node).alias("liked_by"),
-    ]
+def _read(level: Column, depth: int, last: bool) -> Column:
+    """Depth, content and likers of a level's nodes; of the last unfolded level the nodes themselves, to go on from."""
+    none = F.lit(None)
 
+    def read(node: Column) -> Column:
+        content = none.cast(_CONTENT) if last else F.try_variant_get(node, "$.content", _CONTENT)
+        likers = none.cast("array<string>") if last else likers_of_node(node)
+        pending = node if last else none.cast("variant")
+        return F.struct(F.lit(depth).alias("depth"), content.alias("c"), likers.alias("liked_by"), pending.alias("pending"))
 
-def _at_depth(level: Column, depth: int) -> Column:
-    return F.transform(level, lambda n: F.struct(F.lit(depth).alias("depth"), n.alias("node")))
+    return F.transform(level, read)
+
+
+def _node_fields() -> list[Column]:
+    """The comment fields of a read node; absent text fields are empty."""
+    text = {
+        "comment_id": "id", "ancestor_id": "ancestorId", "parent_id": "parentId", "author_id": "authorId",
+        "messagetag": "annotations.messagetag", "comment": "bodyHtml",
+    }
+    found = {name: F.coalesce(F.col(f"_n.c.{path}"), F.lit("")) for name, path in text.items()}
+    found["comment"] = strip_tags(found["comment"])
+    return [
+        *[column.alias(name) for name, column in found.items()],
+        F.col("_n.c.createdAt").alias("created_at"),
+        F.col("_n.c.updatedAt").alias("updated_at"),
+        F.col("_n.liked_by").alias("liked_by"),
+    ]
 
 
 def tree_rows(docs: DataFrame, keys: list[str], top: Column, max_depth: int = 100) -> DataFrame:
     """Comment fields of every reply node: rows ``(keys..., depth, fields...)`` (runs a job).
 
-    Levels are unfolded inside the document row, several per pass, exploded
-    once and stored, so no level is unfolded twice. Only nodes below the last
-    unfolded level go into a further pass. A tree beyond ``max_depth`` fails
-    and is not shortened.
+    Levels are unfolded one from another inside the document row, several per
+    pass. Nodes are read where they are found, so what is exploded and stored
+    is their fields and never what hangs below them; only the nodes of a pass's
+    last level are kept whole, for the next pass. No level beyond
+    ``max_depth + 1`` is unfolded: a node there fails the run, and no tree is
+    shortened.
     """
     empty = F.array().cast("array<variant>")
     frontier = docs.select(*keys, F.coalesce(top, empty).alias("_level0"))
     found = None
     depth = 0
     while True:
+        levels = min(STRIDE, max_depth + 1 - depth)
         wide = frontier
-        for k in range(1, STRIDE + 1):
+        for k in range(1, levels + 1):
             below = F.flatten(F.transform(F.col(f"_level{k - 1}"), lambda n: _children(n, 0)))
             wide = wide.withColumn(f"_level{k}", below)
-        tagged = [_at_depth(F.col(f"_level{k}"), depth + k) for k in range(STRIDE + 1)]
-        nodes = wide.select(*keys, F.explode(F.concat(*tagged)).alias("_n")).select(*keys, "_n.depth", "_n.node")
-        last = depth + STRIDE
-        pending = F.when(F.col("depth") == last, F.col("node")).alias("_pending")
-        stored = cut_lineage(nodes.select(*keys, "depth", *node_fields(F.col("node")), pending), "replies")
-        rows = stored.where(F.col("depth") < last).drop("_pending")
+        read = [_read(F.col(f"_level{k}"), depth + k, k == levels) for k in range(levels + 1)]
+        nodes = wide.select(*keys, F.explode(F.concat(*read)).alias("_n"))
+        pending = F.col("_n.pending").alias("_pending")
+        stored = cut_lineage(nodes.select(*keys, "_n.depth", *_node_fields(), pending), "replies")
+        depth += levels
+        rows = stored.where(F.col("depth") < depth).drop("_pending")
         found = rows if found is None else found.unionByName(rows)
-        deeper = stored.where(F.col("depth") == last)
+        deeper = stored.where(F.col("depth") == depth)
         if deeper.isEmpty():
             return found
-        depth = last
-        if depth >= max_depth:
+        if depth > max_depth:
             raise ValueError(f"a reply tree is deeper than max_depth={max_depth}")
         frontier = deeper.select(*keys, F.array("_pending").alias("_level0"))
 

@@ -188,10 +188,64 @@ def _flat(s, d):
 
 for name in ("p02_flatten_tree", "q17_flatten_tree"):
     entry(name, TREE_ROWS)(_flat)
+CHAIN = 40
+
+
+def _chains(s, d):
+    """Reply trees as deep as 40 levels: each line answers the one before; every other line has no tag, every third no id."""
+
+    text = F.transform(
+        _lines(),
+        lambda line, i: F.struct(
+            i.alias("i"),
+            F.to_json(F.struct(
+                F.when(i % 3 != 2, F.concat_ws("-", F.col("doc_id"), i)).alias("id"),
+                F.col("source").alias("authorId"),
+                line.alias("bodyHtml"),
+                F.when(i % 2 == 0, F.struct(F.col("lang").alias("messagetag"))).alias("annotations"),
+                F.when(i % 5 == 0, (F.lit(1400000000) + i).cast("long")).alias("updatedAt"),
+            )).alias("content"),
+        ),
+    )
+    # from the last line up: a node is closed around what answers it; every fortieth line starts a tree
+    closed = F.aggregate(
+        F.reverse(text),
+        F.struct(F.lit("").alias("below"), F.lit("").alias("done")),
+        lambda acc, n: F.struct(
+            F.when(n["i"] % CHAIN == 0, F.lit("")).otherwise(_wrapped(n["content"], acc["below"])).alias("below"),
+            F.when(
+                n["i"] % CHAIN == 0,
+                F.concat(_wrapped(n["content"], acc["below"]), F.when(acc["done"] != "", F.lit(",")).otherwise(""), acc["done"]),
+            ).otherwise(acc["done"]).alias("done"),
+        ),
+    )
+    rows = v.wide_table(s, d, "documents").select(
+        F.col("doc_id").cast("string").alias("ft_id"),
+        F.col("lang").alias("title"),
+        F.concat(F.lit('{"content":['), closed["done"], F.lit("]}")).alias("j"),
+    )
+    return parse_trees(rows, "j")
+
+
+def _wrapped(content, below):
+    return F.concat(F.lit('{"type":0,"content":'), content, F.lit(',"childContent":['), below, F.lit("]}"))
+
+
+entry(
+    "p02_deep_tree",
+    ROWS + f"""SELECT CAST(doc_id AS VARCHAR) AS ft_id, CASE WHEN i % 3 <> 2 THEN doc_id || '-' || i ELSE '' END AS comment_id,
+      CAST(i % {CHAIN} AS BIGINT) AS depth, md5({STRIP}) AS body FROM l""",
+)(lambda s, d: ns.flatten_tree(_chains(s, d)).select(
+    "ft_id", "comment_id", F.col("depth").cast("long").alias("depth"), F.md5("comment").alias("body")
+))
 entry(
     "p03_absent_fields_empty",
-    TREE + "SELECT comment_id, '' AS ancestor_id, '' AS messagetag FROM n",
-)(lambda s, d: ns.flatten_tree(_trees(s, d)).select("comment_id", "ancestor_id", "messagetag"))
+    ROWS + """SELECT CASE WHEN i % 3 <> 2 THEN doc_id || '-' || i ELSE '' END AS comment_id, '' AS ancestor_id, '' AS parent_id,
+      CASE WHEN i % 2 = 0 THEN lang ELSE '' END AS messagetag, CAST(NULL AS BIGINT) AS created_at,
+      CASE WHEN i % 5 = 0 THEN CAST(1400000000 + i AS BIGINT) END AS updated_at FROM l""",
+)(lambda s, d: ns.flatten_tree(_chains(s, d)).select(
+    "comment_id", "ancestor_id", "parent_id", "messagetag", "created_at", "updated_at"
+))
 entry(
     "p04_likers_of_node",
     ROWS + "SELECT 'd' || doc_id || '-' || i AS comment_id, unnest([lang, source]) AS liker FROM l",

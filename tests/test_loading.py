@@ -154,6 +154,34 @@ def test_deep_trees_are_whole(spark):
         flatten(spark, [{"content": [tree]}], max_depth=20)
 
 
+@pytest.mark.parametrize("deepest, most, fails", [(13, 5, True), (9, 5, True), (5, 5, False), (12, 12, False), (250, 250, False), (250, 249, True)])
+def test_depth_is_guarded_at_every_level(spark, deepest, most, fails):
+    tree = node("0")
+    for i in range(1, deepest + 1):
+        tree = node(str(i), [tree, node(f"{i}b")])
+    if fails:
+        with pytest.raises(ValueError, match=f"max_depth={most}"):
+            flatten(spark, [{"content": [tree]}], max_depth=most)
+    else:
+        assert flatten(spark, [{"content": [tree]}], max_depth=most).count() == 2 * deepest + 1
+
+
+def test_stored_nodes_hold_no_subtrees(spark):
+    wide = node("r", [node(str(i), [node(f"{i}-{j}", bodyHtml="x" * 500) for j in range(20)]) for i in range(20)])
+    rows = flatten(spark, [{"content": [wide]}])
+    assert "pending" not in str(rows.schema) and rows.count() == 421
+
+
+def test_odd_fields_of_a_node(spark):
+    rows = flatten(spark, [{"content": [
+        {"type": 0, "content": {"id": 7, "createdAt": "no number", "annotations": "none", "bodyHtml": ["x"]}},
+        {"type": 0, "content": "text", "childContent": {"no": "list"}},
+        {"type": "0", "childContent": [{"content": {"id": "u"}}, None, 3]},
+    ]}]).collect()
+    assert sorted(r["comment_id"] for r in rows) == ["", "", "7"]
+    assert {r["messagetag"] for r in rows} == {""} and {r["created_at"] for r in rows} == {None}
+
+
 trees = st.recursive(st.just([]), lambda kids: st.lists(kids, max_size=3), max_leaves=12)
 
 

@@ -7,6 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from commentlens.operators.dedupe import first_per_key
 from commentlens.session import once
 
 
@@ -63,3 +64,55 @@ def windows_of(moment: Column, overlap: bool = False) -> Column:
         candidates,
         lambda m: (at > m.cast("timestamp_ntz")) & (at < F.date_add(F.add_months(m, 1), 1).cast("timestamp_ntz")),
     )
+
+
+# --- search windows ---------------------------------------------------------------------
+
+
+def search_windows(topics: DataFrame, start: date, end: date) -> DataFrame:
+    """The searches that gather a topic's articles month by month.
+
+    ``topics`` has ``topic``, its place ``topic_no`` and its ``terms``. A row per
+    topic and month from ``start`` to ``end``: ``topic, topic_no, terms, month,
+    opens, closes, search_query``. A window is open at both ends and reaches one day
+    into the next month, so neighbours overlap; its query joins the terms by ``OR`` and
+    names both bounds.
+    """
+    months = topics.withColumn("month", F.explode(month_starts(F.lit(start), F.lit(end))))
+    opens, closes = F.col("month").cast("timestamp_ntz"), F.date_add(F.add_months("month", 1), 1).cast("timestamp_ntz")
+    day = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    query = F.concat(
+        F.array_join("terms", " OR "),
+        F.lit(" AND lastPublishDateTime:>"),
+        day(opens),
+        F.lit(" AND lastPublishDateTime:<"),
+        day(closes),
+    )
+    columns = ["topic", "topic_no", "terms", "month"]
+    return months.select(*columns, opens.alias("opens"), closes.alias("closes"), query.alias("search_query"))
+
+
+def found_by(articles: DataFrame, windows: DataFrame, moment: str = "moment", tokens: str = "tokens") -> DataFrame:
+    """What the searches find: a row per window and article that holds one of its terms.
+
+    A range join without an inequality join: an article's own month and both
+    neighbours are equality keys, and the exact bounds are tested on the few
+    windows that meet it. Terms meet tokens by equality too, so only articles
+    with a term are joined to windows. ``articles`` has the key ``ft_id``, the
+    ``moment`` and the distinct or repeated ``tokens``.
+    """
+    term = F.explode("terms").alias("_term")
+    wanted = windows.select("topic", term).distinct()
+    held = articles.select("ft_id", F.col(moment).cast("timestamp_ntz").alias("_at"), F.explode(F.array_distinct(tokens)).alias("_term"))
+    about = held.join(wanted, "_term").select("ft_id", "_at", "topic").distinct()
+    own = F.trunc(F.col("_at").cast("date"), "MM")
+    near = F.explode(F.array(F.add_months(own, -1), own, F.add_months(own, 1))).alias("month")
+    met = about.select("ft_id", "_at", "topic", near).join(windows.drop("terms"), ["topic", "month"])
+    inside = (F.col("_at") > F.col("opens")) & (F.col("_at") < F.col("closes"))
+    return met.where(inside).select("search_query", "topic", "topic_no", "month", "ft_id")
+
+
+def first_search(found: DataFrame) -> DataFrame:
+    """One row per article: that of its last topic, and there of the first month, as the results are stacked."""
+    order = [-F.col("topic_no"), F.col("month"), F.col("search_query")]
+    return first_per_key(found, ["ft_id"], order)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from commentlens.functions import stem as stemming
 from commentlens.functions import text as words
 from commentlens.operators.ranking import first_rows, top_n_per_group
+from commentlens.operators.stitch import grams_across
 from commentlens.session import once
 
 
@@ -150,21 +151,28 @@ def gram_counts(
     stem_rules: str | None = "porter",
     stop_before_stem: bool = False,
     preprocessed: bool = True,
+    across: list[str] | None = None,
 ) -> DataFrame:
     """n-gram counts ``(docs..., term, n)`` of stemmed, stop-filtered texts.
 
     n-grams are built inside each comment, so no ordering shuffle is needed.
+    ``across`` names the columns that put the comments of a document in order;
+    then n-grams run on from one comment to the next (stores the tokens once).
     """
     text = words.normalise(body) if preprocessed else F.col(body)
     tokens = words.split_blanks(F.lower(text))
     if stop and stop_before_stem:
         tokens = words.without(tokens, stop)
-    rows = df.select(*docs, tokens.alias("_tokens"))
+    order = [c for c in across or [] if c not in docs]
+    rows = df.select(*docs, *order, tokens.alias("_tokens"))
     if stem_rules:
         rows = rows.withColumn("_tokens", stemming.stem_tokens(F.col("_tokens"), stem_rules))
     if stop and not stop_before_stem:
         rows = rows.withColumn("_tokens", words.without("_tokens", stop))
-    grams = one_word_per_row(rows, words.ngrams("_tokens", n), docs, "term")
+    if across:
+        grams = grams_across(once(rows, "tokens"), docs, "_tokens", across, n)
+    else:
+        grams = one_word_per_row(rows, words.ngrams("_tokens", n), docs, "term")
     return grams.groupBy(*docs, "term").agg(F.count(F.lit(1)).alias("n"))
 
 

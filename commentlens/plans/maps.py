@@ -24,7 +24,7 @@ def busy_authors(comments: DataFrame, more_than: int, keys: list[str]) -> DataFr
 
 def yearly_texts(comments: DataFrame, text: DataFrame | None, years: list[int], min_comments: int = 100) -> DataFrame:
     """Texts of the authors with more than ``min_comments`` comments in a year, all years at once."""
-    kept = ["id", "authorId"] if text is not None else ["id", "authorId", "bodyHtml"]
+    kept = ["id", "authorId", "createdAt"] if text is not None else ["id", "authorId", "createdAt", "bodyHtml"]
     rows = comments.where(clock.in_years("createdAt", years)).select(
         *kept, F.year(clock.wall_clock("createdAt")).alias("year")
     )
@@ -34,11 +34,28 @@ def yearly_texts(comments: DataFrame, text: DataFrame | None, years: list[int],
 
 
 def author_vectors(
-    texts: DataFrame, n: int = 2, passes: int = 2, stem: bool = True, stop: list[str] | None = None, stop_before_stem: bool = False
+    texts: DataFrame,
+    n: int = 2,
+    passes: int = 2,
+    stem: bool = True,
+    stop: list[str] | None = None,
+    stop_before_stem: bool = False,
+    across: bool = False,
 ) -> DataFrame:
-    """TF-IDF weights ``(year, authorId, term, w)`` of yearly author texts."""
+    """TF-IDF weights ``(year, authorId, term, w)`` of yearly author texts.
+
+    With ``across`` an author's comments of a year are one text in order of
+    time and id, so n-grams run on from one to the next.
+    """
     counts = terms.gram_counts(
-        texts, ["year", "authorId"], "bodyHtml", n, NLTK_ENGLISH if stop is None else stop, "porter" if stem else None, stop_before_stem
+        texts,
+        ["year", "authorId"],
+        "bodyHtml",
+        n,
+        NLTK_ENGLISH if stop is None else stop,
+        "porter" if stem else None,
+        stop_before_stem,
+        across=["createdAt", "id"] if across else None,
     )
     return terms.smoothed_tfidf(counts, "authorId", ["year"], passes)
 

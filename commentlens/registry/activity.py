@@ -213,3 +213,45 @@ def _year_slices(s, d):
     kept = rows.where(clock.in_years("createdAt", [1996, 1997, 1998, 1999, 2000]))
     year = F.year(clock.wall_clock("createdAt")).cast("long").alias("year")
     return kept.groupBy(year, "o_custkey").agg(F.count(F.lit(1)).alias("n"))
+
+
+# Topics with their terms, as a user sets them up; the last topic is searched last and wins.
+TOPICS = [("articles", 0, ["the", "der", "la"]), ("links", 1, ["and", "und"]), ("all", 2, ["que", "et", "of", "y"])]
+FOUND = (
+    "WITH topics(topic, topic_no, terms) AS (VALUES "
+    + ", ".join(f"('{t}', {no}, [{v.sql_list(terms)}])" for t, no, terms in TOPICS)
+    + f"""),
+  months AS (SELECT CAST(unnest(generate_series(DATE '2014-01-01', DATE '2018-12-01', INTERVAL 1 MONTH)) AS DATE) AS month),
+  w AS (SELECT topic, topic_no, terms, month, month + INTERVAL 1 MONTH + INTERVAL 1 DAY AS closes FROM topics, months),
+  q AS (SELECT *, array_to_string(terms, ' OR ') || ' AND lastPublishDateTime:>' || strftime(month, '%Y-%m-%dT%H:%M:%SZ')
+      || ' AND lastPublishDateTime:<' || strftime(closes, '%Y-%m-%dT%H:%M:%SZ') AS search_query FROM w),
+  a AS (SELECT doc_id AS ft_id, {v.SQL_SPLIT.format('text')} AS toks,
+      TIMESTAMP '2014-01-01' + INTERVAL 1 DAY * ((doc_id * 97) % 1826) + INTERVAL 12 HOUR * (doc_id % 2) AS moment FROM documents),
+  f AS (SELECT search_query, topic, topic_no, month, ft_id FROM q JOIN a
+    ON moment > month AND moment < closes AND list_has_any(toks, terms))
+"""
+)
+
+
+def _found(s, d):
+    """Documents as articles; half of them appear at midnight, some on the first of a month."""
+    from datetime import date
+
+    from commentlens.functions import text as words
+
+    topics = s.createDataFrame(TOPICS, "topic STRING, topic_no INT, terms ARRAY<STRING>")
+    day = F.pmod(F.col("doc_id") * 97, F.lit(1826)).cast("int")
+    moment = F.lit(date(2014, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(days=day, hours=(F.col("doc_id") % 2 * 12).cast("int"))
+    articles = v.wide_table(s, d, "documents").select(
+        F.col("doc_id").alias("ft_id"), moment.alias("moment"), words.split_words("text").alias("tokens")
+    )
+    return series.found_by(articles, series.search_windows(topics, date(2014, 1, 1), date(2018, 12, 31)))
+
+
+entry("t16_found_by_searches", FOUND + "SELECT search_query, topic, CAST(month AS VARCHAR) AS month, ft_id FROM f")(
+    lambda s, d: _found(s, d).select("search_query", "topic", F.col("month").cast("string").alias("month"), "ft_id")
+)
+entry(
+    "t16_first_search",
+    FOUND + "SELECT ft_id, search_query FROM f QUALIFY row_number() OVER (PARTITION BY ft_id ORDER BY topic_no DESC, month) = 1",
+)(lambda s, d: series.first_search(_found(s, d)).select("ft_id", "search_query"))

@@ -187,6 +187,18 @@ def _grams(s, d, n=2, stem=None):
 
 
 entry("x08_bigram_counts", GRAMS + "SELECT authorId, term, n FROM g")(_grams)
+ACROSS = f"""WITH k AS (SELECT source AS authorId, (doc_id * 97) % 1826 AS day, doc_id, list_filter({TOKENS}, lambda x: x NOT IN ({NLTK})) AS toks
+    FROM documents),
+  a AS (SELECT authorId, flatten(list(toks ORDER BY day, doc_id)) AS toks FROM k GROUP BY 1),
+  b AS (SELECT authorId, unnest(list_transform(range(1, CAST(len(toks) AS BIGINT) - SHORTER), lambda i: GRAM)) AS term FROM a)
+  SELECT authorId, term, count(*) AS n FROM b GROUP BY 1, 2"""
+for n, name in ((2, "bigrams"), (3, "trigrams")):
+    gram = " || ' ' || ".join(f"toks[i + {k}]" for k in range(n))
+    entry(f"x08_{name}_across_comments", ACROSS.replace("SHORTER", str(n - 2)).replace("GRAM", gram))(
+        lambda s, d, n=n: terms.gram_counts(
+            v.texts(s, d), ["authorId"], "bodyHtml", n, NLTK_ENGLISH, None, across=["createdAt", "id"]
+        )
+    )
 SMOOTH = (
     GRAMS
     + """, df AS (SELECT term, count(*) AS df FROM g GROUP BY 1), docs AS (SELECT count(DISTINCT authorId) AS docs FROM g),

@@ -247,3 +247,66 @@ def test_stopwords_meet_stems_by_default(spark):
     assert {r["term"] for r in grams.collect()} == {"thi", "wa", "great"}
     before = terms.gram_counts(df, ["authorId"], "bodyHtml", 1, ["this", "was"], "porter", stop_before_stem=True)
     assert {r["term"] for r in before.collect()} == {"great"}
+
+
+# --- n-grams across comments, search windows ------------------------------------------------
+
+
+def _stitched(rows, n):
+    from collections import Counter
+
+    by_author = {}
+    for author, at, key, tokens in sorted((r for r in rows if r[0] is not None and r[3]), key=lambda r: (r[0], r[1], r[2])):
+        by_author.setdefault(author, []).extend(tokens)
+    return Counter((a, " ".join(t[i : i + n])) for a, t in by_author.items() for i in range(len(t) - n + 1))
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5])
+def test_grams_across_comments(spark, n):
+    import random
+    from collections import Counter
+
+    from commentlens.operators.stitch import grams_across
+
+    rnd = random.Random(n)
+    # one author writes nine tenths; many comments are empty or shorter than a gram
+    rows = [("hot" if i % 10 else f"a{i % 30}", rnd.randint(0, 50), i, [rnd.choice("xyz") for _ in range(rnd.choice([0, 0, 1, 1, 2, 7]))])
+            for i in range(400)]
+    rows += [("n", 1, 999, None), (None, 1, 1000, ["x", "y"])]
+    df = spark.createDataFrame(rows, "author STRING, at INT, id INT, tokens ARRAY<STRING>").where("author IS NOT NULL").repartition(5)
+    found = Counter(tuple(r) for r in grams_across(df, ["author"], "tokens", ["at", "id"], n).collect())
+    assert found == _stitched(rows, n)
+
+
+def test_no_window_holds_an_author(spark):
+    from commentlens.operators.stitch import crossing_grams
+
+    df = spark.createDataFrame([("a", 1, ["x"]), ("a", 2, ["y"])], "author STRING, id INT, tokens ARRAY<STRING>")
+    plan = crossing_grams(df, ["author"], "tokens", ["id"], 2)._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.split("\n") if "Window" in line]
+    assert not any("author" in line for line in windows)
+    assert crossing_grams(df, ["author"], "tokens", ["id"], 1).count() == 0
+
+
+def test_search_windows_meet_by_equality(spark):
+    from datetime import date, datetime
+
+    from commentlens.operators import series
+
+    topics = spark.createDataFrame([("t", 0, ["x", "y"]), ("u", 1, ["y"])], "topic STRING, topic_no INT, terms ARRAY<STRING>")
+    windows = series.search_windows(topics, date(2016, 1, 1), date(2016, 3, 31))
+    assert windows.count() == 6
+    row = windows.where("topic = 't' AND month = '2016-02-01'").first()
+    assert row["search_query"] == "x OR y AND lastPublishDateTime:>2016-02-01T00:00:00Z AND lastPublishDateTime:<2016-03-02T00:00:00Z"
+    articles = spark.createDataFrame(
+        [(1, datetime(2016, 2, 1), ["x"]), (2, datetime(2016, 2, 1, 0, 0, 1), ["x", "y"]), (3, datetime(2016, 3, 2), ["y"]),
+         (4, datetime(2015, 12, 31), ["y"]), (5, datetime(2016, 2, 5), ["z"]), (6, None, ["y"]), (7, datetime(2016, 2, 5), None)],
+        "ft_id INT, moment TIMESTAMP_NTZ, tokens ARRAY<STRING>",
+    )
+    found = series.found_by(articles, windows)
+    got = sorted((r["ft_id"], r["topic"], r["month"].month) for r in found.collect())
+    assert got == [(1, "t", 1), (2, "t", 1), (2, "t", 2), (2, "u", 1), (2, "u", 2), (3, "t", 3), (3, "u", 3)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    first = {r["ft_id"]: (r["topic"], r["month"].month) for r in series.first_search(found).collect()}
+    assert first == {1: ("t", 1), 2: ("u", 1), 3: ("u", 3)}

@@ -2,24 +2,36 @@
 
 Features are capped, so everything the driver solves is bounded by the cap.
 Spark does the passes over the data: term statistics, one sparse vector per
-document (JVM transformers), one Gram matrix and one mean vector per group.
+document (JVM transformers), and one pass that gives the sufficient statistics of
+all folds and classes. A training set's statistics are the total less its fold.
 """
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from commentlens.session import cut_lineage
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need no copy of the package
 
 MOST_FEATURES = 4096  # a Gram matrix of this width is 128 MB
 MOST_CLASSES = 256
+MOST_HELD = 512 << 20  # bytes of Gram matrices that a task, or the driver, holds at once
+ROWS = 512  # made dense at a time
+BLOCK = 64  # lines of a Gram matrix that travel together
 
 
 def _marks(tokens: Column, hit: int, doc: int) -> Column:
@@ -62,22 +74,118 @@ class Moments:
         )
 
 
-def moments(df: DataFrame, features: str, label: str) -> Moments | None:
-    """Gram matrix, class sums and class sizes of a vector column (runs two jobs)."""
-    per_class = df.groupBy(label).agg(
-        Summarizer.mean(F.col(features)).alias("mean"), F.count(F.lit(1)).alias("n")
-    ).limit(MOST_CLASSES + 1).collect()
-    if len(per_class) > MOST_CLASSES:
-        raise ValueError(f"more than {MOST_CLASSES} classes")
-    if not per_class:
-        return None
-    old = MLUtils.convertVectorColumnsFromML(df.select(features), features)
-    gram = RowMatrix(old).computeGramianMatrix().toArray()
-    return Moments(
-        gram,
-        {r[label]: r["mean"].toArray() * r["n"] for r in per_class},
-        {r[label]: r["n"] for r in per_class},
+    def __sub__(self, other: "Moments") -> "Moments":
+        """Moments of the rows that are not in ``other``, a part of these."""
+        counts = {c: n - other.counts.get(c, 0) for c, n in self.counts.items()}
+        zero = np.zeros(self.gram.shape[0])
+        kept = [c for c, n in counts.items() if n > 0]
+        return Moments(
+            self.gram - other.gram, {c: self.sums[c] - other.sums.get(c, zero) for c in kept}, {c: counts[c] for c in kept}
+        )
+
+
+def moments_by(df: DataFrame, features: str, label: str, group: Column, groups: list) -> dict:
+    """Gram matrix, class sums and class sizes of each of the listed groups of a vector column; empty ones are left out.
+
+    One pass over the rows (a job): every task adds up its rows in NumPy, for
+    all groups at once, and passes on the lines of the matrices from the
+    diagonal on, which Spark adds line by line. There are no more tasks than
+    cores. Very wide matrices of many groups take a pass for as many groups as a
+    task can hold. Rows without a label or vector count nowhere.
+    """
+    parts = F.unwrap_udt(F.col(features))
+    rows = df.where(F.col(label).isNotNull() & F.col(features).isNotNull()).select(
+        group.cast("int").alias("g"), F.col(label).alias("c"), parts["indices"].alias("i"), parts["values"].alias("v"), parts["size"].alias("n")
     )
+    first = rows.select(F.coalesce("n", F.size("v")).alias("n")).first()
+    if first is None:
+        return {}
+    width = first["n"]
+    if width > MOST_FEATURES:
+        raise ValueError(f"vectors are wider than {MOST_FEATURES}")
+    at_once = max(MOST_HELD // (8 * width * width), 1)
+    found: dict = {}
+    for k in range(0, len(groups), at_once):
+        found |= _one_pass(rows.where(F.col("g").isin(groups[k : k + at_once])), width)
+    return found
+
+
+def _one_pass(rows: DataFrame, width: int) -> dict:
+    spark = rows.sparkSession
+    numbers = T.ArrayType(T.DoubleType())
+    fields = [T.StructField("g", T.IntegerType()), rows.schema["c"], T.StructField("k", T.IntegerType()), T.StructField("n", T.LongType())]
+    kinds = [pa.int32(), _arrow(rows.schema["c"].dataType), pa.int32(), pa.int64()]
+
+    def lines(g, c, first: int, n: int, arrays: list[np.ndarray]) -> pa.RecordBatch:
+        count = len(arrays)
+        heads = [[g] * count, [c] * count, list(range(first, first + count)), [n] * count]
+        offsets = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+        x = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays)))
+        return pa.RecordBatch.from_arrays([*[pa.array(h, k) for h, k in zip(heads, kinds)], x], ["g", "c", "k", "n", "x"])
+
+    def add_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams: dict = {}
+        sums: dict = {}
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS):
+                some = batch.slice(start, ROWS)
+                x = _dense(some, width)
+                group, label = some.column(0).to_pylist(), some.column(1).to_pylist()
+                members: dict = {}
+                for row, key in enumerate(zip(group, label)):
+                    members.setdefault(key, []).append(row)
+                for key, own in members.items():
+                    total, n = sums.get(key, (0.0, 0))
+                    sums[key] = (total + x[own].sum(axis=0), n + len(own))
+                for g in set(group):
+                    own = [r for r, other in enumerate(group) if other == g]
+                    product = x[own].T @ x[own]
+                    grams[g] = grams[g] + product if g in grams else product
+        if len(sums) > len(grams) * MOST_CLASSES:
+            raise ValueError(f"more than {MOST_CLASSES} classes")
+        for (g, c), (total, n) in sums.items():
+            yield lines(g, c, -1, n, [total])
+        for g, gram in grams.items():
+            for at in range(0, width, BLOCK):
+                yield lines(g, None, at, 0, [gram[i, i:] for i in range(at, min(at + BLOCK, width))])
+
+    partial = rows.coalesce(spark.sparkContext.defaultParallelism).mapInArrow(add_rows, T.StructType([*fields, T.StructField("x", numbers)]))
+    line = vector_to_array(Summarizer.sum(array_to_vector("x"))).alias("x")
+    added_up = cut_lineage(partial.groupBy("g", "c", "k").agg(F.sum("n").alias("n"), line), "moments")
+    out: dict = {}
+    for r in added_up.where("k < 0").limit(MOST_CLASSES * 1024).collect():
+        own = out.setdefault(r["g"], Moments(np.zeros((width, width)), {}, {}))
+        own.sums[r["c"]], own.counts[r["c"]] = np.array(r["x"]), r["n"]
+    if any(len(m.sums) > MOST_CLASSES for m in out.values()):
+        raise ValueError(f"more than {MOST_CLASSES} classes")
+    for g, own in out.items():  # one matrix at a time reaches the driver
+        table = added_up.where((F.col("g") == g) & (F.col("k") >= 0)).select("k", "x").toArrow()
+        for k, x in zip(table.column("k").to_pylist(), table.column("x")):
+            own.gram[k, k:] = own.gram[k:, k] = x.values.to_numpy()
+    return out
+
+
+def _arrow(kind: T.DataType) -> pa.DataType:
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    return to_arrow_type(kind)
+
+
+def _dense(batch: pa.RecordBatch, width: int) -> np.ndarray:
+    x = np.zeros((batch.num_rows, width))
+    indices, values = batch.column(2), batch.column(3)
+    if indices.null_count:
+        for row, (i, v) in enumerate(zip(indices.to_pylist(), values.to_pylist())):
+            x[row, slice(None) if i is None else i] = v
+        return x
+    counts = np.diff(indices.offsets.to_numpy())
+    x[np.repeat(np.arange(batch.num_rows), counts), indices.flatten().to_numpy()] = values.flatten().to_numpy()
+    return x
+
+
+def moments(df: DataFrame, features: str, label: str) -> Moments | None:
+    """Gram matrix, class sums and class sizes of a vector column (runs a job)."""
+    return moments_by(df, features, label, F.lit(0), [0]).get(0)
 
 
 @dataclass
@@ -137,13 +245,18 @@ def project(df: DataFrame, features: str, model: Discriminant, k: int = 2, names
     return out
 
 
-def predict(df: DataFrame, features: str, model: Discriminant, name: str = "predicted") -> DataFrame:
-    """Add the class of highest linear score (nearest mean with priors)."""
+def predicted_class(features: str, model: Discriminant) -> Column:
+    """The class of highest linear score (nearest mean with priors)."""
     scored = [
         F.struct((_dot(features, w) + F.lit(float(b))).alias("score"), F.lit(c).alias("label"))
         for c, w, b in zip(model.labels, model.coef, model.intercept)
     ]
-    return df.withColumn(name, F.array_max(F.array(*scored))["label"])
+    return F.array_max(F.array(*scored))["label"]
+
+
+def predict(df: DataFrame, features: str, model: Discriminant, name: str = "predicted") -> DataFrame:
+    """Add the class of highest linear score."""
+    return df.withColumn(name, predicted_class(features, model))
 
 
 def accuracy(df: DataFrame, label: str, predicted: str = "predicted") -> DataFrame:
@@ -159,8 +272,9 @@ def hash_split(df: DataFrame, key: str, train_percent: int = 20, folds: int = 5,
 
 
 def fold_moments(df: DataFrame, features: str, label: str, folds: int = 5) -> list:
-    """Moments of each fold (runs jobs). Sums of them serve every larger part."""
-    return [moments(df.where(F.col("fold") == f), features, label) for f in range(folds)]
+    """Moments of each fold, None for empty ones, in one pass (runs a job)."""
+    found = moments_by(df, features, label, F.col("fold"), list(range(folds)))
+    return [found.get(f) for f in range(folds)]
 
 
 def added(parts: list) -> Moments:
@@ -172,16 +286,28 @@ def added(parts: list) -> Moments:
     return total
 
 
+def fold_models(parts: list) -> dict:
+    """For each fold that has rows, the discriminant of all the others: their total less the fold."""
+    present = {f: p for f, p in enumerate(parts) if p is not None}
+    if len(present) < 2:
+        return {}
+    total = added(list(present.values()))
+    trained = {f: total - own for f, own in present.items()}
+    return {f: solve(m) for f, m in trained.items() if len(m.sums) > 1}
+
+
+def held_out_accuracies(df: DataFrame, features: str, label: str, models: dict, group: Column) -> dict:
+    """Share of right predictions of each group by its own model, all in one pass (runs a job)."""
+    right = F.lit(None).cast("boolean")
+    for g, model in models.items():
+        right = F.when(group == g, F.col(label) == predicted_class(features, model)).otherwise(right)
+    if not models:
+        return {}
+    per = df.where(group.isin(list(models))).groupBy(group.alias("g")).agg(F.avg(right.cast("double")).alias("accuracy"))
+    return {r["g"]: r["accuracy"] for r in per.collect()}
+
+
 def cross_validate(df: DataFrame, features: str, label: str, parts: list) -> list[float]:
-    """Accuracy on each held-out fold, fitted on the moments of the others (runs jobs)."""
-    out = []
-    for f, own in enumerate(parts):
-        others = [p for g, p in enumerate(parts) if g != f and p is not None]
-        if own is None or not others:
-            continue
-        fitted = added(others)
-        if len(fitted.sums) < 2:
-            continue
-        held = predict(df.where(F.col("fold") == f), features, solve(fitted))
-        out.append(accuracy(held, label).first()["accuracy"])
-    return out
+    """Accuracy on each held-out fold, fitted on the moments of the others (runs a job)."""
+    found = held_out_accuracies(df, features, label, fold_models(parts), F.col("fold"))
+    return [found[f] for f in sorted(found)]

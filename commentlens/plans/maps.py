@@ -104,17 +104,19 @@ def author_separation(
     """Discriminant coordinates of all rows, and the accuracies (runs jobs).
 
     The coordinates are fitted on all rows. The accuracy frame has one row per
-    measure: each validation fold of the training part, and the test part.
+    measure: each validation fold of the training part, and the test part. One
+    pass over the vectors gives the statistics of all folds and of the test
+    part, from which every model is solved; one more gives all accuracies.
     """
     split = ld.hash_split(vectors, key, train_percent, folds)
-    train, test = (split.where(F.col("part") == part) for part in ("train", "test"))
-    parts = ld.fold_moments(train, features, label, folds)
-    of_train = ld.added(parts)
-    held_out = ld.accuracy(ld.predict(test, features, ld.solve(of_train)), label)
-    measures = held_out.select(F.lit("test").alias("measure"), "accuracy")
-    for i, value in enumerate(ld.cross_validate(train, features, label, parts)):
-        row = vectors.sparkSession.range(1).select(F.lit(f"fold {i}").alias("measure"), F.lit(float(value)).alias("accuracy"))
-        measures = measures.unionByName(row)
-    of_all = ld.added([of_train, ld.moments(test, features, label)])
-    placed = ld.project(vectors, features, ld.solve(of_all), k)
+    group = F.when(F.col("part") == "train", F.col("fold")).otherwise(folds)  # the test part is the last group
+    found = ld.moments_by(split, features, label, group, list(range(folds + 1)))
+    of_folds = [found.get(f) for f in range(folds)]
+    models = ld.fold_models(of_folds)
+    if any(p is not None for p in of_folds):
+        models[folds] = ld.solve(ld.added(of_folds))
+    accuracies = ld.held_out_accuracies(split, features, label, models, group)
+    rows = [("test" if g == folds else f"fold {g}", float(a)) for g, a in sorted(accuracies.items())]
+    measures = vectors.sparkSession.createDataFrame(rows, "measure STRING, accuracy DOUBLE")
+    placed = ld.project(vectors, features, ld.solve(ld.added(list(found.values()))), k)
     return placed.select(key, label, *[f"LD_{i + 1}" for i in range(k)]), measures

@@ -192,3 +192,41 @@ def test_split_and_folds(spark):
     assert parts["train"] + parts["test"] == 300 and parts["train"] > parts["test"]
     scores = ld.cross_validate(df, "features", "label", ld.fold_moments(df, "features", "label"))
     assert len(scores) == 5 and min(scores) > 0.8
+
+
+def test_one_pass_gives_all_folds(spark, monkeypatch):
+    df = ld.hash_split(_labelled(spark, 200), "id", 80).withColumn("fold", F.when(F.col("fold") == 3, 2).otherwise(F.col("fold")))
+    df = df.unionByName(df.limit(1).withColumn("label", F.lit(None).cast("string")))
+    rows = [r for r in df.collect() if r["label"] is not None]
+    for held in (ld.MOST_HELD, 700):  # all folds in a pass, then two at a time
+        monkeypatch.setattr(ld, "MOST_HELD", held)
+        parts = ld.fold_moments(df, "features", "label")
+        assert parts[3] is None
+        for f in (0, 1, 2, 4):
+            x = np.array([r["features"].toArray() for r in rows if r["fold"] == f])
+            labels = np.array([r["label"] for r in rows if r["fold"] == f])
+            assert np.allclose(parts[f].gram, x.T @ x)
+            assert parts[f].counts == {c: int((labels == c).sum()) for c in set(labels)}
+            assert all(np.allclose(parts[f].sums[c], x[labels == c].sum(axis=0)) for c in set(labels))
+    whole = ld.moments(df, "features", "label")
+    assert np.allclose(whole.gram, ld.added(parts).gram)
+
+
+def test_accuracies_equal_the_sequential_ones(spark):
+    df = ld.hash_split(_labelled(spark, 300), "id", 80)
+    parts = ld.fold_moments(df, "features", "label")
+    one_by_one = []
+    for f in range(5):
+        others = ld.added([p for g, p in enumerate(parts) if g != f])
+        held = ld.predict(df.where(F.col("fold") == f), "features", ld.solve(others))
+        one_by_one.append(ld.accuracy(held, "label").first()["accuracy"])
+    assert ld.cross_validate(df, "features", "label", parts) == one_by_one
+
+
+def test_dense_vectors_count_too(spark):
+    rows = [(i, "ab"[i % 2], Vectors.dense([i, 1.0, 0.0]) if i % 3 else Vectors.sparse(3, {0: float(i)})) for i in range(9)]
+    found = ld.moments(spark.createDataFrame(rows, ["id", "label", "features"]), "features", "label")
+    x = np.array([r[2].toArray() for r in rows])
+    assert np.allclose(found.gram, x.T @ x) and found.counts == {"a": 5, "b": 4}
+    none = spark.createDataFrame(rows, ["id", "label", "features"]).where("id < 0")
+    assert ld.moments(none, "features", "label") is None

@@ -43,7 +43,8 @@ def concat_parts(
 
     Reading the parts of a group in order of ``part`` and joining them with
     ``sep`` gives the whole text. A part is at most ``rows_per_part`` rows, so a
-    huge group becomes many bounded cells and never one unbounded cell.
+    huge group becomes many bounded cells and never one unbounded cell; the
+    parts of a group are gathered by group and part, so by many tasks.
     """
     held = df.where(F.col(text).isNotNull()).select(group, text, *[c for c in order if c not in (group, text)])
     placed = number_within(held, group, order, "_position")

@@ -11,6 +11,23 @@ from commentlens.session import cut_lineage
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
+def _placed(df: DataFrame, order: list[str | Column]) -> DataFrame:
+    """Rows range-partitioned and sorted, with their partition ``_part`` and place in it ``_place``, written once (runs a job)."""
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    stored = cut_lineage(
+        df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id()),
+        "numbered",
+    )
+    place = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return stored.withColumns({"_part": F.shiftright("_place", _ROW_BITS), "_place": place})
+
+
+def _offsets(sizes: DataFrame) -> DataFrame:
+    """Rows before each partition: ``_part, _before``. One row per range partition, so it is bounded by that setting."""
+    before = F.sum("_size").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
+    return sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+
+
 def number_rows(df: DataFrame, order: list[str | Column], name: str = "row_no") -> DataFrame:
     """Number the rows 1, 2, ... in ``order`` (runs a job).
 
@@ -19,22 +36,10 @@ def number_rows(df: DataFrame, order: list[str | Column], name: str = "row_no")
     written once, so sizes and places always come from the same layout. Only
     one size per partition is gathered.
     """
-    spark = df.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    placed = cut_lineage(
-        df.repartitionByRange(parts, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_place", F.monotonically_increasing_id()),
-        "numbered",
-    )
-    part = F.shiftright("_place", _ROW_BITS)
-    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
-    before = F.sum("_size").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
-    offsets = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
-    # One row per range partition, so this side is bounded by the setting above.
-    numbered = placed.join(F.broadcast(offsets), part == F.col("_part"))
-    place = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return numbered.withColumn(name, F.col("_before") + place + 1).drop("_place", "_part", "_before")
+    placed = _placed(df, order)
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    numbered = placed.join(F.broadcast(_offsets(sizes)), "_part")
+    return numbered.withColumn(name, F.col("_before") + F.col("_place") + 1).drop("_place", "_part", "_before")
 
 
 def dense_codes(df: DataFrame, key: str, name: str = "code") -> DataFrame:
@@ -48,12 +53,19 @@ def with_dense_code(df: DataFrame, key: str, name: str = "code") -> DataFrame:
 
 
 def number_within(df: DataFrame, group: str, order: list[str], name: str = "position") -> DataFrame:
-    """Number the rows of each group 1, 2, ... in ``order`` (runs a job).
+    """Number the rows of each group 1, 2, ... in ``order`` (runs a job); rows without a group are left out.
 
-    A large group spreads over several range partitions; its first global
-    number is subtracted, which one small aggregate per group provides.
+    A large group spreads over several range partitions and stays spread: its
+    rows meet the group's first number by partition *and* group, never by group
+    alone. What is gathered by group is one row per partition that holds it.
     """
-    numbered = cut_lineage(number_rows(df, [group, *order], "_global"), "positions")
-    starts = numbered.groupBy(group).agg(F.min("_global").alias("_start"))
-    joined = numbered.join(starts, group)
-    return joined.withColumn(name, F.col("_global") - F.col("_start") + 1).drop("_global", "_start")
+    placed = _placed(df.where(F.col(group).isNotNull()), [group, *order])
+    pieces = cut_lineage(
+        placed.groupBy("_part", group).agg(F.count(F.lit(1)).alias("_size"), F.min("_place").alias("_first")), "pieces"
+    )
+    sizes = pieces.groupBy("_part").agg(F.sum("_size").alias("_size"))
+    located = pieces.join(F.broadcast(_offsets(sizes)), "_part")
+    starts = located.groupBy(group).agg(F.min(F.col("_before") + F.col("_first")).alias("_start"))
+    known = located.join(starts, group).select("_part", group, (F.col("_before") - F.col("_start")).alias("_shift"))
+    joined = placed.join(known, ["_part", group])
+    return joined.withColumn(name, F.col("_place") + F.col("_shift") + 1).drop("_place", "_part", "_shift")

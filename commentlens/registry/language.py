@@ -11,6 +11,7 @@ from commentlens.functions import text as words
 from commentlens.functions.stopwords import NLTK_ENGLISH, SNOWBALL_ENGLISH
 from commentlens.operators import aggregate as ag
 from commentlens.operators import numbering as nb
+from commentlens.operators import reshape as rs
 from commentlens.operators import terms
 from commentlens.plans import language as lang
 from commentlens.registry import views as v
@@ -94,6 +95,21 @@ entry(
     + ", ".join(f"coalesce(max(CASE WHEN author = '{a}' THEN freq END), 0.0::DOUBLE) AS {a}" for a in WIDE)
     + f" FROM f WHERE author IN ({v.sql_list(WIDE)}) GROUP BY 1",
 )(lambda s, d: _round(lang.word_frequencies(v.texts(s, d), author_ids=WIDE, wide=True), *WIDE))
+# The word vectors of all authors, joined outer: a column per author, words that one lacks are zero there.
+SOURCES = [f"src{i}" for i in range(20)]
+entry(
+    "j06_outer_word_vectors",
+    FREQ
+    + "SELECT word, "
+    + ", ".join(f"coalesce(max(CASE WHEN author = '{a}' THEN freq END), 0.0::DOUBLE) AS {a}" for a in SOURCES)
+    + " FROM f GROUP BY 1",
+)(lambda s, d: _vectors(s, d))
+
+
+def _vectors(s, d):
+    shares = _round(lang.word_frequencies(v.texts(s, d)), "freq")
+    return rs.pivot_sum(shares, "word", "author", SOURCES, "freq", 0.0)
+
 
 # --- document-term matrices ---------------------------------------------------------
 

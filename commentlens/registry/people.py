@@ -211,31 +211,20 @@ entry("j04_semi_busy_authors", RIGHT + "SELECT event_id AS id, user_id AS author
 entry("j05_anti_known_keys", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")(
     lambda s, d: jn.non_members(v.table(s, d, "documents").select("doc_id"), ["doc_id"], v.table(s, d, "labels"))
 )
-entry(
-    "j06_outer_word_vectors",
-    v.with_clause(v.EDGES)
-    + """SELECT liker_id, CAST(sum(CASE WHEN author_id = 1 THEN 1 ELSE 0 END) AS BIGINT) AS a1,
-      CAST(sum(CASE WHEN author_id = 2 THEN 1 ELSE 0 END) AS BIGINT) AS a2,
-      CAST(sum(CASE WHEN author_id = 3 THEN 1 ELSE 0 END) AS BIGINT) AS a3
-    FROM edges WHERE author_id IN (1, 2, 3) GROUP BY 1""",
-)(lambda s, d: _outer(s, d))
-
-
-def _outer(s, d):
-    chosen = _pairs(s, d).where(F.col("author_id").isin([1, 2, 3]))
-    wide = rs.pivot_sum(chosen, "liker_id", "author_id", [1, 2, 3], "like_count", 0)
-    return wide.select("liker_id", F.col("1").alias("a1"), F.col("2").alias("a2"), F.col("3").alias("a3"))
-
-
 entry("j07_both_names", LIKES + "SELECT author_id, author_name, liker_id, liker_name, like_count FROM named")(_named)
+# Customers from the richest down beside suppliers by name; the shorter table ends in nulls.
 entry(
     "j10_columns_side_by_side",
-    "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer",
-)(lambda s, d: v.table(s, d, "customer").select(
-    "c_custkey",
-    F.struct("c_name").alias("a"),
-    F.struct("c_acctbal", "c_mktsegment").alias("b"),
-).select("c_custkey", "a.*", "b.*"))
+    """WITH c AS (SELECT c_custkey AS key, c_acctbal, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) - 1 AS place FROM customer),
+    s AS (SELECT s_suppkey AS key, s_name, row_number() OVER (ORDER BY s_name) - 1 AS place FROM supplier)
+    SELECT place, c.key, c_acctbal, s.key AS key_2, s_name FROM c FULL JOIN s USING (place)""",
+)(lambda s, d: rs.side_by_side(
+    v.table(s, d, "customer").select(F.col("c_custkey").alias("key"), "c_acctbal"),
+    v.table(s, d, "supplier").select(F.col("s_suppkey").alias("key"), "s_name"),
+    [F.desc("c_acctbal"), F.asc("key")],
+    ["s_name"],
+    position="place",
+))
 entry(
     "j01_hot_key_join",
     "SELECT o.o_orderkey, o.o_orderpriority, c.c_name FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey",

@@ -1,5 +1,6 @@
 """Relational operators on small frames, with skew, ties and gaps."""
 
+import re
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -310,3 +311,44 @@ def test_search_windows_meet_by_equality(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     first = {r["ft_id"]: (r["topic"], r["month"].month) for r in series.first_search(found).collect()}
     assert first == {1: ("t", 1), 2: ("u", 1), 3: ("u", 3)}
+
+
+# --- spread groups, tables side by side ------------------------------------------------------
+
+
+def test_a_hot_author_is_concatenated_by_many_tasks(spark):
+    n = 4000
+    df = spark.range(n).select(F.when(F.col("id") % 10 == 0, F.concat(F.lit("a"), F.col("id") % 70)).otherwise("hot").alias("g"), "id",
+                               F.concat(F.lit("<"), "id", F.lit(">")).alias("t"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, value in settings.items():
+        spark.conf.set(k, value)
+    found = ag.concat_parts(df, "g", "t", ["id"], 50)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    keys = [re.sub(r"#\d+L?", "", line.split("hashpartitioning(")[1].split(", ENSURE")[0]) for line in plan.split("\n") if "hashpartitioning(" in line]
+    tasks = found.where("g = 'hot'").groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+    for k, value in before.items():
+        spark.conf.set(k, value)
+    # the texts are dealt by group and part, and before by range partition and group
+    texts = [k for k in keys if k.startswith(("g, _groupingexpression", "g, part", "_part, g"))]
+    assert len(texts) >= 2 and keys[0].startswith("g, ") and not keys[0].startswith("g, 4"), keys
+    assert len(tasks) > 1 and max(r["n"] for r in tasks) < 72
+    text = "".join(r["text"] for r in found.where("g = 'hot'").orderBy("part").collect())
+    assert text == "".join(f"<{i}>" for i in range(n) if i % 10)
+
+
+@pytest.mark.parametrize("a, b", [(50, 20), (3, 40), (0, 5), (7, 7), (0, 0)])
+def test_side_by_side(spark, a, b):
+    from commentlens.operators.reshape import side_by_side
+
+    left = spark.range(a).select(F.col("id").alias("k"), (-F.col("id")).alias("x")).repartition(3)
+    right = spark.range(b).select(F.col("id").alias("k"), F.lit("r").alias("y"))
+    got = side_by_side(left, right, [F.desc("k")], ["k"], position="at").collect()
+    want = []
+    for i in range(max(a, b)):
+        k = a - 1 - i if i < a else None
+        want.append((i, k, -k if k is not None else None, i if i < b else None, "r" if i < b else None))
+    assert sorted(tuple(r) for r in got) == want
+    with pytest.raises(ValueError, match="clash"):
+        side_by_side(left.withColumn("k_2", F.lit(1)), right, ["k"], ["k"])

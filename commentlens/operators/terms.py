@@ -28,12 +28,56 @@ def word_counts(df: DataFrame, doc: str, tokens: Column, word: str = "word") ->
 
 
 def stem_counts(counts: DataFrame, doc: str, rules: str) -> DataFrame:
-    """Stem counted words and add up the words that share a stem."""
-    return (
-        counts.withColumn("word", stemming.stem(F.col("word"), rules))
-        .groupBy(doc, "word")
-        .agg(F.sum("n").alias("n"))
-    )
+    """Stem counted words and add up the words that share a stem (stores the counts and the stem dictionary once)."""
+    counts = once(counts, "counts")
+    stems = once(stemming.dictionary(counts, rules), "stems")
+    return counts.join(stems, "word").groupBy(doc, F.col("stem").alias("word")).agg(F.sum("n").alias("n"))
+
+
+def stem_lists(df: DataFrame, tokens: str, rules: str) -> DataFrame:
+    """Stem the elements of a token list, keeping their order (stores the rows and the stem dictionary once).
+
+    Each row gets the part of the dictionary that it needs, so no row's tokens
+    are put in order anew and no dictionary is broadcast.
+    """
+    rows = once(df.withColumn("_row", F.monotonically_increasing_id()), "lists")
+    found = rows.select("_row", F.explode(F.array_distinct(tokens)).alias("word"))
+    stems = once(stemming.dictionary(found, rules), "stems")
+    own = found.join(stems, "word").groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("word", "stem"))).alias("_stems"))
+    looked_up = F.transform(tokens, lambda w: F.try_element_at("_stems", w))
+    return rows.join(own, "_row", "left").withColumn(tokens, looked_up).drop("_row", "_stems")
+
+
+MOST_STOPPED = 20_000  # words that a list of stop stems stands for
+
+
+def _stemmed_grams(rows: DataFrame, docs: list[str], order: list[str], n: int, stop: list[str] | None, rules: str) -> DataFrame:
+    """Counts of n-grams of stems from token rows, without stemming any token in its row.
+
+    Stop stems are turned into the words of the corpus that have them, so words
+    can be left out before n-grams are built; the n-grams are counted by words,
+    and their words are stemmed by the dictionary.
+    """
+    rows = once(rows, "tokens")
+    stems = once(stemming.dictionary(rows.select(F.explode("_tokens").alias("word")), rules), "stems")
+    if stop:
+        words_of = stems.where(F.col("stem").isin(stop)).select("word").limit(MOST_STOPPED + 1).collect()
+        if len(words_of) > MOST_STOPPED:
+            listed = stem_lists(rows, "_tokens", rules).withColumn("_tokens", words.without("_tokens", stop))
+            return _grams(listed, docs, order, n).groupBy(*docs, "term").agg(F.count(F.lit(1)).alias("n"))
+        rows = rows.withColumn("_tokens", words.without("_tokens", [r[0] for r in words_of]))
+    counted = _grams(rows, docs, order, n).groupBy(*docs, "term").agg(F.count(F.lit(1)).alias("n"))
+    for i in range(n):
+        own = stems.select(F.col("word").alias(f"_w{i}"), F.col("stem").alias(f"_s{i}"))
+        counted = counted.withColumn(f"_w{i}", F.split("term", " ")[i]).join(own, f"_w{i}")
+    gram = F.concat_ws(" ", *[f"_s{i}" for i in range(n)]).alias("term")
+    return counted.groupBy(*docs, gram).agg(F.sum("n").alias("n"))
+
+
+def _grams(rows: DataFrame, docs: list[str], order: list[str], n: int) -> DataFrame:
+    if order:
+        return grams_across(once(rows, "tokens"), docs, "_tokens", order, n)
+    return one_word_per_row(rows, words.ngrams("_tokens", n), docs, "term")
 
 
 def drop_words(counts: DataFrame, stop: list[str] | DataFrame) -> DataFrame:
@@ -155,6 +199,7 @@ def gram_counts(
 ) -> DataFrame:
     """n-gram counts ``(docs..., term, n)`` of stemmed, stop-filtered texts.
 
+    Stems come from a dictionary of the distinct words (stored, with the tokens).
     n-grams are built inside each comment, so no ordering shuffle is needed.
     ``across`` names the columns that put the comments of a document in order;
     then n-grams run on from one comment to the next (stores the tokens once).
@@ -165,15 +210,12 @@ def gram_counts(
         tokens = words.without(tokens, stop)
     order = [c for c in across or [] if c not in docs]
     rows = df.select(*docs, *order, tokens.alias("_tokens"))
+    after = stop if stop and not stop_before_stem else None
     if stem_rules:
-        rows = rows.withColumn("_tokens", stemming.stem_tokens(F.col("_tokens"), stem_rules))
-    if stop and not stop_before_stem:
-        rows = rows.withColumn("_tokens", words.without("_tokens", stop))
-    if across:
-        grams = grams_across(once(rows, "tokens"), docs, "_tokens", across, n)
-    else:
-        grams = one_word_per_row(rows, words.ngrams("_tokens", n), docs, "term")
-    return grams.groupBy(*docs, "term").agg(F.count(F.lit(1)).alias("n"))
+        return _stemmed_grams(rows, docs, order, n, after, stem_rules)
+    if after:
+        rows = rows.withColumn("_tokens", words.without("_tokens", after))
+    return _grams(rows, docs, order, n).groupBy(*docs, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def cap_terms(counts: DataFrame, most: int) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from commentlens.functions import clock
 from commentlens.functions import text as words
-from commentlens.functions.stem import stem_tokens
 from commentlens.functions.stopwords import NLTK_ENGLISH
 from commentlens.operators import discriminant as ld
 from commentlens.operators import terms
@@ -92,7 +91,9 @@ def labelled_vectors(
     (term statistics, class means, Gram matrices, folds) reads them again.
     """
     tokens = words.split_blanks(F.lower(words.normalise(body)))
-    rows = df.withColumn("_tokens", stem_tokens(tokens, "porter") if stem else tokens)
+    rows = df.withColumn("_tokens", tokens)
+    if stem:
+        rows = terms.stem_lists(rows, "_tokens", "porter")
     grams = words.ngrams(words.without("_tokens", NLTK_ENGLISH if stop is None else stop), n)
     listed = cut_lineage(rows.withColumn("_grams", grams).drop("_tokens", body), "grams")
     return cut_lineage(ld.vectorise(listed, "_grams", max_features).drop("_grams"), "vectors")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from commentlens.functions import clock, links
 from commentlens.functions import text as words
-from commentlens.functions.stem import stem, stem_tokens
+from commentlens.functions.stem import dictionary, dictionary_sql
 from commentlens.functions.stopwords import NLTK_ENGLISH, SNOWBALL_ENGLISH, stopword_table
 from commentlens.operators import joins as jn
 from commentlens.operators import terms
@@ -195,17 +195,26 @@ entry(
 
 # --- stems and stop lists ------------------------------------------------------------
 
-entry("x01_porter_stems")(lambda s, d: _stems(s, d, "porter"))
-entry("x01_english_stems")(lambda s, d: _stems(s, d, "english"))
-entry("x01_stem_in_place")(lambda s, d: v.wide_table(s, d, "documents").select(
-    "doc_id", F.array_join(stem_tokens(words.split_words("text")), " ").alias("stems")
-))
+TOKENS_SQL = f"src AS (SELECT doc_id, unnest({v.SQL_SPLIT.format('text')}) AS w, generate_subscripts({v.SQL_SPLIT.format('text')}, 1) AS i FROM documents)"
+
 
+def _stems_sql(rules):
+    return f"WITH {TOKENS_SQL},\n{dictionary_sql('src', rules)}\n"
 
-def _stems(s, d, rules):
-    distinct = terms.one_word_per_row(v.texts(s, d), words.split_words("bodyHtml"), []).distinct()
-    return distinct.select("word", stem(F.col("word"), rules).alias("stem"))
 
+for rules in ("porter", "english"):
+    entry(f"x01_{rules}_stems", _stems_sql(rules) + "SELECT w AS word, stem FROM dict")(
+        lambda s, d, rules=rules: dictionary(
+            terms.one_word_per_row(v.texts(s, d), words.split_words("bodyHtml"), []), rules
+        )
+    )
+entry(
+    "x01_stem_in_place",
+    _stems_sql("porter") + """SELECT d.doc_id, coalesce(stems, '') AS stems FROM documents d
+    LEFT JOIN (SELECT doc_id, string_agg(stem, ' ' ORDER BY i) AS stems FROM src JOIN dict USING (w) GROUP BY 1) x USING (doc_id)""",
+)(lambda s, d: terms.stem_lists(
+    v.wide_table(s, d, "documents").select("doc_id", words.split_words("text").alias("stems")), "stems", "porter"
+).select("doc_id", F.array_join("stems", " ").alias("stems")))
 
 NLTK_SQL = v.sql_list(NLTK_ENGLISH)
 entry(

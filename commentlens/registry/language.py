@@ -1,6 +1,6 @@
 """Registered queries on words and weights, with their SQL.
 
-Stemmed results have no SQL form; the same plans run unstemmed for the check.
+The rules of the stem dictionary are the same text in both engines.
 """
 
 from __future__ import annotations
@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from commentlens.functions import text as words
+from commentlens.functions.stem import dictionary_sql
 from commentlens.functions.stopwords import NLTK_ENGLISH, SNOWBALL_ENGLISH
 from commentlens.operators import aggregate as ag
 from commentlens.operators import numbering as nb
@@ -71,7 +72,13 @@ TOP30 = TIDY + """SELECT authorId, word, n, tf_idf FROM r
   QUALIFY rank() OVER (PARTITION BY authorId ORDER BY tf_idf DESC) <= 30"""
 for name in ("x06_top_terms_per_author", "q12_signature_terms"):
     entry(name, TOP30)(lambda s, d: lang.signature_terms(v.texts(s, d), stem=False, digits=DIGITS))
-entry("q12_signature_terms_stemmed")(lambda s, d: lang.signature_terms(v.texts(s, d), digits=DIGITS))
+STEMMED = TIDY.replace(
+    f"c AS (SELECT authorId, word, count(*) AS n FROM t WHERE word NOT IN ({SNOWBALL}) GROUP BY 1, 2)",
+    f"""src AS (SELECT DISTINCT word AS w FROM t),
+  {dictionary_sql('src', 'english')},
+  c AS (SELECT authorId, stem AS word, count(*) AS n FROM t JOIN dict ON w = word WHERE stem NOT IN ({SNOWBALL}) GROUP BY 1, 2)""",
+)
+entry("q12_signature_terms_stemmed", STEMMED + TOP30.removeprefix(TIDY))(lambda s, d: lang.signature_terms(v.texts(s, d), digits=DIGITS))
 entry("x07_terms_of_one_author", f"SELECT * FROM ({TOP30}) WHERE authorId = 'src1'")(
     lambda s, d: lang.signature_terms(v.texts(s, d), stem=False, digits=DIGITS).where(F.col("authorId") == "src1")
 )
@@ -230,7 +237,16 @@ entry(
     GRAMS + """, c AS (SELECT term, sum(n) AS t FROM g GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 2000)
     SELECT authorId, term, n FROM g WHERE term IN (SELECT term FROM c)""",
 )(lambda s, d: terms.cap_terms(_grams(s, d), 2000).select("authorId", "term", "n"))
-entry("x08_stemmed_tfidf")(lambda s, d: terms.smoothed_tfidf(_grams(s, d, 1, "porter"), "authorId"))
+STEM_TOKENS = f"""WITH src AS (SELECT doc_id, source AS authorId, unnest({TOKENS}) AS w, generate_subscripts({TOKENS}, 1) AS i FROM documents),
+  {dictionary_sql('src', 'porter')},
+  k AS (SELECT authorId, doc_id, list(stem ORDER BY i) AS toks FROM src JOIN dict USING (w) WHERE stem NOT IN ({NLTK}) GROUP BY 1, 2)"""
+STEM_WORDS = STEM_TOKENS + ", g AS (SELECT authorId, term, count(*) AS n FROM (SELECT authorId, unnest(toks) AS term FROM k) GROUP BY 1, 2)\n"
+STEM_GRAMS = STEM_TOKENS + GRAMS[GRAMS.index(",\n  b AS"):]
+entry(
+    "x08_stemmed_tfidf",
+    STEM_WORDS + SMOOTH.removeprefix(GRAMS) + f"SELECT authorId, term, round(w / nrm, {DIGITS}) AS w FROM r JOIN nrm USING (authorId)",
+)(lambda s, d: _round(terms.smoothed_tfidf(_grams(s, d, 1, "porter"), "authorId"), "w"))
+entry("x08_stemmed_bigram_counts", STEM_GRAMS + "SELECT authorId, term, n FROM g")(lambda s, d: _grams(s, d, 2, "porter"))
 entry(
     "x09_author_documents",
     f"""WITH c AS (SELECT source FROM documents GROUP BY 1 HAVING count(*) > 20),

@@ -5,10 +5,10 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from commentlens.functions import clock, links
+from commentlens.functions import clock, links, stem
 from commentlens.functions import text as words
-from commentlens.functions.stem import english, porter, stem, stem_tokens
 from commentlens.functions.stopwords import NLTK_ENGLISH, SNOWBALL_ENGLISH, stopword_table
+from tests.stemmers import STEMMERS
 
 
 def values(spark, rows, fn, kind="string"):
@@ -107,12 +107,46 @@ ENGLISH = {
 }
 
 
-def test_stems(spark):
-    assert {w: porter(w) for w in PORTER} == PORTER
-    assert {w: english(w) for w in ENGLISH} == ENGLISH
-    assert values(spark, [*PORTER, None], lambda c: stem(F.col(c))) == [*PORTER.values(), None]
-    got = values(spark, [list(ENGLISH), None, []], lambda c: stem_tokens(F.col(c), "english"), "array<string>")
-    assert got == [list(ENGLISH.values()), None, []]
+def _dictionary(spark, listed, rules):
+    df = spark.createDataFrame([(w,) for w in listed], "word STRING")
+    return {r["word"]: r["stem"] for r in stem.dictionary(df, rules).collect()}
+
+
+def test_known_stems(spark):
+    assert _dictionary(spark, [*PORTER, *PORTER, None], "porter") == PORTER
+    assert _dictionary(spark, ENGLISH, "english") == ENGLISH
+
+
+@pytest.mark.parametrize("rules", ["porter", "english"])
+def test_rewrites_equal_the_word_by_word_rules(spark, rules):
+    import random
+
+    import duckdb
+    import pandas as pd
+
+    rnd = random.Random(8)
+    pairs = stem.PORTER_STEP2 + stem.PORTER_STEP3 + stem.P2_STEP2 + stem.P2_STEP3
+    ends = [s for s, _ in pairs] + stem.PORTER_STEP4 + stem.P2_STEP4
+    ends += "s es ied ies sses ed ing eed eedly edly ingly y ly e ll 's ' 's' us ss ative logi ogi li ion sion at bl iz".split()
+    listed = {*stem.PORTER_IRREGULAR, *stem.P2_EXCEPTIONS, *stem.P2_KEEP_AFTER_1A, "’tis", "don’t", "'s", "''", "Running", "'yy", "yyy", "ayyed", ""}
+    listed |= {p + s for p in stem.P2_R1_PREFIXES for s in ends}
+    for _ in range(8000):
+        word = "".join(rnd.choice("aeiouybcdlmnrstwxyzég") for _ in range(rnd.randint(0, 6)))
+        listed.add(word + "".join(rnd.choice(ends) for _ in range(rnd.randint(0, 2))))
+    want = {w: STEMMERS[rules](w) for w in listed}
+    assert _dictionary(spark, listed, rules) == want
+    con = duckdb.connect()
+    con.register("src", pd.DataFrame({"w": sorted(listed)}))
+    assert dict(con.execute(f"WITH {stem.dictionary_sql('src', rules)} SELECT w, stem FROM dict").fetchall()) == want
+
+
+def test_lists_keep_their_order(spark):
+    from commentlens.operators.terms import stem_lists
+
+    rows = [(1, list(ENGLISH) * 2), (2, None), (3, []), (4, ["ties", "dies"])]
+    df = spark.createDataFrame(rows, "id INT, t ARRAY<STRING>")
+    got = {r["id"]: r["t"] for r in stem_lists(df, "t", "english").collect()}
+    assert got == {1: list(ENGLISH.values()) * 2, 2: None, 3: [], 4: ["tie", "die"]}
 
 
 def test_stop_lists(spark):

@@ -1,6 +1,6 @@
 """Registered queries on matrices.
 
-Products of rows, and the ratios of leading components by power iteration, have
+Products of rows, and leading components by powers of their matrix, have
 an SQL form; the rest is compared with NumPy in unit tests.
 """
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from commentlens.functions.stem import dictionary_sql
 from commentlens.operators import discriminant as ld
 from commentlens.operators import gram
 from commentlens.operators.lowrank import dense_components
@@ -34,20 +35,12 @@ def _map(s, d):
     return maps.author_map(v.texts(s, d), None, YEARS, min_comments=1)
 
 
-entry("q14_author_map")(lambda s, d: _map(s, d)[0])
-entry("p08_explained_ratios")(lambda s, d: _map(s, d)[1])
 entry("p08_dense_components")(lambda s, d: dense_components(
     v.table(s, d, "embeddings").select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features")),
     "features",
 ))
 entry("p13_word_space")(lambda s, d: maps.word_space(lang.word_frequencies(v.texts(s, d)), 15)[0])
 entry("p13_explained_ratios")(lambda s, d: maps.word_space(lang.word_frequencies(v.texts(s, d)), 15)[1])
-entry("p16_named_map")(lambda s, d: maps.map_of_year(
-    _map(s, d)[0],
-    v.wide_table(s, d, "documents").select(F.col("source").alias("author_id"), F.upper("source").alias("displayName")).distinct(),
-    2016,
-))
-
 
 def _vectors(s, d):
     return maps.labelled_vectors(v.wide_table(s, d, "documents").select("doc_id", "lang", "text"), "text", 2, 2000)
@@ -83,46 +76,94 @@ YEARLY = f"""WITH RECURSIVE t AS (SELECT doc_id, source AS r, year(DATE '2014-01
   nrm AS (SELECT s, r, sqrt(sum(w * w)) AS nrm FROM raw GROUP BY ALL),
   cells AS (SELECT s, r, c, w / nrm AS w FROM raw JOIN nrm USING (s, r)),
   listed AS (SELECT s, r FROM busy)"""
+# The same with stems, as the map is made by default.
+STEMMED = f"""WITH RECURSIVE t AS (SELECT doc_id, source AS r, year(DATE '2014-01-01' + CAST((doc_id * 97) % 1826 AS INT)) AS s, {TOKENS} AS all_toks
+    FROM documents),
+  busy AS (SELECT s, r FROM t GROUP BY 1, 2 HAVING count(*) > 1),
+  src AS (SELECT s, r, doc_id, unnest(all_toks) AS w, generate_subscripts(all_toks, 1) AS i FROM t JOIN busy USING (s, r)),
+  {dictionary_sql('src', 'porter')},
+  k AS (SELECT s, r, doc_id, list(stem ORDER BY i) AS toks FROM src JOIN dict USING (w) WHERE stem NOT IN ({NLTK}) GROUP BY 1, 2, 3)""" + YEARLY[
+    YEARLY.index(",\n  b AS") :
+]
 SHARES = "WITH RECURSIVE " + FREQ.removeprefix("WITH ").rstrip() + """,
   cells AS (SELECT 0 AS s, author AS r, word AS c, freq AS w FROM f), listed AS (SELECT DISTINCT s, r FROM cells)"""
 PAIRED = """,
   pair AS (SELECT x.s, x.r AS ra, y.r AS rb, sum(x.w * y.w) AS g FROM cells x JOIN cells y ON x.s = y.s AND x.c = y.c GROUP BY ALL)
 """
-PASSES = 3000
+SQUARINGS = 40
 
 
-def _ratio_sql(start: str, matrix: str, head: str = "") -> str:
-    """Ratios of the two leading components of each slice: ``matrix`` is the column that is iterated, ``g`` or ``c``."""
-    step = (
-        "SELECT s, t + 1, list_transform(x, lambda e: e / sqrt(list_dot_product(x, x))) FROM "
-        "(SELECT s, t, list_transform(m, lambda r: list_dot_product(r, v)) AS x FROM {name} JOIN mat USING (s) WHERE t < {passes})"
-    )
-    # what points along the first direction is taken out of every pass of the second
-    second = (
-        "SELECT s, t + 1, list_transform(x, lambda e: e / sqrt(list_dot_product(x, x))) FROM (SELECT s, t, "
-        "list_transform(list_zip(y, u), lambda p: p[1] - p[2] * list_dot_product(y, u)) AS x FROM "
-        "(SELECT s, t, u, list_transform(m, lambda r: list_dot_product(r, v)) AS y "
-        "FROM two JOIN mat USING (s) JOIN first USING (s) WHERE t < {passes}))"
-    )
-    begin = "SELECT s, 0 AS t, list_transform(m, lambda r, i: 1.0::DOUBLE + (i * 7 % 11) / 10) AS v FROM mat"
+def _strongest_sql(name: str, source: str) -> str:
+    """``name``: the first eigenvector ``u`` of each symmetric matrix ``m`` in ``source``, by squaring it over and over."""
+    squared = "list_transform(m, lambda r: list_transform(m, lambda c: list_dot_product(r, c)))"
+    return f"""
+  {name}_powers AS (SELECT s, 0 AS t, m FROM {source} UNION ALL
+    SELECT s, t + 1, list_transform(x, lambda r: list_transform(r, lambda e: e / trace)) FROM
+      (SELECT s, t, x, list_sum(list_transform(x, lambda r, i: r[i])) AS trace FROM
+        (SELECT s, t, {squared} AS x FROM {name}_powers WHERE t < {SQUARINGS})) WHERE trace > 0),
+  {name} AS (SELECT s, list_transform(line, lambda e: e / sqrt(list_dot_product(line, line))) AS u FROM
+    (SELECT s, m[list_position(diagonal, list_max(diagonal))] AS line FROM
+      (SELECT s, m, list_transform(m, lambda r, i: r[i]) AS diagonal FROM (SELECT s, arg_max(m, t) AS m FROM {name}_powers GROUP BY s))))"""
+
+
+def _leading_sql(start: str, matrix: str) -> str:
+    """The two leading components of each slice: ``matrix`` is the column that is decomposed, ``g`` or ``c``."""
     return (
         start + PAIRED + f""",
   square AS (SELECT x.s, x.r AS ra, y.r AS rb, coalesce(g, 0.0) AS g FROM listed x JOIN listed y ON x.s = y.s
     LEFT JOIN pair p ON p.s = x.s AND p.ra = x.r AND p.rb = y.r),
   mid AS (SELECT s, ra, rb, g, g - avg(g) OVER (PARTITION BY s, ra) - avg(g) OVER (PARTITION BY s, rb) + avg(g) OVER (PARTITION BY s) AS c
     FROM square),
-  mat AS (SELECT s, list(line ORDER BY ra) AS m FROM (SELECT s, ra, list({matrix} ORDER BY rb) AS line FROM mid GROUP BY s, ra) GROUP BY s),
+  mat AS (SELECT s, list(line ORDER BY ra) AS m, list(ra ORDER BY ra) AS names
+    FROM (SELECT s, ra, list({matrix} ORDER BY rb) AS line FROM mid GROUP BY s, ra) GROUP BY s),
   total AS (SELECT s, sum(c) FILTER (ra = rb) AS variance FROM mid GROUP BY s),
-  one AS ({begin} UNION ALL {step.format(name='one', passes=PASSES)}),
-  first AS (SELECT s, arg_max(v, t) AS u FROM one GROUP BY s),
-  two AS ({begin} UNION ALL {second.format(passes=PASSES)}),
-  both_ AS (SELECT s, 1 AS component, u AS v FROM first UNION ALL SELECT s, 2, arg_max(v, t) FROM two GROUP BY s),
-  strong AS (SELECT s, component, v, list_dot_product(v, list_transform(m, lambda r: list_dot_product(r, v))) AS strength
-    FROM both_ JOIN mat USING (s))
-SELECT {head} CAST(component AS INT) AS component,
+  {_strongest_sql('first', 'mat')},
+  rest AS (SELECT s, list_transform(m, lambda r, i: list_transform(r, lambda e, j: e - top * u[i] * u[j])) AS m FROM
+    (SELECT s, m, u, list_dot_product(u, list_transform(m, lambda r: list_dot_product(r, u))) AS top FROM mat JOIN first USING (s))),
+  {_strongest_sql('second', 'rest')},
+  both_ AS (SELECT s, 1 AS component, u AS v FROM first UNION ALL SELECT s, 2, u FROM second),
+  strong AS (SELECT s, component, v, names, list_dot_product(v, list_transform(m, lambda r: list_dot_product(r, v))) AS strength
+    FROM both_ JOIN mat USING (s)),
+  score AS (SELECT s, component, unnest(names) AS r,
+      unnest(list_transform(v, lambda e: e * sqrt(strength) * CASE WHEN list_max(v) >= -list_min(v) THEN 1 ELSE -1 END)) AS x FROM strong)
+"""
+    )
+
+
+def _ratio_sql(start: str, matrix: str, head: str = "") -> str:
+    return _leading_sql(start, matrix) + f"""SELECT {head} CAST(component AS INT) AS component,
        round(strength * (1 - list_sum(v) ** 2 / len(v)) / variance, {DIGITS}) AS ratio
 FROM strong JOIN total USING (s)"""
-    )
+
+
+def _score_sql(start: str, matrix: str, head: str, names: list[str]) -> str:
+    columns = ", ".join(f"round(max(x) FILTER (component = {i + 1}), {DIGITS}) AS {name}" for i, name in enumerate(names))
+    return _leading_sql(start, matrix) + f"SELECT {head}, {columns} FROM score GROUP BY s, r"
+
+
+
+
+def _six(df, *names):
+    return df.withColumns({name: F.round(name, DIGITS) for name in names})
+
+
+PCA = ["PCA_1", "PCA_2"]
+YEAR = "CAST(s AS INT) AS year"
+entry("q14_author_map", _score_sql(STEMMED, "c", f"r AS author_id, {YEAR}", PCA))(lambda s, d: _six(_map(s, d)[0], *PCA))
+entry("p08_explained_ratios", _ratio_sql(STEMMED, "c", f"{YEAR},"))(
+    lambda s, d: _six(_map(s, d)[1].select("year", "component", "ratio"), "ratio")
+)
+NAMED = _score_sql(STEMMED, "c", f"r AS author_id, {YEAR}", PCA)
+entry("p16_named_map", f"SELECT author_id, PCA_1, PCA_2, year, upper(author_id) AS displayName FROM ({NAMED}) WHERE year = 2016")(
+    lambda s, d: _six(maps.map_of_year(
+        _map(s, d)[0],
+        v.wide_table(s, d, "documents").select(F.col("source").alias("author_id"), F.upper("source").alias("displayName")).distinct(),
+        2016,
+    ), *PCA)
+)
+entry("p13_leading_space", _score_sql(SHARES, "g", "r AS name", ["pc1", "pc2"]))(
+    lambda s, d: _six(maps.word_space(_shares(s, d), 2)[0], "pc1", "pc2")
+)
 
 
 def _yearly(s, d):

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from commentlens.functions.links import path_segment_from_end
 from commentlens.functions.text import strip_tags
 from commentlens.operators.dedupe import first_per_key
 from commentlens.session import cut_lineage
@@ -16,11 +17,12 @@ from commentlens.session import cut_lineage
 # --- documents with a fixed schema -----------------------------------------------
 
 
-def head_comments(docs: DataFrame) -> DataFrame:
-    """Comment rows of first-generation documents; a missing head gives no rows."""
-    rows = docs.select(F.explode("headDocument.content").alias("c"))
+def head_comments(docs: DataFrame, *keys: str) -> DataFrame:
+    """Comment rows of first-generation documents, with columns ``keys`` of theirs; a missing head gives no rows."""
+    rows = docs.select(*keys, F.explode("headDocument.content").alias("c"))
     body = "c.content"
     return rows.select(
+        *keys,
         F.col("c.collectionId").alias("collection_id"),
         F.col(f"{body}.authorId").alias("author_id"),
         F.col(f"{body}.createdAt").alias("created_at"),
@@ -30,12 +32,12 @@ def head_comments(docs: DataFrame) -> DataFrame:
     )
 
 
-def author_rows(docs: DataFrame, authors: str = "authors") -> DataFrame:
-    """One row per author of all documents' author maps; one name per id."""
-    rows = docs.select(F.explode(authors).alias("author_id", "v")).select(
-        "author_id", F.col("v.displayName").alias("displayName")
+def author_rows(docs: DataFrame, authors: str = "authors", *keys: str) -> DataFrame:
+    """One row per author of all documents' author maps (within ``keys``); one name per id."""
+    rows = docs.select(*keys, F.explode(authors).alias("author_id", "v")).select(
+        *keys, "author_id", F.col("v.displayName").alias("displayName")
     )
-    return first_per_key(rows, ["author_id"], ["displayName"])
+    return first_per_key(rows, [*keys, "author_id"], ["displayName"])
 
 
 def page_comments(pages: DataFrame) -> DataFrame:
@@ -51,6 +53,21 @@ def titles_of(docs: DataFrame, doc_id: str, settings: str = "headDocument.collec
     return docs.select(doc_id, F.coalesce(F.col(f"{settings}.title"), F.lit("")).alias("title"))
 
 
+def collection_meta(meta: DataFrame, address: str, *keys: str) -> DataFrame:
+    """What a collection's metadata says of its article: ``ft_id, title, livefyreID, n_pages``.
+
+    The collection's own id is the last but one part of the metadata's address.
+    """
+    settings = F.col("collectionSettings")
+    return meta.select(
+        *keys,
+        settings["url"].alias("ft_id"),
+        settings["title"].alias("title"),
+        path_segment_from_end(address, 2).alias("livefyreID"),
+        settings["archiveInfo"]["nPages"].alias("n_pages"),
+    )
+
+
 def expected_pages(meta: DataFrame, keys: list[str]) -> DataFrame:
     """One row per announced archive page with its address."""
     info = F.col("collectionSettings.archiveInfo")

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commentlens.functions.links import id_between_slash_and_query, id_from_last_segment
+from commentlens.functions.links import id_between_slash_and_query, id_from_last_segment, short_collection_id
 from commentlens.functions.text import strip_tags
 from commentlens.operators.dedupe import first_per_key
-from commentlens.operators.joins import replace_titles
+from commentlens.operators.joins import null_safe, replace_titles
 from commentlens.operators.likes import likes_from_text
+from commentlens.operators.nested import author_rows, head_comments
 from commentlens.schemas import KEYS, TABLES
 from commentlens.session import once
 from commentlens.sources.tables import MissingTable, read_table
@@ -137,6 +138,25 @@ def load(raw: DataFrame, root: str, kind: str, order: list[str] | None = None) -
     return size() - before
 
 
+def site_links(sites: DataFrame) -> DataFrame:
+    """Articles whose site address is known: ``ft_hash, topic, livefyre_id_short``."""
+    known = sites.where(null_safe(F.col("siteId").contains("https")))
+    return known.select("ft_hash", "topic", short_collection_id("siteId").alias("livefyre_id_short"))
+
+
+def save_topics(docs: DataFrame, links: DataFrame, path: str, doc_id: str = "livefyre_id_short") -> None:
+    """Write the comments and the authors of every topic, a folder each, all topics in two passes (runs jobs).
+
+    ``docs`` are head documents with the short id of their collection; a
+    document belongs to each topic that lists its article. Authors come once a
+    topic. Earlier output is replaced topic by topic.
+    """
+    chosen = once(docs.join(links.select("topic", F.col("livefyre_id_short").alias(doc_id)).distinct(), doc_id), "topics")
+    for name, rows in (("comments", head_comments(chosen, "topic")), ("authors", author_rows(chosen, "headDocument.authors", "topic"))):
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("topic").parquet(f"{path}/{name}")
+
+
 def repair_titles(comments: DataFrame, clean: DataFrame, addressed: DataFrame) -> DataFrame:
     """Replace comment titles by those of two title files.
 

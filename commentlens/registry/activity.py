@@ -97,6 +97,16 @@ for name in ("t04_intraday_series", "q07_intraday_activity"):
         "author_name", v.moment_text("slot").alias("slot"), "n"
     ))
 
+entry("q07_wide_intraday", SLOTS)(lambda s, d: _wide_slots(s, d))
+
+
+def _wide_slots(s, d):
+    """A column per active author, its columns read as rows again for the check."""
+    wide = act.intraday_activity(v.comments(s, d), v.authors(s, d), NAMES, DAY)
+    long = wide.unpivot(["slot"], [c for c in wide.columns if c != "slot"], "author_name", "n")
+    return long.select("author_name", v.moment_text("slot").alias("slot"), "n")
+
+
 FRIENDS = LIKES + f""", f AS (SELECT author_name, liker_name, like_count FROM by_name WHERE liker_name IN ({NAME_SQL})
     ORDER BY like_count DESC, liker_name, author_name LIMIT 20)"""
 entry("t10_friends", FRIENDS + "SELECT author_name, liker_name, like_count FROM f")(

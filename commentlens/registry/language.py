@@ -15,8 +15,10 @@ from commentlens.operators import numbering as nb
 from commentlens.operators import reshape as rs
 from commentlens.operators import terms
 from commentlens.plans import language as lang
+from commentlens.plans import termtable as tt
 from commentlens.registry import views as v
 from commentlens.registry.columns import SQL_CORPUS, TM_STOP
+from commentlens.session import once, scratch_path
 
 ENTRIES: dict = {}
 DIGITS = 9
@@ -79,9 +81,23 @@ STEMMED = TIDY.replace(
   c AS (SELECT authorId, stem AS word, count(*) AS n FROM t JOIN dict ON w = word WHERE stem NOT IN ({SNOWBALL}) GROUP BY 1, 2)""",
 )
 entry("q12_signature_terms_stemmed", STEMMED + TOP30.removeprefix(TIDY))(lambda s, d: lang.signature_terms(v.texts(s, d), digits=DIGITS))
+
+
+def _stored_terms(s, d):
+    """The signature terms of all authors, stored; then one author's stored again with other weights, and again as they are."""
+    root = scratch_path(s, "terms")
+    weighted = once(lang.signature_terms(v.texts(s, d), stem=False, digits=DIGITS), "weights")
+    own = weighted.where("authorId = 'src1'")
+    tt.store_terms(weighted, root, 16)
+    tt.store_terms(own.withColumn("tf_idf", F.lit(9.0)).limit(50), root)
+    tt.store_terms(own, root)
+    return root
+
+
 entry("x07_terms_of_one_author", f"SELECT * FROM ({TOP30}) WHERE authorId = 'src1'")(
-    lambda s, d: lang.signature_terms(v.texts(s, d), stem=False, digits=DIGITS).where(F.col("authorId") == "src1")
+    lambda s, d: tt.terms_of(s, _stored_terms(s, d), "src1")
 )
+entry("x07_stored_terms", TOP30)(lambda s, d: tt.all_terms(s, _stored_terms(s, d)))
 
 # --- relative frequencies ---------------------------------------------------------
 
@@ -186,7 +202,7 @@ entry(
 
 
 def _slice(s, d):
-    matrix = _dtm(s, d)
+    matrix = once(_dtm(s, d), "matrix")
     rows = nb.dense_codes(matrix, "id", "row_no").where(F.col("row_no").between(10, 150))
     cols = nb.dense_codes(matrix, "term", "col_no").where(F.col("col_no").between(10, 500))
     return matrix.join(rows, "id").join(cols, "term").select("id", "term", "n")

@@ -39,6 +39,22 @@ def _indexed(s, d):
     return dl.read_indexed_csv(s, path, "o_orderkey LONG, o_custkey LONG, o_orderpriority STRING", ["o_orderkey", "o_custkey"])
 
 
+def _named_files(df, label, name, ending):
+    """Write rows into files of one folder, called by a column of theirs and an ending, without header."""
+    s = df.sparkSession
+    parts, folder = scratch_path(s, f"{label}-parts"), scratch_path(s, label)
+    df.repartition(name).write.partitionBy(name).option("header", ending.endswith("+")).csv(parts)
+    path = s._jvm.org.apache.hadoop.fs.Path
+    files = path(parts).getFileSystem(s._jsc.hadoopConfiguration())
+    files.mkdirs(path(folder))
+    for status in files.listStatus(path(parts)):
+        key = status.getPath().getName().rpartition("=")[2]
+        if status.isDirectory():
+            part = next(f.getPath() for f in files.listStatus(status.getPath()) if f.getPath().getName().startswith("part-"))
+            files.rename(part, path(f"{folder}/{key}{ending.rstrip('+')}"))
+    return folder
+
+
 @entry(
     "s02_link_lists",
     """WITH l AS (SELECT url AS ft_hash, split_part(url, '/', 4) AS topic FROM pages
@@ -48,11 +64,13 @@ def _indexed(s, d):
     FROM l WHERE NOT contains(ft_hash, 'http') GROUP BY 1""",
 )
 def _links(s, d):
+    """A folder with a link file per topic, read by the names of its files."""
     pages = v.table(s, d, "pages").select("url", F.split_part("url", F.lit("/"), F.lit(4)).alias("topic"))
     forms = F.array(
         F.col("url"), F.split_part("url", F.lit("//"), F.lit(2)), F.split_part("url", F.lit("/"), F.lit(3))
     )
-    return dl.clean_links(pages.select(F.explode(forms).alias("ft_hash"), "topic"))
+    folder = _named_files(pages.select(F.explode(forms).alias("ft_hash"), "topic"), "s02", "topic", ".csv")
+    return dl.read_link_lists(s, folder)
 
 
 @entry("s03_semicolon_round_trip", "SELECT doc_id, source, md5(text) AS text_md5 FROM documents")
@@ -70,14 +88,22 @@ def _write(s, d):
     return dl.read_semicolon(s, path, "c_custkey LONG, c_name STRING, c_acctbal DOUBLE", multi_line=False)
 
 
-entry(
+# Author files of two topics beside a content file; customers and suppliers share ids, and a is read before b.
+@entry(
     "s05_merge_authors",
-    """SELECT id, min(displayName) AS displayName FROM (SELECT c_custkey AS id, c_name AS displayName FROM customer
-      UNION ALL SELECT s_suppkey, s_name FROM supplier) GROUP BY 1""",
-)(lambda s, d: dl.merge_authors([
-    v.table(s, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("displayName")),
-    v.table(s, d, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("displayName")),
-]))
+    """SELECT id, arg_min(displayName, file) AS displayName FROM (SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS displayName, 1 AS file FROM customer
+      UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name, 2 FROM supplier) GROUP BY 1""",
+)
+def _merge(s, d):
+    def rows(table, key, name, file):
+        return v.table(s, d, table).select(F.lit("0").alias("_index"), F.col(key).alias("id"), F.col(name).alias("displayName"), F.lit(file).alias("file"))
+
+    content = v.table(s, d, "nation").select(
+        F.lit("0").alias("_index"), F.col("n_nationkey").alias("id"), F.col("n_name").alias("displayName"), F.lit("a_content").alias("file")
+    )
+    both = rows("supplier", "s_suppkey", "s_name", "b_authors").unionByName(rows("customer", "c_custkey", "c_name", "a_authors"))
+    folder = _named_files(both.unionByName(content), "s05", "file", ".csv+")
+    return dl.merge_authors([dl.read_named(s, folder, "id STRING, displayName STRING", "authors", batch=0)])
 
 
 @entry(
@@ -340,6 +366,42 @@ def _topics(s, d):
     return s.read.parquet(path).select("topic", "id")
 
 
+# Every document is an article of its language's topic; those of one source have no site.
+SITES = """WITH sites AS (SELECT CAST(doc_id AS VARCHAR) AS ft_hash, lang AS topic, source, text FROM documents WHERE source <> 'src3'),
+  l AS (SELECT ft_hash, topic, source, unnest(string_split(text, chr(10))) AS line,
+      generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM sites)
+"""
+
+
+def _topic_output(s, d):
+    from commentlens.registry.nested import _head_documents
+
+    path = scratch_path(s, "s15")
+    docs = v.table(s, d, "documents")
+    address = F.concat(F.lit("https://h/a/b/"), "doc_id", F.lit("/x"), "doc_id", F.lit("/init"))
+    sites = docs.select(
+        F.col("doc_id").cast("string").alias("ft_hash"), F.col("lang").alias("topic"), F.when(F.col("source") != "src3", address).alias("siteId")
+    )
+    short = F.concat(F.col("doc_id").cast("string"), F.lit("/x"), F.col("doc_id").cast("string")).alias("livefyre_id_short")
+    ld.save_topics(_head_documents(s, d).select(short, "headDocument"), ld.site_links(sites), path)
+    return path
+
+
+@entry(
+    "s15_topic_comments",
+    SITES + r"""SELECT topic, CAST(ft_hash AS BIGINT) AS collection_id, source AS author_id, CAST(1400000000 + i AS BIGINT) AS created_at,
+      md5(regexp_replace(line, '<[^\n]*?>', '', 'g')) AS content FROM l""".replace("\\", "\\"),
+)
+def _topic_comments(s, d):
+    rows = s.read.parquet(f"{_topic_output(s, d)}/comments")
+    return rows.select("topic", "collection_id", "author_id", "created_at", F.md5("content").alias("content"))
+
+
+@entry("s15_topic_authors", SITES + "SELECT DISTINCT topic, source AS author_id, upper(source) AS displayName FROM sites")
+def _topic_authors(s, d):
+    return s.read.parquet(f"{_topic_output(s, d)}/authors").select("topic", "author_id", "displayName")
+
+
 @entry(
     "j11_title_repair",
     r"""WITH clean AS (SELECT string_split(string_split(url, '/')[-1], '.')[1] AS ft_id, url AS title FROM pages),

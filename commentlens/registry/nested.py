@@ -118,6 +118,14 @@ def _metadata(s, d):
     return rows.select("page_id", F.from_json("j", ARCHIVE_META).alias("x")).select("page_id", "x.*")
 
 
+entry(
+    "p07_metadata",
+    "SELECT page_id, url AS ft_id, url AS title, 'c' || page_id AS livefyreID, CAST(page_id % 4 AS INT) AS n_pages FROM pages",
+)(lambda s, d: ns.collection_meta(
+    _metadata(s, d).withColumn("address", F.concat(F.lit("https://h/bs3/c"), "page_id", F.lit("/init"))), "address", "page_id"
+))
+
+
 EXPECTED = """WITH e AS (SELECT page_id, CAST(unnest(range(0, page_id % 4)) AS BIGINT) AS page, url FROM pages)
   SELECT page_id, page, url || '/' || page AS url FROM e"""
 entry("p12_expected_pages", EXPECTED)(

@@ -78,6 +78,15 @@ MATRIX = (
     FROM grid g JOIN c ON g.liker_name = c.liker_name
     WHERE c.column_no <= (SELECT count(DISTINCT author_name) FROM grid)"""
 )
+# The wide matrix, its columns read as rows again for the check.
+entry("q04_wide_matrix", f"SELECT author_name, liker_name, like_count FROM ({MATRIX})")(lambda s, d: _wide_matrix(s, d))
+
+
+def _wide_matrix(s, d):
+    wide = lk.like_matrix(lk.pairs_by_name(_named(s, d)), MATRIX_LIMIT)
+    return rs.unpivot(wide, ["author_name"], [c for c in wide.columns if c != "author_name"], "liker_name", "like_count")
+
+
 entry("q04_like_matrix", MATRIX)(
     lambda s, d: lk.like_matrix_cells(lk.pairs_by_name(_named(s, d)), MATRIX_LIMIT)
 )

@@ -313,3 +313,25 @@ def test_reindex(spark, tmp_path):
     assert larger.segments > table.segments and keyed.opened(spark, str(tmp_path), "authors") == larger
     assert keyed.append(larger, _people(spark, map(str, range(400, 600)))) == 100
     assert keyed.create(spark, str(tmp_path), "authors", ["author_id"]) == larger
+
+
+def test_terms_of_an_author_are_read_from_its_files(spark, tmp_path):
+    from commentlens.plans import termtable as tt
+
+    rows = [(f"a{i % 40}", f"w{i}", i, float(i)) for i in range(2000)]
+    weighted = spark.createDataFrame(rows, "authorId STRING, word STRING, n INT, tf_idf DOUBLE")
+    assert tt.store_terms(weighted, str(tmp_path), 16) == 1
+    own = tt.terms_of(spark, str(tmp_path), "a7")
+    assert {r["word"] for r in own.collect()} == {f"w{i}" for i in range(2000) if i % 40 == 7}
+    plan = own._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.split("\n") if "FileScan" in line)
+    assert "author_bucket" in scan.split("PartitionFilters")[1][:120] and "EqualTo(authorId,a7)" in plan
+    files = own.select(F.input_file_name()).distinct().count()
+    assert files == 1 < spark.read.parquet(f"{tmp_path}/tfidf").select(F.input_file_name()).distinct().count()
+    # comments of two authors arrive: theirs are replaced, the others stay
+    newer = weighted.where("authorId IN ('a7', 'a8') AND n > 1000").withColumn("tf_idf", F.lit(-1.0))
+    assert tt.store_terms(newer, str(tmp_path), 99) == 2
+    assert {(r["n"] > 1000, r["tf_idf"]) for r in tt.terms_of(spark, str(tmp_path), "a7").collect()} == {(True, -1.0)}
+    assert tt.terms_of(spark, str(tmp_path), "a9").count() == 50
+    assert tt.all_terms(spark, str(tmp_path)).count() == 38 * 50 + newer.count()
+    assert tt.terms_of(spark, str(tmp_path), "nobody").count() == 0

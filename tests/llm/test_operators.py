@@ -233,15 +233,27 @@ def test_tree_leaves_every_link():
     base = rnd.integers(0, 9, (40, ngramjoin.GROUPS))
     points = np.concatenate([base, np.maximum(base + (rnd.random(base.shape) < 0.02), 0), rnd.integers(0, 9, (200, ngramjoin.GROUPS))])
     n, part = points.sum(axis=1), np.arange(len(points))
-    x, y = ngramjoin._tree_join(n, part, points.astype(np.int32), np.ones(len(points), bool))
-    got = {tuple(sorted(p)) for p in zip(x.tolist(), y.tolist(), strict=True)}
-    want = {
-        (i, j)
-        for i in range(len(points))
-        for j in range(i + 1, len(points))
-        if 4 * min(n[i], n[j]) >= 3 * max(n[i], n[j]) and 7 * np.minimum(points[i], points[j]).sum() >= 3 * (n[i] + n[j])
-    }
-    assert got == want and len(got) >= 40
+    for rest, least in ((n, 40), (n - rnd.integers(0, n // 6), 5)):  # all of a set lies ahead, or a part
+        x, y = ngramjoin._tree_join(n, rest, part, points.astype(np.int32))
+        got = {tuple(sorted(p)) for p in zip(x.tolist(), y.tolist(), strict=True)}
+        want = {
+            (i, j)
+            for i in range(len(points))
+            for j in range(i + 1, len(points))
+            if 4 * min(n[i], n[j]) >= 3 * max(n[i], n[j])
+            and 7 * min(np.minimum(points[i], points[j]).sum(), rest[i], rest[j]) >= 3 * (n[i] + n[j])
+        }
+        assert got == want and len(got) >= least
+
+
+def test_large_counts_keep_their_bound(spark):
+    """One shingle group holds more than a byte counts."""
+    blobs = [np.array([300, *[1] * (ngramjoin.GROUPS - 1)], "<u4").tobytes(), np.ones(ngramjoin.GROUPS, np.uint8).tobytes()]
+    assert ngramjoin._points(blobs)[:, 0].tolist() == [300, 1]
+    long = prose(77, 40_000)
+    frame = spark.createDataFrame([(1, long), (2, long + " end"), (3, prose(78, 40_000))], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in ngramjoin.near_copies(frame).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}
 
 
 def test_components_of_a_path_and_a_star(spark):

@@ -3,9 +3,10 @@
 A shard is a run of documents of about ``SHARD_WORDS`` words within a task. Its
 suffix array holds the places from which at least ``least`` words are all known
 to the test items, sorted by the words that follow; nothing else can match an
-item. Every suffix of every item is searched in it by bisection, which gives
-its longest verbatim match with its location, and the occurrences of every
-window.
+item. Every suffix of every item is put in its place in that order by bisection.
+Equal windows of all items have one range of places, which are their
+occurrences; and of all suffixes the two next to a place share most words with
+it, which gives every document's longest verbatim match and where it lies.
 """
 
 from __future__ import annotations
@@ -31,6 +32,9 @@ _WORD_BYTES = bytes(
 HITS = "struct<spans:array<struct<start:bigint,stop:bigint>>,items:array<string>,longest:bigint,longest_at:bigint,longest_item:string>"
 
 
+NO_HITS = ([], [], 0, None, None)
+
+
 def words(text: str | None) -> list[bytes]:
     return [] if text is None else text.encode("utf-8", "surrogatepass").translate(_WORD_BYTES).split()
 
@@ -54,6 +58,29 @@ class Items:
         self.stream = np.array(stream, np.int64)
         self.starts, self.lengths = np.array(starts, np.int64), np.array(lengths, np.int64)
         self.least = int(min(window, self.lengths.min())) if starts else 0
+        self._order: SuffixArray | None = None
+
+    def _array(self) -> SuffixArray:
+        """All suffixes of all items in order, for the items of a match and for the order of queries."""
+        if self._order is None:
+            self._order = SuffixArray(self.stream, 1)
+        return self._order
+
+    def sorted_suffixes(self) -> np.ndarray:
+        """Places in the stream of the suffixes of items of a window or more, sorted by their words."""
+        places = self._array().places
+        long = self.lengths >= self.window
+        item = np.searchsorted(self.starts, places, "right") - 1
+        left = self.starts[item] + self.lengths[item] - places
+        return places[long[item] & (left >= self.window)]
+
+    def holder(self, codes: np.ndarray) -> str:
+        """The smallest name of the items that hold these words, whole items only where they are shorter than a window."""
+        array = self._array()
+        low, high = array.ranges(codes, np.zeros(1, np.int64), len(codes))
+        item = np.unique(np.searchsorted(self.starts, array.places[int(low[0]) : int(high[0])], "right") - 1)
+        fits = item[(self.lengths[item] == len(codes)) | (len(codes) >= self.window)]
+        return min(self.names[i] for i in fits.tolist())
 
     def suffixes(self) -> tuple[np.ndarray, np.ndarray]:
         """Place in the stream and item of every suffix."""
@@ -119,29 +146,36 @@ class SuffixArray:
             low[open_[right]] = mid[right] + 1
             high[open_[~right]] = mid[~right]
 
-    def longest(self, stream: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Length of every query's longest match and a place of it (-1 for none)."""
-        length = np.zeros(len(queries), np.int64)
-        place = np.full(len(queries), -1, np.int64)
+    def insertions(self, stream: np.ndarray, queries: np.ndarray) -> np.ndarray:
+        """For every query place, the first row that doesn't come before the query's words to the end of its item."""
         low, high = np.zeros(len(queries), np.int64), np.full(len(queries), len(self.places), np.int64)
+        length = np.zeros(len(queries), np.int64)
         live = np.arange(len(queries))
         while len(live):
+            # an ended query comes before all rows that go on
             want = stream[queries[live] + length[live]]
             live, want = live[want > 0], want[want > 0]
             a = self._bisect(want, length[live], low[live], high[live], False)
             b = self._bisect(want, length[live], low[live], high[live], True)
-            more = a < b
-            live, a, b = live[more], a[more], b[more]
             low[live], high[live] = a, b
             length[live] += 1
-            place[live] = self.places[a]
-        return length, place
+            live = live[a < b]
+        return low
+
+    def shared(self, rows: np.ndarray, stream: np.ndarray, queries: np.ndarray) -> np.ndarray:
+        """How many words the suffixes at ``rows`` have in common with the queries beside them."""
+        length = np.zeros(len(rows), np.int64)
+        live = np.arange(len(rows))
+        while len(live):
+            want = stream[queries[live] + length[live]]
+            live = live[(want > 0) & (self.word(rows[live], length[live]) == want)]
+            length[live] += 1
+        return length
 
 
 def _search(shard: list[np.ndarray], items: Items) -> list[tuple]:
     """Hit spans, item names and the longest match of every document of a shard."""
-    none = ([], [], 0, None, None)
-    found = [none] * len(shard)
+    found = [NO_HITS] * len(shard)
     if not items.names:
         return found
     codes = np.concatenate([x for doc in shard for x in (doc, [0])]).astype(np.int64)
@@ -151,34 +185,72 @@ def _search(shard: list[np.ndarray], items: Items) -> list[tuple]:
     doc_starts = np.cumsum([0, *[len(doc) + 1 for doc in shard]])[:-1]
     queries, item = items.suffixes()
     left = items.starts[item] + items.lengths[item] - queries
-    docs, starts, lengths, names = [], [], [], []
+    docs, starts, lengths, windows = [], [], [], []
+    owners: list[np.ndarray] = []  # items of each different window that occurs
     for size in np.unique(np.minimum(items.lengths, items.window)):
-        mine = (np.minimum(items.lengths, items.window)[item] == size) & (left >= size)
+        mine = np.flatnonzero((np.minimum(items.lengths, items.window)[item] == size) & (left >= size))
         low, high = array.ranges(items.stream, queries[mine], int(size))
-        n = high - low
-        rows = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        occurs = low < high
+        mine, low, high = mine[occurs], low[occurs], high[occurs]
+        # equal windows have equal ranges; other ranges of the same size don't meet them
+        order = np.argsort(low, kind="stable")
+        first = np.flatnonzero(np.append(True, np.diff(low[order]) != 0)[: len(order)])
+        n = (high - low)[order[first]]
+        rows = np.repeat(low[order[first]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         at = array.places[rows]
         doc = np.searchsorted(doc_starts, at, "right") - 1
         docs.append(doc)
         starts.append(at - doc_starts[doc])
         lengths.append(np.full(len(at), size))
-        names.append(np.repeat(item[mine], n))
-    doc, start, length, name = (np.concatenate(x) for x in (docs, starts, lengths, names))
-    best, best_at = array.longest(items.stream, queries)
-    reach = np.argsort(best, kind="stable")
-    in_doc = np.searchsorted(doc_starts, best_at, "right") - 1
-    longest = {int(in_doc[i]): i for i in reach if best[i]}
+        windows.append(np.repeat(np.arange(len(first)) + len(owners), n))
+        owners += [np.unique(item[mine[own]]) for own in np.split(order, first[1:])] if len(first) else []
+    doc, start, length, window = (np.concatenate(x) for x in (docs, starts, lengths, windows))
+    if not len(doc):
+        return found
+    names: dict[tuple, list[str]] = {}
+
+    def names_of(own: np.ndarray) -> list[str]:
+        key = tuple(np.unique(own).tolist())
+        if key not in names:
+            names[key] = sorted({items.names[i] for w in key for i in owners[w].tolist()})
+        return names[key]
+
+    longest = _longest(array, doc_starts, items)
     order = np.lexsort((start, doc))
-    doc, start, length, name = doc[order], start[order], length[order], name[order]
-    cuts = np.flatnonzero(np.append(doc[1:] != doc[:-1], True)[: len(doc)]) + 1
-    for a, b in zip([0, *cuts[:-1]], cuts, strict=len(cuts) > 0):
+    doc, start, length, window = doc[order], start[order], length[order], window[order]
+    cuts = np.append(np.flatnonzero(doc[1:] != doc[:-1]) + 1, len(doc))
+    for a, b in zip([0, *cuts[:-1]], cuts):
         d = int(doc[a])
-        found[d] = (merged(start[a:b], start[a:b] + length[a:b]), sorted({items.names[i] for i in np.unique(name[a:b])}), 0, None, None)
-    for d, i in longest.items():
-        found[d] = (*found[d][:2], int(best[i]), int(best_at[i] - doc_starts[d]), items.names[item[i]])
+        # a short item is matched as a whole; longer matches reach beyond a window
+        size = int(length[a:b].max())
+        at = int(start[a:b][length[a:b] == size][0])
+        best, best_at = max((size, -at), longest.get(d, (0, 0)))
+        words_of = codes[doc_starts[d] - best_at : doc_starts[d] - best_at + best]
+        found[d] = (merged(start[a:b], start[a:b] + length[a:b]), names_of(window[a:b]), best, -best_at, items.holder(words_of))
     return found
 
 
+def _longest(array: SuffixArray, doc_starts: np.ndarray, items: Items) -> dict[int, tuple[int, int]]:
+    """Each document's longest match with items of a window or more: its length, and less its first place."""
+    queries = items.sorted_suffixes()
+    if not len(queries):
+        return {}
+    # queries in order have their places in order
+    at = array.insertions(items.stream, queries)
+    rows = np.arange(len(array.places))
+    after = np.searchsorted(at, rows, side="right")
+    best = np.zeros(len(rows), np.int64)
+    for beside in (after - 1, after):
+        near = np.flatnonzero((beside >= 0) & (beside < len(queries)))
+        best[near] = np.maximum(best[near], array.shared(rows[near], items.stream, queries[beside[near]]))
+    enough = best >= items.window
+    place, best = array.places[enough], best[enough]
+    doc = np.searchsorted(doc_starts, place, "right") - 1
+    order = np.lexsort((place, -best, doc))
+    first = order[np.append(True, np.diff(doc[order]) != 0)[: len(order)]]
+    return {int(doc[i]): (int(best[i]), -int(place[i] - doc_starts[doc[i]])) for i in first}
+
+
 def merged(start: np.ndarray, stop: np.ndarray) -> list[dict]:
     """Union of spans that are sorted by their start."""
     reach = np.maximum.accumulate(stop)
@@ -233,8 +305,9 @@ def _added(batch: pa.RecordBatch, rows: list[tuple], counts: list[int], out: lis
             both = sorted([(s["start"], s["stop"]) for s in before["spans"]] + [(s["start"], s["stop"]) for s in spans])
             spans = merged(np.array([a for a, _ in both]), np.array([b for _, b in both]))
             names = sorted({*before["items"], *names})
-        if before and before["longest"] and before["longest"] >= longest:
-            longest, at, item = before["longest"], before["longest_at"], before["longest_item"]
+        if before and before["longest"]:
+            earlier = (before["longest"], before["longest_at"], before["longest_item"])
+            longest, at, item = min([earlier, *([(longest, at, item)] if longest else [])], key=lambda m: (-m[0], m[1], m[2]))
         hits.append({"spans": spans, "items": names, "longest": longest, "longest_at": at, "longest_item": item})
     columns["_hits"] = pa.array(hits, batch.schema.field("_hits").type)
     columns["_words"] = pa.array(counts, pa.int64())
@@ -256,7 +329,8 @@ def matches(
 
     ``_hits`` has the merged ``spans`` of words that lie in an occurrence of a
     window, the ``items`` with such windows as strings, and the longest match
-    of the document's shard that falls into the document (length, word, item).
+    that holds a window: its length, its first word, and the smallest name of
+    the items that have it (0 and nulls where no window occurs).
 
     Items come in blocks of about ``block_bytes``, each broadcast for one pass
     over the documents, so no broadcast grows with the benchmark. Null texts
@@ -281,7 +355,12 @@ def matches(
 
 
 def judged(matched: DataFrame, share: int = SHARE) -> DataFrame:
-    """Adds ``n_words, n_hit, n_items, items_sha256, contaminated``: a ``share``-th of the words hit, one at least."""
+    """Adds the verdict and what it rests on to matched documents.
+
+    ``n_words, n_hit, n_items, items_sha256, contaminated``: a ``share``-th of the
+    words hit, one at least; ``longest, longest_at, longest_item``: the longest
+    match. Columns of these names are replaced.
+    """
     n_hit = F.aggregate("_hits.spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
     return (
         matched.withColumn("n_words", F.col("_words"))
@@ -289,10 +368,17 @@ def judged(matched: DataFrame, share: int = SHARE) -> DataFrame:
         .withColumn("n_items", F.size("_hits.items").cast("long"))
         .withColumn("items_sha256", F.sha2(F.array_join("_hits.items", ","), 256))
         .withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words")))
+        .withColumns({name: F.col(f"_hits.{name}") for name in ("longest", "longest_at", "longest_item")})
         .drop("_words", "_hits")
     )
 
 
-def remove_contaminated(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents without those that hold test items."""
-    return judged(matches(documents, benchmark, **options)).where(~F.col("contaminated")).select(*documents.columns)
+def remove_contaminated(documents: DataFrame, benchmark: DataFrame, share: int = SHARE, text: str = "text", **options) -> DataFrame:
+    """The documents without those that hold test items, whatever their other columns are called.
+
+    Rows travel whole beside their text, so no column of theirs meets one of the
+    operator's. An empty benchmark removes nothing.
+    """
+    packed = documents.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    found = matches(packed, benchmark, text="text", keep_text=False, **options)
+    return judged(found, share).where(~F.col("contaminated")).select("row.*")

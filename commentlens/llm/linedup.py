@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commentlens.llm.shared import SPACE
+from commentlens.llm.shared import SPACE, free
 from commentlens.session import once
 
 LEAST_SITES = 3
@@ -79,7 +79,8 @@ def remove_spread_lines(
 
     Lines of fewer than ``least_words`` words are never judged. A line found on
     ``least_sites`` sites or more stays only where the smallest document id has
-    it first. All other columns pass through.
+    it first. All other columns pass through, whatever they are called; if one
+    has the name of a count, the count is called ``n_lines_2`` or ``n_removed_2``.
 
     Null texts stay null with 0 lines; an empty text is one empty line. Rows
     that repeat an id and text keep the same lines. Ids are whole numbers.
@@ -99,14 +100,17 @@ def remove_spread_lines(
         .agg(F.array_sort(F.collect_set("at")).alias("_gone"))
         .withColumnsRenamed({"doc": "_doc", "body": "_body"})
     )
-    own = F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST))
-    joined = documents.join(gone, (own == F.col("_doc")) & (F.xxhash64(F.col(text)) == F.col("_body")), "left")
-    parts = F.split(F.col(text), "\n")
-    n_lines = F.coalesce(F.when(F.col(text).isNotNull(), F.size(parts)), F.lit(0))
+    own = F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)).alias("_own")
+    # rows travel whole beside what is read of them, so none of their columns meets one of these
+    packed = documents.select(F.struct("*").alias("_row"), own, F.col(text).alias("_text"), F.xxhash64(F.col(text)).alias("_hash"))
+    joined = packed.join(gone, (F.col("_own") == F.col("_doc")) & (F.col("_hash") == F.col("_body")), "left")
+    parts = F.split("_text", "\n")
+    n_lines = F.coalesce(F.when(F.col("_text").isNotNull(), F.size(parts)), F.lit(0))
+    named = [free(name, documents.columns) for name in ("n_lines", "n_removed")]
     return joined.select(
-        *[(_without(parts, text).alias(text) if c == text else F.col(f"`{c}`")) for c in documents.columns],
-        n_lines.cast("long").alias("n_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
+        *[(_without(parts, "_text").alias(text) if c == text else F.col("_row")[c].alias(c)) for c in documents.columns],
+        n_lines.cast("long").alias(named[0]),
+        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias(named[1]),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import importlib
 import pkgutil
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -38,6 +38,15 @@ def by_value(module_name: str) -> None:
         cloudpickle.register_pickle_by_value(importlib.import_module(found.name))
 
 
+def free(name: str, taken: Iterable[str]) -> str:
+    """``name``, or the first of ``name_2``, ``name_3``, ... that no column has."""
+    used, number, found = set(taken), 1, name
+    while found in used:
+        number += 1
+        found = f"{name}_{number}"
+    return found
+
+
 def digest(values: Iterator[str]) -> str:
     return hashlib.sha256(",".join(values).encode()).hexdigest()
 

@@ -130,11 +130,22 @@ found AS (SELECT p.r, p.i, p.k, x.item FROM places p JOIN windows x ON p.k = x.k
 hit AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest(range(i, i + k)) AS j FROM found) GROUP BY r),
 named AS (
   SELECT r, count(*) AS n, sha256(string_agg(item, ',' ORDER BY item)) AS names
-  FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+  FROM (SELECT DISTINCT r, item FROM found) GROUP BY r),
+-- Windows that follow each other in the document and in an item make one match.
+met AS (
+  SELECT p.r, p.i, p.k, x.item, x.own, p.i - x.i AS shift
+  FROM places p JOIN (SELECT item, own, k, i, array_to_string(w[i : i + k - 1], ' ') AS window
+    FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM (SELECT *, row_number() OVER () AS own FROM sized))) x
+  ON p.k = x.k AND p.window = x.window),
+runs AS (
+  SELECT r, item, CAST(count(*) + max(k) - 1 AS BIGINT) AS length, CAST(min(i) - 1 AS BIGINT) AS at_
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY r, own, shift ORDER BY i) AS island FROM met) GROUP BY r, own, item, shift, island),
+best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY r ORDER BY length DESC, at_, item) = 1)
 SELECT doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
        coalesce(names, sha256('')) AS items_sha256,
-       coalesce(hit.n, 0) > 0 AND {decontam.SHARE} * coalesce(hit.n, 0) >= len(w) AS contaminated
-FROM rows LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+       coalesce(hit.n, 0) > 0 AND {decontam.SHARE} * coalesce(hit.n, 0) >= len(w) AS contaminated,
+       coalesce(best.length, 0) AS longest, best.at_ AS longest_at, best.item AS longest_item
+FROM rows LEFT JOIN hit USING (r) LEFT JOIN named USING (r) LEFT JOIN best USING (r)
 """
 
 CHATS = f"""

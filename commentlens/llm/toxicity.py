@@ -257,6 +257,12 @@ def scored(
     return frame.mapInArrow(_scorer(shared, text, out.columns), out.schema)
 
 
-def remove_toxic(documents: DataFrame, labels: DataFrame, limit: float = 0.5, **options) -> DataFrame:
-    """The documents that score below ``limit``."""
-    return scored(documents, labels, **options).where(F.col("toxicity") < limit).select(*documents.columns)
+def remove_toxic(
+    documents: DataFrame, labels: DataFrame, limit: float = 0.5, doc_id: str = "doc_id", text: str = "text", **options
+) -> DataFrame:
+    """The documents that score below ``limit``, whatever their other columns are called.
+
+    Rows travel whole beside their text, so a column named ``toxicity`` stays as it is.
+    """
+    packed = documents.select(F.struct("*").alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return scored(packed, labels, keep_text=False, **options).where(F.col("toxicity") < limit).select("row.*")

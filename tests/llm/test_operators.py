@@ -157,6 +157,79 @@ def test_suffix_arrays_equal_windows(spark, docs, block_bytes):
         assert r["contaminated"] == (hit > 0 and 20 * hit >= n)
 
 
+def longest_by_hand(text: str | None, items: list[tuple], window: int = 13) -> tuple:
+    """Length, place and smallest name of the longest common run that holds a window of its item."""
+    words, found = windows_words(text), []
+    for name, item in items:
+        own = windows_words(item)
+        least = min(window, len(own))
+        for i in range(len(words)):
+            for j in range(len(own)):
+                if words[i] == own[j] and (not i or not j or words[i - 1] != own[j - 1]):
+                    n = 0
+                    while i + n < len(words) and j + n < len(own) and words[i + n] == own[j + n]:
+                        n += 1
+                    if n >= least:
+                        found.append((-n, i, str(name)))
+    return (-min(found)[0], *min(found)[1:]) if found else (0, None, None)
+
+
+def windows_words(text: str | None) -> list[str]:
+    low = (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+
+@pytest.mark.parametrize("shard_words, block_bytes", [(1 << 20, 1 << 20), (40, 1 << 20), (200, 100)])
+def test_longest_matches_by_hand(spark, shard_words, block_bytes):
+    rnd = random.Random(shard_words)
+    few = ["a", "b", "c", "d"]
+    say = lambda n, words: " ".join(rnd.choice(words) for _ in range(n))
+    items = [(i, say(rnd.choice([1, 3, 14, 20, 40]), few if i % 2 else WORDS[:30])) for i in range(25)] + [(3, "a b a"), (30, "c c c c")]
+    texts = []
+    for i in range(60):
+        own = words_of(rnd.choice(items)[1])
+        cut = rnd.randrange(len(own))
+        texts.append(f"{say(rnd.randint(0, 30), few)} {' '.join(own[cut:])} {say(rnd.randint(0, 20), WORDS[:30])} {' '.join(own)}")
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, "", None])], "doc_id long, text string").coalesce(2)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontam.judged(decontam.matches(frame, bench, shard_words=shard_words, block_bytes=block_bytes)).collect()
+    for r in got:
+        n, hit, names = windows_by_hand(r["text"], items)
+        assert (r["n_words"], r["n_hit"], r["n_items"]) == (n, hit, len(names))
+        assert (r["longest"], r["longest_at"], r["longest_item"]) == longest_by_hand(r["text"], items)
+
+
+def test_many_equal_items_meet_a_common_word_once():
+    import tracemalloc
+
+    items = decontam.Items([(f"i{k}", "the") for k in range(400)], 13)
+    shard = [np.array([1] * 200) for _ in range(400)]  # 80,000 times the word
+    tracemalloc.start()
+    found = decontam._search(shard, items)
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+    assert len(found) == 400 and len(found[7][1]) == 400 and found[7][0] == [{"start": 0, "stop": 200}] and found[7][2:] == (1, 0, "i0")
+
+
+def test_columns_of_documents_never_meet_the_operators_own(spark):
+    names = ["_hits", "_words", "n_hit", "n_words", "n_items", "contaminated", "longest", "row", "toxicity", "_gone", "_doc", "_body", "_own", "_row",
+             "n_lines", "n_removed", "doc", "body", "site", "at", "line", "mark", "first"]
+    schema = "doc_id long, text string, source string, " + ", ".join(f"{n} int" for n in names)
+    own = tuple(range(len(names)))
+    data = [(i, f"line {i} of its own\nshared by all of us\nshared by all of them", f"s{i}", *own) for i in range(4)]
+    frame = spark.createDataFrame(data, schema)
+    bench = spark.createDataFrame([(1, "line 2 of its own")], "item_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(4)], "doc_id long, toxic int")
+    clean = decontam.remove_contaminated(frame, bench)
+    assert clean.columns == frame.columns and sorted(tuple(r) for r in clean.collect()) == [d for d in data if d[0] != 2]
+    lines = linedup.remove_spread_lines(frame)
+    assert lines.columns == [*frame.columns, "n_lines_2", "n_removed_2"]
+    assert {tuple(r)[3 : 3 + len(names)] for r in lines.collect()} == {own}
+    assert {(r["doc_id"], r["n_lines_2"], r["n_removed_2"]) for r in lines.collect()} == {(0, 3, 0), (1, 3, 2), (2, 3, 2), (3, 3, 2)}
+    kept = toxicity.remove_toxic(frame, labels, limit=1.1)
+    assert kept.columns == frame.columns and sorted(tuple(r) for r in kept.collect()) == data
+
+
 def test_longest_match_and_place(spark):
     text = prose(6, 200)
     item = "zz " + " ".join(words_of(text)[50:90]) + " yy"

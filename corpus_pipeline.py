@@ -29,8 +29,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     one that had no text from the start stays.
     """
     cleaned = linedup.remove_spread_lines(docs)
-    emptied = (F.col("n_removed") > 0) & (F.trim(F.regexp_replace("text", r"[\x09-\x0D]", " ")) == "")
-    n_chars = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    removed = F.col(cleaned.columns[-1]) > 0
+    emptied = removed & (F.trim(F.regexp_replace("text", r"[\x09-\x0D]", " ")) == "")
+    n_chars = F.when(removed, F.length("text")).otherwise(F.col("n_chars"))
     kept = cleaned.where(~emptied).withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType))
     return kept.select(*docs.columns)
 

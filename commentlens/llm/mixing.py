@@ -30,8 +30,13 @@ LARGEST_BLOCK = 1024
 
 
 def sizes(documents: DataFrame, seed: int = SEED, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """Size in words of every document, and its seeded place ``draw``."""
-    key = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
+    """Size in words of every document, and its seeded place ``draw``.
+
+    The place follows the id and the text, so documents that share an id, or
+    have none, are dealt to different shards.
+    """
+    own = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+    key = F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(":"), own)
     return documents.select(
         F.col(doc_id).alias("doc_id"),
         F.col(source).alias("source"),

@@ -7,7 +7,7 @@ from commentlens.llm import chat, decontam, linedup, mixing
 SOURCE_MIX = f"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
-         md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS draw
+         md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS draw
   FROM documents),
 per_source AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS code

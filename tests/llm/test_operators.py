@@ -122,6 +122,14 @@ def test_spread_lines_of_odd_rows(docs, none):
     assert linedup.remove_spread_lines(none).count() == 0
 
 
+def test_documents_without_an_id_are_spread(spark):
+    frame = spark.createDataFrame([(None, prose(i, 20), "s0") for i in range(300)], "doc_id long, text string, source string")
+    draws = mixing.sizes(frame).select("draw").distinct().count()
+    assert draws == 300
+    taken = mixing.mix(frame, shard_words=500).collect()
+    assert len(taken) == 300 and abs(sum(r["taken"] for r in taken) - sum(r["size"] for r in taken)) <= 60
+
+
 # Decontamination
 
 

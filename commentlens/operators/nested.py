@@ -54,7 +54,7 @@ def titles_of(docs: DataFrame, doc_id: str, settings: str = "headDocument.collec
 
 
 def collection_meta(meta: DataFrame, address: str, *keys: str) -> DataFrame:
-    """What a collection's metadata says of its article: ``ft_id, title, livefyreID, n_pages``.
+    """What a collection's metadata says of its article: ``ft_id, title, collection_key, n_pages``.
 
     The collection's own id is the last but one part of the metadata's address.
     """
@@ -63,7 +63,7 @@ def collection_meta(meta: DataFrame, address: str, *keys: str) -> DataFrame:
         *keys,
         settings["url"].alias("ft_id"),
         settings["title"].alias("title"),
-        path_segment_from_end(address, 2).alias("livefyreID"),
+        path_segment_from_end(address, 2).alias("collection_key"),
         settings["archiveInfo"]["nPages"].alias("n_pages"),
     )
 

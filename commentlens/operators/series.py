@@ -68,6 +68,9 @@ def windows_of(moment: Column, overlap: bool = False) -> Column:
 
 # --- search windows ---------------------------------------------------------------------
 
+# The words of the search syntax.
+SEARCH_OR, SEARCH_AFTER, SEARCH_BEFORE = " OR ", " AND lastPublishDateTime:>", " AND lastPublishDateTime:<"
+
 
 def search_windows(topics: DataFrame, start: date, end: date) -> DataFrame:
     """The searches that gather a topic's articles month by month.
@@ -81,13 +84,7 @@ def search_windows(topics: DataFrame, start: date, end: date) -> DataFrame:
     months = topics.withColumn("month", F.explode(month_starts(F.lit(start), F.lit(end))))
     opens, closes = F.col("month").cast("timestamp_ntz"), F.date_add(F.add_months("month", 1), 1).cast("timestamp_ntz")
     day = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    query = F.concat(
-        F.array_join("terms", " OR "),
-        F.lit(" AND lastPublishDateTime:>"),
-        day(opens),
-        F.lit(" AND lastPublishDateTime:<"),
-        day(closes),
-    )
+    query = F.concat(F.array_join("terms", SEARCH_OR), F.lit(SEARCH_AFTER), day(opens), F.lit(SEARCH_BEFORE), day(closes))
     columns = ["topic", "topic_no", "terms", "month"]
     return months.select(*columns, opens.alias("opens"), closes.alias("closes"), query.alias("search_query"))
 

@@ -139,19 +139,19 @@ def load(raw: DataFrame, root: str, kind: str, order: list[str] | None = None) -
 
 
 def site_links(sites: DataFrame) -> DataFrame:
-    """Articles whose site address is known: ``ft_hash, topic, livefyre_id_short``."""
+    """Articles whose site address is known: ``ft_hash, topic, short_id``."""
     known = sites.where(null_safe(F.col("siteId").contains("https")))
-    return known.select("ft_hash", "topic", short_collection_id("siteId").alias("livefyre_id_short"))
+    return known.select("ft_hash", "topic", short_collection_id("siteId").alias("short_id"))
 
 
-def save_topics(docs: DataFrame, links: DataFrame, path: str, doc_id: str = "livefyre_id_short") -> None:
+def save_topics(docs: DataFrame, links: DataFrame, path: str, doc_id: str = "short_id") -> None:
     """Write the comments and the authors of every topic, a folder each, all topics in two passes (runs jobs).
 
     ``docs`` are head documents with the short id of their collection; a
     document belongs to each topic that lists its article. Authors come once a
     topic. Earlier output is replaced topic by topic.
     """
-    chosen = once(docs.join(links.select("topic", F.col("livefyre_id_short").alias(doc_id)).distinct(), doc_id), "topics")
+    chosen = once(docs.join(links.select("topic", F.col("short_id").alias(doc_id)).distinct(), doc_id), "topics")
     for name, rows in (("comments", head_comments(chosen, "topic")), ("authors", author_rows(chosen, "headDocument.authors", "topic"))):
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("topic").parquet(f"{path}/{name}")

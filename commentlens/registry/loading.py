@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from commentlens.operators.dedupe import first_per_key
+from commentlens.operators.likes import edges_of, pair_counts
 from commentlens.plans import keyed
 from commentlens.plans import loading as ld
 from commentlens.registry import views as v
@@ -290,6 +291,19 @@ def _keyed_append(s, d):
     return keyed.read(s, table)
 
 
+# Stored likes joined to the stored comments they belong to, counted by author and liker.
+@entry(
+    "j01_stored_likes",
+    v.with_clause(RAW) + f""", c AS ({LOADS['comments']}), k AS ({LOADS['likes']})
+    SELECT authorId AS author_id, likedBy AS liker_id, count(*) AS like_count FROM c JOIN k ON c.id = k.comment_id GROUP BY 1, 2""",
+)
+def _stored_likes(s, d):
+    root, raw = scratch_path(s, "stored-likes"), _raw(s, d)
+    for kind in ("comments", "likes"):
+        ld.append_new(ld.shaped(raw, kind, ORDER), root, kind)
+    return pair_counts(edges_of(tb.read_table(s, "likes", root), tb.read_table(s, "comments", root)))
+
+
 COUNTS = """ SELECT * FROM (VALUES ('odd', (SELECT count(*) FROM t WHERE id % 2 = 1)), ('all', (SELECT count(*) FROM t WHERE id % 2 = 0)),
   ('again', 0)) AS x(batch, added)"""
 
@@ -382,7 +396,7 @@ def _topic_output(s, d):
     sites = docs.select(
         F.col("doc_id").cast("string").alias("ft_hash"), F.col("lang").alias("topic"), F.when(F.col("source") != "src3", address).alias("siteId")
     )
-    short = F.concat(F.col("doc_id").cast("string"), F.lit("/x"), F.col("doc_id").cast("string")).alias("livefyre_id_short")
+    short = F.concat(F.col("doc_id").cast("string"), F.lit("/x"), F.col("doc_id").cast("string")).alias("short_id")
     ld.save_topics(_head_documents(s, d).select(short, "headDocument"), ld.site_links(sites), path)
     return path
 

@@ -120,7 +120,7 @@ def _metadata(s, d):
 
 entry(
     "p07_metadata",
-    "SELECT page_id, url AS ft_id, url AS title, 'c' || page_id AS livefyreID, CAST(page_id % 4 AS INT) AS n_pages FROM pages",
+    "SELECT page_id, url AS ft_id, url AS title, 'c' || page_id AS collection_key, CAST(page_id % 4 AS INT) AS n_pages FROM pages",
 )(lambda s, d: ns.collection_meta(
     _metadata(s, d).withColumn("address", F.concat(F.lit("https://h/bs3/c"), "page_id", F.lit("/init"))), "address", "page_id"
 ))

@@ -2,7 +2,11 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a frame, which is
 written as Parquet and read again as the next one's documents. All but the last
-return the columns of the documents.
+return the columns of the documents, whatever further columns there are and
+however they are called. Without documents every stage returns none. Null and
+empty texts have no lines, copies or items; they reach the mix
+with size 0 unless the toxicity of an empty text is one half or more. Texts of
+any length are read whole.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ by_value("commentlens.llm.shared")
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below one half for toxicity."""
+    """Documents that score below one half for toxicity. Repeated rows score alike."""
     return toxicity.remove_toxic(docs, table(spark, sf_dir, "labels"))
 
 
@@ -26,7 +30,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that three or more sources share, but for their first places.
 
     ``n_chars`` follows the new text. A document of which nothing is left goes;
-    one that had no text from the start stays.
+    one that had no text from the start stays. Rows that repeat an id and text
+    keep the same lines.
     """
     cleaned = linedup.remove_spread_lines(docs)
     removed = F.col(cleaned.columns[-1]) > 0
@@ -37,12 +42,12 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest id."""
+    """One document of each group of near copies, the one with the smallest id; of rows that repeat it, one. Null ids come last."""
     return ngramjoin.first_of_groups(docs)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark items."""
+    """Documents that hold no benchmark items; all of them where the benchmark is empty."""
     return decontam.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 

@@ -5,7 +5,7 @@ All of them are JVM expressions, so they stay in the scan stage.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed patterns: word characters are Unicode letters, digits and underscore.
@@ -90,12 +90,24 @@ def without(tokens: Column | str, words: list[str]) -> Column:
 
 def ngrams(tokens: Column | str, n: int) -> Column:
     """Runs of ``n`` neighbouring tokens joined by a blank, built inside the row."""
-    grams = _col(tokens)
     if n == 1:
+        return _col(tokens)
+
+    def joined(arr: Column) -> Column:
+        count = F.greatest(F.size(arr) - F.lit(n - 1), F.lit(0))
+        grams = F.slice(arr, F.lit(1), count)
+        for k in range(1, n):
+            grams = F.zip_with(grams, F.slice(arr, F.lit(k + 1), count), lambda a, b: F.concat_ws(" ", a, b))
         return grams
-    arr = _col(tokens)
-    count = F.greatest(F.size(arr) - F.lit(n - 1), F.lit(0))
-    grams = F.slice(arr, F.lit(1), count)
-    for k in range(1, n):
-        grams = F.zip_with(grams, F.slice(arr, F.lit(k + 1), count), lambda a, b: F.concat_ws(" ", a, b))
-    return grams
+
+    # bound once: the tokens would be made anew wherever their expression stands
+    return F.transform(F.array(_col(tokens)), joined)[0]
+
+
+def one_per_row(rows: DataFrame, tokens: Column | str, keep: list[str], name: str) -> DataFrame:
+    """A row per token; the tokens are made once.
+
+    For a plain ``explode`` Spark infers a filter on the size of the list, which
+    makes the list a second time.
+    """
+    return rows.select(*keep, F.posexplode_outer(_col(tokens)).alias("_place", name)).where("_place IS NOT NULL").drop("_place")

@@ -1,7 +1,8 @@
 """Components of matrices with few rows and many columns, from the products of their rows.
 
 With n rows the products of all pairs of rows (the Gram matrix) are at most n²
-numbers, however many columns there are. Columns are grouped into vectors over
+numbers, however many columns there are. While all rows make one block, the cells
+of a column are sorted together and multiplied as they are. Else columns are grouped into vectors over
 blocks of rows, and every pair of blocks that share a column is multiplied and
 summed in NumPy, a few thousand columns at a time. A common column meets as
 many block pairs as there are, and a vector never exceeds a block. Only row x row
@@ -15,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -53,9 +55,13 @@ def row_codes(rows: DataFrame, most_rows: int = MOST_ROWS) -> DataFrame:
 def _products(cells: DataFrame, codes: DataFrame, block: int) -> DataFrame:
     """Sums of products ``_s, a, b, g`` of row numbers a <= b over all columns of ``cells`` (``_s, _r, _c, _w``)."""
     spark = cells.sparkSession
+    width = (codes.agg(F.max("_code")).first()[0] or 0) + 1
+    coded = cells.join(F.broadcast(codes), ["_s", "_r"])  # the numbers of rows were checked
+    if width <= block:
+        return _narrow_products(coded, width)
     item = F.struct((F.col("_code") % block).cast("int").alias("i"), F.col("_w").alias("w"))
     by_block = (
-        cells.join(codes, ["_s", "_r"])
+        coded
         .groupBy("_s", "_c", F.floor(F.col("_code") / block).cast("int").alias("k"))
         .agg(F.collect_list(item).alias("x"))
     )
@@ -91,6 +97,71 @@ def _products(cells: DataFrame, codes: DataFrame, block: int) -> DataFrame:
     return partial.groupBy("_s", "a", "b").agg(F.sum("g").alias("g"))
 
 
+def _narrow_products(coded: DataFrame, width: int) -> DataFrame:
+    """The same when all rows of a slice are one block, as wide as there are rows.
+
+    A column's cells are brought together by a shuffle and a sort, and multiplied
+    where they are.
+    """
+    spark = coded.sparkSession
+    slice_type = coded.schema["_s"].dataType
+    kind = _arrow(slice_type)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = coded.select("_s", "_c", "_code", "_w").repartition(parts, "_s", "_c").sortWithinPartitions("_s", "_c")
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+        last = None  # cells of the last column, which may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = batch.columns if last is None else [pa.concat_arrays(pair) for pair in zip(last, batch.columns)]
+            cut = int(np.flatnonzero(_starts(now[:2]))[-1])
+            last = [c.slice(cut) for c in now]
+            _multiply_columns([c.slice(0, cut) for c in now], width, held)
+            if len(held) * width * width > HELD * BLOCK * BLOCK:
+                yield from _cells(held, width, kind)
+                held.clear()
+        if last is not None:
+            _multiply_columns(last, width, held)
+        if held:
+            yield from _cells(held, width, kind)
+
+    schema = T.StructType(
+        [T.StructField("_s", slice_type), T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType()), T.StructField("g", T.DoubleType())]
+    )
+    return dealt.mapInArrow(add_up, schema).groupBy("_s", "a", "b").agg(F.sum("g").alias("g"))
+
+
+def _starts(keys: list[pa.Array]) -> np.ndarray:
+    """Where the keys of sorted rows change; missing ones are alike."""
+    new = np.ones(len(keys[0]), bool)
+    same = np.ones(max(len(new) - 1, 0), bool)
+    for key in keys:
+        x, y = key.slice(0, len(same)), key.slice(1)
+        alike = pc.or_(pc.fill_null(pc.equal(x, y), False), pc.and_(pc.is_null(x), pc.is_null(y)))
+        same &= alike.to_numpy(zero_copy_only=False)
+    new[1:] = ~same
+    return new
+
+
+def _multiply_columns(cells: list[pa.Array], width: int, held: dict) -> None:
+    """Add the products of sorted cells ``_s, _c, _code, _w``, whole columns, to ``held``, a matrix per slice."""
+    if not len(cells[0]):
+        return
+    code, weight = (c.to_numpy(zero_copy_only=False) for c in cells[2:])
+    cuts = [*np.flatnonzero(_starts(cells[:1])), len(code)]
+    column = np.cumsum(_starts(cells[:2])) - 1
+    for a, b in zip(cuts, cuts[1:]):
+        for k in range(column[a], column[b - 1] + 1, COLUMNS):
+            at = slice(a + np.searchsorted(column[a:b], k), a + np.searchsorted(column[a:b], k + COLUMNS))
+            here = column[at] - k
+            x = np.bincount(here * width + code[at], weight[at], (here[-1] + 1) * width).reshape(-1, width)
+            key = (cells[0][int(a)].as_py(), 0, 0)
+            found = x.T @ x
+            held[key] = held[key] + found if key in held else found
+
+
 def _arrow(kind: T.DataType) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -134,7 +205,7 @@ def gram_cells(
 
     ``entries`` has a row per non-zero cell; null weights count as none.
     """
-    cells = once(lowrank.long_cells(entries, row, col, weight, slice_by), "cells")
+    cells = lowrank.long_cells(once(entries, "entries"), row, col, weight, slice_by)
     codes = cut_lineage(row_codes(cells, most_rows), "codes")
     found = _products(cells, codes, block)
     first = codes.select("_s", F.col("_code").alias("a"), F.col("_r").alias("row_a"))
@@ -190,7 +261,7 @@ def components(
     the products of one slice's rows at a time.
     """
     spark = entries.sparkSession
-    cells = once(lowrank.long_cells(entries, row, col, weight, slice_by), "cells")
+    cells = lowrank.long_cells(once(entries, "entries"), row, col, weight, slice_by)
     sliced = F.col(slice_by) if slice_by else F.lit(0)
     listed = cells if rows is None else rows.select(sliced.alias("_s"), F.col(row).alias("_r")).unionByName(cells.select("_s", "_r"))
     codes = cut_lineage(row_codes(listed, most_rows), "codes")
@@ -219,7 +290,7 @@ def leading_components(entries: DataFrame, row: str, col: str, weight: str, k: i
     Krylov passes over the matrix.
     """
     slice_by, rows = options.get("slice_by"), options.get("rows")
-    cells = cut_lineage(entries, "entries")
+    cells = once(entries, "entries")
     within = [slice_by] if slice_by else []
     listed = (cells if rows is None else rows).groupBy(*within).agg(F.countDistinct(row).alias("n")).select("n")
     sizes = listed.agg(F.max("n").alias("most"), F.sum(F.col("n") * F.col("n")).alias("all"), F.count(F.lit(1)).alias("slices")).first()

@@ -54,6 +54,6 @@ def crossing_grams(rows: DataFrame, docs: list[str], tokens: str, order: list[st
 
 def grams_across(rows: DataFrame, docs: list[str], tokens: str, order: list[str], n: int, name: str = "term") -> DataFrame:
     """All n-grams of the comments of each key, read one after the other (runs jobs)."""
-    inside = rows.select(*docs, F.explode(words.ngrams(tokens, n)).alias(name))
+    inside = words.one_per_row(rows, words.ngrams(tokens, n), docs, name)
     return inside if n < 2 else inside.unionByName(crossing_grams(rows, docs, tokens, order, n, name))
 

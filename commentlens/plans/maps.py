@@ -12,7 +12,7 @@ from commentlens.operators import discriminant as ld
 from commentlens.operators import terms
 from commentlens.operators.gram import leading_components
 from commentlens.operators.joins import with_names
-from commentlens.session import cut_lineage
+from commentlens.session import cut_lineage, once
 
 
 def busy_authors(comments: DataFrame, more_than: int, keys: list[str]) -> DataFrame:
@@ -64,8 +64,12 @@ def author_map(
 ) -> tuple[DataFrame, DataFrame]:
     """Yearly maps ``(author_id, PCA_1.., year)`` and their explained ratios (runs jobs)."""
     texts = yearly_texts(comments, text, years, min_comments)
-    vectors = author_vectors(texts, n, **options)
-    listed = texts.select("year", "authorId").distinct()
+    return map_of_vectors(author_vectors(texts, n, **options), texts, k)
+
+
+def map_of_vectors(vectors: DataFrame, texts: DataFrame, k: int = 2) -> tuple[DataFrame, DataFrame]:
+    """The maps of :func:`author_map` from the vectors of yearly texts (runs jobs)."""
+    listed = once(texts.select("year", "authorId").distinct(), "authors")
     scores, ratios = leading_components(vectors, "authorId", "term", "w", k, slice_by="year", rows=listed)
     columns = [f"PCA_{i + 1}" for i in range(k)]
     return scores.select(F.col("authorId").alias("author_id"), *columns, "year"), ratios

@@ -17,6 +17,7 @@ from commentlens.plans import language as lang
 from commentlens.plans import maps
 from commentlens.registry import views as v
 from commentlens.registry.language import FREQ, NLTK, TOKENS, _round
+from commentlens.session import once
 
 ENTRIES: dict = {}
 YEARS = [2014, 2015, 2016, 2017, 2018]
@@ -202,8 +203,10 @@ entry(
 
 
 def _invariants(s, d):
-    scores, ratios = maps.author_map(v.texts(s, d), None, YEARS, min_comments=1, stem=False)
-    cells = gram.gram_cells(_yearly(s, d), "authorId", "term", "w", "year")
+    texts = maps.yearly_texts(v.texts(s, d), None, YEARS, 1)
+    vectors = once(maps.author_vectors(texts, stem=False), "vectors")
+    scores, ratios = maps.map_of_vectors(vectors, texts)
+    cells = gram.gram_cells(vectors, "authorId", "term", "w", "year")
     own, n = F.col("row_a") == F.col("row_b"), F.col("authors")
     total = F.sum(F.when(own, F.col("product")).otherwise(0.0))
     pairs = F.sum(F.when(own, F.col("product")).otherwise(2 * F.col("product")))

@@ -159,3 +159,23 @@ def test_stop_lists(spark):
 @pytest.mark.parametrize("body", ["plain", "@a @b", "x@y.z"])
 def test_handles_do_not_fail(spark, body):
     assert values(spark, [body], words.drop_digits_and_handles)[0] is not None
+
+
+def test_tokens_are_made_once(spark):
+    """Neither n-grams nor rows of tokens repeat the expression that makes the tokens."""
+    df = spark.createDataFrame([(1, "a b  c"), (2, ""), (3, None), (4, "d")], "id INT, t STRING")
+    rows = words.one_per_row(df, words.ngrams(words.split_blanks("t"), 2), ["id"], "term")
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    assert sorted(map(tuple, rows.collect())) == [(1, "a b"), (1, "b c")]
+    kept = words.one_per_row(df.where("id = 1"), F.array(F.lit("x"), F.lit(None)), ["id"], "term")
+    assert [r["term"] for r in kept.collect()] == ["x", None]
+
+
+def test_stems_are_not_searched_in_a_map(spark):
+    """A lookup in a map column runs over all its words for each token of a text."""
+    from commentlens.operators.terms import stem_lists
+
+    df = spark.createDataFrame([(1, ["running", "dogs", "running"]), (2, []), (3, None)], "id INT, t ARRAY<STRING>")
+    found = stem_lists(df, "t", "porter")
+    assert "map_from_entries" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["id"]: r["t"] for r in found.collect()} == {1: ["run", "dog", "run"], 2: [], 3: None}

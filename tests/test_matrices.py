@@ -230,3 +230,24 @@ def test_dense_vectors_count_too(spark):
     assert np.allclose(found.gram, x.T @ x) and found.counts == {"a": 5, "b": 4}
     none = spark.createDataFrame(rows, ["id", "label", "features"]).where("id < 0")
     assert ld.moments(none, "features", "label") is None
+
+
+def test_gram_of_few_rows_groups_no_cells(spark):
+    """Few rows are multiplied where a column's cells meet; columns go on over batches, and null ones are one column."""
+    rng = np.random.default_rng(8)
+    matrix = rng.random((7, 400)) * (rng.random((7, 400)) < 0.5)
+    cells = _cells(spark, matrix)
+    nulls = spark.createDataFrame([(0, None, 2.0), (1, None, 3.0)], "r INT, c STRING, w DOUBLE")
+    both = cells.unionByName(nulls)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        found = gram.gram_cells(both, "r", "c", "w")
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        got = {(r["row_a"], r["row_b"]): r["product"] for r in found.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert "collect_list" not in plan
+    full = np.hstack([matrix, np.array([[2.0], [3.0], *[[0.0]] * 5])])
+    want = full @ full.T
+    assert got.keys() == {(a, b) for a in range(7) for b in range(a, 7)}
+    assert all(abs(v - want[a, b]) < 1e-9 for (a, b), v in got.items())

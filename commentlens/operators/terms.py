@@ -8,6 +8,7 @@ one task.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ from commentlens.session import once
 
 
 def one_word_per_row(df: DataFrame, tokens: Column, keep: list[str], name: str = "word") -> DataFrame:
-    return df.select(*keep, F.explode(tokens).alias(name))
+    return words.one_per_row(df, tokens, keep, name)
 
 
 def word_counts(df: DataFrame, doc: str, tokens: Column, word: str = "word") -> DataFrame:
@@ -38,14 +39,26 @@ def stem_lists(df: DataFrame, tokens: str, rules: str) -> DataFrame:
     """Stem the elements of a token list, keeping their order (stores the rows and the stem dictionary once).
 
     Each row gets the part of the dictionary that it needs, so no row's tokens
-    are put in order anew and no dictionary is broadcast.
+    are put in order anew and no dictionary is broadcast. A map column would be
+    searched from its start for each token; a long text's words are looked up
+    in a hash table of its own.
     """
     rows = once(df.withColumn("_row", F.monotonically_increasing_id()), "lists")
     found = rows.select("_row", F.explode(F.array_distinct(tokens)).alias("word"))
     stems = once(stemming.dictionary(found, rules), "stems")
-    own = found.join(stems, "word").groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("word", "stem"))).alias("_stems"))
-    looked_up = F.transform(tokens, lambda w: F.try_element_at("_stems", w))
-    return rows.join(own, "_row", "left").withColumn(tokens, looked_up).drop("_row", "_stems")
+    own = found.join(stems, "word").groupBy("_row").agg(F.collect_list(F.struct("word", "stem")).alias("_stems"))
+
+    @F.arrow_udf("array<string>")
+    def looked_up(lists: pa.Array, pairs: pa.Array) -> pa.Array:
+        done = []
+        for k in range(0, len(lists), 200):  # bounded memory
+            some = zip(lists.slice(k, 200).to_pylist(), pairs.slice(k, 200).to_pylist())
+            tables = ((tokens, {p["word"]: p["stem"] for p in own or ()}) for tokens, own in some)
+            made = [None if tokens is None else [table.get(t) for t in tokens] for tokens, table in tables]
+            done.append(pa.array(made, pa.list_(pa.string())))
+        return pa.concat_arrays(done) if done else pa.array([], pa.list_(pa.string()))
+
+    return rows.join(own, "_row", "left").withColumn(tokens, looked_up(tokens, "_stems")).drop("_row", "_stems")
 
 
 MOST_STOPPED = 20_000  # words that a list of stop stems stands for

@@ -8,7 +8,9 @@ one task.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,8 +42,8 @@ def stem_lists(df: DataFrame, tokens: str, rules: str) -> DataFrame:
 
     Each row gets the part of the dictionary that it needs, so no row's tokens
     are put in order anew and no dictionary is broadcast. A map column would be
-    searched from its start for each token; a long text's words are looked up
-    in a hash table of its own.
+    searched from its start for each token; Arrow looks the words of many rows
+    up in one hash table.
     """
     rows = once(df.withColumn("_row", F.monotonically_increasing_id()), "lists")
     found = rows.select("_row", F.explode(F.array_distinct(tokens)).alias("word"))
@@ -50,13 +52,11 @@ def stem_lists(df: DataFrame, tokens: str, rules: str) -> DataFrame:
 
     @F.arrow_udf("array<string>")
     def looked_up(lists: pa.Array, pairs: pa.Array) -> pa.Array:
-        done = []
-        for k in range(0, len(lists), 200):  # bounded memory
-            some = zip(lists.slice(k, 200).to_pylist(), pairs.slice(k, 200).to_pylist())
-            tables = ((tokens, {p["word"]: p["stem"] for p in own or ()}) for tokens, own in some)
-            made = [None if tokens is None else [table.get(t) for t in tokens] for tokens, table in tables]
-            done.append(pa.array(made, pa.list_(pa.string())))
-        return pa.concat_arrays(done) if done else pa.array([], pa.list_(pa.string()))
+        known, made = pairs.flatten().flatten()  # a word's stem is the same in every row
+        found = made.take(pc.index_in(lists.flatten(), known))
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        offsets = pa.array(np.cumsum([0, *sizes]), pa.int32())
+        return pa.ListArray.from_arrays(offsets, found, mask=lists.is_null())
 
     return rows.join(own, "_row", "left").withColumn(tokens, looked_up(tokens, "_stems")).drop("_row", "_stems")
 

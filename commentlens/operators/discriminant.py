@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from commentlens.functions.text import one_per_row
 from commentlens.session import cut_lineage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need no copy of the package
@@ -45,7 +46,7 @@ def vectorise(df: DataFrame, tokens: str, max_features: int = 2000, passes: int
     # Each token counts for the total, each distinct token of a row for the
     # document frequency: one shuffle keyed by term, reduced map-side.
     marked = F.concat(_marks(F.col(tokens), 1, 0), _marks(F.array_distinct(tokens), 0, 1))
-    flat = df.select(F.explode(marked).alias("m")).select("m.*")
+    flat = one_per_row(df, marked, [], "m").select("m.*")
     stats = flat.groupBy("term").agg(F.sum("hit").alias("total"), F.sum("doc").alias("df"))
     chosen = stats.orderBy(F.desc("total"), F.asc("term")).limit(max_features).collect()
     chosen.sort(key=lambda r: r["term"])

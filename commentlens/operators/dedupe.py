@@ -16,6 +16,9 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) ->
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*keys).distinct()
+    if set(rest) <= {c for c in order if isinstance(c, str)}:  # the place holds the row, which so moves once
+        picked = df.groupBy(*keys).agg(F.min(F.struct(*dict.fromkeys(order))).alias("_first"))
+        return picked.select(*[_restore(c, keys) for c in df.columns])
     picked = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_first"))
     return picked.select(*[_restore(c, keys) for c in df.columns])
 

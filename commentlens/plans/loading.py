@@ -12,10 +12,13 @@ from commentlens.operators.joins import null_safe, replace_titles
 from commentlens.operators.likes import likes_from_text
 from commentlens.operators.nested import author_rows, head_comments
 from commentlens.schemas import KEYS, TABLES
-from commentlens.session import once
+from commentlens.session import known_size, once
 from commentlens.sources.tables import MissingTable, read_table
 
 
+SMALL = 10 << 20  # bytes of a batch that is sent everywhere
+
+
 def shape_comments(raw: DataFrame, *carry: str) -> DataFrame:
     """Comment facts: missing parents become -1, rows without an author are dropped.
 
@@ -66,33 +69,40 @@ SHAPES = {
 }
 
 
-def shaped(raw: DataFrame, kind: str, order: list[str] | None = None) -> DataFrame:
+def shaped(raw: DataFrame, kind: str, order: list[str] | None = None, among: DataFrame | None = None) -> DataFrame:
     """Raw rows in the form of one warehouse table, one row per key.
 
     The first row in ``order`` (raw columns) wins; pass ``["ingest"]`` for rows
-    read in landing order. Without an order the smallest row wins.
+    read in landing order. Without an order the smallest row wins. ``among``
+    holds keys; rows of other keys are left out before any is moved.
     """
     keys = KEYS[kind]
     rows = SHAPES[kind](raw)
     columns = rows.columns
     rest = [c for c in columns if c not in keys]
     if not rest:
-        return rows.distinct()
+        return (rows if among is None else among.select(*columns)).distinct()
     if order is None:
-        return first_per_key(rows, keys, rest)
-    tagged = SHAPES[kind](raw.withColumn("_order", F.struct(*order)), "_order")
+        return first_per_key(_among(rows, among, keys), keys, rest)
+    tagged = _among(SHAPES[kind](raw.withColumn("_order", F.struct(*order)), "_order"), among, keys)
     # rows that come at the same place are told apart by what they hold
     return first_per_key(tagged, keys, ["_order", *rest]).select(columns)
 
 
+def _among(rows: DataFrame, among: DataFrame | None, keys: list[str]) -> DataFrame:
+    return rows if among is None else _matching(rows, among, keys, "left_semi")
+
+
 def new_rows(batch: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of a batch whose key is not stored yet; a missing part of a key equals a missing one.
 
-    The stored keys are first reduced to those the batch holds. When the batch
-    is small that is a broadcast semi join, so a large table is scanned for its
-    key columns only and never shuffled.
+    When the batch is small the stored keys are first reduced to those it holds,
+    by a broadcast semi join, so a large table is scanned for its key columns
+    only and never shuffled. A large batch meets the stored keys at once.
     """
-    known = _matching(stored.select(*keys), batch.select(*keys), keys, "left_semi")
+    known = stored.select(*keys)
+    if known_size(batch) <= SMALL:
+        known = _matching(known, batch.select(*keys), keys, "left_semi")
     return _matching(batch, known, keys, "left_anti")
 
 
@@ -124,8 +134,13 @@ def stored_columns(spark: SparkSession, kind: str) -> list[str]:
 
 
 def load(raw: DataFrame, root: str, kind: str, order: list[str] | None = None) -> int:
-    """Load one warehouse table from raw rows; returns the number of appended rows (runs jobs)."""
+    """Load one warehouse table from raw rows; returns the number of appended rows (runs jobs).
+
+    The keys meet the table first, and only rows of keys that it lacks are put
+    in order and written; so rows that come again are never moved.
+    """
     spark = raw.sparkSession
+    keys = KEYS[kind]
 
     def size() -> int:
         try:
@@ -134,7 +149,15 @@ def load(raw: DataFrame, root: str, kind: str, order: list[str] | None = None) -
             return 0
 
     before = size()
-    append_new(shaped(raw, kind, order), root, kind)
+    try:
+        stored = read_table(spark, kind, root)
+        found = SHAPES[kind](raw)
+        # keys that are whole rows repeat seldom, and those that are new are made distinct in the end
+        found = once(found.select(*keys) if set(found.columns) == set(keys) else found.select(*keys).distinct(), "keys")
+        fresh = once(new_rows(found, stored, keys), "fresh")
+    except MissingTable:
+        fresh = None
+    shaped(raw, kind, order, fresh).select(*stored_columns(spark, kind)).write.mode("append").parquet(f"{root}/{kind}")
     return size() - before
 
 

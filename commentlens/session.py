@@ -105,15 +105,33 @@ def once(df: DataFrame, label: str = "once") -> DataFrame:
     shuffles by itself, and an expensive part (tokenising, stemming) would run
     in each of them. A frame that is already stored is returned as it is.
     """
-    return df if getattr(df, "_commentlens_stored", False) else cut_lineage(df, label)
+    return df if is_stored(df) else cut_lineage(df, label)
 
 
-def spread(df: DataFrame) -> DataFrame:
+def is_stored(df: DataFrame) -> bool:
+    return getattr(df, "_commentlens_stored", False)
+
+
+def known_size(df: DataFrame) -> int:
+    """Bytes as Spark's statistics have them: those of the files, if ``df`` reads stored rows."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+PIECE = 8 << 20  # bytes of stored texts whose n-grams a task counts in memory
+
+
+def spread(df: DataFrame, piece: int | None = None) -> DataFrame:
     """Give a small input one partition per core before CPU-heavy column work.
 
     Files of a single row group, compressed or multi-line files cannot be split,
     so one task would do all the work. An input that already has more splits
     than cores is left as it is, so large data is not shuffled for this.
+
+    With ``piece`` an input of any size is dealt in pieces of about so many
+    bytes: the n-grams of a usual split of 128 MB are more distinct keys than a
+    task's memory holds, so counting them would spill and fall back to sorting.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() <= cores else df
+    pieces = df.sparkSession.sparkContext.defaultParallelism
+    if piece:
+        pieces = max(pieces, -(-known_size(df) // piece))
+    return df.repartition(pieces) if df.rdd.getNumPartitions() <= pieces else df

@@ -126,10 +126,14 @@ def _buckets(rows: DataFrame) -> list[int]:
 
 
 def unseen(table: KeyedTable, batch: DataFrame) -> DataFrame:
-    """Rows of a batch, one per key, that the table doesn't hold, with their places (runs jobs)."""
+    """Rows of a batch, one per key, that the table doesn't hold, with their buckets (runs jobs).
+
+    The other parts of a key's place are hashes, made where they are read.
+    """
     spark = batch.sparkSession
-    placed = once(batch.withColumns(_places(table)), "batch")
-    asked = once(flagged(table, placed, _buckets(placed)), "asked")
+    columns = [*batch.columns, BUCKET]
+    placed = once(batch.withColumn(BUCKET, _places(table)[BUCKET]), "batch")
+    asked = once(flagged(table, placed.withColumns(_places(table)), _buckets(placed)).select(*columns, "_maybe"), "asked")
     suspects = asked.where("_maybe")
     near = _buckets(suspects)
     fresh = asked.where("NOT _maybe")
@@ -150,11 +154,10 @@ def append(table: KeyedTable, batch: DataFrame) -> int:
     new = once(unseen(table, batch), "new")
     count = new.count()
     if count:
-        index = index_of(table, new)
+        index = index_of(table, new.withColumns(_places(table)))
         index.repartition(BUCKET).write.mode("append").partitionBy(BUCKET).parquet(table.index_path)
-        rows = new.drop("_segment", "_bits")
         # one file a bucket and batch
-        rows.repartition(BUCKET).write.mode("append").partitionBy(BUCKET).parquet(table.path)
+        new.repartition(BUCKET).write.mode("append").partitionBy(BUCKET).parquet(table.path)
     return count
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from commentlens.functions import text as words
 from commentlens.operators.numbering import number_rows
-from commentlens.session import once
+from commentlens.session import PIECE, is_stored, once, spread
 
 
 def crossing_grams(rows: DataFrame, docs: list[str], tokens: str, order: list[str], n: int, name: str = "term") -> DataFrame:
@@ -54,6 +54,6 @@ def crossing_grams(rows: DataFrame, docs: list[str], tokens: str, order: list[st
 
 def grams_across(rows: DataFrame, docs: list[str], tokens: str, order: list[str], n: int, name: str = "term") -> DataFrame:
     """All n-grams of the comments of each key, read one after the other (runs jobs)."""
-    inside = words.one_per_row(rows, words.ngrams(tokens, n), docs, name)
+    inside = words.one_per_row(spread(rows, PIECE) if is_stored(rows) else rows, words.ngrams(tokens, n), docs, name)
     return inside if n < 2 else inside.unionByName(crossing_grams(rows, docs, tokens, order, n, name))
 

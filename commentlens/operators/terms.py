@@ -18,7 +18,7 @@ from commentlens.functions import stem as stemming
 from commentlens.functions import text as words
 from commentlens.operators.ranking import first_rows, top_n_per_group
 from commentlens.operators.stitch import grams_across
-from commentlens.session import once
+from commentlens.session import PIECE, is_stored, once, spread
 
 
 def one_word_per_row(df: DataFrame, tokens: Column, keep: list[str], name: str = "word") -> DataFrame:
@@ -90,7 +90,7 @@ def _stemmed_grams(rows: DataFrame, docs: list[str], order: list[str], n: int, s
 def _grams(rows: DataFrame, docs: list[str], order: list[str], n: int) -> DataFrame:
     if order:
         return grams_across(once(rows, "tokens"), docs, "_tokens", order, n)
-    return one_word_per_row(rows, words.ngrams("_tokens", n), docs, "term")
+    return one_word_per_row(spread(rows, PIECE) if is_stored(rows) else rows, words.ngrams("_tokens", n), docs, "term")
 
 
 def drop_words(counts: DataFrame, stop: list[str] | DataFrame) -> DataFrame:
@@ -170,17 +170,26 @@ def drop_sparse(matrix: DataFrame, doc: str, docs: DataFrame, sparse: float) ->
     """
     matrix = once(matrix, "matrix")
     df = document_frequency(matrix, "term")
-    kept = df.where(F.col("df") > docs.scalar() * F.lit(1.0 - sparse)).select("term")
+    kept = once(df.where(F.col("df") > docs.scalar() * F.lit(1.0 - sparse)).select("term"), "kept")
     return matrix.join(kept, "term", "left_semi")
 
 
-def log2_tfidf(matrix: DataFrame, doc: str, docs: DataFrame) -> DataFrame:
-    """``w = n / doc length * log2(N / df)`` on the full matrix (stores the counts once)."""
+def log2_tfidf(matrix: DataFrame, doc: str, docs: DataFrame, sparse: float | None = None) -> DataFrame:
+    """``w = n / doc length * log2(N / df)`` on the full matrix (stores the counts and their totals once).
+
+    ``sparse`` leaves out sparse terms as :func:`drop_sparse` does, before any
+    row of theirs is weighted; the lengths are those of whole documents. The
+    totals are stored, so that their measured size decides whether the matrix
+    is shuffled to meet them.
+    """
     matrix = once(matrix, "matrix")
-    df = document_frequency(matrix, "term")
-    lengths = matrix.groupBy(doc).agg(F.sum("n").alias("_len"))
+    df = matrix.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.count(doc).alias("_known"))
+    if sparse is not None:  # rows without a document have no length, so no weight
+        df = df.where(F.col("_known") > docs.scalar() * F.lit(1.0 - sparse))
+    df = once(df.drop("_known"), "frequencies")
+    lengths = once(matrix.groupBy(doc).agg(F.sum("n").alias("_len")), "lengths")
     weight = F.col("n") / F.col("_len") * F.log2(docs.scalar() / F.col("df"))
-    return matrix.join(lengths, doc).join(df, "term").select(doc, "term", weight.alias("w"))
+    return matrix.join(df, "term").join(lengths, doc).select(doc, "term", weight.alias("w"))
 
 
 def term_totals(matrix: DataFrame, value: str = "n", at_least: float | None = None) -> DataFrame:
@@ -243,21 +252,23 @@ def smoothed_tfidf(counts: DataFrame, doc: str, slices: list[str] | None = None,
 
     Two passes equal the vectoriser followed by a second transformer: the norm
     in between cancels. ``slices`` are columns (such as the year) within which
-    the corpus statistics are taken. The counts and the raw weights are stored
-    once each.
+    the corpus statistics are taken. The counts, the raw weights and the norms
+    are stored once each. Most n-grams occur in one document; only the
+    frequencies above one are joined.
     """
     counts = once(counts, "counts")
     within = slices or []
-    df = document_frequency(counts, "term", within).withColumnRenamed("df", "_df")
+    keys = [*within, "term"]
+    df = document_frequency(counts, "term", within).where("df > 1").withColumnRenamed("df", "_df")
+    joined = counts.where(F.col("term").isNotNull()).join(df, keys, "left").withColumn("_df", F.coalesce("_df", F.lit(1)))
     if within:
         docs = counts.groupBy(*within).agg(F.countDistinct(doc).alias("_docs"))
-        joined = counts.join(df, [*within, "term"]).join(docs, within)
+        joined = joined.join(docs, within)
         total = F.col("_docs")
     else:
-        joined = counts.join(df, "term")
         total = number_of_documents(counts, doc).scalar()
     idf = F.log((total + 1) / (F.col("_df") + 1)) + 1
     weight = (F.col("n") * F.pow(idf, F.lit(float(passes)))).alias("w")
     raw = once(joined.select(*within, doc, "term", weight), "weights")
-    norms = raw.groupBy(*within, doc).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
+    norms = once(raw.groupBy(*within, doc).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm")), "norms")
     return raw.join(norms, [*within, doc]).select(*within, doc, "term", (F.col("w") / F.col("_norm")).alias("w"))

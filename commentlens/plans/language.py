@@ -67,14 +67,10 @@ def frequent_terms(
     """Most frequent terms of a set of documents, by count or by weight."""
     matrix = terms.document_term(text, doc, body, ["the", "and", *SNOWBALL_ENGLISH])
     docs = text.agg(F.count(F.lit(1)).alias("docs"))
-    value = "n"
     if weighting == "tfidf":
-        weighted, value = terms.log2_tfidf(matrix, doc, docs), "w"
-        sparse = 0.95 if sparse is None else sparse
+        kept, value = terms.log2_tfidf(matrix, doc, docs, 0.95 if sparse is None else sparse), "w"
     else:
-        weighted = matrix
-        sparse = 0.99 if sparse is None else sparse
-    kept = terms.drop_sparse(weighted, doc, docs, sparse)
+        kept, value = terms.drop_sparse(matrix, doc, docs, 0.99 if sparse is None else sparse), "n"
     totals = kept.groupBy("term").agg(F.sum(value).alias("weight"))
     if digits is not None:
         totals = totals.withColumn("weight", F.round("weight", digits))

@@ -9,16 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commentlens.session import spread
+from commentlens.session import PIECE, spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def wide_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table of long texts, spread over the cores when it is small."""
-    return spread(table(spark, folder, name))
+def wide_table(spark: SparkSession, folder: str, name: str, piece: int | None = None) -> DataFrame:
+    """A table of long texts, spread over the cores when it is small, or in pieces."""
+    return spread(table(spark, folder, name), piece)
 
 
 def seconds(column: str):
@@ -89,7 +89,7 @@ THREADS = """threads AS (
 
 def texts(spark: SparkSession, folder: str) -> DataFrame:
     """Comment texts: documents by source, spread over five years."""
-    return wide_table(spark, folder, "documents").select(
+    return wide_table(spark, folder, "documents", PIECE).select(
         F.col("doc_id").alias("id"),
         F.col("source").alias("authorId"),
         F.col("text").alias("bodyHtml"),

@@ -11,10 +11,14 @@ what its set holds from the meeting's shingle on: at the first shingle that two
 sets share they have no more than the smaller of these in common. What the
 bounds leave is verified on the whole shingle sets.
 
+Meetings of few members who are the same are one meeting, in which a member's
+last coordinate is its largest.
+
 Documents with equal sets are one class from the start. Large groups of near
 copies never become all their pairs: a first round tries each member against
-one leader per shingle, and the trees then pair only members that are not yet
-in one component.
+one leader per shingle; in the next ones the trees of large meetings, in blocks,
+give each member a few partners; the last trees give every pair of members that are
+not yet in one component.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -40,6 +44,11 @@ SKETCH_BITS = 19
 SKETCH_WORDS = 4_000_000
 KNOWN_WORDS = 500_000
 LEADERS = 1
+# Meetings of more members pass rounds of a few partners a member, in blocks of so many.
+SMALL = 16
+ROUNDS = 2
+NEAREST = 2
+THIN_BLOCK = 1000
 LEAF = 16
 FAN = 8
 BLOCK = 20_000
@@ -172,9 +181,35 @@ def _setter(text: str):
 
 def _points(blobs) -> np.ndarray:
     """Counts by group; those of large documents come in four bytes each."""
+    if all(len(v) == GROUPS for v in blobs):
+        return np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, GROUPS).astype(np.int32)
     return np.stack([np.frombuffer(v, np.uint8 if len(v) == GROUPS else "<u4") for v in blobs]).astype(np.int32)
 
 
+def _leaf_join(cuts: np.ndarray, n: np.ndarray, rest: np.ndarray, part: np.ndarray, blobs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What ``_tree_join`` gives for trees of one leaf, of all such meetings at once; ``cuts`` are the meetings' first rows."""
+    sizes = np.diff(np.append(cuts, len(n)))
+    meeting, few = np.repeat(np.arange(len(cuts)), sizes), np.repeat(sizes <= LEAF, sizes)
+    left, right = [], []
+    for step in range(1, LEAF):
+        x = np.flatnonzero(few[:-step] & (meeting[:-step] == meeting[step:]))
+        y = x + step
+        need = NUMBER * (n[x] + n[y])
+        fits = (part[x] != part[y]) & (NUMBER * np.maximum(n[x], n[y]) <= OF * np.minimum(n[x], n[y]))
+        fits &= np.minimum(rest[x], rest[y]) * (NUMBER + OF) >= need
+        left.append(x[fits])
+        right.append(y[fits])
+        if not len(x):
+            break
+    x, y = np.concatenate([np.empty(0, np.int64), *left]), np.concatenate([np.empty(0, np.int64), *right])
+    fits = np.zeros(len(x), bool)
+    for k in range(0, len(x), 1 << 15):  # bounded memory
+        some = slice(k, k + (1 << 15))
+        low = np.minimum(_points(blobs[x[some]]), _points(blobs[y[some]])).sum(axis=1)
+        fits[some] = low * (NUMBER + OF) >= NUMBER * (n[x[some]] + n[y[some]])
+    return x[fits], y[fits]
+
+
 def _tree_join(n: np.ndarray, rest: np.ndarray, part: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows in different parts that the bounds leave, from a join of a packed R-tree with itself.
 
@@ -220,51 +255,91 @@ def _tree_join(n: np.ndarray, rest: np.ndarray, part: np.ndarray, points: np.nda
     return order[i[apart]], order[j[apart]]
 
 
-def _tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs that the trees leave, of rows sorted by meeting."""
+def _few_each(x: np.ndarray, y: np.ndarray, cls: np.ndarray, n: np.ndarray, points: np.ndarray, salt: int) -> np.ndarray:
+    """Which pairs are among the ``NEAREST`` of a row by their bound, or join it with the partner whose salted class is least."""
+    rank = np.empty(len(cls), np.int64)
+    rank[np.argsort(_mixed(cls.view(np.uint64) + np.uint64(salt)))] = np.arange(len(cls))
+    best = np.full(len(cls), len(cls))
+    np.minimum.at(best, x, rank[y])
+    np.minimum.at(best, y, rank[x])
+    some = (best[x] == rank[y]) | (best[y] == rank[x])
+    near = np.empty(len(x))
+    for k in range(0, len(x), 1 << 15):  # bounded memory
+        i, j = x[k : k + (1 << 15)], y[k : k + (1 << 15)]
+        near[k : k + (1 << 15)] = np.minimum(points[i], points[j]).sum(axis=1) / (n[i] + n[j])
+    row, pair = np.concatenate([x, y]), np.tile(np.arange(len(x)), 2)
+    order = np.lexsort((-near[pair], row))
+    row, pair = row[order], pair[order]
+    some[pair[NEAREST:][row[NEAREST:] != row[:-NEAREST]]] = True
+    some[pair[:NEAREST]] = True
+    return some
+
+
+def _tree_pairs(salt: int):
+    """Pairs that the trees leave, of rows sorted by meeting; with a salt, a few for each row."""
     names = ("token", "i", "j", "n", "rest", "cls", "root", "vector")
-    held: list[dict] = []
 
     def flush(data: dict) -> pa.RecordBatch:
-        left, right = [], []
         key = np.stack([data[k] for k in ("token", "i", "j")])
         cuts = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0)))
+        x, y = _leaf_join(cuts, data["n"], data["rest"], data["root"], data["vector"])
+        left, right = [data["cls"][x]], [data["cls"][y]]
         for a, b in zip(cuts, [*cuts[1:], key.shape[1]], strict=True):
-            if b - a > 1:
-                x, y = _tree_join(data["n"][a:b], data["rest"][a:b], data["root"][a:b], _points(data["vector"][a:b]))
-                left.append(data["cls"][a:b][x])
-                right.append(data["cls"][a:b][y])
-        x = np.concatenate(left) if left else np.empty(0, np.int64)
-        y = np.concatenate(right) if right else np.empty(0, np.int64)
+            if b - a > LEAF:
+                cls, n, points = data["cls"][a:b], data["n"][a:b], _points(data["vector"][a:b])
+                x, y = _tree_join(n, data["rest"][a:b], data["root"][a:b], points)
+                if salt:
+                    some = _few_each(x, y, cls, n, points, salt)
+                    x, y = x[some], y[some]
+                left.append(cls[x])
+                right.append(cls[y])
+        x, y = np.concatenate(left), np.concatenate(right)
         pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
         return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
     def joined(parts: list[dict]) -> dict:
         return {k: np.concatenate([p[k] for p in parts]) for k in names}
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        part = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in names}
-        last = [part[k][-1] for k in ("token", "i", "j")]
-        tail = (part["token"] == last[0]) & (part["i"] == last[1]) & (part["j"] == last[2])
-        cut = int(np.argmax(tail))
-        if cut:
-            yield flush(joined([*held, {k: v[:cut] for k, v in part.items()}]))
-            held = [{k: v[cut:] for k, v in part.items()}]
-        else:
-            held.append(part)
-    if held:
-        yield flush(joined(held))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            part = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in names}
+            last = [part[k][-1] for k in ("token", "i", "j")]
+            tail = (part["token"] == last[0]) & (part["i"] == last[1]) & (part["j"] == last[2])
+            cut = int(np.argmax(tail))
+            if cut:
+                yield flush(joined([*held, {k: v[:cut] for k, v in part.items()}]))
+                held = [{k: v[cut:] for k, v in part.items()}]
+            else:
+                held.append(part)
+        if held:
+            yield flush(joined(held))
+
+    return run
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs whose whole sets have the Jaccard."""
+    """Pairs whose whole sets have the Jaccard.
+
+    The sets of one side are moved once a pair, those of the other, on which
+    leaders are, once each.
+    """
+    turn = _rank(F.col("a")) < _rank(F.col("b"))
+    turned = pairs.select(F.when(turn, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(turn, F.col("a")).otherwise(F.col("b")).alias("b"))
     left = sets.select(F.col("cls").alias("a"), F.col("items").alias("_a"))
-    right = sets.select(F.col("cls").alias("b"), F.col("items").alias("_b"))
+    asked = turned.select(F.col("b").alias("cls")).distinct()
+    right = sets.join(asked, "cls", "left_semi").select(F.col("cls").alias("b"), F.col("items").alias("_b"))
     both = F.size(F.array_intersect("_a", "_b")).cast("long")
     union = F.size("_a") + F.size("_b") - both
-    return pairs.join(left, "a").join(right, "b").where(OF * both >= NUMBER * union).select("a", "b")
+    held = turned.join(left, "a").join(right, "b").where(OF * both >= NUMBER * union)
+    return held.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def _rank(cls: Column, part: int | Column = 0) -> Column:
+    """The order in which classes become leaders."""
+    return F.xxhash64(cls, F.lit(part).cast("long"))
 
 
 def near_copies(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -303,31 +378,18 @@ def near_copies(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
         ),
         "classes",
     )
-    meeting = W.partitionBy("token")
-    leader = F.min(F.struct(F.xxhash64("cls", F.pmod("token", F.lit(LEADERS))), "cls", "n", "place")).over(meeting)
-    meetings = once(
-        described.select("cls", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("place", "token"))
-        .repartition(parts, "token")
-        .dropDuplicates(["token", "cls"])
-        .select("token", "cls", "n", "place", F.count(F.lit(1)).over(meeting).alias("size"), leader.alias("leader"))
-        .where(F.col("size") > 1),
-        "meetings",
-    )
+    meetings = once(_meetings(described, parts), "meetings")
     brief = classes.select("cls", "n", "vector")
-    stars = once(_bounded(_stars(meetings), brief), "stars")
-    first = once(_verified(stars, once(_sets(own, stars, classes), "sets")), "links")
-    members = _opened(meetings.select("token", "cls", "place"), components(first))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("cls"), blocks).cast("int")
-    other = F.explode(F.sequence(F.lit(0), blocks - 1))
-    blocked = (
-        members.join(brief, "cls")
-        .select("token", "cls", "root", "n", (F.col("n") - F.col("place")).alias("rest"), "vector", block.alias("block"), other.alias("other"))
-        .select("token", "cls", "root", "n", "rest", "vector", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    )
-    trees = blocked.repartition(parts, "token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(_tree_pairs, "a long, b long")
-    rest = once(trees.distinct().join(stars, ["a", "b"], "left_anti"), "pairs")
-    links = once(first.union(_verified(rest, once(_sets(own, rest, classes), "sets"))), "links")
+    tried = once(_bounded(_stars(meetings), brief), "stars")
+    links = once(_verified(tried, once(_sets(own, tried, classes), "sets")), "links")
+    large = meetings.where(F.col("size") > SMALL)
+    salts = range(1, ROUNDS + 1) if large.limit(1).count() else []
+    for salt in [*salts, 0]:
+        trees = _trees(_opened(large if salt else meetings, components(links)), brief, parts, salt)
+        more = once(trees.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+        if more.limit(1).count():
+            links = once(links.union(_verified(more, once(_sets(own, more, classes), "sets"))), "links")
+            tried = tried.union(more)
     final = components(links)
     reached = classes.select("cls", "least").join(final.withColumnRenamed("node", "cls"), "cls", "left")
     reached = reached.withColumn("root", F.coalesce("root", "cls"))
@@ -343,6 +405,56 @@ def near_copies(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
     )
 
 
+def _meetings(described: DataFrame, parts: int) -> DataFrame:
+    """Members of the meetings who may link there: rows ``token, cls, n, rest, size, leader``.
+
+    The smallest member bounds what a member needs of its own set from the
+    shingle on; a meeting of two is judged by both. Small meetings get a hash
+    of their members for a token, so all that have the same ones are one, where
+    ``rest`` is the largest: that at the first shingle which they share.
+    """
+    meeting = W.partitionBy("token")
+    rest, n, low = F.col("rest"), F.col("n"), F.col("low")
+    rows = (
+        described.select("cls", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("place", "token"))
+        .select("token", "cls", "n", (F.col("n") - F.col("place")).alias("rest"))
+        .repartition(parts, "token")
+        .dropDuplicates(["token", "cls"])
+        .withColumns({
+            "size": F.count(F.lit(1)).over(meeting),
+            "members": F.bit_xor(F.xxhash64("cls")).over(meeting),
+            "low": F.min("n").over(meeting),
+            "high": F.max("n").over(meeting),
+            "least": F.min("rest").over(meeting),
+        })
+    )
+    alone = OF * (NUMBER + OF) * rest >= NUMBER * (OF * n + F.greatest(OF * low, NUMBER * n))
+    two = (OF * low >= NUMBER * F.col("high")) & ((NUMBER + OF) * F.col("least") >= NUMBER * (low + F.col("high")))
+    fit = rows.where((F.col("size") > 1) & F.when(F.col("size") == 2, two).otherwise(alone))
+    leader = F.min(F.struct(_rank(F.col("cls"), F.pmod("token", F.lit(LEADERS))), "cls", "n", (n - rest).alias("place"))).over(meeting)
+    token = F.when(F.col("size") <= SMALL, F.col("members")).otherwise(F.col("token"))
+    led = fit.withColumn("leader", leader).withColumn("token", token)
+    return led.groupBy("token", "cls").agg(
+        F.max("n").alias("n"), F.max("rest").alias("rest"), F.max("size").alias("size"), F.min("leader").alias("leader")
+    )
+
+
+def _trees(members: DataFrame, brief: DataFrame, parts: int, salt: int) -> DataFrame:
+    """Pairs that the trees of the members' meetings leave: rows ``a, b``, which may repeat.
+
+    Without a salt all of them: the blocks of a large meeting meet in pairs.
+    With one, a few partners for each row within its block.
+    """
+    blocks = F.ceil(F.col("size") / (THIN_BLOCK if salt else BLOCK)).cast("int")
+    block = F.pmod(F.xxhash64("cls", "token", F.lit(salt)) if salt else F.xxhash64("cls"), blocks).cast("int")
+    other = F.explode(F.array("block") if salt else F.sequence(F.lit(0), blocks - 1))
+    dealt = members.withColumn("block", block).withColumn("other", other)
+    blocked = dealt.join(brief.select("cls", "vector"), "cls").select(
+        "token", "cls", "root", "n", "rest", "vector", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
+    )
+    return blocked.repartition(parts, "token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(_tree_pairs(salt), "a long, b long")
+
+
 def _stars(meetings: DataFrame) -> DataFrame:
     """Each member with its meetings' leaders, where sizes and places allow a link: rows ``a, b``.
 
@@ -350,7 +462,7 @@ def _stars(meetings: DataFrame) -> DataFrame:
     leaves most of either set; a pair that can link shows it there.
     """
     own, other = F.col("n"), F.col("leader.n")
-    both = F.least(own - F.col("place"), other - F.col("leader.place"))
+    both = F.least(F.col("rest"), other - F.col("leader.place"))
     fits = (OF * F.least(own, other) >= NUMBER * F.greatest(own, other)) & ((NUMBER + OF) * both >= NUMBER * (own + other))
     pair = meetings.where((F.col("leader.cls") != F.col("cls")) & fits)
     return pair.select(F.least("cls", "leader.cls").alias("a"), F.greatest("cls", "leader.cls").alias("b")).distinct()
@@ -358,11 +470,11 @@ def _stars(meetings: DataFrame) -> DataFrame:
 
 def _opened(meetings: DataFrame, roots: DataFrame) -> DataFrame:
     """Members of the meetings that are not all in one component, with their roots."""
-    rooted = meetings.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    rooted = meetings.drop("leader", "size").join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     meeting = W.partitionBy("token")
     low, high = F.min("root").over(meeting), F.max("root").over(meeting)
     spread = rooted.withColumns({"low": low, "high": high, "size": F.count(F.lit(1)).over(meeting)})
-    return spread.where(F.col("low") != F.col("high")).select("token", "cls", "place", "size", "root")
+    return spread.where(F.col("low") != F.col("high")).select("token", "cls", "n", "rest", "size", "root")
 
 
 def _bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from commentlens.llm import chat, components, decontam, htmltext, linedup, lmscore, mixing, ngramjoin, qualitybayes, qualityrules, toxicity
@@ -531,3 +532,32 @@ def test_near_copies_gives_no_partial_count_of_links(spark):
     found = ngramjoin.near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING"))
     assert found.columns == ["doc_id", "body", "n", "cls", "root", "component_id"]
     assert {r["component_id"] for r in found.collect()} == {0}
+
+
+def test_rounds_give_a_large_meeting_few_partners_a_member():
+    """300 members that all pass the bound: all pairs without a salt, a few for each member with one."""
+    size, blob = 300, np.ones(ngramjoin.GROUPS, np.uint8).tobytes()
+    whole = {"token": np.zeros(size), "i": np.zeros(size), "j": np.zeros(size), "n": np.full(size, ngramjoin.GROUPS)}
+    whole |= {"rest": whole["n"], "cls": np.arange(size), "root": np.arange(size)}
+    columns = {k: pa.array(v.astype(np.int64)) for k, v in whole.items()} | {"vector": pa.array([blob] * size, pa.binary())}
+    batches = pa.table(columns).to_batches(max_chunksize=100)
+    pairs = lambda salt: sum(b.num_rows for b in ngramjoin._tree_pairs(salt)(iter(batches)))
+    assert pairs(0) == size * (size - 1) // 2
+    assert size - 1 <= pairs(1) <= (ngramjoin.NEAREST + 1) * size
+
+
+def test_meetings_of_one_leaf_equal_trees():
+    rnd = np.random.default_rng(3)
+    sizes = rnd.integers(1, ngramjoin.LEAF + 3, 60)
+    base = np.repeat(rnd.integers(0, 9, (60, ngramjoin.GROUPS)), sizes, axis=0)
+    points = np.maximum(base + rnd.integers(-1, 2, base.shape), 0)
+    n, part, cuts = points.sum(axis=1), rnd.integers(0, 40, len(points)), np.append(0, np.cumsum(sizes)[:-1])
+    rest = n - rnd.integers(0, n // 6)
+    blobs = np.array([p.astype(np.uint8).tobytes() for p in points], object)
+    got = set(zip(*(v.tolist() for v in ngramjoin._leaf_join(cuts, n, rest, part, blobs)), strict=True))
+    want = set()
+    for a, size in zip(cuts, sizes, strict=True):
+        if size <= ngramjoin.LEAF:
+            x, y = ngramjoin._tree_join(n[a : a + size], rest[a : a + size], part[a : a + size], points[a : a + size].astype(np.int32))
+            want |= {(a + min(p), a + max(p)) for p in zip(x.tolist(), y.tolist(), strict=True)}
+    assert got == want and got

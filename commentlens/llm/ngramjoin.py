@@ -1,6 +1,6 @@
 """Documents that share most of their five-word shingles, by count vectors.
 
-A document's shingles are hashed into 64 groups; their counts are a point, and
+A document's shingles are hashed into 256 groups; their counts are a point, and
 the sum of coordinate minima bounds the overlap of two documents. Points are
 indexed in R-trees, packed by size and coordinates, one for each *meeting*:
 among sets with a Jaccard of 0.75 or more, the first ``n - ceil(0.75 n) + 1``
@@ -37,7 +37,7 @@ from commentlens.llm.shared import small_batches
 from commentlens.session import once
 
 WORDS = 5
-GROUPS = 64
+GROUPS = 256  # a power of two: the first bits of a shingle's hash
 # Jaccard of at least NUMBER / OF.
 NUMBER, OF = 3, 4
 SKETCH_BITS = 19
@@ -138,7 +138,7 @@ def _describer(shared, text: str, doc_id: str):
                 n = len(found)
                 sizes.append(n)
                 classes.append(int(_mixed(np.array([found.sum() + np.uint64(n)])).view(np.int64)[0]) if n else None)
-                counts = np.bincount((found >> np.uint64(58)).astype(np.int64), minlength=GROUPS)
+                counts = np.bincount((found >> np.uint64(65 - GROUPS.bit_length())).astype(np.int64), minlength=GROUPS)
                 # Of a task's copies only the first brings its shingles to the meetings.
                 if len(told) >= KNOWN_WORDS:
                     told.clear()

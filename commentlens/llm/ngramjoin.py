@@ -38,6 +38,7 @@ from commentlens.session import once
 
 WORDS = 5
 GROUPS = 256  # a power of two: the first bits of a shingle's hash
+FINE = 1536  # larger sets have counts in more groups too, 3 to 6 shingles in each
 # Jaccard of at least NUMBER / OF.
 NUMBER, OF = 3, 4
 SKETCH_BITS = 19
@@ -52,7 +53,9 @@ THIN_BLOCK = 1000
 LEAF = 16
 FAN = 8
 BLOCK = 20_000
+PRUNED = 2  # times that the members of a meeting are judged
 MOST_SENT = 1_000_000
+MEMBERS = 64  # texts that are verified against one copy of their leader's
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -127,18 +130,28 @@ def common_buckets(documents: DataFrame, text: str) -> np.ndarray:
     return table
 
 
+def _fine_counts(found: np.ndarray) -> bytes | None:
+    """A large set's counts in groups whose number grows with it; null if it is small or a count needs more than a byte."""
+    if len(found) <= FINE:
+        return None
+    bits = GROUPS.bit_length() - 1 + ((len(found) - 1) // FINE).bit_length()
+    counts = np.bincount((found >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else None
+
+
 def _describer(shared, text: str, doc_id: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, hashes, told = shared.value, _Hashes(), set()
         mask = np.uint64((1 << SKETCH_BITS) - 1)
         for batch in batches:
-            sizes, classes, prefixes, vectors = [], [], [], []
+            sizes, classes, prefixes, vectors, fines = [], [], [], [], []
             for value in batch.column(text).to_pylist():
                 found = shingles(value, hashes)
                 n = len(found)
                 sizes.append(n)
                 classes.append(int(_mixed(np.array([found.sum() + np.uint64(n)])).view(np.int64)[0]) if n else None)
                 counts = np.bincount((found >> np.uint64(65 - GROUPS.bit_length())).astype(np.int64), minlength=GROUPS)
+                fine = _fine_counts(found)
                 # Of a task's copies only the first brings its shingles to the meetings.
                 if len(told) >= KNOWN_WORDS:
                     told.clear()
@@ -150,6 +163,7 @@ def _describer(shared, text: str, doc_id: str):
                 order = np.argsort(common[(found & mask).astype(np.int64)], kind="stable")[: n - (NUMBER * n + OF - 1) // OF + 1]
                 prefixes.append(found[order].view(np.int64))
                 vectors.append(counts.astype(np.uint8 if counts.max() < 256 else "<u4").tobytes())
+                fines.append(fine)
             flat = np.concatenate(prefixes) if prefixes else np.empty(0, np.int64)
             offsets = np.cumsum([0, *map(len, prefixes)])
             yield pa.RecordBatch.from_arrays(
@@ -160,23 +174,26 @@ def _describer(shared, text: str, doc_id: str):
                     pa.array(classes, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)),
                     pa.array(vectors, pa.binary()),
+                    pa.array(fines, pa.binary()),
                 ],
-                names=["doc_id", "body", "n", "cls", "prefix", "vector"],
+                names=["doc_id", "body", "n", "cls", "prefix", "vector", "fine"],
             )
 
     return run
 
 
-def _setter(text: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
-        for batch in batches:
-            sets = [shingles(v, hashes).view(np.int64) for v in batch.column(text).to_pylist()]
-            flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
-            values = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]), pa.int32()), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch.column("cls"), values], names=["cls", "items"])
-
-    return run
+def _jaccard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose whole sets have the Jaccard, of texts that follow that of their leader (a null ``a``)."""
+    hashes, leader = _Hashes(), np.empty(0, np.uint64)
+    for batch in batches:
+        linked = []
+        for a, text in zip(batch.column("a").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            found = shingles(text, hashes)
+            if a is None:
+                leader = found
+            both = len(np.intersect1d(leader, found, assume_unique=True))
+            linked.append(a is not None and OF * both >= NUMBER * (len(leader) + len(found) - both))
+        yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
 
 def _points(blobs) -> np.ndarray:
@@ -320,20 +337,53 @@ def _tree_pairs(salt: int):
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _fine_bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose summed minima in the groups of the one that has fewer allow the overlap, and pairs without such groups."""
+    for batch in batches:
+        fits = []
+        for n, left, right in zip(*(batch.column(k).to_pylist() for k in ("n", "left", "right")), strict=True):
+            if left is not None and right is not None:
+                groups = min(len(left), len(right))
+                x, y = (np.frombuffer(v, np.uint8).reshape(groups, -1).sum(axis=1, dtype=np.int64) for v in (left, right))
+                fits.append(bool(np.minimum(x, y).sum() * (NUMBER + OF) >= NUMBER * n))
+            else:
+                fits.append(True)
+        yield batch.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
+
+
+def _finer(pairs: DataFrame, brief: DataFrame) -> DataFrame:
+    """Pairs that the bound of finer counts leaves.
+
+    Of unrelated sets of thousands of shingles ``GROUPS`` counts bound the
+    overlap by about what a link needs, so they would nearly all be verified.
+    """
+    large = brief.where(F.col("fine").isNotNull())
+    left = large.select(F.col("cls").alias("a"), F.col("n").alias("_a"), F.col("fine").alias("left"))
+    right = large.select(F.col("cls").alias("b"), F.col("n").alias("_b"), F.col("fine").alias("right"))
+    sized = pairs.join(left, "a", "left").join(right, "b", "left").select("a", "b", (F.col("_a") + F.col("_b")).alias("n"), "left", "right")
+    return sized.mapInArrow(_fine_bound, "a long, b long")
+
+
+def _verified(pairs: DataFrame, own: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs whose whole sets have the Jaccard.
 
-    The sets of one side are moved once a pair, those of the other, on which
-    leaders are, once each.
+    Texts are moved and not their sets, which are three times as large: that of
+    the member once a pair, that of the leader once for each of its blocks of
+    members, so no leader's pairs are in one task.
     """
     turn = _rank(F.col("a")) < _rank(F.col("b"))
     turned = pairs.select(F.when(turn, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(turn, F.col("a")).otherwise(F.col("b")).alias("b"))
-    left = sets.select(F.col("cls").alias("a"), F.col("items").alias("_a"))
-    asked = turned.select(F.col("b").alias("cls")).distinct()
-    right = sets.join(asked, "cls", "left_semi").select(F.col("cls").alias("b"), F.col("items").alias("_b"))
-    both = F.size(F.array_intersect("_a", "_b")).cast("long")
-    union = F.size("_a") + F.size("_b") - both
-    held = turned.join(left, "a").join(right, "b").where(OF * both >= NUMBER * union)
+    blocks = turned.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).alias("blocks"))
+    dealt = turned.join(blocks, "b").select("a", "b", F.pmod(F.xxhash64("a"), "blocks").alias("block"))
+    leaders = dealt.select(F.lit(None).cast("long").alias("a"), "b", "block").distinct()
+    asked = dealt.union(leaders).withColumn("cls", F.coalesce("a", "b"))
+    wanted = once(asked.join(classes, "cls").select("a", "b", "block", F.col("first.doc_id").alias("_id"), F.col("first.body").alias("_body")), "wanted")
+    # Few enough to send everywhere, or else both sides are shuffled.
+    side = F.broadcast(wanted) if wanted.count() <= MOST_SENT else wanted
+    texts = own.join(side, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_body")))
+    # The leader's text has no ``a`` and comes first; rows that repeat an id and text are one.
+    block = texts.groupBy("b", "block").agg(F.sort_array(F.collect_set(F.struct("a", "text"))).alias("texts"))
+    held = block.select("b", F.inline("texts")).mapInArrow(_jaccard, "a long, b long")
     return held.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
@@ -363,7 +413,7 @@ def near_copies(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
     described = once(
         own.withColumn("body", F.xxhash64("text")).mapInArrow(
             _describer(shared, "text", "doc_id"),
-            "doc_id long, body long, n long, cls long, prefix array<long>, vector binary",
+            "doc_id long, body long, n long, cls long, prefix array<long>, vector binary, fine binary",
         ),
         "described",
     )
@@ -373,22 +423,20 @@ def near_copies(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
         .agg(
             F.min("doc_id").alias("least"),
             F.min(F.struct("doc_id", "body")).alias("first"),
-            F.first("n").alias("n"),
-            F.first("vector").alias("vector"),
         ),
         "classes",
     )
     meetings = once(_meetings(described, parts), "meetings")
-    brief = classes.select("cls", "n", "vector")
-    tried = once(_bounded(_stars(meetings), brief), "stars")
-    links = once(_verified(tried, once(_sets(own, tried, classes), "sets")), "links")
+    brief = once(_brief(described, meetings), "brief")
+    tried = once(_finer(_bounded(_stars(meetings), brief), brief), "stars")
+    links = once(_verified(tried, own, classes), "links")
     large = meetings.where(F.col("size") > SMALL)
     salts = range(1, ROUNDS + 1) if large.limit(1).count() else []
     for salt in [*salts, 0]:
         trees = _trees(_opened(large if salt else meetings, components(links)), brief, parts, salt)
-        more = once(trees.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+        more = once(_finer(trees.distinct().join(tried, ["a", "b"], "left_anti"), brief), "pairs")
         if more.limit(1).count():
-            links = once(links.union(_verified(more, once(_sets(own, more, classes), "sets"))), "links")
+            links = once(links.union(_verified(more, own, classes)), "links")
             tried = tried.union(more)
     final = components(links)
     reached = classes.select("cls", "least").join(final.withColumnRenamed("node", "cls"), "cls", "left")
@@ -409,7 +457,8 @@ def _meetings(described: DataFrame, parts: int) -> DataFrame:
     """Members of the meetings who may link there: rows ``token, cls, n, rest, size, leader``.
 
     The smallest member bounds what a member needs of its own set from the
-    shingle on; a meeting of two is judged by both. Small meetings get a hash
+    shingle on; a meeting of two is judged by both. Those who stay are judged
+    again by each other. Small meetings get a hash
     of their members for a token, so all that have the same ones are one, where
     ``rest`` is the largest: that at the first shingle which they share.
     """
@@ -417,28 +466,38 @@ def _meetings(described: DataFrame, parts: int) -> DataFrame:
     rest, n, low = F.col("rest"), F.col("n"), F.col("low")
     rows = (
         described.select("cls", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("place", "token"))
-        .select("token", "cls", "n", (F.col("n") - F.col("place")).alias("rest"))
+        .select("cls", "n", "token", (F.col("n") - F.col("place")).alias("rest"))
         .repartition(parts, "token")
         .dropDuplicates(["token", "cls"])
-        .withColumns({
+    )
+    alone = OF * (NUMBER + OF) * rest >= NUMBER * (OF * n + F.greatest(OF * low, NUMBER * n))
+    two = (OF * low >= NUMBER * F.col("high")) & ((NUMBER + OF) * F.col("least") >= NUMBER * (low + F.col("high")))
+    fit = rows
+    for _ in range(PRUNED):
+        fit = fit.withColumns({
             "size": F.count(F.lit(1)).over(meeting),
-            "members": F.bit_xor(F.xxhash64("cls")).over(meeting),
             "low": F.min("n").over(meeting),
             "high": F.max("n").over(meeting),
             "least": F.min("rest").over(meeting),
-        })
-    )
-    alone = OF * (NUMBER + OF) * rest >= NUMBER * (OF * n + F.greatest(OF * low, NUMBER * n))
-    two = (OF * low >= NUMBER * F.col("high")) & ((NUMBER + OF) * F.col("least") >= NUMBER * (low + F.col("high")))
-    fit = rows.where((F.col("size") > 1) & F.when(F.col("size") == 2, two).otherwise(alone))
-    leader = F.min(F.struct(_rank(F.col("cls"), F.pmod("token", F.lit(LEADERS))), "cls", "n", (n - rest).alias("place"))).over(meeting)
+        }).where((F.col("size") > 1) & F.when(F.col("size") == 2, two).otherwise(alone)).select("cls", "n", "token", "rest")
+    leader = F.struct("cls", "n", (n - rest).alias("place"))
+    led = fit.withColumns({
+        "size": F.count(F.lit(1)).over(meeting),
+        "members": F.bit_xor(F.xxhash64("cls")).over(meeting),
+        "leader": F.min_by(leader, _rank(F.col("cls"), F.pmod("token", F.lit(LEADERS)))).over(meeting),
+    }).where(F.col("size") > 1)
     token = F.when(F.col("size") <= SMALL, F.col("members")).otherwise(F.col("token"))
-    led = fit.withColumn("leader", leader).withColumn("token", token)
-    return led.groupBy("token", "cls").agg(
+    return led.withColumn("token", token).groupBy("token", "cls").agg(
         F.max("n").alias("n"), F.max("rest").alias("rest"), F.max("size").alias("size"), F.min("leader").alias("leader")
     )
 
 
+def _brief(described: DataFrame, meetings: DataFrame) -> DataFrame:
+    """Size and points of the classes in some meeting, so that the joins of pairs and trees move no others."""
+    points = described.where(F.col("n") > 0).groupBy("cls").agg(F.first("n").alias("n"), F.first("vector").alias("vector"), F.first("fine").alias("fine"))
+    return points.join(meetings.select("cls").distinct(), "cls", "left_semi")
+
+
 def _trees(members: DataFrame, brief: DataFrame, parts: int, salt: int) -> DataFrame:
     """Pairs that the trees of the members' meetings leave: rows ``a, b``, which may repeat.
 
@@ -496,20 +555,6 @@ def _bounded(pairs: DataFrame, brief: DataFrame) -> DataFrame:
     return sized.mapInArrow(_bound, "a long, b long")
 
 
-def _sets(own: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Shingle sets of the classes in some pair, from the text of each one's first document."""
-    first = F.col("first")
-    wanted = once(
-        pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct().join(classes, "cls").select("cls", first["doc_id"].alias("_id"), first["body"].alias("_body")),
-        "wanted",
-    )
-    # Few enough to send everywhere, or else both sides are shuffled.
-    side = F.broadcast(wanted) if wanted.count() <= MOST_SENT else wanted
-    texts = own.join(side, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_body")))
-    single = texts.select("cls", "text").dropDuplicates(["cls"])
-    return single.mapInArrow(_setter("text"), "cls long, items array<long>")
-
-
 def first_of_groups(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with one of each group only, that of the smallest id (runs jobs).
 

@@ -561,3 +561,44 @@ def test_meetings_of_one_leaf_equal_trees():
             x, y = ngramjoin._tree_join(n[a : a + size], rest[a : a + size], part[a : a + size], points[a : a + size].astype(np.int32))
             want |= {(a + min(p), a + max(p)) for p in zip(x.tolist(), y.tolist(), strict=True)}
     assert got == want and got
+
+
+def _edited(count, size, families):
+    """Families of near copies: texts of ``size`` words, of which copies have another last word."""
+    return [" ".join([f"f{f}w{k}" for k in range(size - 1)] + [f"end{c}"]) for f in range(families) for c in range(count)]
+
+
+def test_verification_moves_each_text_once_a_pair_and_no_sets(spark, monkeypatch):
+    """The text of a member goes to one copy of its leader's, rows that repeat an id and text are one."""
+    monkeypatch.setattr(ngramjoin, "MEMBERS", 4)
+    texts = [*_edited(30, 40, 1), "other words " * 9]
+    own = spark.createDataFrame([(k, t) for k, t in enumerate(texts) for _ in range(1 + k % 2)], "doc_id LONG, text STRING")
+    classes = own.distinct().selectExpr("doc_id AS cls", "struct(doc_id, xxhash64(text) AS body) AS first")
+    pairs = spark.createDataFrame([*((0, k) for k in range(1, 30)), (5, 30)], "a LONG, b LONG")
+    got = sorted((r["a"], r["b"]) for r in ngramjoin._verified(pairs, own, classes).collect())
+    assert got == [(0, k) for k in range(1, 30)]
+
+
+def test_finer_counts_part_large_unrelated_sets(spark):
+    """Counts in 256 groups bound the overlap of unrelated sets of 6,000 shingles above a link's, finer ones far below."""
+    rnd = np.random.default_rng(11)
+    found = [np.unique(rnd.integers(0, 2**63, 6000, dtype=np.uint64) * np.uint64(2)) for _ in range(2)]
+    found.append(np.unique(np.concatenate([found[0][:5500], found[1][:200]])))
+    found.append(found[0][:1500])
+    rows = [
+        (k, len(v), np.bincount((v >> np.uint64(56)).astype(int), minlength=256).astype(np.uint8).tobytes(), ngramjoin._fine_counts(v))
+        for k, v in enumerate(found)
+    ]
+    brief = spark.createDataFrame(rows, "cls LONG, n LONG, vector BINARY, fine BINARY")
+    pairs = spark.createDataFrame([(0, 1), (0, 2), (0, 3)], "a LONG, b LONG")
+    coarse = {(r["a"], r["b"]) for r in ngramjoin._bounded(pairs, brief).collect()}
+    assert {(0, 1), (0, 2)} <= coarse
+    assert {(r["a"], r["b"]) for r in ngramjoin._finer(pairs, brief).collect()} == {(0, 2), (0, 3)}
+    assert rows[3][3] is None
+
+
+def test_meetings_hold_no_member_alone(spark):
+    """One who stays without a partner after the first judgement goes too."""
+    rows = [(1, 100, [7]), (2, 100, [*range(1000, 1020), 7]), (3, 70, [*range(2000, 2030), 7]), (4, 100, [8]), (5, 90, [8])]
+    described = spark.createDataFrame(rows, "cls LONG, n LONG, prefix ARRAY<LONG>")
+    assert {r["cls"] for r in ngramjoin._meetings(described, 4).collect()} == {4, 5}

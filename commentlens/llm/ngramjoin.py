@@ -495,7 +495,9 @@ def _meetings(described: DataFrame, parts: int) -> DataFrame:
 def _brief(described: DataFrame, meetings: DataFrame) -> DataFrame:
     """Size and points of the classes in some meeting, so that the joins of pairs and trees move no others."""
     points = described.where(F.col("n") > 0).groupBy("cls").agg(F.first("n").alias("n"), F.first("vector").alias("vector"), F.first("fine").alias("fine"))
-    return points.join(meetings.select("cls").distinct(), "cls", "left_semi")
+    met = once(meetings.select("cls").distinct(), "met")
+    # Few enough to send everywhere, or else both sides are shuffled.
+    return points.join(F.broadcast(met) if met.count() <= MOST_SENT else met, "cls", "left_semi")
 
 
 def _trees(members: DataFrame, brief: DataFrame, parts: int, salt: int) -> DataFrame:

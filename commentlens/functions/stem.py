@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- Porter: fixed values ---------------------------------------------------
@@ -269,13 +269,18 @@ def english_steps(d: Dialect) -> list[Step]:
 RULES = {"porter": porter_steps, "english": english_steps}
 
 
-def dictionary(words: DataFrame, rules: str = "porter", word: str = "word") -> DataFrame:
-    """Stem of each distinct word: rows ``word, stem``. Nulls are left out."""
-    found = words.select(F.col(word).alias("w")).where(F.col(word).isNotNull()).distinct()
+def dictionary(words: DataFrame, rules: str = "porter", word: str = "word", *more: Column) -> DataFrame:
+    """Stem of each distinct word: rows ``word, stem``. Nulls are left out.
+
+    ``more`` are aggregates over the rows of a word, named, which follow its stem.
+    """
+    known = words.where(F.col(word).isNotNull())
+    found = known.groupBy(F.col(word).alias("w")).agg(*more) if more else known.select(F.col(word).alias("w")).distinct()
+    named = found.columns[1:]
     for step in RULES[rules](SPARK):
         # one projection a step, so no step's text is repeated inside the next
         found = found.withColumns({name: F.expr(text) for name, text in step.items()})
-    return found.select(F.col("w").alias(word), "stem")
+    return found.select(F.col("w").alias(word), "stem", *named)
 
 
 def dictionary_sql(source: str, rules: str = "porter", name: str = "dict") -> str:

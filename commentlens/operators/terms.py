@@ -8,17 +8,21 @@ one task.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from commentlens.functions import stem as stemming
 from commentlens.functions import text as words
 from commentlens.operators.ranking import first_rows, top_n_per_group
 from commentlens.operators.stitch import grams_across
-from commentlens.session import PIECE, is_stored, once, spread
+from commentlens.session import PIECE, as_stored, is_small, is_stored, known_size, once, spread
 
 
 def one_word_per_row(df: DataFrame, tokens: Column, keep: list[str], name: str = "word") -> DataFrame:
@@ -38,53 +42,76 @@ def stem_counts(counts: DataFrame, doc: str, rules: str) -> DataFrame:
 
 
 def stem_lists(df: DataFrame, tokens: str, rules: str) -> DataFrame:
-    """Stem the elements of a token list, keeping their order (stores the rows and the stem dictionary once).
+    """Stem the elements of a token list, keeping their order (stores the rows once).
 
-    Each row gets the part of the dictionary that it needs, so no row's tokens
-    are put in order anew and no dictionary is broadcast. A map column would be
-    searched from its start for each token; Arrow looks the words of many rows
-    up in one hash table.
+    The stored rows are taken in pieces of about ``PIECE`` bytes. Each distinct
+    word of a piece is sent once to the stem dictionary, and comes back only if
+    its stem is another one; then the rows of a piece meet its stems, and Arrow
+    looks their tokens up in one hash table. So the tokens move once, and no
+    dictionary is larger than a piece. Other columns pass through Arrow too.
     """
     rows = once(df.withColumn("_row", F.monotonically_increasing_id()), "lists")
-    found = rows.select("_row", F.explode(F.array_distinct(tokens)).alias("word"))
-    stems = once(stemming.dictionary(found, rules), "stems")
-    own = found.join(stems, "word").groupBy("_row").agg(F.collect_list(F.struct("word", "stem")).alias("_stems"))
-
-    @F.arrow_udf("array<string>")
-    def looked_up(lists: pa.Array, pairs: pa.Array) -> pa.Array:
-        known, made = pairs.flatten().flatten()  # a word's stem is the same in every row
-        found = made.take(pc.index_in(lists.flatten(), known))
-        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-        offsets = pa.array(np.cumsum([0, *sizes]), pa.int32())
-        return pa.ListArray.from_arrays(offsets, found, mask=lists.is_null())
-
-    return rows.join(own, "_row", "left").withColumn(tokens, looked_up(tokens, "_stems")).drop("_row", "_stems")
-
-
-MOST_STOPPED = 20_000  # words that a list of stop stems stands for
-
-
-def _stemmed_grams(rows: DataFrame, docs: list[str], order: list[str], n: int, stop: list[str] | None, rules: str) -> DataFrame:
-    """Counts of n-grams of stems from token rows, without stemming any token in its row.
-
-    Stop stems are turned into the words of the corpus that have them, so words
-    can be left out before n-grams are built; the n-grams are counted by words,
-    and their words are stemmed by the dictionary.
-    """
-    rows = once(rows, "tokens")
-    stems = once(stemming.dictionary(rows.select(F.explode("_tokens").alias("word")), rules), "stems")
-    if stop:
-        words_of = stems.where(F.col("stem").isin(stop)).select("word").limit(MOST_STOPPED + 1).collect()
-        if len(words_of) > MOST_STOPPED:
-            listed = stem_lists(rows, "_tokens", rules).withColumn("_tokens", words.without("_tokens", stop))
-            return _grams(listed, docs, order, n).groupBy(*docs, "term").agg(F.count(F.lit(1)).alias("n"))
-        rows = rows.withColumn("_tokens", words.without("_tokens", [r[0] for r in words_of]))
-    counted = _grams(rows, docs, order, n).groupBy(*docs, "term").agg(F.count(F.lit(1)).alias("n"))
-    for i in range(n):
-        own = stems.select(F.col("word").alias(f"_w{i}"), F.col("stem").alias(f"_s{i}"))
-        counted = counted.withColumn(f"_w{i}", F.split("term", " ")[i]).join(own, f"_w{i}")
-    gram = F.concat_ws(" ", *[f"_s{i}" for i in range(n)]).alias("term")
-    return counted.groupBy(*docs, gram).agg(F.sum("n").alias("n"))
+    size = max(known_size(rows), 1)
+    each = max(rows.count() * PIECE // size, 1)  # rows of a piece; numbers of rows start anew in each partition
+    within = F.col("_row").bitwiseAND((1 << 33) - 1)
+    pieces = rows.select((F.col("_row") - F.pmod(within, F.lit(each))).alias("_piece"), *df.columns)
+    found = words.one_per_row(pieces, tokens, ["_piece"], "word").mapInArrow(_words_of_pieces(), "_piece LONG, word STRING")
+    stems = stemming.dictionary(found.repartition("word"), rules, "word", F.collect_set("_piece").alias("_pieces"))
+    changed = words.one_per_row(stems, F.when(F.col("stem") != F.col("word"), F.col("_pieces")), ["word", "stem"], "_piece")
+
+    def looked_up(own: pa.Table, known: pa.Table) -> pa.Table:
+        joined, sizes = (own.column(c).combine_chunks() for c in ("_joined", "_sizes"))
+        flat = cut_up(joined.drop_null(), sizes.flatten())
+        found = known.column("stem").combine_chunks().take(pc.index_in(flat, known.column("word").combine_chunks()))
+        counts = pc.fill_null(pc.list_value_length(sizes), 0).to_numpy(zero_copy_only=False)
+        offsets = pa.array(np.cumsum([0, *counts]), pa.int32())
+        made = pa.ListArray.from_arrays(offsets, pc.coalesce(found, flat), mask=sizes.is_null())
+        return pa.table([made if c == tokens else own.column(c) for c in columns], columns)
+
+    def cut_up(joined: pa.Array, sizes: pa.Array) -> pa.Array:
+        _, starts, data = joined.buffers()
+        first = np.frombuffer(starts, np.int32)[joined.offset] if len(joined) else 0  # of a slice
+        ends = first + np.cumsum([0, *pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False)])
+        flat = pa.StringArray.from_buffers(len(sizes), pa.py_buffer(ends.astype(np.int32)), data or pa.py_buffer(b""))
+        return pc.if_else(sizes.is_valid(), flat, None) if sizes.null_count else flat
+
+    # A list of strings takes twice the bytes of its words one after the other, with their sizes.
+    columns, schema = df.columns, rows.drop("_row").schema
+    packed = [F.array_join(tokens, "").alias("_joined"), F.transform(tokens, F.octet_length).alias("_sizes")]
+    sent = pieces.select("_piece", *[c for c in columns if c != tokens], *packed)
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, 2 * size // PIECE)
+    left, right = (side.repartition(tasks, "_piece").groupBy("_piece") for side in (sent, changed))
+    return left.cogroup(right).applyInArrow(looked_up, schema)
+
+
+HELD_ROWS = 1_000_000  # that a task holds before it counts them
+
+
+def _words_of_pieces():
+    """For rows ``_piece, word`` in order of their pieces: each distinct word of a piece, once or a few times."""
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        piece, held = None, []
+
+        def found() -> pa.RecordBatch:
+            own = pc.unique(pa.concat_arrays(held))
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(own), piece)), own], ["_piece", "word"])
+
+        for batch in batches:
+            at, word = batch.column(0).to_numpy(), batch.column(1)
+            cuts = [*np.flatnonzero(np.diff(at, prepend=-1)), len(at)]
+            for a, b in zip(cuts, cuts[1:]):
+                if held and at[a] != piece:
+                    yield found()
+                    held = []
+                piece = at[a]
+                held.append(word.slice(a, b - a))
+                if sum(map(len, held[1:])) > HELD_ROWS:  # the first are distinct already
+                    held = [pc.unique(pa.concat_arrays(held))]
+        if held:
+            yield found()
+
+    return distinct
 
 
 def _grams(rows: DataFrame, docs: list[str], order: list[str], n: int) -> DataFrame:
@@ -218,13 +245,17 @@ def gram_counts(
     stop_before_stem: bool = False,
     preprocessed: bool = True,
     across: list[str] | None = None,
+    slices: list[str] | None = None,
 ) -> DataFrame:
     """n-gram counts ``(docs..., term, n)`` of stemmed, stop-filtered texts.
 
-    Stems come from a dictionary of the distinct words (stored, with the tokens).
+    Stems come from a dictionary of the distinct words (stores the tokens once).
     n-grams are built inside each comment, so no ordering shuffle is needed.
     ``across`` names the columns that put the comments of a document in order;
     then n-grams run on from one comment to the next (stores the tokens once).
+    ``slices`` are those of ``docs`` within which document frequencies will be
+    asked for: the counts are dealt by them and the term, so the rows of a term
+    need no other shuffle to meet.
     """
     text = words.normalise(body) if preprocessed else F.col(body)
     tokens = words.split_blanks(F.lower(text))
@@ -234,10 +265,35 @@ def gram_counts(
     rows = df.select(*docs, *order, tokens.alias("_tokens"))
     after = stop if stop and not stop_before_stem else None
     if stem_rules:
-        return _stemmed_grams(rows, docs, order, n, after, stem_rules)
+        rows = stem_lists(rows, "_tokens", stem_rules)
     if after:
         rows = rows.withColumn("_tokens", words.without("_tokens", after))
-    return _grams(rows, docs, order, n).groupBy(*docs, "term").agg(F.count(F.lit(1)).alias("n"))
+    grams = _grams(rows, docs, order, n)
+    if slices is None:
+        return grams.groupBy(*docs, "term").agg(F.count(F.lit(1)).alias("n"))
+    counted = _counted_in_tasks(grams, [*docs, "term"])
+    return counted.repartition(*slices, "term").groupBy(*docs, "term").agg(F.sum("n").alias("n"))
+
+
+def _counted_in_tasks(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Counts ``n`` of equal rows within each task, as the map side of an aggregate has them, for any later shuffle."""
+
+    def counted(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = pa.Table.from_batches(held).group_by(keys, use_threads=False).aggregate([([], "count_all")])
+        yield from found.rename_columns({"count_all": "n"}).select([*keys, "n"]).to_batches()
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= HELD_ROWS:
+                yield from counted(held)
+                held = []
+        if held:
+            yield from counted(held)
+
+    kept = rows.select(*keys)
+    return kept.mapInArrow(add_up, T.StructType([*kept.schema.fields, T.StructField("n", T.LongType())]))
 
 
 def cap_terms(counts: DataFrame, most: int) -> DataFrame:
@@ -247,28 +303,32 @@ def cap_terms(counts: DataFrame, most: int) -> DataFrame:
     return counts.join(kept, "term", "left_semi")
 
 
-def smoothed_tfidf(counts: DataFrame, doc: str, slices: list[str] | None = None, passes: int = 2) -> DataFrame:
+def smoothed_tfidf(
+    counts: DataFrame, doc: str, slices: list[str] | None = None, passes: int = 2, alone: str | None = None
+) -> DataFrame:
     """``n * (ln((1 + N) / (1 + df)) + 1) ** passes``, then unit length per document.
 
     Two passes equal the vectoriser followed by a second transformer: the norm
     in between cancels. ``slices`` are columns (such as the year) within which
-    the corpus statistics are taken. The counts, the raw weights and the norms
-    are stored once each. Most n-grams occur in one document; only the
-    frequencies above one are joined.
+    the corpus statistics are taken. The rows of a term are brought together
+    once, as they may already be (:func:`gram_counts`), and its counts stored with
+    its frequency; weights are made from them where they are read. ``alone``
+    names a column that tells the terms of one document.
     """
-    counts = once(counts, "counts")
     within = slices or []
-    keys = [*within, "term"]
-    df = document_frequency(counts, "term", within).where("df > 1").withColumnRenamed("df", "_df")
-    joined = counts.where(F.col("term").isNotNull()).join(df, keys, "left").withColumn("_df", F.coalesce("_df", F.lit(1)))
+    frequency = F.count(F.lit(1)).over(W.partitionBy(*within, "term"))
+    counts = once(counts.select(*within, doc, "term", "n", frequency.alias("_df")), "counts")
+    known = counts.where(F.col("term").isNotNull())
     if within:
-        docs = counts.groupBy(*within).agg(F.countDistinct(doc).alias("_docs"))
-        joined = joined.join(docs, within)
-        total = F.col("_docs")
+        docs = once(counts.groupBy(*within).agg(F.countDistinct(doc).alias("_docs")), "docs")
+        known, total = known.join(docs, within), F.col("_docs")
     else:
-        total = number_of_documents(counts, doc).scalar()
+        docs = once(number_of_documents(counts, doc), "docs")
+        total = docs.scalar()
     idf = F.log((total + 1) / (F.col("_df") + 1)) + 1
     weight = (F.col("n") * F.pow(idf, F.lit(float(passes)))).alias("w")
-    raw = once(joined.select(*within, doc, "term", weight), "weights")
+    raw = known.select(*within, doc, "term", weight, (F.col("_df") == 1).alias("_alone"))
     norms = once(raw.groupBy(*within, doc).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm")), "norms")
-    return raw.join(norms, [*within, doc]).select(*within, doc, "term", (F.col("w") / F.col("_norm")).alias("w"))
+    marks = [F.col("_alone").alias(alone)] if alone else []
+    found = raw.join(norms, [*within, doc]).select(*within, doc, "term", (F.col("w") / F.col("_norm")).alias("w"), *marks)
+    return as_stored(found) if is_small(docs) and is_small(norms) else found

@@ -222,7 +222,8 @@ GRAMS = f"""WITH k AS (SELECT doc_id, source AS authorId, list_filter({TOKENS},
 
 
 def _grams(s, d, n=2, stem=None):
-    return terms.gram_counts(v.texts(s, d), ["authorId"], "bodyHtml", n, NLTK_ENGLISH, stem)
+    texts = v.texts(s, d, None) if stem else v.texts(s, d)  # stems deal the tokens in pieces
+    return terms.gram_counts(texts, ["authorId"], "bodyHtml", n, NLTK_ENGLISH, stem)
 
 
 entry("x08_bigram_counts", GRAMS + "SELECT authorId, term, n FROM g")(_grams)

@@ -87,9 +87,9 @@ THREADS = """threads AS (
   FROM lineitem)"""
 
 
-def texts(spark: SparkSession, folder: str) -> DataFrame:
+def texts(spark: SparkSession, folder: str, piece: int | None = PIECE) -> DataFrame:
     """Comment texts: documents by source, spread over five years."""
-    return wide_table(spark, folder, "documents", PIECE).select(
+    return wide_table(spark, folder, "documents", piece).select(
         F.col("doc_id").alias("id"),
         F.col("source").alias("authorId"),
         F.col("text").alias("bodyHtml"),

@@ -69,9 +69,7 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.mode("overwrite").parquet(path)
-    stored = spark.read.schema(df.schema).parquet(path)
-    stored._commentlens_stored = True
-    return stored
+    return as_stored(spark.read.schema(df.schema).parquet(path))
 
 
 class Buckets:
@@ -112,11 +110,22 @@ def is_stored(df: DataFrame) -> bool:
     return getattr(df, "_commentlens_stored", False)
 
 
+def as_stored(df: DataFrame) -> DataFrame:
+    """Take ``df`` for stored: it makes its rows from stored ones without a shuffle, so reading it again costs less than a copy."""
+    df._commentlens_stored = True
+    return df
+
+
 def known_size(df: DataFrame) -> int:
     """Bytes as Spark's statistics have them: those of the files, if ``df`` reads stored rows."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether Spark sends these rows to all tasks that join them."""
+    return known_size(df) <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 PIECE = 8 << 20  # bytes of stored texts whose n-grams a task counts in memory
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from commentlens.functions import stem as stemming
 from commentlens.operators import terms
 from commentlens.operators.dedupe import first_per_key
 from commentlens.plans import keyed
@@ -83,3 +85,25 @@ def test_sparse_terms_go_before_they_are_weighted(spark):
     assert sorted(map(tuple, early.collect())) == sorted(map(tuple, late.select("id", "term", "w").collect()))
     assert {r["term"] for r in early.collect()} == {"x"}
     assert "SortMergeJoin" not in plan(early)
+
+
+def test_stems_come_by_pieces(spark, monkeypatch):
+    """A word goes to the dictionary once a piece, and tokens move once, without those of other rows."""
+    monkeypatch.setattr(terms, "PIECE", 2_000)
+    odd = ["running dogs", None, "", "naïve", "Été", "ties"]
+    rows = [(i, None if i == 5 else [] if i == 7 else odd + [f"x{i}ing", "running"] * 40, f"own {i}") for i in range(90)]
+    df = spark.createDataFrame(rows, "id LONG, t ARRAY<STRING>, v STRING").coalesce(2)
+    found = terms.stem_lists(df, "t", "porter")
+    assert plan(found).count("FlatMapCoGroupsInArrow") == 1 and "Join" not in plan(found) and found.columns == df.columns
+    known = {"running dogs": "running dog", "running": "run", "ties": "tie", "naïve": "naïv", "Été": "Été"}
+    stems = {r["word"]: r["stem"] for r in stemming.dictionary(df.select(F.explode("t").alias("word"))).collect()}
+    assert stems["running"] == known["running"] and stems["running dogs"] == known["running dogs"]
+    want = {i: (None if t is None else [stems.get(w) for w in t], v) for i, t, v in rows}
+    assert {r["id"]: (r["t"], r["v"]) for r in found.collect()} == want
+
+
+def test_words_are_told_once_a_piece():
+    batches = [([1, 1, 4], ["a", "b", "b"]), ([], []), ([4, 4, 9], ["b", "a", "a"])]
+    made = [pa.RecordBatch.from_arrays([pa.array(p, pa.int64()), pa.array(w, pa.string())], ["_piece", "word"]) for p, w in batches]
+    found = [tuple(r.values()) for b in terms._words_of_pieces()(iter(made)) for r in b.to_pylist()]
+    assert found == [(1, "a"), (1, "b"), (4, "b"), (4, "a"), (9, "a")]

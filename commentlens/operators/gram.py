@@ -253,19 +253,32 @@ def components(
     names: str = "PCA_",
     most_rows: int = MOST_ROWS,
     block: int = BLOCK,
+    alone: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Scores per row and explained ratios of the leading ``k`` components (runs jobs).
 
     The same results as :func:`commentlens.operators.lowrank.components`, exact
     and in one pass, for at most ``most_rows`` rows a slice. The driver holds
-    the products of one slice's rows at a time.
+    the products of one slice's rows at a time. ``alone`` names a column that is
+    true for cells known to be the only ones of their columns: they are squared
+    where they are, and only the others are brought together by columns.
     """
     spark = entries.sparkSession
-    cells = lowrank.long_cells(once(entries, "entries"), row, col, weight, slice_by)
+    entries = once(entries, "entries")
+    cells = lowrank.long_cells(entries, row, col, weight, slice_by)
     sliced = F.col(slice_by) if slice_by else F.lit(0)
     listed = cells if rows is None else rows.select(sliced.alias("_s"), F.col(row).alias("_r")).unionByName(cells.select("_s", "_r"))
     codes = cut_lineage(row_codes(listed, most_rows), "codes")
-    stored = cut_lineage(_products(cells, codes, block), "gram")
+    if alone is None:
+        products = _products(cells, codes, block)
+    else:
+        single = F.coalesce(F.col(alone), F.lit(False))
+        met, own = (lowrank.long_cells(entries.where(part), row, col, weight, slice_by) for part in (~single, single))
+        squares = own.groupBy("_s", "_r").agg(F.sum(F.col("_w") * F.col("_w")).alias("g")).join(codes, ["_s", "_r"])
+        squares = squares.select("_s", F.col("_code").alias("a"), F.col("_code").alias("b"), "g")
+        both = _products(met, codes, block).unionByName(squares)
+        products = both.groupBy("_s", "a", "b").agg(F.sum("g").alias("g"))
+    stored = cut_lineage(products, "gram")
     placed, ratios = [], []
     for s, n in [(r["_s"], r["n"]) for r in codes.groupBy("_s").agg(F.count(F.lit(1)).alias("n")).orderBy("_s").collect()]:
         part = stored.where(F.col("_s").eqNullSafe(F.lit(s))).select("a", "b", "g").toPandas()
@@ -283,11 +296,13 @@ def components(
     return scores, lowrank.ratio_frame(spark, ratios, kind, slice_by)
 
 
-def leading_components(entries: DataFrame, row: str, col: str, weight: str, k: int = 2, most_rows: int = MOST_ROWS, **options):
+def leading_components(
+    entries: DataFrame, row: str, col: str, weight: str, k: int = 2, most_rows: int = MOST_ROWS, alone: str | None = None, **options
+):
     """Leading components by whichever way the number of rows allows (runs jobs).
 
     Products of rows while no slice has more than ``most_rows`` rows, else
-    Krylov passes over the matrix.
+    Krylov passes over the matrix. ``alone`` helps the first (:func:`components`).
     """
     slice_by, rows = options.get("slice_by"), options.get("rows")
     cells = once(entries, "entries")
@@ -295,5 +310,6 @@ def leading_components(entries: DataFrame, row: str, col: str, weight: str, k: i
     listed = (cells if rows is None else rows).groupBy(*within).agg(F.countDistinct(row).alias("n")).select("n")
     sizes = listed.agg(F.max("n").alias("most"), F.sum(F.col("n") * F.col("n")).alias("all"), F.count(F.lit(1)).alias("slices")).first()
     few = (sizes["most"] or 0) <= most_rows and (sizes["all"] or 0) <= MOST_CELLS and sizes["slices"] <= lowrank.MOST_SLICES
-    method = components if few else lowrank.components
-    return method(cells, row, col, weight, k, **options)
+    if few:
+        return components(cells, row, col, weight, k, alone=alone, **options)
+    return lowrank.components(cells, row, col, weight, k, **options)

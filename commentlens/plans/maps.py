@@ -22,12 +22,12 @@ def busy_authors(comments: DataFrame, more_than: int, keys: list[str]) -> DataFr
 
 
 def yearly_texts(comments: DataFrame, text: DataFrame | None, years: list[int], min_comments: int = 100) -> DataFrame:
-    """Texts of the authors with more than ``min_comments`` comments in a year, all years at once."""
+    """Texts of the authors with more than ``min_comments`` comments in a year, all years at once (stores who they are)."""
     kept = ["id", "authorId", "createdAt"] if text is not None else ["id", "authorId", "createdAt", "bodyHtml"]
     rows = comments.where(clock.in_years("createdAt", years)).select(
         *kept, F.year(clock.wall_clock("createdAt")).alias("year")
     )
-    busy = busy_authors(rows, min_comments, ["authorId", "year"])
+    busy = once(busy_authors(rows, min_comments, ["authorId", "year"]), "busy")  # its size decides whether texts are moved
     chosen = rows.join(busy, ["authorId", "year"], "left_semi")
     return chosen if text is None else chosen.join(text.select("id", "bodyHtml"), "id", "left")
 
@@ -40,9 +40,12 @@ def author_vectors(
     stop: list[str] | None = None,
     stop_before_stem: bool = False,
     across: bool = False,
+    alone: str | None = None,
 ) -> DataFrame:
     """TF-IDF weights ``(year, authorId, term, w)`` of yearly author texts.
 
+    ``alone`` names a column that tells the terms of one author of a year.
+
     With ``across`` an author's comments of a year are one text in order of
     time and id, so n-grams run on from one to the next.
     """
@@ -55,8 +58,9 @@ def author_vectors(
         "porter" if stem else None,
         stop_before_stem,
         across=["createdAt", "id"] if across else None,
+        slices=["year"],
     )
-    return terms.smoothed_tfidf(counts, "authorId", ["year"], passes)
+    return terms.smoothed_tfidf(counts, "authorId", ["year"], passes, alone)
 
 
 def author_map(
@@ -64,13 +68,13 @@ def author_map(
 ) -> tuple[DataFrame, DataFrame]:
     """Yearly maps ``(author_id, PCA_1.., year)`` and their explained ratios (runs jobs)."""
     texts = yearly_texts(comments, text, years, min_comments)
-    return map_of_vectors(author_vectors(texts, n, **options), texts, k)
+    return map_of_vectors(author_vectors(texts, n, alone="alone", **options), texts, k, "alone")
 
 
-def map_of_vectors(vectors: DataFrame, texts: DataFrame, k: int = 2) -> tuple[DataFrame, DataFrame]:
+def map_of_vectors(vectors: DataFrame, texts: DataFrame, k: int = 2, alone: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The maps of :func:`author_map` from the vectors of yearly texts (runs jobs)."""
     listed = once(texts.select("year", "authorId").distinct(), "authors")
-    scores, ratios = leading_components(vectors, "authorId", "term", "w", k, slice_by="year", rows=listed)
+    scores, ratios = leading_components(vectors, "authorId", "term", "w", k, alone=alone, slice_by="year", rows=listed)
     columns = [f"PCA_{i + 1}" for i in range(k)]
     return scores.select(F.col("authorId").alias("author_id"), *columns, "year"), ratios
 

@@ -33,7 +33,7 @@ def entry(name: str, sql: str | None = None):
 
 
 def _map(s, d):
-    return maps.author_map(v.texts(s, d), None, YEARS, min_comments=1)
+    return maps.author_map(v.texts(s, d, None), None, YEARS, min_comments=1)  # stems deal the tokens in pieces
 
 
 entry("p08_dense_components")(lambda s, d: dense_components(

@@ -84,6 +84,24 @@ def test_gram_components_equal_svd(spark, block, center):
     assert np.allclose(got, wanted.var(axis=0) / matrix.var(axis=0).sum(), atol=1e-12)
 
 
+@pytest.mark.parametrize("block", [3, 256])
+def test_cells_alone_in_their_columns_are_not_moved(spark, monkeypatch, block):
+    rng = np.random.default_rng(29)
+    matrix = rng.random((7, 60)) * (rng.random((7, 60)) < 0.2)
+    single = (matrix != 0).sum(axis=0) == 1
+    cells = _cells(spark, matrix)
+    marks = spark.createDataFrame([(f"c{i}",) for i in np.flatnonzero(single)], "c STRING").withColumn("alone", F.lit(True))
+    marked = cells.join(marks, "c", "left")  # no mark counts as false
+    moved = []
+    products = gram._products
+    monkeypatch.setattr(gram, "_products", lambda met, *rest: moved.append(met.count()) or products(met, *rest))
+    rows = spark.createDataFrame([(i,) for i in range(7)], "r INT")
+    scores, _ = gram.leading_components(marked, "r", "c", "w", 2, alone="alone", rows=rows, block=block)
+    u, s, _ = np.linalg.svd(matrix - matrix.mean(axis=0), full_matrices=False)
+    assert single.any() and moved == [int((matrix != 0).sum() - single.sum())]
+    assert np.allclose(_sorted(scores, 2, "PCA_"), _positive(u[:, :2] * s[:2]), atol=1e-10)
+
+
 def test_gram_cells_of_slices(spark):
     rng = np.random.default_rng(17)
     parts = {y: rng.integers(0, 4, (n, 25)).astype(float) for y, n in ((1, 5), (2, 9))}

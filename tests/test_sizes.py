@@ -11,7 +11,8 @@ from commentlens.operators import terms
 from commentlens.operators.dedupe import first_per_key
 from commentlens.plans import keyed
 from commentlens.plans import loading as ld
-from commentlens.session import cut_lineage, spread
+from commentlens.plans import maps
+from commentlens.session import cut_lineage, is_stored, spread
 from commentlens.sources import tables as tb
 
 RAW = "id LONG, ancestorId LONG, parentId LONG, authorId STRING, createdAt LONG, ft_id STRING, title STRING, bodyHtml STRING, likedBy STRING"
@@ -107,3 +108,20 @@ def test_words_are_told_once_a_piece():
     made = [pa.RecordBatch.from_arrays([pa.array(p, pa.int64()), pa.array(w, pa.string())], ["_piece", "word"]) for p, w in batches]
     found = [tuple(r.values()) for b in terms._words_of_pieces()(iter(made)) for r in b.to_pylist()]
     assert found == [(1, "a"), (1, "b"), (4, "b"), (4, "a"), (9, "a")]
+
+
+@pytest.mark.parametrize("stem", [True, False])
+def test_rows_of_a_term_are_brought_together_once(spark, monkeypatch, stem):
+    stored = {}
+    once = terms.once
+    monkeypatch.setattr(terms, "once", lambda df, label: once(stored.setdefault(label, df), label))
+    monkeypatch.setattr(terms, "HELD_ROWS", 5)
+    texts = [(i, y, a, f"{a} runs and ran with {t}") for i, (y, a, t) in enumerate([(1, "x", "dogs"), (1, "y", "dogs"), (1, "y", "cats"), (2, "x", "dogs")])]
+    rows = spark.createDataFrame([*texts, (9, 1, None, "runs home")], "id LONG, year INT, authorId STRING, bodyHtml STRING")
+    found = maps.author_vectors(rows, 1, stem=stem, alone="alone")
+    by_term = [line for df in stored.values() for line in plan(df).splitlines() if "Exchange hashpartitioning" in line and "term" in line]
+    assert len(by_term) == 1 and is_stored(found)
+    got = {(r["year"], r["authorId"], r["term"]): r["alone"] for r in found.collect()}
+    run, dog, cat = ("run", "dog", "cat") if stem else ("runs", "dogs", "cats")
+    assert got[(1, "x", run)] is False and got[(1, "y", dog)] is False and got[(1, "y", cat)] is True and got[(2, "x", dog)] is True
+    assert {k[1] for k in got} == {"x", "y"} and len(got) == 4 + 4 + 4

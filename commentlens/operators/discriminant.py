@@ -28,6 +28,8 @@ from commentlens.session import cut_lineage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need no copy of the package
 
+HASHES = 1 << 20  # by which tokens are added up before they are counted
+SPARE = 4  # hashes counted for each token that is wanted
 MOST_FEATURES = 4096  # a Gram matrix of this width is 128 MB
 MOST_CLASSES = 256
 MOST_HELD = 512 << 20  # bytes of Gram matrices that a task, or the driver, holds at once
@@ -39,16 +41,40 @@ def _marks(tokens: Column, hit: int, doc: int) -> Column:
     return F.transform(tokens, lambda t: F.struct(t.alias("term"), F.lit(hit).alias("hit"), F.lit(doc).alias("doc")))
 
 
+def most_frequent(df: DataFrame, tokens: str, most: int) -> list:
+    """The ``most`` tokens of highest ``total``, ties by name, and the number ``df`` of rows that have them (runs jobs).
+
+    Exact, but not all tokens are moved: tokens are first added up by a hash, and no
+    token has a higher total than its hash. So those of the highest hashes are
+    counted, and if the last one chosen is not above all other hashes, those of all hashes
+    from its total on.
+    """
+
+    def hashed(token: Column) -> Column:
+        return F.pmod(F.xxhash64(token), F.lit(HASHES)).cast("int")
+
+    found = one_per_row(df, F.transform(tokens, hashed), [], "h").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    sums = cut_lineage(found, "hashes")
+    least = sums.orderBy(F.desc("n")).limit(SPARE * most).agg(F.min("n")).first()[0] or 0
+    # Each token counts for the total, each distinct token of a row for the
+    # document frequency: one shuffle keyed by term, reduced map-side.
+    marked = F.transform(F.array(F.col(tokens)), lambda t: F.concat(_marks(t, 1, 0), _marks(F.array_distinct(t), 0, 1)))[0]
+    flat = one_per_row(df, marked, [], "m").select("m.*").withColumn("h", hashed(F.col("term")))
+    while True:
+        kept = F.broadcast(sums.where(F.col("n") >= least).select("h"))  # HASHES rows at most
+        stats = flat.join(kept, "h", "left_semi").groupBy("term").agg(F.sum("hit").alias("total"), F.sum("doc").alias("df"))
+        chosen = stats.orderBy(F.desc("total"), F.asc("term")).limit(most).collect()
+        reached = chosen[-1]["total"] if len(chosen) == most else 0
+        if least <= max(reached, 1):
+            return chosen
+        least = reached
+
+
 def vectorise(df: DataFrame, tokens: str, max_features: int = 2000, passes: int = 2, out: str = "features") -> DataFrame:
     """Add a sparse, smoothed TF-IDF vector of the most frequent tokens (runs jobs)."""
     if max_features > MOST_FEATURES:
         raise ValueError(f"max_features is bounded by {MOST_FEATURES}")
-    # Each token counts for the total, each distinct token of a row for the
-    # document frequency: one shuffle keyed by term, reduced map-side.
-    marked = F.concat(_marks(F.col(tokens), 1, 0), _marks(F.array_distinct(tokens), 0, 1))
-    flat = one_per_row(df, marked, [], "m").select("m.*")
-    stats = flat.groupBy("term").agg(F.sum("hit").alias("total"), F.sum("doc").alias("df"))
-    chosen = stats.orderBy(F.desc("total"), F.asc("term")).limit(max_features).collect()
+    chosen = most_frequent(df, tokens, max_features)
     chosen.sort(key=lambda r: r["term"])
     docs = df.count()
     idf = [(np.log((1 + docs) / (1 + r["df"])) + 1) ** passes for r in chosen]

@@ -96,15 +96,16 @@ def labelled_vectors(
     """Sparse vectors of labelled texts (runs jobs).
 
     Token lists and vectors are each written once, since every later pass
-    (term statistics, class means, Gram matrices, folds) reads them again.
+    (term statistics, class means, Gram matrices, folds) reads them again;
+    n-grams are made from the tokens where they are read.
     """
     tokens = words.split_blanks(F.lower(words.normalise(body)))
-    rows = df.withColumn("_tokens", tokens)
+    rows = df.withColumn("_tokens", tokens).drop(body)
     if stem:
         rows = terms.stem_lists(rows, "_tokens", "porter")
-    grams = words.ngrams(words.without("_tokens", NLTK_ENGLISH if stop is None else stop), n)
-    listed = cut_lineage(rows.withColumn("_grams", grams).drop("_tokens", body), "grams")
-    return cut_lineage(ld.vectorise(listed, "_grams", max_features).drop("_grams"), "vectors")
+    kept = words.without("_tokens", NLTK_ENGLISH if stop is None else stop)
+    listed = cut_lineage(rows.withColumn("_tokens", kept), "tokens").withColumn("_grams", words.ngrams("_tokens", n))
+    return cut_lineage(ld.vectorise(listed, "_grams", max_features).drop("_tokens", "_grams"), "vectors")
 
 
 def author_separation(

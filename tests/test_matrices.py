@@ -212,6 +212,24 @@ def test_split_and_folds(spark):
     assert len(scores) == 5 and min(scores) > 0.8
 
 
+@pytest.mark.parametrize("hashes", [3, 40, 1 << 20])
+def test_most_frequent_tokens_are_exact(spark, monkeypatch, hashes):
+    """Whatever tokens share a hash; with many hashes, few tokens are counted by name."""
+    from collections import Counter
+
+    rng = np.random.default_rng(31)
+    lists = [[f"w{int(x)}" for x in rng.zipf(1.3, 60) % 400] for _ in range(50)] + [[], None]
+    df = spark.createDataFrame([(t,) for t in lists], "t ARRAY<STRING>")
+    monkeypatch.setattr(ld, "HASHES", hashes)
+    monkeypatch.setattr(ld, "SPARE", 1)
+    total = Counter(w for t in lists for w in t or [])
+    rows = Counter(w for t in lists for w in set(t or []))
+    for most in (1, 12, 1000):
+        want = sorted(total, key=lambda w: (-total[w], w))[:most]
+        found = ld.most_frequent(df, "t", most)
+        assert [(r["term"], r["total"], r["df"]) for r in found] == [(w, total[w], rows[w]) for w in want]
+
+
 def test_one_pass_gives_all_folds(spark, monkeypatch):
     df = ld.hash_split(_labelled(spark, 200), "id", 80).withColumn("fold", F.when(F.col("fold") == 3, 2).otherwise(F.col("fold")))
     df = df.unionByName(df.limit(1).withColumn("label", F.lit(None).cast("string")))

@@ -50,8 +50,8 @@ def stem_lists(df: DataFrame, tokens: str, rules: str) -> DataFrame:
     looks their tokens up in one hash table. So the tokens move once, and no
     dictionary is larger than a piece. Other columns pass through Arrow too.
     """
-    rows = once(df.withColumn("_row", F.monotonically_increasing_id()), "lists")
-    size = max(known_size(rows), 1)
+    rows = once(df.withColumn("_row", F.monotonically_increasing_id()), "lists", "zstd")
+    size = max(known_size(rows) * 3 // 2, 1)  # of which zstd leaves about two thirds
     each = max(rows.count() * PIECE // size, 1)  # rows of a piece; numbers of rows start anew in each partition
     within = F.col("_row").bitwiseAND((1 << 33) - 1)
     pieces = rows.select((F.col("_row") - F.pmod(within, F.lit(each))).alias("_piece"), *df.columns)
@@ -317,7 +317,7 @@ def smoothed_tfidf(
     """
     within = slices or []
     frequency = F.count(F.lit(1)).over(W.partitionBy(*within, "term"))
-    counts = once(counts.select(*within, doc, "term", "n", frequency.alias("_df")), "counts")
+    counts = once(counts.select(*within, doc, "term", "n", frequency.alias("_df")), "counts", "zstd")
     known = counts.where(F.col("term").isNotNull())
     if within:
         docs = once(counts.groupBy(*within).agg(F.countDistinct(doc).alias("_docs")), "docs")

@@ -104,7 +104,7 @@ def labelled_vectors(
     if stem:
         rows = terms.stem_lists(rows, "_tokens", "porter")
     kept = words.without("_tokens", NLTK_ENGLISH if stop is None else stop)
-    listed = cut_lineage(rows.withColumn("_tokens", kept), "tokens").withColumn("_grams", words.ngrams("_tokens", n))
+    listed = cut_lineage(rows.withColumn("_tokens", kept), "tokens", "zstd").withColumn("_grams", words.ngrams("_tokens", n))
     return cut_lineage(ld.vectorise(listed, "_grams", max_features).drop("_tokens", "_grams"), "vectors")
 
 

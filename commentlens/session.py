@@ -59,16 +59,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/commentlens/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
+def cut_lineage(df: DataFrame, label: str = "stage", codec: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back (runs a job).
 
     Used between passes of iterative operators and wherever two readers must
     see exactly the same rows. Parquet, so later passes prune columns, and a
-    lost executor costs a re-read and not a recomputation.
+    lost executor costs a re-read and not a recomputation. ``codec`` compresses
+    large rows of words otherwise than the session does.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    (writer.option("compression", codec) if codec else writer).parquet(path)
     return as_stored(spark.read.schema(df.schema).parquet(path))
 
 
@@ -96,14 +98,14 @@ class Buckets:
         self.df.sparkSession.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
-def once(df: DataFrame, label: str = "once") -> DataFrame:
+def once(df: DataFrame, label: str = "once", codec: str | None = None) -> DataFrame:
     """A result that several branches of a plan read, computed one time (runs a job).
 
     Branches prune and filter differently, so Spark can seldom share their
     shuffles by itself, and an expensive part (tokenising, stemming) would run
     in each of them. A frame that is already stored is returned as it is.
     """
-    return df if is_stored(df) else cut_lineage(df, label)
+    return df if is_stored(df) else cut_lineage(df, label, codec)
 
 
 def is_stored(df: DataFrame) -> bool:

@@ -12,7 +12,7 @@ from commentlens.operators.dedupe import first_per_key
 from commentlens.plans import keyed
 from commentlens.plans import loading as ld
 from commentlens.plans import maps
-from commentlens.session import cut_lineage, is_stored, spread
+from commentlens.session import cut_lineage, is_stored, known_size, once, spread
 from commentlens.sources import tables as tb
 
 RAW = "id LONG, ancestorId LONG, parentId LONG, authorId STRING, createdAt LONG, ft_id STRING, title STRING, bodyHtml STRING, likedBy STRING"
@@ -114,7 +114,7 @@ def test_words_are_told_once_a_piece():
 def test_rows_of_a_term_are_brought_together_once(spark, monkeypatch, stem):
     stored = {}
     once = terms.once
-    monkeypatch.setattr(terms, "once", lambda df, label: once(stored.setdefault(label, df), label))
+    monkeypatch.setattr(terms, "once", lambda df, label, *codec: once(stored.setdefault(label, df), label, *codec))
     monkeypatch.setattr(terms, "HELD_ROWS", 5)
     texts = [(i, y, a, f"{a} runs and ran with {t}") for i, (y, a, t) in enumerate([(1, "x", "dogs"), (1, "y", "dogs"), (1, "y", "cats"), (2, "x", "dogs")])]
     rows = spark.createDataFrame([*texts, (9, 1, None, "runs home")], "id LONG, year INT, authorId STRING, bodyHtml STRING")
@@ -125,3 +125,9 @@ def test_rows_of_a_term_are_brought_together_once(spark, monkeypatch, stem):
     run, dog, cat = ("run", "dog", "cat") if stem else ("runs", "dogs", "cats")
     assert got[(1, "x", run)] is False and got[(1, "y", dog)] is False and got[(1, "y", cat)] is True and got[(2, "x", dog)] is True
     assert {k[1] for k in got} == {"x", "y"} and len(got) == 4 + 4 + 4
+
+
+def test_stored_words_take_less_room(spark):
+    df = spark.range(30_000).select(F.sha2(F.col("id").cast("string"), 256).alias("t"))
+    assert known_size(cut_lineage(df, "texts", "zstd")) < 0.8 * known_size(cut_lineage(df, "texts"))
+    assert once(df, "texts", "zstd").exceptAll(df).count() == 0
